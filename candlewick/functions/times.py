@@ -15,6 +15,11 @@ def ts_literal(moment: datetime) -> Column:
     return F.lit(to_utc_naive(moment).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def long_literal(value: int) -> Column:
+    """Small Python ints become 32-bit literals, whose products overflow."""
+    return F.lit(value).cast("long")
+
+
 def epoch_ms(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 
@@ -38,7 +43,7 @@ def bucket_start(ts: Column, unit: str, timezone: str = "UTC") -> Column:
 def bucket_ms(ms: Column, unit: str, timezone: str = "UTC") -> Column:
     """Bucket start on epoch milliseconds; unlike ``window`` several fit in one projection."""
     spec = UNITS[unit]
-    return ms - F.pmod(ms - F.lit(spec.offset_ms(timezone)), F.lit(spec.ms))
+    return ms - F.pmod(ms - long_literal(spec.offset_ms(timezone)), long_literal(spec.ms))
 
 
 def by_unit(unit: Column, value_of) -> Column:
@@ -50,7 +55,7 @@ def by_unit(unit: Column, value_of) -> Column:
 
 
 def unit_ms(unit: Column) -> Column:
-    return by_unit(unit, lambda name: F.lit(UNITS[name].ms))
+    return by_unit(unit, lambda name: long_literal(UNITS[name].ms))
 
 
 def unit_bucket_start(ts: Column, unit: Column, timezone: str = "UTC") -> Column:

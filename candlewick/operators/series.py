@@ -88,7 +88,7 @@ def gaps(candles: DataFrame) -> DataFrame:
     length = unit_ms(F.col("unit"))
     rows = candles.select(
         *SERIES, "timestamp", length.alias("unit_ms"),
-        F.floor(ms / (length * GAP_CHUNK)).alias("chunk"),
+        (ms - F.pmod(ms, length * GAP_CHUNK)).alias("chunk"),
     )
     in_chunk = Window.partitionBy(*SERIES, "chunk").orderBy("timestamp")
     stepped = rows.select(

@@ -76,7 +76,8 @@ def tape(spark: SparkSession, sf_dir: str, symbol: Column) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = events(spark, sf_dir).schema
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet")
+    # A stream takes a folder or a pattern, not the path of a single file.
+    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
     return trade_source.trades_from_events(rows)
 
 
@@ -296,7 +297,8 @@ def upbit_parse(spark, sf_dir):
            date_trunc('milliseconds', ts) + INTERVAL 1 DAY * pos AS timestamp,
            CASE WHEN (user_id + pos) % 2 = 0 THEN 'buy' ELSE 'sell' END AS side,
            value AS price, json_extract_string(props, '$.k')::DOUBLE + 1000 * pos AS amount,
-           value * 2 AS cost, epoch_ms(ts) + 86400000 * pos AS id,
+           value * 2 AS cost,
+           epoch_ms(date_trunc('milliseconds', ts)) + 86400000 * pos AS id,
            event_id * 1000000 + pos AS arrival_seq
     FROM events, (VALUES (0), (1)) AS positions(pos) WHERE event_type <> 'error'""")
 def bithumb_parse(spark, sf_dir):
@@ -605,14 +607,14 @@ def stored_and_served(spark, sf_dir, units=None) -> tuple[DataFrame, DataFrame]:
 
 
 def sql_sides(units: list[str], depths: dict[str, int] | None = None) -> list[str]:
-    depth = "true"
+    depth = ""
     if depths:
         cases = " ".join(f"WHEN '{u}' THEN {n}" for u, n in depths.items())
-        depth = ("row_number() OVER (PARTITION BY unit, symbol ORDER BY timestamp DESC)"
+        depth = ("QUALIFY row_number() OVER (PARTITION BY unit, symbol ORDER BY timestamp DESC)"
                  f" <= CASE unit {cases} END")
     return [
-        f"db AS (SELECT * FROM ({sql_units(units, f'amount <> {LOST_AMOUNT}')}) QUALIFY {depth})",
-        f"served AS (SELECT * FROM ({sql_units(units)}) QUALIFY {depth})",
+        f"db AS (SELECT * FROM ({sql_units(units, f'amount <> {LOST_AMOUNT}')}) {depth})",
+        f"served AS (SELECT * FROM ({sql_units(units)}) {depth})",
         """ex AS (SELECT * FROM served QUALIFY row_number() OVER (
              PARTITION BY unit, symbol ORDER BY timestamp DESC) > 1)""",
         """compared AS (
