@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import epoch_ms, is_aligned, to_fixed
 from candlewick.functions.numbers import as_mark
-from candlewick.operators.series import drop_unclosed, newest_by_depth, newest_n
+from candlewick.operators.series import drop_newest, newest_by_depth, newest_n
 from candlewick.schemas import CANDLE_KEYS, OHLCV, SERIES
 
 # Volume differences below this are noise; candles may be created this late.
@@ -55,7 +55,7 @@ def with_flags(pairs: DataFrame) -> DataFrame:
 
 def comparable(exchange: DataFrame) -> DataFrame:
     """Exchange candles on their grid, without the one still open."""
-    return drop_unclosed(exchange.where(is_aligned(F.col("timestamp"), F.col("unit"))))
+    return drop_newest(exchange.where(is_aligned(F.col("timestamp"), F.col("unit"))))
 
 
 def reconcile_diffs(stored: DataFrame, exchange: DataFrame) -> DataFrame:

@@ -74,10 +74,18 @@ def with_closed(candles: DataFrame, latest: DataFrame | None = None) -> DataFram
 
 
 def drop_unclosed(candles: DataFrame, latest: DataFrame | None = None) -> DataFrame:
-    """All but the newest candle of each series."""
+    """All but the newest candle of each series, for candles that are cheap to scan twice."""
     return with_closed(candles, latest).where("closed").drop("closed")
 
 
+def drop_newest(candles: DataFrame) -> DataFrame:
+    """As ``drop_unclosed``, for candles that are costly to compute twice or already
+    partitioned by series."""
+    newest_first = Window.partitionBy(*SERIES).orderBy(F.desc("timestamp"))
+    ranked = candles.withColumn("rn", F.row_number().over(newest_first))
+    return ranked.where(F.col("rn") > 1).drop("rn")
+
+
 def gaps(candles: DataFrame) -> DataFrame:
     """Consecutive candles of a series whose starts are not exactly one unit apart.
 

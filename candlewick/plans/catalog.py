@@ -65,8 +65,8 @@ def minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def several_units(one_minute: DataFrame, units: list[str]) -> DataFrame:
-    derived = rollup_many(one_minute, [u for u in units if u != "1m"])
-    return one_minute.unionByName(derived) if "1m" in units else derived
+    """One pass for all units: rolling 1m up to 1m changes nothing."""
+    return rollup_many(one_minute, units)
 
 
 def tape(spark: SparkSession, sf_dir: str, symbol: Column) -> DataFrame:
@@ -191,11 +191,9 @@ def stored_cascade_latest(spark, sf_dir):
     table.append(minutes(spark, sf_dir), version=1)
     fill(table)
     refresh(table, NOW)
-    bounds = [export.latest_buckets(table.candles(units=[u]), NOW) for u in DERIVED_UNITS]
-    rows = bounds[0]
-    for more in bounds[1:]:
-        rows = rows.unionByName(more)
-    return rows.drop("created_at")
+    oldest = min(lookback_start(NOW, u) for u in DERIVED_UNITS)
+    stored = table.candles(units=DERIVED_UNITS, start=oldest)
+    return export.latest_buckets(stored, NOW).drop("created_at")
 
 
 SQL_TAPE = """tape AS (
@@ -468,7 +466,19 @@ query("upsert_latest_wins", sql_upsert("15m"))(
 def upsert_compacted(spark, sf_dir):
     table = upserted(spark, sf_dir)
     table.compact()
-    return table.raw().drop("_v", "p", "created_at")
+    return table.raw().drop("_v", "part", "p", "created_at")
+
+
+# Compacted, then overwritten in part: delta rows replace their base rows.
+@query("upsert_over_base", sql_upsert("15m"))
+def upsert_over_base(spark, sf_dir):
+    table = CandleTable(spark, shared_folder(spark, "upsert"))
+    whole = trades(spark, sf_dir)
+    table.append(fold_trades(kept_trades(spark, sf_dir), "15m"), version=1)
+    table.append(fold_trades(whole, "15m"), version=2)
+    table.compact()
+    table.append(fold_trades(whole.where(F.col("price") < 100), "15m"), version=3)
+    return table.candles(units=["15m"]).drop("created_at")
 
 
 query("latest_per_symbol", with_trades("""
@@ -702,7 +712,7 @@ CSV_UNITS = ["1m", "15m", "1d"]
     f"rest AS ({sql_export('served')})"))
 def reconcile_csv(spark, sf_dir):
     stored, served = stored_and_served(spark, sf_dir, CSV_UNITS)
-    closed = series.newest_n(series.drop_unclosed(stored), 1000)
+    closed = series.newest_n(stored, 1001, skip=1)
     rest = history.rest_to_export(rest_rows(served, page=1))
     return compare.export_summary(export.to_export(closed), rest)
 

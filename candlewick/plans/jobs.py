@@ -17,7 +17,7 @@ from candlewick.operators.export import latest_buckets, to_export
 from candlewick.operators.fold import PROFILES, fold_trades
 from candlewick.operators.rollup import rollup_all as roll_all_units
 from candlewick.operators.rollup import rollup_many
-from candlewick.operators.series import drop_unclosed, gaps, newest_n
+from candlewick.operators.series import gaps, newest_n
 from candlewick.session import use_utc
 from candlewick.sources.history import candles_from_arrays, native_history
 from candlewick.sources.reports import write_csv_summary, write_diff_report, write_summary_report
@@ -138,8 +138,10 @@ def reconcile_export(
 ) -> DataFrame:
     """Compares the newest closed candles, in export form, with REST candles."""
     use_utc(table.spark)
-    closed = drop_unclosed(table.candles(exchange=market, units=list(units)))
-    summary = export_summary(to_export(newest_n(closed, check_count)), rest, check_count)
+    # Skipping the newest leaves closed candles only.
+    stored = table.candles(exchange=market, units=list(units))
+    closed = newest_n(stored, check_count + 1, skip=1)
+    summary = export_summary(to_export(closed), rest, check_count)
     if report_path is not None:
         write_csv_summary(summary, report_path)
     return summary

@@ -1,8 +1,13 @@
 """Partitioned Parquet tables with latest-wins upserts.
 
-An upsert is an append with a write version ``_v``; reading keeps the highest version of each
-key. Partition columns include ``p``, the period a row's time falls in, and every time bound
-is repeated on ``p`` because Catalyst cannot derive it. One writer at a time per table.
+An upsert appends to the ``delta`` part with a write version ``_v``; of each key the highest
+version counts, and any delta row replaces its ``base`` row. Compaction folds the delta into
+the base, whose keys are unique. A reader therefore aggregates only the small delta; the base
+is scanned and filtered, not shuffled, while the delta's keys fit a broadcast.
+
+Partition columns include ``p``, the period a row's time falls in, and every time bound is
+repeated on ``p`` because Catalyst cannot derive it. One writer at a time per table, with
+versions that never fall behind a compaction.
 """
 
 from __future__ import annotations
@@ -19,10 +24,14 @@ from pyspark.sql import types as T
 
 from candlewick.functions import from_epoch_ms, period_start, ts_literal
 from candlewick.operators.export import retention_cutoffs
-from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT, OHLCV
+from candlewick.operators.series import latest_starts
+from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT
 from candlewick.units import UNITS
 
 
+BASE, DELTA = "base", "delta"
+
+
 def new_version() -> int:
     return time.time_ns() // 1000
 
@@ -43,7 +52,11 @@ class UpsertTable:
 
     @property
     def stored_schema(self) -> T.StructType:
-        extra = [T.StructField("_v", T.LongType()), T.StructField("p", T.DateType())]
+        extra = [
+            T.StructField("_v", T.LongType()),
+            T.StructField("part", T.StringType()),
+            T.StructField("p", T.DateType()),
+        ]
         return T.StructType([*self.schema.fields, *extra])
 
     def period(self) -> Column:
@@ -61,8 +74,10 @@ class UpsertTable:
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in self.schema.fields
         ]
-        stamped = rows.select(*columns).withColumn(
-            "_v", F.lit(new_version() if version is None else version).cast("long")
+        stamped = rows.select(
+            *columns,
+            F.lit(new_version() if version is None else version).cast("long").alias("_v"),
+            F.lit(DELTA).alias("part"),
         )
         self._write(stamped.withColumn("p", self.period()), "append")
 
@@ -79,48 +94,45 @@ class UpsertTable:
         )
 
     def raw(self) -> DataFrame:
-        """Every stored version of every row."""
+        """Every stored version of every row, in both parts."""
         return self.spark.read.schema(self.stored_schema).parquet(self.path)
 
-    def latest_wins(self, rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-        """Highest version per key. One max_by per column keeps the buffers primitive."""
-        return rows.groupBy(*self.keys, *extra).agg(
-            *[F.max_by(c, "_v").alias(c) for c in self.values]
-        )
-
     def read(self, *conditions: Column) -> DataFrame:
         """Current rows. Conditions may use keys and ``p`` only: values may be outdated."""
         rows = self.raw()
         for condition in conditions:
             rows = rows.where(condition)
-        return self.latest_wins(rows).select(*self.schema.names)
+        return self._current(rows).select(*self.schema.names)
+
+    def _current(self, rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+        """Newest version per key; one max_by per column keeps the buffers primitive."""
+        delta = rows.where(F.col("part") == DELTA).groupBy(*self.keys, *extra).agg(
+            *[F.max_by(c, "_v").alias(c) for c in self.values], F.max("_v").alias("_v")
+        )
+        base = rows.where(F.col("part") == BASE).select(*delta.columns)
+        keys = list(self.keys)
+        return base.join(delta.select(*keys), keys, "left_anti").unionByName(delta)
 
     def compact(self) -> None:
-        """Rewrites the partitions that hold more than one version, one row per key.
+        """Folds the delta into the base partitions it touches, then drops it.
 
-        Each partition is replaced when the whole job has succeeded; replacing several is not
-        atomic, so no reader or writer may run meanwhile.
+        A failure at any point leaves a table that reads the same: until the delta is dropped
+        its rows still replace the base rows, whether those were rewritten or not.
         """
         rows = self.raw()
-        several = (
-            rows.groupBy(*self.partitions)
-            .agg(F.min("_v").alias("low"), F.max("_v").alias("high"))
-            .where(F.col("low") < F.col("high"))
-            .select(*self.partitions)
-        )
-        touched = rows.join(several, list(self.partitions), "left_semi")
-        period = [c for c in ("p",) if c not in self.keys]
-        current = touched.groupBy(*self.keys, *period).agg(
-            *[F.max_by(c, "_v").alias(c) for c in self.values], F.max("_v").alias("_v")
+        periods = [c for c in self.partitions if c != "part"]
+        touched = rows.where(F.col("part") == DELTA).select(*periods).distinct()
+        merged = self._current(rows.join(touched, periods, "left_semi"), extra=["p"])
+        self._write(
+            merged.withColumn("part", F.lit(BASE)).select(*self.stored_schema.names), "overwrite"
         )
-        self._write(current.select(*self.stored_schema.names), "overwrite")
+        self._drop_folder(f"part={DELTA}")
 
     def _hadoop_path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
 
-    def _drop_partition(self, values: dict[str, object]) -> None:
-        folders = "/".join(f"{name}={values[name]}" for name in self.partitions)
-        path = self._hadoop_path(f"{self.path}/{folders}")
+    def _drop_folder(self, folder: str) -> None:
+        path = self._hadoop_path(f"{self.path}/{folder}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
@@ -130,7 +142,7 @@ class CandleTable(UpsertTable):
 
     schema: T.StructType = CANDLE
     keys: tuple[str, ...] = tuple(CANDLE_KEYS)
-    partitions: tuple[str, ...] = ("exchange", "unit", "p")
+    partitions: tuple[str, ...] = ("part", "exchange", "unit", "p")
     sort: tuple[str, ...] = ("symbol", "timestamp")
 
     def period(self) -> Column:
@@ -170,6 +182,16 @@ class CandleTable(UpsertTable):
         return self.read(*conditions)
 
 
+    def latest(self, exchange: str, unit: str) -> DataFrame:
+        """Newest candle per symbol: series and time are scanned once, then only the
+        partitions that hold a newest candle."""
+        rows = self.raw().where((F.col("exchange") == exchange) & (F.col("unit") == unit))
+        newest = latest_starts(rows).withColumnRenamed("latest", "timestamp")
+        newest = newest.withColumn("p", period_start(F.col("timestamp"), unit))
+        keys = [*self.keys, "p"]
+        return self._current(rows.join(newest, keys, "left_semi")).select(*self.schema.names)
+
+
 def any_period(units: Sequence[str], bound) -> Column:
     """Bound on ``p`` for each unit's own partition granularity."""
     by_period: dict[str, list[str]] = {}
@@ -190,7 +212,7 @@ class ExportTable(UpsertTable):
 
     schema: T.StructType = EXPORT
     keys: tuple[str, ...] = ("unit", "market", "code", "tms")
-    partitions: tuple[str, ...] = ("unit", "market", "p")
+    partitions: tuple[str, ...] = ("part", "unit", "market", "p")
     sort: tuple[str, ...] = ("code", "tms")
 
     def period(self) -> Column:
@@ -227,15 +249,14 @@ class ExportTable(UpsertTable):
         crossed = [row for row in parts if row["high"] >= row["cutoff"]]
         if crossed:
             here = reduce(Column.__or__, [
-                (F.col("unit") == row["unit"]) & (F.col("market") == row["market"])
-                & (F.col("p") == F.lit(row["p"]))
+                reduce(Column.__and__, [F.col(c) == F.lit(row[c]) for c in self.partitions])
                 for row in crossed
             ])
             kept = rows.where(here).where(F.col("tms") >= F.col("cutoff"))
             self._write(kept.select(*self.stored_schema.names), "overwrite")
         for row in parts:
             if row["high"] < row["cutoff"]:
-                self._drop_partition(row.asDict())
+                self._drop_folder("/".join(f"{name}={row[name]}" for name in self.partitions))
         return {unit: deleted.get(unit, 0) for unit in cutoffs}
 
 

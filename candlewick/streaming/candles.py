@@ -20,7 +20,6 @@ from candlewick.operators.fold import (
     seed_states,
 )
 from candlewick.operators.rollup import rolled_ohlcv
-from candlewick.operators.series import latest_per_series
 from candlewick.schemas import CANDLE_COLUMNS
 from candlewick.sources.tables import CandleTable, stamped_trades
 
@@ -100,8 +99,7 @@ def chained_candle_stream(
 
 def write_seeds(table: CandleTable, exchange: str, path: str, unit: str = "1m") -> None:
     """Lands the latest stored candle per symbol where a cold start can stream it from."""
-    latest = latest_per_series(table.candles(exchange=exchange, units=[unit]))
-    latest.select(*CANDLE_COLUMNS).write.mode("overwrite").parquet(path)
+    table.latest(exchange, unit).select(*CANDLE_COLUMNS).write.mode("overwrite").parquet(path)
 
 
 def upsert_stream(
