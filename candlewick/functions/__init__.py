@@ -8,11 +8,10 @@ from candlewick.functions.times import (
     is_aligned,
     period_start,
     ts_literal,
-    unit_ms,
 )
 
 __all__ = [
     "bucket_ms", "bucket_start", "code_to_symbol", "dashed_code", "epoch_ms", "exact_sum",
     "from_epoch_ms", "is_aligned", "period_start", "quote_of", "to_fixed", "ts_literal",
-    "underscored_code", "unit_ms",
+    "underscored_code",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,18 +9,28 @@ from pyspark.sql import functions as F
 VOLUME_PLACES = 8
 
 
-def exact_sum(value: Column) -> Column:
-    """Order-independent sum of doubles to eight decimals.
+def exact_sum(value: str) -> Column:
+    """Order-independent sum of a double column to eight decimals.
 
     A plain double sum depends on row order, and a decimal sum is about twice as slow because
     its buffer is not a primitive. Whole units and 1e-8 fractions are each summed as a long,
     which stays in the hash aggregate's mutable buffer; the two meet once per group.
     """
-    whole = F.floor(value)
-    parts = F.round((value - whole) * F.lit(10.0**VOLUME_PLACES)).cast("long")
-    step = F.lit(Decimal(1).scaleb(-VOLUME_PLACES))
-    total = F.sum(whole).cast("decimal(20,0)") + F.sum(parts).cast("decimal(20,0)") * step
-    return total.cast("double")
+    return F.expr(joined_parts_sql(f"sum({whole_sql(value)})", f"sum({parts_sql(value)})"))
+
+
+def whole_sql(value: str) -> str:
+    return f"floor({value})"
+
+
+def parts_sql(value: str) -> str:
+    return f"CAST(round(({value} - floor({value})) * 1E{VOLUME_PLACES}D) AS BIGINT)"
+
+
+def joined_parts_sql(whole: str, parts: str) -> str:
+    step = f"0.{'1'.zfill(VOLUME_PLACES)}BD"
+    whole, parts = (f"CAST({part} AS DECIMAL(20, 0))" for part in (whole, parts))
+    return f"CAST({whole} + {parts} * {step} AS DOUBLE)"
 
 
 def to_fixed(value: Column, places: int) -> Column:

@@ -18,8 +18,9 @@ CREATED_LAG_MS = 61_000
 def created_lag(created_at: Column, timestamp: Column) -> Column:
     """True when a candle was first stored too far from its own start."""
     known = created_at.isNotNull() & (F.year(created_at) != 1970)
-    late = F.abs(epoch_ms(timestamp) - epoch_ms(created_at)) > CREATED_LAG_MS
-    return F.coalesce(known & late, F.lit(False))
+    zoned = (at.cast("timestamp") for at in (timestamp, created_at))
+    start_ms, created_ms = (F.unix_millis(at) for at in zoned)
+    return F.coalesce(known & (F.abs(start_ms - created_ms) > CREATED_LAG_MS), F.lit(False))
 
 
 def with_created_lag(candles: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def with_flags(pairs: DataFrame) -> DataFrame:
 
 def comparable(exchange: DataFrame) -> DataFrame:
     """Exchange candles on their grid, without the one still open."""
-    return drop_newest(exchange.where(is_aligned(F.col("timestamp"), F.col("unit"))))
+    return drop_newest(exchange.where(is_aligned("timestamp")))
 
 
 def reconcile_diffs(stored: DataFrame, exchange: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def reconcile_diffs(stored: DataFrame, exchange: DataFrame) -> DataFrame:
     flagged = with_flags(paired(stored, comparable(exchange), "left"))
     return flagged.where("is_diff").select(
         "exchange", "unit", "symbol",
-        epoch_ms(F.col("timestamp")).alias("tms"), F.col("timestamp").alias("date"),
+        epoch_ms("timestamp").alias("tms"), F.col("timestamp").alias("date"),
         "db_candle", "exchange_candle",
         F.col("open_diff").alias("open"), F.col("high_diff").alias("high"),
         F.col("low_diff").alias("low"), F.col("close_diff").alias("close"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import epoch_ms, ts_literal
 from candlewick.functions.symbols import market_code
-from candlewick.functions.times import by_unit
-from candlewick.units import EPOCH, UNITS, lookback_start, to_utc_naive
+from candlewick.functions.times import by_unit_sql
+from candlewick.units import UNITS, lookback_start, to_epoch_ms
 
 
 def to_export(candles: DataFrame) -> DataFrame:
     """Compact export rows of candles: unit name, market code, epoch ms."""
     return candles.select(
-        by_unit(F.col("unit"), lambda name: F.lit(UNITS[name].export_name)).alias("unit"),
+        F.expr(by_unit_sql("unit", lambda name: f"'{UNITS[name].export_name}'")).alias("unit"),
         F.upper("exchange").alias("market"),
         market_code(F.col("exchange"), F.col("symbol")).alias("code"),
-        epoch_ms(F.col("timestamp")).alias("tms"),
+        epoch_ms("timestamp").alias("tms"),
         F.col("open").alias("op"), F.col("high").alias("hp"), F.col("low").alias("lp"),
         F.col("close").alias("cp"), F.col("volume").alias("tv"),
     )
@@ -37,7 +37,7 @@ def latest_buckets(candles: DataFrame, now: datetime) -> DataFrame:
 
 def retention_cutoffs(now: datetime) -> dict[str, int]:
     """Oldest epoch ms kept per export unit; units kept for ever are absent."""
-    now_ms = (to_utc_naive(now) - EPOCH) // timedelta(milliseconds=1)
+    now_ms = to_epoch_ms(now)
     return {
         unit.export_name: now_ms - unit.ms * unit.export_keep
         for unit in UNITS.values()

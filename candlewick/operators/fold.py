@@ -30,12 +30,10 @@ SEED_TIE = -(2**63)
 
 def priced(trades: DataFrame) -> DataFrame:
     """Trades that can move a candle; malformed numbers stay in the trade store only."""
-    usable = [F.col("timestamp").isNotNull()]
-    usable += [F.col(c).isNotNull() & ~F.isnan(c) for c in ("price", "amount")]
-    condition = usable[0]
-    for term in usable[1:]:
-        condition &= term
-    return trades.where(condition)
+    return trades.where(
+        "timestamp IS NOT NULL AND price IS NOT NULL AND amount IS NOT NULL"
+        " AND NOT isnan(price) AND NOT isnan(amount)"
+    )
 
 
 def first_of_each(trades: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,18 +74,18 @@ def seed_states(candles: DataFrame) -> DataFrame:
 
 def merged_ohlcv() -> list[Column]:
     return [
-        F.min_by("open", "first_at").alias("open"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max_by("close", "last_at").alias("close"),
-        exact_sum(F.col("volume")).alias("volume"),
+        F.expr("min_by(open, first_at) AS open"),
+        F.expr("max(high) AS high"),
+        F.expr("min(low) AS low"),
+        F.expr("max_by(close, last_at) AS close"),
+        exact_sum("volume").alias("volume"),
     ]
 
 
 def merge_states(states: DataFrame, unit: str = "1m", timezone: str = "UTC") -> DataFrame:
     """Candles from any mix of trades and stored candles of one unit."""
     return (
-        states.withColumn("bucket", bucket_start(F.col("timestamp"), unit, timezone))
+        states.withColumn("bucket", bucket_start("timestamp", unit, timezone))
         .groupBy("bucket", "symbol", "exchange")
         .agg(*merged_ohlcv())
         .select("exchange", F.lit(unit).alias("unit"), F.col("bucket").alias("timestamp"),
@@ -110,7 +108,7 @@ def fold_trades(
     without touching the symbol strings.
     """
     rows = priced(trades).select(
-        "exchange", "symbol", bucket_start(F.col("timestamp"), unit, timezone).alias("bucket"),
+        "exchange", "symbol", bucket_start("timestamp", unit, timezone).alias("bucket"),
         "timestamp", "price", "amount", profile.tie,
     )
     if profile.repeats:

@@ -8,9 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions import bucket_ms, bucket_start, epoch_ms, exact_sum, from_epoch_ms, ts_literal
+from candlewick.functions import bucket_start, exact_sum, from_epoch_ms, ts_literal
+from candlewick.functions.times import epoch_ms_sql, floored_sql
 from candlewick.schemas import CANDLE_COLUMNS
-from candlewick.units import DERIVED_UNITS, cascade_levels, lookback_start, to_utc_naive
+from candlewick.units import DERIVED_UNITS, cascade_levels, lookback_start, to_epoch_ms
 
 
 def rolled_ohlcv() -> list[Column]:
@@ -20,18 +21,18 @@ def rolled_ohlcv() -> list[Column]:
     combine.
     """
     return [
-        F.min_by("open", "timestamp").alias("open"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max_by("close", "timestamp").alias("close"),
-        exact_sum(F.col("volume")).alias("volume"),
+        F.expr("min_by(open, timestamp) AS open"),
+        F.expr("max(high) AS high"),
+        F.expr("min(low) AS low"),
+        F.expr("max_by(close, timestamp) AS close"),
+        exact_sum("volume").alias("volume"),
     ]
 
 
 def rollup(candles: DataFrame, unit: str, timezone: str = "UTC") -> DataFrame:
     """All candles of one base unit to ``unit``; empty buckets stay absent."""
     return (
-        candles.withColumn("bucket", bucket_start(F.col("timestamp"), unit, timezone))
+        candles.withColumn("bucket", bucket_start("timestamp", unit, timezone))
         .groupBy("exchange", "symbol", "bucket")
         .agg(*rolled_ohlcv())
         .withColumns({"unit": F.lit(unit), "timestamp": F.col("bucket")})
@@ -75,26 +76,24 @@ def rollup_many(
     Each base row is emitted once per unit and combined map-side, so what is shuffled is
     bounded by the output, not by rows times units. ``starts`` bounds single units.
     """
-    ms = epoch_ms(F.col("timestamp"))
-    targets = [
-        F.struct(F.lit(unit).alias("unit"), bucket_ms(ms, unit, timezone).alias("bucket"))
+    ms = epoch_ms_sql("timestamp")
+    targets = ", ".join(
+        f"named_struct('unit', '{unit}', 'bucket', {floored_sql(ms, unit, timezone)})"
         for unit in units
-    ]
+    )
     rows = candles.select(
         "exchange", "symbol", "timestamp", "open", "high", "low", "close", "volume",
-        F.inline(F.array(*targets)).alias("unit", "bucket"),
+        F.expr(f"inline(array({targets}))"),
     )
     if starts:
-        bounds = [
-            (F.col("unit") == unit)
-            & (F.col("bucket") >= (to_utc_naive(start) - datetime(1970, 1, 1)).total_seconds() * 1000)
+        rows = rows.where(" OR ".join(
+            f"(unit = '{unit}' AND bucket >= {to_epoch_ms(start)}L)"
             for unit, start in starts.items()
-        ]
-        rows = rows.where(reduce(Column.__or__, bounds))
+        ))
     return (
         rows.groupBy("bucket", "unit", "symbol", "exchange")
         .agg(*rolled_ohlcv())
-        .withColumn("timestamp", from_epoch_ms(F.col("bucket")))
+        .withColumn("timestamp", from_epoch_ms("bucket"))
         .select(*CANDLE_COLUMNS)
     )
 

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from candlewick.functions import epoch_ms, unit_ms
+from candlewick.functions import epoch_ms
+from candlewick.functions.times import epoch_ms_sql, unit_ms_sql
 from candlewick.schemas import SERIES
 
 # Candles of a series are checked for gaps in chunks of this many unit lengths.
@@ -92,11 +93,10 @@ def gaps(candles: DataFrame) -> DataFrame:
     Steps are taken inside chunks of a series, so no task sorts a whole series; only the
     first and last row of each chunk meet again to bridge chunk borders.
     """
-    ms = epoch_ms(F.col("timestamp"))
-    length = unit_ms(F.col("unit"))
     rows = candles.select(
-        *SERIES, "timestamp", length.alias("unit_ms"),
-        (ms - F.pmod(ms, length * GAP_CHUNK)).alias("chunk"),
+        *SERIES, "timestamp", F.expr(unit_ms_sql("unit")).alias("unit_ms")
+    ).withColumn(
+        "chunk", F.expr(f"{epoch_ms_sql('timestamp')} div (unit_ms * {GAP_CHUNK})")
     )
     in_chunk = Window.partitionBy(*SERIES, "chunk").orderBy("timestamp")
     stepped = rows.select(
@@ -112,7 +112,7 @@ def gaps(candles: DataFrame) -> DataFrame:
         *SERIES, "unit_ms", "timestamp", F.col("before").alias("previous")
     )
     inside = stepped.select(*SERIES, "unit_ms", "timestamp", "previous")
-    step = epoch_ms(F.col("timestamp")) - epoch_ms(F.col("previous"))
+    step = epoch_ms("timestamp") - epoch_ms("previous")
     return (
         inside.unionByName(bridged)
         .where(F.col("previous").isNotNull())

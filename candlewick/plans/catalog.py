@@ -232,7 +232,7 @@ def tape_weeks_hot(spark, sf_dir):
 @query("seeded_merge", with_trades(sql_candles("1m")))
 def seeded_merge(spark, sf_dir):
     both = trades(spark, sf_dir)
-    in_first_half = F.pmod(epoch_ms(F.col("timestamp")), F.lit(60_000)) < 30_000
+    in_first_half = F.pmod(epoch_ms("timestamp"), F.lit(60_000)) < 30_000
     seeds = seed_states(fold_trades(both.where(in_first_half)))
     return merge_states(seeds.unionByName(as_states(both.where(~in_first_half), SEQUENCE)))
 
@@ -251,7 +251,7 @@ for _zone, _origin in (("UTC", UTC_ORIGIN), ("KST", KST_ORIGIN)):
     query(f"buckets_{_zone.lower()}", sql_bucket_columns(_origin))(
         lambda spark, sf_dir, zone=_zone: events(spark, sf_dir).select(
             "event_id",
-            *[bucket_ms(epoch_ms(F.col("ts")), u, zone).alias(f"start_{u}") for u in UNITS],
+            *[bucket_ms("ts", u, zone).alias(f"start_{u}") for u in UNITS],
         )
     )
 
@@ -260,7 +260,7 @@ query("align_filter", "SELECT event_id, " + ", ".join(
 ) + " FROM (SELECT event_id, time_bucket(INTERVAL '1 minute', ts, TIMESTAMP '1970-01-01') AS m"
     " FROM events)")(
     lambda spark, sf_dir: events(spark, sf_dir).select(
-        "event_id", *[is_aligned(F.col("ts"), u).alias(f"on_{u}") for u in UNITS]
+        "event_id", *[is_aligned("ts", u).alias(f"on_{u}") for u in UNITS]
     )
 )
 
@@ -278,7 +278,7 @@ def upbit_parse(spark, sf_dir):
     message = F.struct(
         F.lit("trade").alias("type"),
         F.concat(F.lit("KRW-"), F.upper("event_type")).alias("code"),
-        epoch_ms(F.col("ts")).alias("trade_timestamp"),
+        epoch_ms("ts").alias("trade_timestamp"),
         F.col("value").alias("trade_price"),
         F.get_json_object("props", "$.k").cast("double").alias("trade_volume"),
         F.when(F.col("user_id") % 2 == 0, "BID").otherwise("ASK").alias("ask_bid"),
@@ -354,7 +354,7 @@ HISTORY_UNITS = ["15m", "1h", "1d", "1M"]
 def array_rows(spark, sf_dir) -> DataFrame:
     """Every trade as a positional candle row of four units, at its own time."""
     price = F.col("price")
-    row = F.array(epoch_ms(F.col("timestamp")).cast("double"), price, price + 2, price - 1,
+    row = F.array(epoch_ms("timestamp").cast("double"), price, price + 2, price - 1,
                   price + 1, F.col("amount"))
     return trades(spark, sf_dir).select(
         "exchange", F.explode(F.array(*map(F.lit, HISTORY_UNITS))).alias("unit"), "symbol",
@@ -405,7 +405,7 @@ def history_pages(spark, sf_dir):
 def rest_rows(candles: DataFrame, page: int) -> DataFrame:
     """Candles as REST objects, as their source serves them."""
     exported = export.to_export(candles)
-    when = F.date_format(from_epoch_ms(F.col("tms")), "yyyy-MM-dd'T'HH:mm:ss")
+    when = F.date_format(from_epoch_ms("tms"), "yyyy-MM-dd'T'HH:mm:ss")
     return exported.select(
         F.col("code").alias("market"), "unit", F.lit(page).cast("long").alias("page"),
         when.alias("candle_date_time_utc"), F.col("op").alias("opening_price"),
@@ -510,7 +510,7 @@ def latest_of_trades(spark, sf_dir) -> DataFrame:
     newest = trades(spark, sf_dir).groupBy("exchange", "symbol").agg(F.max("timestamp").alias("t"))
     return newest.select(
         "exchange", F.lit("1m").alias("unit"), "symbol",
-        bucket_start(F.col("t"), "1m").alias("latest"),
+        bucket_start("t", "1m").alias("latest"),
     )
 
 
@@ -762,12 +762,12 @@ query("stream_dedup", with_trades(sql_candles("1m")))(
     QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC) = 1""",
     f"minutes AS ({sql_candles('1m')})"))
 def stream_seeded(spark, sf_dir):
-    in_first_half = F.pmod(epoch_ms(F.col("timestamp")), F.lit(60_000)) < 30_000
+    in_first_half = F.pmod(epoch_ms("timestamp"), F.lit(60_000)) < 30_000
     newest = latest_of_trades(spark, sf_dir).drop("unit")
 
     def in_newest_minute(rows: DataFrame) -> DataFrame:
         return rows.join(newest, ["exchange", "symbol"]).where(
-            bucket_start(F.col("timestamp"), "1m") == F.col("latest")
+            bucket_start("timestamp", "1m") == F.col("latest")
         ).drop("latest")
 
     stored = CandleTable(spark, shared_folder(spark, "stored"))

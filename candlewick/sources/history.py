@@ -20,7 +20,7 @@ def candles_from_arrays(rows: DataFrame) -> DataFrame:
     """
     values = [F.col("ohlcv")[i].alias(name) for i, name in enumerate(OHLCV, start=1)]
     return rows.where(F.col("unit").isin(*UNITS)).select(
-        "exchange", "unit", from_epoch_ms(F.col("ohlcv")[0]).alias("timestamp"), "symbol", *values
+        "exchange", "unit", from_epoch_ms("CAST(ohlcv[0] AS BIGINT)").alias("timestamp"), "symbol", *values
     )
 
 
@@ -41,16 +41,16 @@ def native_history(rows: DataFrame) -> DataFrame:
     1d is skipped: its served day follows another calendar and is derived instead.
     """
     candles = candles_from_arrays(rows).where(F.col("unit") != "1d")
-    aligned = candles.where(is_aligned(F.col("timestamp"), F.col("unit")))
+    aligned = candles.where(is_aligned("timestamp"))
     return aligned.withColumn(
-        "timestamp", unit_bucket_start(F.col("timestamp"), F.col("unit"))
+        "timestamp", unit_bucket_start("timestamp")
     )
 
 
 def misaligned_history(rows: DataFrame) -> DataFrame:
     """The served candles that ``native_history`` leaves out, for inspection."""
     candles = candles_from_arrays(rows).where(F.col("unit") != "1d")
-    return candles.where(~is_aligned(F.col("timestamp"), F.col("unit")))
+    return candles.where(~is_aligned("timestamp"))
 
 
 def rest_to_export(rows: DataFrame, exchange: str = "upbit") -> DataFrame:
@@ -70,7 +70,7 @@ def rest_to_candles(rows: DataFrame, exchange: str = "upbit") -> DataFrame:
     """REST candle objects as candles; ``unit`` holds the catalogue name here."""
     named = rest_to_export(rows, exchange)
     return named.select(
-        F.lit(exchange).alias("exchange"), "unit", from_epoch_ms(F.col("tms")).alias("timestamp"),
+        F.lit(exchange).alias("exchange"), "unit", from_epoch_ms("tms").alias("timestamp"),
         code_to_symbol(exchange, F.col("code")).alias("symbol"),
         F.col("op").alias("open"), F.col("hp").alias("high"), F.col("lp").alias("low"),
         F.col("cp").alias("close"), F.col("tv").alias("volume"),

@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.functions import from_epoch_ms, period_start, ts_literal
+from candlewick.functions import period_start, ts_literal
+from candlewick.functions.times import from_epoch_ms_sql, period_of, period_start_sql
 from candlewick.operators.export import retention_cutoffs
 from candlewick.operators.series import latest_starts
 from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT
@@ -146,7 +147,7 @@ class CandleTable(UpsertTable):
     sort: tuple[str, ...] = ("symbol", "timestamp")
 
     def period(self) -> Column:
-        return period_start(F.col("timestamp"), F.col("unit"))
+        return period_start("timestamp")
 
     def append(self, rows: DataFrame, version: int | None = None) -> None:
         """As the base, with ``created_at`` defaulting to the write time."""
@@ -172,13 +173,11 @@ class CandleTable(UpsertTable):
             conditions.append(F.col("unit").isin(*units))
         names = list(units or UNITS)
         if start is not None:
-            first = ts_literal(start)
-            conditions += [F.col("timestamp") >= first,
-                           any_period(names, lambda name: F.col("p") >= period_start(first, name))]
+            conditions += [F.col("timestamp") >= ts_literal(start),
+                           any_period(names, lambda name: F.col("p") >= F.lit(period_of(start, name)))]
         if end is not None:
-            last = ts_literal(end)
-            conditions += [F.col("timestamp") < last,
-                           any_period(names, lambda name: F.col("p") <= period_start(last, name))]
+            conditions += [F.col("timestamp") < ts_literal(end),
+                           any_period(names, lambda name: F.col("p") <= F.lit(period_of(end, name)))]
         return self.read(*conditions)
 
 
@@ -187,7 +186,7 @@ class CandleTable(UpsertTable):
         partitions that hold a newest candle."""
         rows = self.raw().where((F.col("exchange") == exchange) & (F.col("unit") == unit))
         newest = latest_starts(rows).withColumnRenamed("latest", "timestamp")
-        newest = newest.withColumn("p", period_start(F.col("timestamp"), unit))
+        newest = newest.withColumn("p", period_start("timestamp", unit))
         keys = [*self.keys, "p"]
         return self._current(rows.join(newest, keys, "left_semi")).select(*self.schema.names)
 
@@ -216,11 +215,12 @@ class ExportTable(UpsertTable):
     sort: tuple[str, ...] = ("code", "tms")
 
     def period(self) -> Column:
-        at = from_epoch_ms(F.col("tms"))
-        branches = F
-        for export_name, name in UNIT_OF_EXPORT.items():
-            branches = branches.when(F.col("unit") == export_name, period_start(at, name))
-        return branches
+        at = from_epoch_ms_sql("tms")
+        branches = " ".join(
+            f"WHEN '{export_name}' THEN {period_start_sql(at, name)}"
+            for export_name, name in UNIT_OF_EXPORT.items()
+        )
+        return F.expr(f"CASE unit {branches} END")
 
     def delete_expired(self, now: datetime) -> dict[str, int]:
         """Deletes rows older than their unit keeps and returns how many per unit.

@@ -17,12 +17,13 @@ MESSAGE_SLOTS = 1_000_000
 
 def trades_from_singles(messages: DataFrame, exchange: str = "upbit") -> DataFrame:
     """One trade per JSON message in column ``value``."""
-    parsed = messages.select(F.from_json("value", SINGLE_MESSAGE).alias("m")).select("m.*")
+    # Generated columns keep the filter from being pushed below, into a second parse.
+    parsed = messages.select(F.inline(F.array(F.from_json("value", SINGLE_MESSAGE))))
     price, amount = F.col("trade_price"), F.col("trade_volume")
     return parsed.where(F.col("code").isNotNull()).select(
         F.lit(exchange).alias("exchange"),
         code_to_symbol("upbit", F.col("code")).alias("symbol"),
-        from_epoch_ms(F.col("trade_timestamp")).alias("timestamp"),
+        from_epoch_ms("trade_timestamp").alias("timestamp"),
         F.when(F.col("ask_bid") == "ASK", "sell").when(F.col("ask_bid") == "BID", "buy").alias("side"),
         price.alias("price"), amount.alias("amount"), (price * amount).alias("cost"),
         F.col("sequential_id").alias("id"),
@@ -30,13 +31,13 @@ def trades_from_singles(messages: DataFrame, exchange: str = "upbit") -> DataFra
     )
 
 
-def local_trade_time(text: Column, utc_offset_hours: int = 9) -> Column:
+def local_trade_time(text: str, utc_offset_hours: int = 9) -> Column:
     """'YYYY-MM-DD HH:MM:SS[.ffffff]' in exchange-local time to UTC, whole milliseconds.
 
     The hour may be one digit. Unreadable text gives null.
     """
-    local = F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:mm:ss[.SSSSSS]"))
-    return from_epoch_ms(F.unix_millis(local) - F.lit(utc_offset_hours * 3_600_000))
+    local = f"unix_millis(try_to_timestamp({text}, 'yyyy-MM-dd H:mm:ss[.SSSSSS]'))"
+    return from_epoch_ms(f"{local} - {utc_offset_hours * 3_600_000}")
 
 
 def number(text: Column) -> Column:
@@ -55,12 +56,15 @@ def trades_from_batches(
     it gives the arrival order; a list that outgrows its slots fails instead of misordering.
     """
     order = F.col(seq) if seq else F.lit(0).cast("long")
-    records = (
-        messages.select(order.alias("seq"), F.from_json("value", BATCHED_MESSAGE).alias("m"))
-        .where(F.col("m.type") == "transaction")
-        .select("seq", F.posexplode("m.content.list").alias("pos", "r"))
+    # A filter on the type would be pushed below and parse each message again, and so would
+    # the non-empty filter that a plain explode implies; an outer explode parses once.
+    parsed = messages.select(order.alias("seq"), F.from_json("value", BATCHED_MESSAGE).alias("m"))
+    lists = parsed.select(
+        "seq", F.when(F.col("m.type") == "transaction", F.col("m.content.list")).alias("list")
     )
-    at = local_trade_time(F.col("r.contDtm"))
+    records = lists.select("seq", F.posexplode_outer("list").alias("pos", "r")).where(
+        F.col("r").isNotNull()
+    ).withColumn("at", local_trade_time("r.contDtm"))
     fits = F.col("pos") < MESSAGE_SLOTS
     arrival = F.when(fits, F.col("seq") * MESSAGE_SLOTS + F.col("pos")).otherwise(
         F.raise_error(F.lit("message holds too many records"))
@@ -68,12 +72,12 @@ def trades_from_batches(
     return records.select(
         F.lit(exchange).alias("exchange"),
         code_to_symbol("bithumb", F.col("r.symbol")).alias("symbol"),
-        at.alias("timestamp"),
+        F.col("at").alias("timestamp"),
         F.when(F.col("r.buySellGb") == buy_flag, "buy").otherwise("sell").alias("side"),
         number(F.col("r.contPrice")).alias("price"),
         number(F.coalesce("r.contQty", "r.units")).alias("amount"),
         number(F.col("r.contAmt")).alias("cost"),
-        F.unix_millis(at.cast("timestamp")).alias("id"),
+        F.unix_millis(F.col("at").cast("timestamp")).alias("id"),
         arrival.cast("long").alias("arrival_seq"),
     )
 
@@ -81,10 +85,10 @@ def trades_from_batches(
 def read_trade_files(spark: SparkSession, path: str, exchange: str = "upbit") -> DataFrame:
     """Landed JSON arrays of trades with zone-less UTC times, cut to milliseconds."""
     rows = spark.read.schema(TRADE_FILE).option("multiLine", True).json(path)
-    at = F.try_to_timestamp("timestamp", F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]"))
+    at = local_trade_time("timestamp", utc_offset_hours=0)
     return rows.select(
         F.lit(exchange).alias("exchange"), "symbol",
-        from_epoch_ms(F.unix_millis(at)).alias("timestamp"), "side", "price", "amount",
+        at.alias("timestamp"), "side", "price", "amount",
         (F.col("price") * F.col("amount")).alias("cost"),
         F.col("sequential_id").cast("long").alias("id"),
         F.lit(None).cast("long").alias("arrival_seq"),

@@ -72,7 +72,7 @@ def candle_stream(
     states = trade_stream_states(trades, profile, lateness)
     if seeds is not None:
         states = states.unionByName(seed_states(watermarked(seeds, lateness)))
-    window = tumbling(F.col("timestamp"), unit, timezone).alias("window")
+    window = tumbling("timestamp", unit, timezone).alias("window")
     candles = states.groupBy(window, "symbol", "exchange").agg(*merged_ohlcv())
     return candles.select(*finished_columns(unit))
 
@@ -88,7 +88,7 @@ def chained_candle_stream(
     Append mode only: a level may start once the level below is final.
     """
     states = trade_stream_states(trades, profile, lateness)
-    window = tumbling(F.col("timestamp"), units[0]).alias("window")
+    window = tumbling("timestamp", units[0]).alias("window")
     candles = states.groupBy(window, "symbol", "exchange").agg(*merged_ohlcv())
     for unit in units[1:]:
         base = candles.withColumn("timestamp", F.col("window.start"))

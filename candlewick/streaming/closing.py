@@ -9,15 +9,14 @@ candles per batch to its state, not its trades.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from candlewick.functions import bucket_ms, epoch_ms
-from candlewick.functions.numbers import VOLUME_PLACES
+from candlewick.functions import bucket_ms
+from candlewick.functions.numbers import joined_parts_sql, parts_sql, whole_sql
 from candlewick.operators.fold import priced
 from candlewick.schemas import CANDLE_COLUMNS
 from candlewick.streaming.candles import LATENESS, distinct_trades, watermarked
@@ -79,25 +78,22 @@ def close_candles(
 def per_symbol_candles(trades: DataFrame, unit: str = "1m", lateness: str = LATENESS) -> DataFrame:
     """Append-mode stream of candle revisions; the highest ``revision`` of a key is current."""
     rows = distinct_trades(watermarked(priced(trades), lateness))
-    at, whole = F.unix_micros("timestamp"), F.floor("amount")
-    parts = F.round((F.col("amount") - whole) * F.lit(10.0**VOLUME_PLACES)).cast("long")
+    at = F.unix_micros("timestamp")
     singles = rows.select(
         "exchange", "symbol",
-        bucket_ms(epoch_ms(F.col("timestamp")), unit).alias("bucket"),
+        bucket_ms("timestamp", unit).alias("bucket"),
         at.alias("open_at"), F.col("id").alias("open_id"), F.col("price").alias("open"),
         at.alias("close_at"), F.col("id").alias("close_id"), F.col("price").alias("close"),
         F.col("price").alias("high"), F.col("price").alias("low"),
-        whole.alias("whole"), parts.alias("parts"),
+        F.expr(whole_sql("amount")).alias("whole"), F.expr(parts_sql("amount")).alias("parts"),
     )
     revisions = (
         singles.mapInPandas(fold_batches, PARTIAL)
         .groupBy("exchange", "symbol")
         .applyInPandasWithState(close_candles, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
     )
-    step = F.lit(Decimal(1).scaleb(-VOLUME_PLACES))
-    volume = F.col("whole").cast("decimal(20,0)") + F.col("parts").cast("decimal(20,0)") * step
     return revisions.withColumns({
         "unit": F.lit(unit),
         "timestamp": F.timestamp_millis("bucket").cast("timestamp_ntz"),
-        "volume": volume.cast("double"),
+        "volume": F.expr(joined_parts_sql("whole", "parts")),
     }).select(*CANDLE_COLUMNS, "closed", "revision")

@@ -67,10 +67,14 @@ def to_utc_naive(moment: datetime) -> datetime:
     return moment.astimezone(UTC).replace(tzinfo=None) if moment.tzinfo else moment
 
 
+def to_epoch_ms(moment: datetime) -> int:
+    return (to_utc_naive(moment) - EPOCH) // timedelta(milliseconds=1)
+
+
 def floor_time(moment: datetime, unit: str, timezone: str = "UTC") -> datetime:
     """Start of the bucket that holds ``moment``."""
     spec = UNITS[unit]
-    since_epoch = (to_utc_naive(moment) - EPOCH) // timedelta(milliseconds=1)
+    since_epoch = to_epoch_ms(moment)
     start = since_epoch - (since_epoch - spec.offset_ms(timezone)) % spec.ms
     return EPOCH + timedelta(milliseconds=start)
 
