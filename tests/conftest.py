@@ -1,0 +1,61 @@
+from __future__ import annotations
+
+import sys
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from candlewick.schemas import CANDLE, TRADE  # noqa: E402
+from candlewick.session import SESSION_CONF  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    builder = SparkSession.builder.master("local[4]").appName("tests")
+    local = {
+        "spark.driver.memory": "4g",
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    for key, value in {**SESSION_CONF, **local}.items():
+        builder = builder.config(key, value)
+    session = builder.getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def make_trades(spark):
+    """Trades from (timestamp text, symbol, price, amount, id) rows."""
+
+    def build(rows, exchange="upbit"):
+        full = [
+            (exchange, symbol, datetime.fromisoformat(at), "buy", float(price), float(amount),
+             float(price * amount), id_, id_)
+            for at, symbol, price, amount, id_ in rows
+        ]
+        return spark.createDataFrame(full, TRADE)
+
+    return build
+
+
+@pytest.fixture
+def make_candles(spark):
+    """Candles from (unit, timestamp text, symbol, open, high, low, close, volume) rows."""
+
+    def build(rows, exchange="upbit", created_at=None):
+        full = [
+            (exchange, unit, datetime.fromisoformat(at), symbol,
+             *map(float, values), created_at and datetime.fromisoformat(created_at))
+            for unit, at, symbol, *values in rows
+        ]
+        return spark.createDataFrame(full, CANDLE)
+
+    return build
