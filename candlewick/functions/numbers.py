@@ -36,14 +36,19 @@ def joined_parts_sql(whole: str, parts: str) -> str:
 def to_fixed(value: Column, places: int) -> Column:
     """Non-negative double rounded to ``places`` on its exact binary value, halves up.
 
-    ``format_number`` rounds the exact value but sends halves to even; a double can only sit
-    on such a half when it is an odd multiple of 2**-(places + 1), and those scale exactly.
+    ``round`` works on the shortest decimal form instead, which can sit on a half where the
+    value itself does not. Scaling rounds too, but never across a half, so only a scaled value
+    that lands on one needs its rounding error, which splitting the value recovers exactly.
     """
-    halves = value * F.lit(2.0 ** (places + 1))
-    is_half = (halves == F.floor(halves)) & (F.pmod(F.floor(halves), F.lit(2)) == 1)
     scale = F.lit(10.0**places)
-    shown = F.regexp_replace(F.format_number(value, places), ",", "").cast("double")
-    return F.when(is_half, F.floor(value * scale + 0.5) / scale).otherwise(shown)
+    scaled = value * scale
+    below = F.floor(scaled)
+    spread = value * F.lit(2.0**27 + 1)
+    high = spread - (spread - value)
+    error = (high * scale - scaled) + (value - high) * scale
+    over = scaled - below
+    up = (over > 0.5) | ((over == 0.5) & (error >= 0))
+    return (below + F.when(up, 1).otherwise(0)) / scale
 
 
 def as_mark(flag: Column) -> Column:
