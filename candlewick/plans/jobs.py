@@ -72,7 +72,7 @@ def rollup_latest(table: CandleTable, now: datetime, timezone: str = "UTC") -> N
     for base, units in cascade_levels():
         starts = {unit: lookback_start(now, unit, timezone) for unit in units}
         rows = table.candles(units=[base], start=min(starts.values()))
-        table.append(rollup_many(rows, units, timezone, starts))
+        table.append(rollup_many(rows, units, timezone, starts), rebalance=False)
 
 
 def rollup_all(table: CandleTable, timezone: str = "UTC") -> None:

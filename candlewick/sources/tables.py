@@ -68,8 +68,14 @@ class UpsertTable:
         path = self._hadoop_path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
 
-    def append(self, rows: DataFrame, version: int | None = None) -> None:
-        """Upserts rows, whose keys are unique among themselves."""
+    def append(
+        self, rows: DataFrame, version: int | None = None, rebalance: bool = True
+    ) -> None:
+        """Upserts rows, whose keys are unique among themselves.
+
+        Without ``rebalance`` the tasks that computed the rows write them, which saves a
+        shuffle when adaptive execution has already gathered few rows into few tasks.
+        """
         present = set(rows.columns)
         columns = [
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -80,27 +86,39 @@ class UpsertTable:
             F.lit(new_version() if version is None else version).cast("long").alias("_v"),
             F.lit(DELTA).alias("part"),
         )
-        self._write(stamped.withColumn("p", self.period()), "append")
+        self._write(stamped.withColumn("p", self.period()), "append", rebalance)
 
-    def _write(self, rows: DataFrame, mode: str) -> None:
+    def _write(self, rows: DataFrame, mode: str, rebalance: bool = True) -> None:
         # Rebalancing gathers each partition into few files, and splits a partition that is
         # too large for one task; the sort makes row-group statistics selective.
+        gathered = rows.hint("rebalance", *self.partitions) if rebalance else rows
         (
-            rows.hint("rebalance", *self.partitions)
-            .sortWithinPartitions(*self.partitions, *self.sort)
+            gathered.sortWithinPartitions(*self.partitions, *self.sort)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*self.partitions)
             .parquet(self.path)
         )
 
-    def raw(self) -> DataFrame:
-        """Every stored version of every row, in both parts."""
-        return self.spark.read.schema(self.stored_schema).parquet(self.path)
+    def raw(self, folders: str | None = None) -> DataFrame:
+        """Every stored version of every row, in both parts.
 
-    def read(self, *conditions: Column) -> DataFrame:
+        ``folders`` is a pattern below the table: listing all partitions of a long history
+        would take longer than a job that reads its newest ones.
+        """
+        reader = self.spark.read.schema(self.stored_schema)
+        if folders is None:
+            return reader.parquet(self.path)
+        pattern = self._hadoop_path(f"{self.path}/{folders}")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        paths = [status.getPath().toString() for status in found or []]
+        if not paths:
+            return self.spark.createDataFrame([], self.stored_schema)
+        return reader.option("basePath", self.path).parquet(*paths)
+
+    def read(self, *conditions: Column, folders: str | None = None) -> DataFrame:
         """Current rows. Conditions may use keys and ``p`` only: values may be outdated."""
-        rows = self.raw()
+        rows = self.raw(folders)
         for condition in conditions:
             rows = rows.where(condition)
         return self._current(rows).select(*self.schema.names)
@@ -149,11 +167,13 @@ class CandleTable(UpsertTable):
     def period(self) -> Column:
         return period_start("timestamp")
 
-    def append(self, rows: DataFrame, version: int | None = None) -> None:
+    def append(
+        self, rows: DataFrame, version: int | None = None, rebalance: bool = True
+    ) -> None:
         """As the base, with ``created_at`` defaulting to the write time."""
         now = F.current_timestamp().cast("timestamp_ntz")
         created = F.coalesce("created_at", now) if "created_at" in rows.columns else now
-        super().append(rows.withColumn("created_at", created), version)
+        super().append(rows.withColumn("created_at", created), version, rebalance)
 
     def candles(
         self,
@@ -172,13 +192,17 @@ class CandleTable(UpsertTable):
         if units is not None:
             conditions.append(F.col("unit").isin(*units))
         names = list(units or UNITS)
+        folders = None
         if start is not None:
+            first_year = min(period_of(start, name).year for name in names)
+            folders = (f"part=*/exchange={exchange or '*'}/unit={{{','.join(names)}}}"
+                       f"/p={{{','.join(years_from(first_year))}}}-*")
             conditions += [F.col("timestamp") >= ts_literal(start),
                            any_period(names, lambda name: F.col("p") >= F.lit(period_of(start, name)))]
         if end is not None:
             conditions += [F.col("timestamp") < ts_literal(end),
                            any_period(names, lambda name: F.col("p") <= F.lit(period_of(end, name)))]
-        return self.read(*conditions)
+        return self.read(*conditions, folders=folders)
 
 
     def latest(self, exchange: str, unit: str) -> DataFrame:
@@ -191,6 +215,16 @@ class CandleTable(UpsertTable):
         return self._current(rows.join(newest, keys, "left_semi")).select(*self.schema.names)
 
 
+def years_from(year: int) -> list[str]:
+    """Path patterns that match the four-digit years from ``year`` on."""
+    digits = f"{year:04}"
+    later = [
+        f"{digits[:i]}[{int(digit) + 1}-9]{'?' * (3 - i)}"
+        for i, digit in enumerate(digits) if digit != "9"
+    ]
+    return [digits, *later]
+
+
 def any_period(units: Sequence[str], bound) -> Column:
     """Bound on ``p`` for each unit's own partition granularity."""
     by_period: dict[str, list[str]] = {}

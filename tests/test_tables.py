@@ -1,5 +1,6 @@
 import random
 from datetime import datetime, timedelta
+from fnmatch import fnmatch
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 from candlewick.operators.export import retention_cutoffs, to_export
 from candlewick.plans import jobs
 from candlewick.operators.rollup import rollup_all
-from candlewick.sources.tables import BASE, DELTA, CandleTable, ExportTable, append_trades
+from candlewick.sources.tables import (
+    BASE, DELTA, CandleTable, ExportTable, append_trades, years_from,
+)
 from candlewick.units import DERIVED_UNITS, UNITS, lookback_start
 
 NOW = datetime(2024, 2, 1, 0, 7, 30)
@@ -84,6 +87,21 @@ def test_time_bounds_prune_partitions(table, make_candles):
     assert [r[1].day for r in contents(several)] == [27]
 
 
+def test_year_patterns():
+    for first in (1970, 1999, 2024, 2089):
+        patterns = years_from(first)
+        for year in range(1900, 2300):
+            matches = sum(fnmatch(str(year), pattern) for pattern in patterns)
+            assert matches == (1 if year >= first else 0)
+
+
+def test_bound_past_the_data_reads_empty(table, make_candles):
+    table.append(make_candles(minute_rows(3, 1)))
+    assert table.candles(units=["1m"], start=datetime(2031, 1, 1)).count() == 0
+    assert table.candles(units=["1d"], start=datetime(2020, 1, 1)).count() == 0
+    assert table.candles(start=datetime(2020, 1, 1)).count() == 3
+
+
 def test_created_at_defaults_to_write_time(table, make_candles):
     table.append(make_candles(minute_rows(1, 1)))
     assert table.candles().first()["created_at"].year >= 2024
