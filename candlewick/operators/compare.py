@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import epoch_ms, is_aligned, to_fixed
 from candlewick.functions.numbers import as_mark
-from candlewick.operators.series import drop_newest, newest_by_depth, newest_n
+from candlewick.operators.series import (
+    depth_of,
+    drop_newest,
+    drop_unclosed,
+    newest_by_depth,
+    newest_n,
+)
 from candlewick.schemas import CANDLE_KEYS, OHLCV, SERIES
 
 # Volume differences below this are noise; candles may be created this late.
@@ -54,14 +60,19 @@ def with_flags(pairs: DataFrame) -> DataFrame:
     })
 
 
-def comparable(exchange: DataFrame) -> DataFrame:
-    """Exchange candles on their grid, without the one still open."""
-    return drop_newest(exchange.where(is_aligned("timestamp")))
+def closed_on_grid(exchange: DataFrame, ranked: bool = False) -> DataFrame:
+    """Exchange candles on their grid, without the one still open.
+
+    ``ranked`` candles (``to_depth``) are already gathered by series, so the newest is ranked
+    away; otherwise a small join finds it and the candles stay where they are.
+    """
+    aligned = exchange.where(is_aligned("timestamp"))
+    return drop_newest(aligned) if ranked else drop_unclosed(aligned)
 
 
-def reconcile_diffs(stored: DataFrame, exchange: DataFrame) -> DataFrame:
-    """Exchange candles that are missing from the store or differ from it."""
-    flagged = with_flags(paired(stored, comparable(exchange), "left"))
+def reconcile_diffs(stored: DataFrame, served: DataFrame) -> DataFrame:
+    """Closed exchange candles that are missing from the store or differ from it."""
+    flagged = with_flags(paired(stored, served, "left"))
     return flagged.where("is_diff").select(
         "exchange", "unit", "symbol",
         epoch_ms("timestamp").alias("tms"), F.col("timestamp").alias("date"),
@@ -74,14 +85,14 @@ def reconcile_diffs(stored: DataFrame, exchange: DataFrame) -> DataFrame:
 
 
 def reconcile_summary(
-    stored: DataFrame, exchange: DataFrame, check_counts: DataFrame | None = None
+    stored: DataFrame, served: DataFrame, depth: int | dict[str, dict[str, int]] | None = None
 ) -> DataFrame:
     """One row per series that has a difference or a late candle.
 
     A full outer join sees both sides once, so stored counts need no second pass.
-    ``check_counts`` (exchange, unit, check_count) adds the depth that was compared.
+    ``depth`` adds the depth that was compared as ``check_count``.
     """
-    flagged = with_flags(paired(stored, comparable(exchange), "full_outer"))
+    flagged = with_flags(paired(stored, served, "full_outer"))
     db, ex = F.col("db_candle"), F.col("exchange_candle")
     diff, late = F.col("is_diff"), F.lit(False)
     if "created_at" in stored.columns:
@@ -103,9 +114,9 @@ def reconcile_summary(
         F.count_if(late).alias("created_at_diff_count"),
         F.max(F.when(diff, F.col("volume_delta"))).alias("max_volume_diff"),
     ).where((F.col("diff_count") > 0) | (F.col("created_at_diff_count") > 0))
-    if check_counts is None:
+    if depth is None:
         return summary
-    return summary.join(check_counts, ["exchange", "unit"], "left")
+    return summary.withColumn("check_count", depth_of(depth))
 
 
 def to_depth(

@@ -37,17 +37,23 @@ def newest_n(candles: DataFrame, n: int, skip: int = 0) -> DataFrame:
     return (ranked.where(F.col("rn") > skip) if skip else ranked).drop("rn")
 
 
+def depth_of(depths: int | dict[str, dict[str, int]]) -> Column:
+    """Rows to compare per series: one number, or one per (exchange, unit)."""
+    if isinstance(depths, int):
+        return F.lit(depths)
+    branches = " ".join(
+        f"WHEN exchange = '{exchange}' AND unit = '{unit}' THEN {rows}"
+        for exchange, by_unit in depths.items() for unit, rows in by_unit.items()
+    )
+    return F.expr(f"CASE {branches} END")
+
+
 def newest_by_depth(candles: DataFrame, depths: dict[str, dict[str, int]]) -> DataFrame:
     """Newest rows of each series to the depth its (exchange, unit) asks for; others drop."""
-    depth = F
-    for exchange, by_unit in depths.items():
-        for unit, rows in by_unit.items():
-            here = (F.col("exchange") == exchange) & (F.col("unit") == unit)
-            depth = depth.when(here, F.lit(rows))
     deepest = max(rows for by_unit in depths.values() for rows in by_unit.values())
     newest_first = Window.partitionBy(*SERIES).orderBy(F.desc("timestamp"))
     return (
-        candles.withColumn("check_count", depth)
+        candles.withColumn("check_count", depth_of(depths))
         .where(F.col("check_count").isNotNull())
         .withColumn("rn", F.row_number().over(newest_first))
         .where(F.col("rn") <= deepest)

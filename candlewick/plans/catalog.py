@@ -616,6 +616,11 @@ def stored_and_served(spark, sf_dir, units=None) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def stored_and_closed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    stored, served = stored_and_served(spark, sf_dir)
+    return stored, compare.closed_on_grid(served)
+
+
 def sql_sides(units: list[str], depths: dict[str, int] | None = None) -> list[str]:
     depth = ""
     if depths:
@@ -656,7 +661,7 @@ SQL_SUMMARY = """SELECT exchange, unit, symbol, count(*) FILTER (in_db) AS db_co
 
 @query("reconcile_diff", with_trades(SQL_DIFFS, *sql_sides(CHECKED_UNITS)))
 def reconcile_diff(spark, sf_dir):
-    diffs = compare.reconcile_diffs(*stored_and_served(spark, sf_dir))
+    diffs = compare.reconcile_diffs(*stored_and_closed(spark, sf_dir))
     return diffs.select(
         "exchange", "unit", "symbol", "tms", "date", F.col("db_candle.close").alias("db_close"),
         F.col("exchange_candle.close").alias("exchange_close"),
@@ -665,7 +670,7 @@ def reconcile_diff(spark, sf_dir):
 
 
 query("reconcile_summary", with_trades(SQL_SUMMARY, *sql_sides(CHECKED_UNITS)))(
-    lambda spark, sf_dir: compare.reconcile_summary(*stored_and_served(spark, sf_dir))
+    lambda spark, sf_dir: compare.reconcile_summary(*stored_and_closed(spark, sf_dir))
     .drop("created_at_diff_count")
 )
 
@@ -675,6 +680,7 @@ query("reconcile_summary", with_trades(SQL_SUMMARY, *sql_sides(CHECKED_UNITS)))(
 def reconcile_depths(spark, sf_dir):
     sides = stored_and_served(spark, sf_dir, list(CHECK_DEPTHS["upbit"]))
     stored, served = (compare.to_depth(side, CHECK_DEPTHS) for side in sides)
+    served = compare.closed_on_grid(served, ranked=True)
     return compare.reconcile_summary(stored, served).drop("created_at_diff_count")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.compare import (
+    closed_on_grid,
     export_summary,
     reconcile_diffs,
     reconcile_summary,
@@ -120,8 +121,8 @@ def reconcile(
     """Compares the newest stored candles with the exchange's own; returns the summary."""
     use_utc(table.spark)
     stored = to_depth(table.candles(), depth)
-    theirs = to_depth(exchange_candles, depth)
-    summary = reconcile_summary(stored, theirs)
+    theirs = closed_on_grid(to_depth(exchange_candles, depth), ranked=True)
+    summary = reconcile_summary(stored, theirs, depth)
     if report_path is not None:
         write_diff_report(reconcile_diffs(stored, theirs), f"{report_path}/diffs")
         write_summary_report(summary, f"{report_path}/summary")

@@ -54,8 +54,14 @@ def sides(make_candles):
     return stored, served
 
 
-def test_diffs(sides):
-    found = {(r["symbol"], r["date"].hour): r for r in compare.reconcile_diffs(*sides).collect()}
+@pytest.fixture(params=[False, True])
+def closed_sides(sides, request):
+    stored, served = sides
+    return stored, compare.closed_on_grid(served, ranked=request.param)
+
+
+def test_diffs(closed_sides):
+    found = {(r["symbol"], r["date"].hour): r for r in compare.reconcile_diffs(*closed_sides).collect()}
     # The newest served candle is still open and the misaligned one is no candle.
     assert set(found) == {("A/KRW", 1), ("A/KRW", 2), ("NEW/KRW", 0)}
     changed, gap = found["A/KRW", 1], found["A/KRW", 2]
@@ -64,8 +70,8 @@ def test_diffs(sides):
     assert gap["db_candle"] is None and gap["exchange_candle"]["close"] == 2
 
 
-def test_summary(sides):
-    rows = {r["symbol"]: r for r in compare.reconcile_summary(*sides).collect()}
+def test_summary(closed_sides):
+    rows = {r["symbol"]: r for r in compare.reconcile_summary(*closed_sides).collect()}
     a = rows["A/KRW"]
     assert (a["db_count"], a["exchange_count"], a["diff_count"], a["gap_count"]) == (4, 4, 2, 1)
     assert (a["high_diff_count"], a["volume_diff_count"], a["open_diff_count"]) == (1, 1, 0)
@@ -92,7 +98,9 @@ def test_reconcile_job_reports(spark, sides, tmp_path):
     table.append(stored)
     summary = jobs.reconcile(table, served, {"upbit": {"1h": 3}}, str(tmp_path / "report"))
     # Newest three per side: hours 1, 3, 4 stored; 3 (twice, one misaligned) and 4 served.
-    assert {r["symbol"] for r in summary.collect()} == {"A/KRW", "NEW/KRW", "ONLY/KRW"}
+    rows = summary.collect()
+    assert {r["symbol"] for r in rows} == {"A/KRW", "NEW/KRW", "ONLY/KRW"}
+    assert {r["check_count"] for r in rows} == {3}
     path = tmp_path / "report" / "diffs" / "exchange=upbit" / "unit=1h" / "symbol=NEW_KRW"
     (line,) = [text for f in path.glob("*.json") for text in f.read_text().splitlines()]
     assert json.loads(line)["exchange_candle"]["close"] == 1
