@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions import epoch_ms, is_aligned, to_fixed
+from candlewick.functions import epoch_ms, from_epoch_ms, is_aligned, to_fixed
 from candlewick.functions.numbers import as_mark
 from candlewick.operators.series import (
     depth_of,
@@ -131,33 +131,35 @@ def to_depth(
 EXPORT_KEYS = ["unit", "code", "tms"]
 
 
-def export_flags(exported: DataFrame, rest: DataFrame) -> DataFrame:
-    """Exported candles that differ from the REST candle of the same start; others drop."""
+def export_flags(exported: DataFrame, rest: DataFrame, how: str = "inner") -> DataFrame:
+    """Exported candles flagged against the REST candle of the same start.
+
+    Rows without a counterpart are skipped; a left join keeps them, unflagged.
+    """
     values = ["op", "hp", "lp", "cp", "tv"]
     theirs = rest.select(*EXPORT_KEYS, *[F.col(c).alias(f"rest_{c}") for c in values])
-    volume_differs = to_fixed(F.col("tv"), 4) != to_fixed(F.col("rest_tv"), 4)
-    price_flags = {
-        "open": F.col("op") != F.col("rest_op"),
-        "high": F.col("hp") != F.col("rest_hp"),
-        "low": F.col("lp") != F.col("rest_lp"),
-        "close": F.col("cp") != F.col("rest_cp"),
+    prices = {"open": "op", "high": "hp", "low": "lp", "close": "cp"}
+    differs = {
+        flag: F.coalesce(F.col(c) != F.col(f"rest_{c}"), F.lit(False)) for flag, c in prices.items()
     }
-    flagged = exported.join(theirs, EXPORT_KEYS).withColumns({
-        **price_flags,
-        "volume": volume_differs,
-        "volume_diff": F.when(volume_differs, F.abs(F.col("tv") - F.col("rest_tv"))).otherwise(0.0),
-    })
-    return flagged.withColumns({
-        "is_price": F.col("open") | F.col("high") | F.col("low") | F.col("close"),
-        "is_volume": F.col("volume"),
-    }).where(F.col("is_price") | F.col("is_volume"))
+    volume = to_fixed(F.col("tv"), 4) != to_fixed(F.col("rest_tv"), 4)
+    return (
+        exported.join(theirs, EXPORT_KEYS, how)
+        .withColumns({**differs, "volume": F.coalesce(volume, F.lit(False))})
+        .withColumns({
+            "volume_diff": F.expr("CASE WHEN volume THEN abs(tv - rest_tv) ELSE 0D END"),
+            "is_price": F.expr("open OR high OR low OR close"),
+            "is_volume": F.col("volume"),
+            "is_diff": F.expr("open OR high OR low OR close OR volume"),
+        })
+    )
 
 
 def export_diff_rows(flagged: DataFrame) -> DataFrame:
     marks = [as_mark(F.col(c)).alias(c) for c in ("open", "high", "low", "close", "volume")]
-    date = F.timestamp_millis("tms").cast("timestamp_ntz")
-    return flagged.select(
-        "unit", "code", date.alias("date"), "tms", *marks, "is_price", "is_volume", "volume_diff"
+    return flagged.where("is_diff").select(
+        "unit", "code", from_epoch_ms("tms").alias("date"), "tms", *marks,
+        "is_price", "is_volume", "volume_diff",
     )
 
 
@@ -168,24 +170,20 @@ def export_summary(
 
     Of equal largest differences the newest counts, as rows are read newest first.
     """
-    series = exported.select("code", "unit").distinct()
-    flagged = export_flags(exported, rest)
-    largest = F.struct("volume_diff", "tms")
-    counted = flagged.groupBy("code", "unit").agg(
-        F.count(F.lit(1)).alias("diffs"),
-        F.count_if("is_price").alias("prices"),
-        F.count_if("is_volume").alias("volumes"),
-        F.max(F.when(F.col("volume_diff") > 0, largest)).alias("largest"),
+    counted = export_flags(exported, rest, "left").groupBy("code", "unit").agg(
+        F.count_if("is_diff").alias("diff_count"),
+        F.count_if("is_price").alias("price_diff_count"),
+        F.count_if("is_volume").alias("volume_diff_count"),
+        F.expr("max(struct(volume_diff, tms)) FILTER (WHERE volume_diff > 0)").alias("largest"),
     )
-    none = F.lit(0).cast("long")
-    diffs = F.coalesce("diffs", none)
-    return series.join(counted, ["code", "unit"], "left").select(
+    largest = F.coalesce(F.col("largest.volume_diff"), F.lit(0.0))
+    return counted.select(
         "code",
         F.lower("unit").alias("candle"),
-        diffs.alias("diff_count"),
-        to_fixed(diffs / F.lit(check_count) * 100, 2).alias("diff_percent"),
-        F.coalesce("prices", none).alias("price_diff_count"),
-        F.coalesce("volumes", none).alias("volume_diff_count"),
-        to_fixed(F.coalesce(F.col("largest.volume_diff"), F.lit(0.0)), 2).alias("max_volume_diff"),
-        F.timestamp_millis("largest.tms").cast("timestamp_ntz").alias("max_volume_diff_date"),
+        "diff_count",
+        to_fixed(F.col("diff_count") / F.lit(check_count) * 100, 2).alias("diff_percent"),
+        "price_diff_count",
+        "volume_diff_count",
+        to_fixed(largest, 2).alias("max_volume_diff"),
+        from_epoch_ms("largest.tms").alias("max_volume_diff_date"),
     )

@@ -6,6 +6,8 @@ row count is bounded by elapsed time over unit length, however many trades it ha
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,12 +29,15 @@ def latest_per_series(candles: DataFrame) -> DataFrame:
     )
 
 
-def newest_n(candles: DataFrame, n: int, skip: int = 0) -> DataFrame:
+def newest_n(
+    candles: DataFrame, n: int, skip: int = 0,
+    series: Sequence[str] = SERIES, time: str = "timestamp",
+) -> DataFrame:
     """Rows ``skip < rank <= n`` of each series, newest first.
 
     Spark keeps only ``n`` rows per series and task before the shuffle (WindowGroupLimit).
     """
-    newest_first = Window.partitionBy(*SERIES).orderBy(F.desc("timestamp"))
+    newest_first = Window.partitionBy(*series).orderBy(F.desc(time))
     ranked = candles.withColumn("rn", F.row_number().over(newest_first)).where(F.col("rn") <= n)
     return (ranked.where(F.col("rn") > skip) if skip else ranked).drop("rn")
 

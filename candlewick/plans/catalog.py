@@ -718,9 +718,11 @@ CSV_UNITS = ["1m", "15m", "1d"]
     f"rest AS ({sql_export('served')})"))
 def reconcile_csv(spark, sf_dir):
     stored, served = stored_and_served(spark, sf_dir, CSV_UNITS)
-    closed = series.newest_n(stored, 1001, skip=1)
+    table = ExportTable(spark, shared_folder(spark, "export"))
+    table.append(export.to_export(stored))
+    names = [UNITS[unit].export_name for unit in CSV_UNITS]
     rest = history.rest_to_export(rest_rows(served, page=1))
-    return compare.export_summary(export.to_export(closed), rest)
+    return compare.export_summary(table.newest_closed("UPBIT", names, 1000), rest)
 
 
 # ---- T1-T7: streams -------------------------------------------------------------------

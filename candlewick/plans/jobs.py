@@ -130,19 +130,16 @@ def reconcile(
 
 
 def reconcile_export(
-    table: CandleTable,
+    export: ExportTable,
     rest: DataFrame,
-    market: str = "upbit",
-    units: tuple[str, ...] = ("1m", "15m", "1d"),
+    market: str = "UPBIT",
+    units: tuple[str, ...] = ("Min", "Min15", "Day"),
     check_count: int = 1000,
     report_path: str | None = None,
 ) -> DataFrame:
-    """Compares the newest closed candles, in export form, with REST candles."""
-    use_utc(table.spark)
-    # Skipping the newest leaves closed candles only.
-    stored = table.candles(exchange=market, units=list(units))
-    closed = newest_n(stored, check_count + 1, skip=1)
-    summary = export_summary(to_export(closed), rest, check_count)
+    """Compares the newest closed rows of the export store with REST candles."""
+    use_utc(export.spark)
+    summary = export_summary(export.newest_closed(market, units, check_count), rest, check_count)
     if report_path is not None:
         write_csv_summary(summary, report_path)
     return summary

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from candlewick.functions import period_start, ts_literal
 from candlewick.functions.times import from_epoch_ms_sql, period_of, period_start_sql
 from candlewick.operators.export import retention_cutoffs
-from candlewick.operators.series import latest_starts
+from candlewick.operators.series import latest_starts, newest_n
 from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT
 from candlewick.units import UNITS
 
@@ -256,6 +256,11 @@ class ExportTable(UpsertTable):
         )
         return F.expr(f"CASE unit {branches} END")
 
+    def newest_closed(self, market: str, units: Sequence[str], n: int) -> DataFrame:
+        """Newest ``n`` rows per code and unit, without the newest of all: it is still open."""
+        rows = self.read(F.col("market") == market, F.col("unit").isin(*units))
+        return newest_n(rows, n + 1, skip=1, series=["unit", "market", "code"], time="tms")
+
     def delete_expired(self, now: datetime) -> dict[str, int]:
         """Deletes rows older than their unit keeps and returns how many per unit.
 

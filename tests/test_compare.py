@@ -11,7 +11,7 @@ from candlewick.functions.numbers import exact_sum
 from candlewick.operators import compare
 from candlewick.operators.export import to_export
 from candlewick.plans import jobs
-from candlewick.sources.tables import CandleTable
+from candlewick.sources.tables import CandleTable, ExportTable
 from pyspark.sql import functions as F
 
 
@@ -110,8 +110,8 @@ def test_reconcile_job_reports(spark, sides, tmp_path):
 def test_export_summary(spark, make_candles, tmp_path):
     rows = [("15m", f"2024-01-15 0{h}:00:00", "A/KRW", 1, 2, 1, 2, 1.0) for h in range(6)]
     rows += [("15m", f"2024-01-15 0{h}:00:00", "B/KRW", 1, 2, 1, 2, 1.0) for h in range(2)]
-    table = CandleTable(spark, str(tmp_path / "candles"))
-    table.append(make_candles(rows))
+    export = ExportTable(spark, str(tmp_path / "export"))
+    export.append(to_export(make_candles(rows)))
     theirs = [list(row) for row in rows]
     theirs[0][4] = 3                       # high
     theirs[1][7] = theirs[3][7] = 1.5      # volume, the same difference twice
@@ -119,7 +119,7 @@ def test_export_summary(spark, make_candles, tmp_path):
     theirs[5][6] = 9                       # newest: still open, not compared
     del theirs[4]                          # not served: skipped
     rest = to_export(make_candles([tuple(r) for r in theirs])).drop("market")
-    summary = jobs.reconcile_export(table, rest, report_path=str(tmp_path / "csv"))
+    summary = jobs.reconcile_export(export, rest, report_path=str(tmp_path / "csv"))
     a, b = summary.orderBy("code").collect()
     assert (a["code"], a["candle"], a["diff_count"], a["diff_percent"]) == ("KRW-A", "min15", 3, 0.3)
     assert (a["price_diff_count"], a["volume_diff_count"], a["max_volume_diff"]) == (1, 2, 0.5)
