@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def write_diff_report(diffs: DataFrame, path: str) -> None:
     """Difference rows as JSON, one folder per (exchange, unit, symbol)."""
     named = diffs.withColumn("symbol", F.regexp_replace("symbol", "^([^/]*)/", "$1_"))
-    named.write.mode("overwrite").partitionBy("exchange", "unit", "symbol").json(path)
+    folders = ["exchange", "unit", "symbol"]
+    named.hint("rebalance", *folders).write.mode("overwrite").partitionBy(*folders).json(path)
 
 
 def write_summary_report(summary: DataFrame, path: str) -> None:

@@ -27,7 +27,7 @@ from candlewick.functions.times import from_epoch_ms_sql, period_of, period_star
 from candlewick.operators.export import retention_cutoffs
 from candlewick.operators.series import latest_starts, newest_n
 from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT
-from candlewick.units import UNITS
+from candlewick.units import UNITS, from_epoch
 
 
 BASE, DELTA = "base", "delta"
@@ -269,10 +269,17 @@ class ExportTable(UpsertTable):
         and periods, not with rows.
         """
         cutoffs = retention_cutoffs(now)
-        bound = F
-        for unit, cutoff in cutoffs.items():
-            bound = bound.when(F.col("unit") == unit, F.lit(cutoff))
-        rows = self.raw().withColumn("cutoff", bound).where(F.col("cutoff").isNotNull())
+        bounds = " ".join(f"WHEN '{unit}' THEN {cutoff}L" for unit, cutoff in cutoffs.items())
+        # Partitions that start after the bound hold nothing expired and are not scanned.
+        last_periods = [
+            (F.col("unit") == unit)
+            & (F.col("p") <= F.lit(period_of(from_epoch(cutoff), UNIT_OF_EXPORT[unit])))
+            for unit, cutoff in cutoffs.items()
+        ]
+        rows = (
+            self.raw().where(reduce(Column.__or__, last_periods))
+            .withColumn("cutoff", F.expr(f"CASE unit {bounds} END"))
+        )
         old = rows.where(F.col("tms") < F.col("cutoff"))
         deleted = {
             row["unit"]: row["n"]
@@ -301,7 +308,10 @@ class ExportTable(UpsertTable):
 
 def append_trades(trades: DataFrame, path: str) -> None:
     """Appends trades with their ingest time, partitioned by exchange and day."""
-    stamped_trades(trades).write.mode("append").partitionBy("exchange", "day").parquet(path)
+    (
+        stamped_trades(trades).hint("rebalance", "exchange", "day")
+        .write.mode("append").partitionBy("exchange", "day").parquet(path)
+    )
 
 
 def stamped_trades(trades: DataFrame) -> DataFrame:

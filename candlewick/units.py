@@ -71,12 +71,16 @@ def to_epoch_ms(moment: datetime) -> int:
     return (to_utc_naive(moment) - EPOCH) // timedelta(milliseconds=1)
 
 
+def from_epoch(ms: int) -> datetime:
+    return EPOCH + timedelta(milliseconds=ms)
+
+
 def floor_time(moment: datetime, unit: str, timezone: str = "UTC") -> datetime:
     """Start of the bucket that holds ``moment``."""
     spec = UNITS[unit]
     since_epoch = to_epoch_ms(moment)
     start = since_epoch - (since_epoch - spec.offset_ms(timezone)) % spec.ms
-    return EPOCH + timedelta(milliseconds=start)
+    return from_epoch(start)
 
 
 def lookback_start(now: datetime, unit: str, timezone: str = "UTC") -> datetime:
