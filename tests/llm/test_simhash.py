@@ -1,0 +1,114 @@
+"""SimHash links and components against brute force."""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from candlewick.llm import simhash
+from candlewick.llm.simhash import GrayTree, close_pairs, fingerprint_bytes, gray_code, gray_rank
+
+
+def plain_fingerprint(text: str | None) -> int:
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints: list[int], ids: list, limit: int = 3) -> list:
+    group = list(range(len(prints)))
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= limit and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    least = {}
+    for g, i in zip(group, ids):
+        if i is not None:
+            least[g] = min(least.get(g, i), i)
+    return [least.get(g) for g in group]
+
+
+@pytest.mark.parametrize("text", [
+    None, "", " \n\t", "one", "One two", "A b c", "a B c d", "x y z x y z x y z",
+    "a b c\x1cd e", "É É é Ü ü", "w " * 70000,
+])
+def test_fingerprint_matches_the_plain_form(text):
+    data = None if text is None else text.encode()
+    assert fingerprint_bytes(data) == plain_fingerprint(text)
+
+
+def test_words_split_over_runs_keep_their_shingles(monkeypatch):
+    text = " ".join(f"w{i % 37}" for i in range(500))
+    whole = fingerprint_bytes(text.encode())
+    monkeypatch.setattr("candlewick.llm.common.WORD_RUN_BYTES", 7)
+    assert fingerprint_bytes(text.encode()) == whole == plain_fingerprint(text)
+
+
+def test_gray_ranks_invert_gray_codes():
+    codes = np.random.default_rng(1).integers(0, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2)
+    assert (gray_code(gray_rank(codes)) == codes).all()
+    steps = gray_code(np.arange(1000, dtype=np.uint64))
+    assert (np.bitwise_count(steps[1:] ^ steps[:-1]) == 1).all()
+
+
+@pytest.mark.parametrize("size", [1, 7, 8, 9, 64, 65, 500])
+def test_tree_search_finds_every_close_pair(size):
+    random = np.random.default_rng(size)
+    centres = random.integers(0, 1 << 62, 5, dtype=np.uint64)
+    flips = np.uint64(1) << random.integers(0, 64, (size, 2), dtype=np.uint64)
+    codes = np.unique(centres[random.integers(0, 5, size)] ^ flips[:, 0] ^ flips[:, 1])
+    codes = codes[np.argsort(gray_rank(codes))]
+    tree = GrayTree(codes)
+    found = set(zip(*(x.tolist() for x in close_pairs(tree, tree, 3))))
+    near = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 3
+    assert found == {(i, j) for i in range(len(codes)) for j in range(i + 1, len(codes)) if near[i, j]}
+
+
+def rows(spark, docs):
+    frame = spark.createDataFrame(docs, "doc_id long, text string, fingerprint string, a int")
+    out = simhash.near_duplicates(frame).collect()
+    return sorted(((r.doc_id, r.fingerprint, r.component_id) for r in out), key=str)
+
+
+def test_documents_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 16)
+    random = np.random.default_rng(7)
+    docs = []
+    for k in range(60):
+        words = [f"w{x}" for x in random.integers(0, 400, 120)]
+        for copy in range(int(random.integers(1, 5))):
+            words[int(random.integers(0, 120))] = f"n{copy}"
+            docs.append((len(docs) * 7 % 301, " ".join(words), "x", 1))
+    docs += [(900, None, "x", 1), (901, "", None, 1), (901, "", None, 1), (None, " ", None, 1)]
+    prints = [plain_fingerprint(text) for _, text, _, _ in docs]
+    group = plain_components(prints, [d[0] for d in docs])
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    want = sorted(((d[0], p, g) for d, p, g in zip(docs, signed, group)), key=str)
+    assert rows(spark, docs) == want
+    assert len(set(group)) < len(set(prints))
+
+
+def test_one_band_value_over_many_blocks(spark, monkeypatch):
+    """Fingerprints that all share a band: its links cross blocks and none is lost."""
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 8)
+    random = np.random.default_rng(3)
+    low = np.unique(random.integers(0, 1 << 9, 150)).astype(np.int64) * 37
+    prints = (0x5A5A << 48) + low
+    frame = spark.createDataFrame([(int(p),) for p in prints], "fingerprint long")
+    found = simhash.components(simhash.links(frame)).collect()
+    names = dict((r.node, r.component) for r in found)
+    want = plain_components([int(p) for p in prints], [int(p) for p in prints])
+    assert [names.get(int(p), int(p)) for p in prints] == want
+
+
+def test_no_rows_and_null_ids(spark):
+    assert rows(spark, []) == []
+    assert rows(spark, [(None, "a b", None, 1)])[0][2] is None
