@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,14 +33,11 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+    """A fresh folder that every executor can reach, for one intermediate table.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    It lies below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="candlewick-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
