@@ -25,6 +25,7 @@ WINDOW_WORDS = 8
 SYMBOLS = b"#*$%&|<>"
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_capitals",
+    "n_stutters",
 )
 
 _NOT_SYMBOL = bytes(set(range(256)) - set(SYMBOLS))
@@ -52,6 +53,7 @@ RULES = (
     Rule(4, "short_words", "word_chars < 2 * n_words"),
     Rule(5, "long_words", "word_chars > 15 * n_words"),
     Rule(6, "capitals", "100 * n_capitals > 40 * word_chars"),
+    Rule(7, "stutters", "100 * n_stutters > 30 * n_words"),
 )
 
 
@@ -112,6 +114,7 @@ def measure_text(data: bytes | None) -> tuple[int, ...]:
         len(lines) - len(set(lines)),
         repeated_window_words(words),
         len(data.translate(None, _NOT_CAPITAL)),
+        int(np.count_nonzero(words[1:] == words[:-1])),
     )
 
 

@@ -51,13 +51,15 @@ m AS (
   SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) AS n_lines,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
-         len(regexp_extract_all(t, '[A-Z]')) AS n_capitals
+         len(regexp_extract_all(t, '[A-Z]')) AS n_capitals,
+         len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n_stutters
   FROM d LEFT JOIN covered USING (doc_id)),
 b AS (
   SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
          + 4 * (10 * n_symbols > n_words)::BIGINT + 8 * (2 * n_dup_lines > n_lines)::BIGINT
          + 16 * (word_chars < 2 * n_words)::BIGINT + 32 * (word_chars > 15 * n_words)::BIGINT
-         + 64 * (100 * n_capitals > 40 * word_chars)::BIGINT AS failed
+         + 64 * (100 * n_capitals > 40 * word_chars)::BIGINT
+         + 128 * (100 * n_stutters > 30 * n_words)::BIGINT AS failed
   FROM m)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
        n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,

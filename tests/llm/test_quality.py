@@ -25,6 +25,7 @@ def plain(text: str | None) -> dict[str, int]:
         "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_lines": len(lines),
         "n_dup_lines": sum(x in lines[:i] for i, x in enumerate(lines)),
         "n_repeat_words": len(marked), "n_capitals": len(re.findall("[A-Z]", text)),
+        "n_stutters": sum(a == b for a, b in zip(words, words[1:])),
     }
 
 
