@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import quality, simhash
+from candlewick.llm import language, packing, pieces, quality, simhash
+
+TOKENIZERS = "/opt/tokenizers"
+END_ID = 50256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -77,3 +80,32 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ledger.n_repeat_words", (~quality.passes(quality.BASE, failed)).alias("base_failed"),
         quality.passes(quality.STRICT, failed).alias("kept"), failed.alias("failed"),
     )
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+    found = language.identify(docs, ~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), F.col("prediction.language").alias("lang_pred"),
+        F.col("prediction.score").alias("score"), F.col("prediction.rejected").alias("rejected"),
+    )
+
+
+@query("op6_token_packing")
+def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", END_ID
+    )
+
+
+@query("op10_sentencepiece")
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    coded = pieces.encode_documents(documents(spark, sf_dir).select("doc_id", "text"), model)
+    decoded = pieces.decode_documents(coded, model)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )

@@ -1,0 +1,99 @@
+"""Shared-prefix encoding against the library's own encoder and brute force."""
+
+from __future__ import annotations
+
+import itertools
+import random
+
+import pytest
+import sentencepiece
+from sentencepiece import sentencepiece_model_pb2
+
+from candlewick.llm import pieces
+from candlewick.llm.pieces import PieceModel
+
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+TEXTS = [
+    "", " ", "   ", "a", " a", "a ", "a  b   c", "the cat\nsat  \n\n on\tthe mat", "Über straße naïve",
+    "漢字かな交じり文 test", "emoji 🙂🙂 x", "\x00\x01", "of the Of THE 1234567890 3.14",
+    "x" * 3000, "word " * 500, "    indented code:\n        return", "Tiwh enor. The ofantition",
+]
+
+
+@pytest.fixture(scope="module")
+def model():
+    with open(MODEL, "rb") as file:
+        return PieceModel(file.read())
+
+
+def test_ids_are_the_librarys_ids(model):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pick = random.Random(5)
+    letters = "theandofing \n  ,.éüßñ漢🙂ABC019_|*"
+    texts = TEXTS + ["".join(pick.choices(letters, k=pick.randint(1, 80))) for _ in range(2000)]
+    for text, ids in zip(texts, model.encoder()(texts), strict=True):
+        assert ids.tolist() == library.encode(text), text
+        assert model.decode(ids) == text
+
+
+def test_ids_are_the_librarys_ids_on_documents(model, spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    coded = pieces.decode_documents(pieces.encode_documents(docs, MODEL), MODEL).collect()
+    assert len(coded) == docs.count()
+    for row in coded:
+        assert row.ids == library.encode(row.text)
+        assert row.decoded == row.text
+
+
+def test_a_full_word_table_changes_nothing(model, monkeypatch):
+    want = [ids.tolist() for ids in model.encoder()(TEXTS)]
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 3)
+    encode = model.encoder()
+    assert [encode([text])[0].tolist() for text in TEXTS] == want
+
+
+def unigram_model(bytes_too: bool) -> tuple[PieceModel, dict[str, float]]:
+    scores = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.1, "▁a": -3.3, "ba": -2.9, "abb": -4.0, "▁ab": -5.2}
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.trainer_spec.model_type = 1
+    proto.normalizer_spec.add_dummy_prefix = True
+    proto.normalizer_spec.remove_extra_whitespaces = False
+    proto.pieces.add(piece="<unk>", score=0.0, type=2)
+    for text, score in scores.items():
+        proto.pieces.add(piece=text, score=score, type=1)
+    for b in range(256) if bytes_too else ():
+        proto.pieces.add(piece=f"<0x{b:02X}>", score=0.0, type=6)
+    return PieceModel(proto.SerializeToString()), scores
+
+
+def test_unigram_scores_are_the_best_of_all_cuts():
+    model, scores = unigram_model(True)
+    words = ["".join(w) for n in range(1, 8) for w in itertools.product("ab", repeat=n)]
+
+    def value(parts):
+        return sum(scores.get(p, -1e9) for p in parts)
+
+    for word, parts in model.encode_words("▁" + w for w in words):
+        best = max(
+            value([word[i:j] for i, j in itertools.pairwise((0, *cut, len(word)))])
+            for n in range(len(word)) for cut in itertools.combinations(range(1, len(word)), n)
+        )
+        assert "".join(parts) == word and value(parts) == pytest.approx(best)
+
+
+def test_unknown_characters_without_byte_pieces():
+    model, _ = unigram_model(False)
+    ids = model.encoder()(["a?b"])[0]
+    assert 0 in ids.tolist()
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = [(1, None, "x"), (1, "a b", None), (1, "a b", None), (None, "", "y")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _utf8 string")
+    coded = pieces.decode_documents(pieces.encode_documents(frame, MODEL), MODEL)
+    assert coded.columns == ["doc_id", "text", "_utf8", "ids", "decoded"]
+    assert sorted((str(r.text), str(r.decoded)) for r in coded.collect()) == sorted(
+        (str(t), str(t)) for _, t, _ in rows
+    )
+    assert pieces.encode_documents(frame.where("false"), MODEL).count() == 0
