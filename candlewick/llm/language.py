@@ -28,10 +28,10 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 
 UNDETERMINED = "und"
 TEXTS_PER_LANGUAGE = 256
-CHARS_PER_TEXT = 1024
+CHARS_PER_TEXT = 256
 MAX_LANGUAGES = 1000
-CHUNK_BYTES = 4096
-LEVEL = 3
+CHUNK_BYTES = 512
+LEVEL = 6
 MIN_MARGIN = 0.02
 
 LETTER = regex.compile(r"\p{L}")
