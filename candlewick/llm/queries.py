@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import language, packing, pieces, quality, simhash
+from candlewick.llm import language, lines, packing, pieces, quality, sharding, simhash
 
 TOKENIZERS = "/opt/tokenizers"
 END_ID = 50256
@@ -109,3 +109,38 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
+
+
+SHARDS = 24
+
+
+@query("op2_sharding")
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(documents(spark, sf_dir), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+SQL_LINES = r"""
+WITH each AS (
+  SELECT doc_id, source, line, p
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+               generate_subscripts(string_split(text, chr(10)), 1) AS p FROM documents)),
+shared AS (
+  SELECT line, min(doc_id) AS first_id FROM each
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+  GROUP BY line HAVING count(DISTINCT source) >= 10),
+judged AS (
+  SELECT doc_id, line, p, coalesce(first_id <> doc_id, false) AS gone
+  FROM each LEFT JOIN shared USING (line))
+SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '') AS text
+FROM judged GROUP BY doc_id"""
+
+
+@query("op9_line_dedup", SQL_LINES)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.remove_boilerplate(documents(spark, sf_dir), removed="n_removed")
+    return cleaned.select("doc_id", "n_removed", "text")
