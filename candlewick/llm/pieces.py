@@ -15,8 +15,8 @@ that merging gives, from left to right, with the same sharing.
 Rows: a null text has null ids and null decodes to null; an empty text has no ids. Characters
 outside the vocabulary become byte pieces, or the unknown id if the model has none. A text that
 holds the mark U+2581 itself decodes with a blank in its place. Repeated rows get equal ids.
-Other columns pass through. Long texts are cut like short ones; the word table of a task is
-emptied when it holds CACHE_WORDS words, which changes no result.
+Other columns pass through. Long texts are cut like short ones; the word table of a worker
+stops growing at CACHE_WORDS words, which changes no result.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterable, Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,9 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 MARK = "▁"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
+CACHE_PAIRS = 300_000
+SLICE_CHARS = 1 << 20
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 UNKNOWN_PENALTY = 10.0
@@ -64,18 +67,31 @@ class PieceModel:
             elif piece.type == UNKNOWN:
                 self.unknown, text = k, " ⁇ ".encode()
             self.texts.append(text)
-        self.longest = max(map(len, self.ids), default=1)
+        self.suffixes = {piece[k:] for piece in self.ids for k in range(len(piece))}
         self.floor = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
         self._fits: dict[tuple[str, str], bool] = {}
+        self._known: dict[str, bytes] = {}
 
     @cached_property
     def words(self) -> re.Pattern:
-        """Finds the marked words of a text with marks."""
+        """Finds the marked words of a text with marks.
+
+        Where the vocabulary allows it, letters and other characters are words of their own: the
+        others start as all that are not letters and lose those that a piece joins to a letter.
+        """
         if any(MARK in piece.lstrip(MARK) for piece in self.ids):
             return re.compile(".+", re.DOTALL)
         if any("\n" in piece for piece in self.ids):
             return re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        return re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
+        bare = [piece.lstrip(MARK) for piece in self.ids]
+        joined = {pair for piece in bare for pair in pairwise(piece)}
+        others = {char for piece in bare for char in piece if not char.isalpha()}
+        while mixed := {c for a, b in joined if (a in others) != (b in others) for c in (a, b)} & others:
+            others -= mixed
+        if not others:
+            return re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
+        chars = "".join(map(re.escape, sorted(others)))
+        return re.compile(f"{MARK}*[^{MARK}\n{chars}]+|{MARK}*[{chars}]+|{MARK}+|\n")
 
     # ---- merge models
 
@@ -113,26 +129,29 @@ class PieceModel:
         fits = self._fits.get(key)
         if fits is None:
             fits = self.merged(before + piece) == ([before, piece] if before else [piece])
-            if len(self._fits) >= 1_000_000:
+            if len(self._fits) >= CACHE_PAIRS:
                 self._fits.clear()
             self._fits[key] = fits
         return fits
 
+    @cached_property
+    def reachable(self) -> set[str]:
+        """The pieces that merging their own text gives."""
+        return {piece for piece in self.ids if self.merged(piece) == [piece]}
+
     # ---- the forward pass over sorted words
 
     def encode_words(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """Each distinct word with its pieces, in the order of a depth-first walk of the trie."""
-        step = self._merge_step if self.merges else self._score_step
-        path: list[tuple] = [("", 0.0)]
+        extend = self._extend_merges if self.merges else self._extend_scores
+        path: list = [("", 0.0)]
         last = ""
         for word in sorted(words):
             if self.merges and word.startswith(MARK * 2):
                 yield word, self.merged(word)  # runs of marks have equal scores
                 continue
-            shared = _common_prefix(last, word)
-            del path[shared + 1:]
-            for end in range(shared + 1, len(word) + 1):
-                path.append(step(word, end, path))
+            del path[_common_prefix(last, word) + 1:]
+            extend(word, path)
             last = word
             pieces, end = [], len(word)
             while end:
@@ -141,23 +160,36 @@ class PieceModel:
                 end -= len(piece)
             yield word, pieces[::-1]
 
-    def _merge_step(self, word: str, end: int, path: list[tuple]) -> tuple:
-        for size in range(min(self.longest, end), 1, -1):
-            piece = word[end - size:end]
-            if piece in self.ids:
-                before = path[end - size][0]
-                if self.follows("", piece) and (not before or self.follows(before, piece)):
-                    return piece, 0.0
-        return word[end - 1], 0.0
-
-    def _score_step(self, word: str, end: int, path: list[tuple]) -> tuple:
-        best, score = word[end - 1], -np.inf
-        for size in range(min(self.longest, end), 0, -1):
-            piece = word[end - size:end]
-            own = self.scores.get(piece, self.floor if size == 1 else None)
-            if own is not None and path[end - size][1] + own > score:
-                best, score = piece, path[end - size][1] + own
-        return best, score
+    def _extend_merges(self, word: str, path: list) -> None:
+        reachable, fits, suffixes = self.reachable, self._fits, self.suffixes
+        for end in range(len(path), len(word) + 1):
+            start = end - 1
+            while start > 0 and word[start - 1:end] in suffixes:
+                start -= 1
+            best = word[end - 1]
+            for begin in range(start, end - 1):
+                piece = word[begin:end]
+                if piece in reachable:
+                    before = path[begin][0]
+                    if not before or (
+                        fits[before, piece] if (before, piece) in fits else self.follows(before, piece)
+                    ):
+                        best = piece
+                        break
+            path.append((best, 0.0))
+
+    def _extend_scores(self, word: str, path: list) -> None:
+        for end in range(len(path), len(word) + 1):
+            start = end - 1
+            while start > 0 and word[start - 1:end] in self.suffixes:
+                start -= 1
+            best, score = "", -np.inf
+            for begin in range(start, end):
+                piece = word[begin:end]
+                own = self.scores.get(piece, self.floor if begin == end - 1 else None)
+                if own is not None and path[begin][1] + own > score:
+                    best, score = piece, path[begin][1] + own
+            path.append((best, score))
 
     def piece_ids(self, pieces: list[str]) -> list[int]:
         found: list[int] = []
@@ -174,22 +206,34 @@ class PieceModel:
 
     def encoder(self):
         """A function from a list of texts to int32 id arrays; it remembers words."""
-        known: dict[str, bytes] = {}
+        known = self._known
 
         def encode(texts: list[str | None]) -> list[np.ndarray | None]:
             cut = [None if text is None else self.words.findall(self._marked(text)) for text in texts]
             fresh = {word for words in cut if words for word in words} - known.keys()
-            if len(known) + len(fresh) > CACHE_WORDS:
-                fresh = {word for words in cut if words for word in words}
-                known.clear()
-            for word, pieces in self.encode_words(fresh):
-                known[word] = np.array(self.piece_ids(pieces), "<i4").tobytes()
+            coded = {
+                word: np.array(self.piece_ids(pieces), "<i4").tobytes()
+                for word, pieces in self.encode_words(fresh)
+            }
+            if len(known) < CACHE_WORDS:
+                known.update(coded)
+            get = known.get
             return [
-                None if words is None else np.frombuffer(b"".join([known[w] for w in words]), "<i4")
+                None if words is None
+                else np.frombuffer(b"".join([get(w) or coded[w] for w in words]), "<i4")
                 for words in cut
             ]
 
-        return encode
+        def encode_all(texts: list[str | None]) -> list[np.ndarray | None]:
+            found, start, chars = [], 0, 0
+            for end, text in enumerate(texts, 1):
+                chars += len(text or "")
+                if chars >= SLICE_CHARS or end == len(texts):
+                    found += encode(texts[start:end])
+                    start, chars = end, 0
+            return found
+
+        return encode_all
 
     def _marked(self, text: str) -> str:
         marked = text.replace(" ", MARK)
@@ -202,6 +246,12 @@ class PieceModel:
         return data.decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def piece_model(proto: bytes) -> PieceModel:
+    """The model of a Python worker; its word table serves the worker's later tasks too."""
+    return PieceModel(proto)
+
+
 def _common_prefix(a: str, b: str) -> int:
     size = min(len(a), len(b))
     for k in range(size):
@@ -218,7 +268,7 @@ def encode_documents(
 
     @F.pandas_udf("array<int>")
     def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = PieceModel(model.value).encoder()
+        encode = piece_model(model.value).encoder()
         for batch in texts:
             yield pd.Series(encode(batch.tolist()), dtype=object)
 
@@ -233,7 +283,7 @@ def decode_documents(
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = PieceModel(model.value)
+        pieces = piece_model(model.value)
         for batch in batches:
             yield pd.Series([None if x is None else pieces.decode(x) for x in batch], dtype=object)
 

@@ -49,6 +49,7 @@ def test_ids_are_the_librarys_ids_on_documents(model, spark):
 def test_a_full_word_table_changes_nothing(model, monkeypatch):
     want = [ids.tolist() for ids in model.encoder()(TEXTS)]
     monkeypatch.setattr(pieces, "CACHE_WORDS", 3)
+    monkeypatch.setattr(model, "_known", {})
     encode = model.encoder()
     assert [encode([text])[0].tolist() for text in TEXTS] == want
 
