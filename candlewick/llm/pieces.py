@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by a Viterbi pass over shared prefixes.
 
-Blanks become marks, and a text is cut into marked words: no piece of the vocabulary has a mark
-after another character, nor a line end, so no piece crosses a cut. Each batch of texts takes the
+The vocabulary writes a blank as the mark U+2581; here both are blanks. A text is cut into marked
+words: no piece of the vocabulary has a mark after another character, nor a line end, so no piece
+crosses a cut. Each batch of texts takes the
 distinct words it has not met yet, sorts them, and walks them as the paths of a trie, depth
 first: the forward table of a word is kept while the next word shares its prefix, and only the
 rest is computed.
@@ -29,14 +30,17 @@ from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2
 
-MARK = "▁"
-CACHE_WORDS = 400_000
+MARK, BLANK = "▁", " "
+CACHE_WORDS = 300_000
 CACHE_PAIRS = 300_000
-SLICE_CHARS = 1 << 20
+SLICE_BYTES = 1 << 20
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 UNKNOWN_PENALTY = 10.0
@@ -59,8 +63,9 @@ class PieceModel:
         for k, piece in enumerate(model.pieces):
             text = b""
             if piece.type in (NORMAL, USER):
-                self.ids[piece.piece], self.scores[piece.piece] = k, piece.score
-                text = piece.piece.replace(MARK, " ").encode()
+                name = piece.piece.replace(MARK, BLANK)
+                self.ids[name], self.scores[name] = k, piece.score
+                text = name.encode()
             elif piece.type == BYTE:
                 self.byte_ids[int(piece.piece[1:-1], 16)] = k
                 text = bytes([int(piece.piece[1:-1], 16)])
@@ -79,19 +84,19 @@ class PieceModel:
         Where the vocabulary allows it, letters and other characters are words of their own: the
         others start as all that are not letters and lose those that a piece joins to a letter.
         """
-        if any(MARK in piece.lstrip(MARK) for piece in self.ids):
+        if any(BLANK in piece.lstrip(BLANK) for piece in self.ids):
             return re.compile(".+", re.DOTALL)
         if any("\n" in piece for piece in self.ids):
-            return re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        bare = [piece.lstrip(MARK) for piece in self.ids]
+            return re.compile(" +[^ ]*|[^ ]+")
+        bare = [piece.lstrip(BLANK) for piece in self.ids]
         joined = {pair for piece in bare for pair in pairwise(piece)}
         others = {char for piece in bare for char in piece if not char.isalpha()}
         while mixed := {c for a, b in joined if (a in others) != (b in others) for c in (a, b)} & others:
             others -= mixed
         if not others:
-            return re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
+            return re.compile(r" +[^ \n]*|[^ \n]+|\n")
         chars = "".join(map(re.escape, sorted(others)))
-        return re.compile(f"{MARK}*[^{MARK}\n{chars}]+|{MARK}*[{chars}]+|{MARK}+|\n")
+        return re.compile(f" *[^ \n{chars}]+| *[{chars}]+| +|\n")
 
     # ---- merge models
 
@@ -124,14 +129,28 @@ class PieceModel:
         return [part for part in parts if part is not None]
 
     def follows(self, before: str, piece: str) -> bool:
-        """Whether merging leaves the two texts apart as just these two pieces."""
-        key = (before, piece)
-        fits = self._fits.get(key)
-        if fits is None:
-            fits = self.merged(before + piece) == ([before, piece] if before else [piece])
-            if len(self._fits) >= CACHE_PAIRS:
-                self._fits.clear()
-            self._fits[key] = fits
+        """Whether merging leaves the texts of two reachable pieces apart.
+
+        It does unless a pair across their border is merged before a better one inside.
+        """
+        score, parts, border = self.scores.get, [*before, *piece], len(before)
+        fits = None
+        while fits is None:
+            best, at = -np.inf, -1
+            for k in range(len(parts) - 1):  # on equal scores the leftmost pair goes first
+                own = score(parts[k] + parts[k + 1])
+                if own is not None and own > best:
+                    best, at = own, k
+            if at == border - 1:
+                fits = False
+            elif at < 0:
+                fits = True
+            else:
+                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+                border -= at < border
+        if len(self._fits) >= CACHE_PAIRS:
+            self._fits.clear()
+        self._fits[before, piece] = fits
         return fits
 
     @cached_property
@@ -147,7 +166,7 @@ class PieceModel:
         path: list = [("", 0.0)]
         last = ""
         for word in sorted(words):
-            if self.merges and word.startswith(MARK * 2):
+            if self.merges and word.startswith(BLANK * 2):
                 yield word, self.merged(word)  # runs of marks have equal scores
                 continue
             del path[_common_prefix(last, word) + 1:]
@@ -224,20 +243,11 @@ class PieceModel:
                 for words in cut
             ]
 
-        def encode_all(texts: list[str | None]) -> list[np.ndarray | None]:
-            found, start, chars = [], 0, 0
-            for end, text in enumerate(texts, 1):
-                chars += len(text or "")
-                if chars >= SLICE_CHARS or end == len(texts):
-                    found += encode(texts[start:end])
-                    start, chars = end, 0
-            return found
-
-        return encode_all
+        return encode
 
     def _marked(self, text: str) -> str:
-        marked = text.replace(" ", MARK)
-        return MARK + marked if text and self.prefix else marked
+        marked = text.replace(MARK, BLANK)
+        return BLANK + marked if text and self.prefix else marked
 
     def decode(self, ids: np.ndarray) -> str:
         data = b"".join([self.texts[k] for k in ids.tolist()])
@@ -261,18 +271,47 @@ def _common_prefix(a: str, b: str) -> int:
 
 
 def encode_documents(
-    docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids"
+    docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids",
+    decoded: str | None = None,
 ) -> DataFrame:
-    """The rows with ``ids``, an array of int. The model file is read on the driver."""
+    """The rows with ``ids``, an array of int, and with the text that they stand for if ``decoded``
+    names a column for it. The model file is read on the driver."""
     model = _shared(docs, model_path)
+    place = docs.columns.index(text)
+    schema = StructType([*docs.schema.fields, StructField(ids, ArrayType(IntegerType()))])
+    if decoded is not None:
+        schema.add(decoded, StringType())
 
-    @F.pandas_udf("array<int>")
-    def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = piece_model(model.value).encoder()
-        for batch in texts:
-            yield pd.Series(encode(batch.tolist()), dtype=object)
-
-    return docs.withColumn(ids, encoded(F.col(f"`{text}`")))
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = piece_model(model.value)
+        encode = pieces.encoder()
+        for batch in batches:
+            for part in _slices(batch, place):
+                found = encode(part.column(place).to_pylist())
+                columns = [*part.columns, _lists(found)]
+                if decoded is not None:
+                    columns.append(pa.array(
+                        [None if x is None else pieces.decode(x) for x in found], pa.string()
+                    ))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.mapInArrow(coded, schema)
+
+
+def _slices(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the batch with about SLICE_BYTES of text each, to hold few words at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES, prepend=0)).tolist()
+    for start, end in pairwise(sorted({0, *cuts, len(sizes)})):
+        yield batch.slice(start, end - start)
+
+
+def _lists(arrays: list[np.ndarray | None]) -> pa.Array:
+    """Arrays of int32, or nulls, as one Arrow list column."""
+    ends = np.cumsum([0, *(0 if x is None else len(x) for x in arrays)]).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.int32), *(x for x in arrays if x is not None)])
+    nulls = pa.array([x is None for x in arrays], pa.bool_())
+    return pa.ListArray.from_arrays(ends, pa.array(values, pa.int32()), mask=nulls)
 
 
 def decode_documents(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import language, lines, packing, pieces, quality, sharding, simhash
+from candlewick.llm import language, lines, mixing, packing, pieces, quality, sharding, simhash, sites
 
 TOKENIZERS = "/opt/tokenizers"
 END_ID = 50256
@@ -103,9 +103,9 @@ def op6_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sentencepiece")
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
-    coded = pieces.encode_documents(documents(spark, sf_dir).select("doc_id", "text"), model)
-    decoded = pieces.decode_documents(coded, model)
-    return decoded.select(
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    coded = pieces.encode_documents(docs, model, decoded="decoded")
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids",
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
@@ -144,3 +144,23 @@ FROM judged GROUP BY doc_id"""
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.remove_boilerplate(documents(spark, sf_dir), removed="n_removed")
     return cleaned.select("doc_id", "n_removed", "text")
+
+
+MIX_TARGET = mixing.Target(entropy=0.95, repeats=4.0)
+
+
+@query("op3_mixing")
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"), MIX_TARGET, detail="mix")
+    return mixed.select(
+        "doc_id", "source", "mix.epoch", "mix.rank", "mix.weight", "mix.n_tokens"
+    )
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = sites.classify(
+        documents(spark, sf_dir), labels, "doc_id", "text", F.col("source"), F.col("lang"), "quality"
+    )
+    return found.withColumn("kept", F.col("posterior") >= 0.5)

@@ -21,10 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from candlewick.llm.common import only, stored, word_runs
+from candlewick.llm.common import free_name, only, stored, word_runs
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -362,18 +363,13 @@ def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first())
 
 
-def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text",
-    shingle: int = SHINGLE_WORDS, limit: int = MAX_BITS,
-) -> DataFrame:
-    """One row per document: doc_id, fingerprint (long), component_id.
-
-    component_id is the least doc_id of the documents that chains of links reach.
-    """
+def _components_of(docs: DataFrame, id_column: str, text: str, shingle: int, limit: int) -> DataFrame:
+    """doc_id, text_key, fingerprint, component (its least fingerprint), component_id per row."""
+    texts = only(docs, id_column, text).toDF("doc_id", "text")
     prints = stored(
-        with_fingerprints(
-            only(docs, id_column, text).toDF("doc_id", "text"), "text", shingle=shingle
-        ).drop("text"),
+        with_fingerprints(texts, "text", shingle=shingle).select(
+            "doc_id", "fingerprint", _text_key(F.col("text")).alias("text_key")
+        ),
         "simhash-prints",
     )
     distinct = stored(
@@ -385,5 +381,51 @@ def near_duplicates(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
     )
     named = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    lookup = member.join(named, "component").select("fingerprint", "component_id")
-    return prints.join(lookup, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    lookup = member.join(named, "component").select("fingerprint", "component", "component_id")
+    return prints.join(lookup, "fingerprint")
+
+
+def _text_key(text: Column) -> Column:
+    return F.xxhash64(text.cast("binary"))
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+    shingle: int = SHINGLE_WORDS, limit: int = MAX_BITS,
+) -> DataFrame:
+    """One row per document: doc_id, fingerprint (long), component_id.
+
+    component_id is the least doc_id of the documents that chains of links reach.
+    """
+    found = _components_of(docs, id_column, text, shingle, limit)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text",
+    shingle: int = SHINGLE_WORDS, limit: int = MAX_BITS,
+) -> DataFrame:
+    """One row of each component, with its own columns: that of the least id.
+
+    A row without id stands for a component only if no other can. Among different texts with that
+    id, one is chosen by hash; of rows equal in id and text, one stays.
+    """
+    found = _components_of(docs, id_column, text, shingle, limit)
+    rows = found.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n")
+    kept = stored(
+        rows.groupBy("component").agg(F.min(least).alias("k")).select("k.doc_id", "k.text_key", "k.n"),
+        "simhash-kept",
+    ).alias("k")
+    same = F.col(f"d.`{id_column}`").eqNullSafe(F.col("k.doc_id")) & (
+        _text_key(F.col(f"d.`{text}`")) == F.col("k.text_key")
+    )
+    own = docs.alias("d")
+    single = own.join(kept.where("n = 1"), same, "left_semi")
+    repeated = kept.where("n > 1").alias("k")
+    if repeated.isEmpty():
+        return single
+    place = free_name(docs, "_place")
+    order = Window.partitionBy(f"`{id_column}`", _text_key(F.col(f"`{text}`"))).orderBy(F.lit(1))
+    first = own.join(repeated, same, "left_semi").withColumn(place, F.row_number().over(order))
+    return single.unionByName(first.where(f"`{place}` = 1").drop(place))

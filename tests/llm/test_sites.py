@@ -1,0 +1,99 @@
+"""Site posteriors against a plain computation, held-out accuracy and edge rows."""
+
+from __future__ import annotations
+
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from candlewick.llm import sites
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 0
+    found = sites.classify(
+        docs.where("doc_id < 5000"), labels.where(~held), "doc_id", "text", F.col("source"), F.col("lang"), "quality"
+    )
+    judged = found.join(labels.where(held), "doc_id").agg(
+        F.avg(((F.col("posterior") >= 0.5) == (F.col("quality") == 1)).cast("double")), F.count("*")
+    ).first()
+    assert judged[1] > 200 and judged[0] >= 0.98
+
+
+def plain_posteriors(rows):
+    path, host = defaultdict(lambda: [0.0, 0]), defaultdict(lambda: [0.0, 0])
+    for _, h, p, e in rows:
+        for table, key in ((path, (h, p)), (host, h)):
+            table[key][0] += e
+            table[key][1] += 1
+    mean = sum(r[3] for r in rows) / len(rows)
+
+    def strength(groups):
+        n = sum(g[1] for g in groups)
+        apart = sum(g[1] * (g[0] / g[1] - c) ** 2 for *g, c in groups)
+        chance = sum(c * (1 - c) for *_, c in groups)
+        inner = sum(g[1] * c * (1 - c) for *g, c in groups) / n
+        between = max(0.0, apart - chance) / n
+        return 1e6 if between * 1e6 <= inner else max(1.0, inner / between - 1)
+
+    k0 = strength([(*g, mean) for g in host.values()])
+    centre = {h: (g[0] + k0 * mean) / (g[1] + k0) for h, g in host.items()}
+    k1 = strength([(*g, centre[h]) for (h, _), g in path.items()])
+
+    def logit(p):
+        p = min(max(p, 1e-9), 1 - 1e-9)
+        return math.log(p / (1 - p))
+
+    out = {}
+    for i, h, p, e in rows:
+        up = (host[h][0] - e + k0 * mean) / (host[h][1] - 1 + k0)
+        low = (path[h, p][0] - e + k1 * up) / (path[h, p][1] - 1 + k1)
+        out[i] = (up, low, 1 / (1 + math.exp(-(logit(e) + logit(low) - logit(mean)))))
+    return out
+
+
+@pytest.mark.parametrize("apart", [0.0, 0.4])
+def test_posteriors_match_the_plain_form(spark, apart):
+    random = np.random.default_rng(4)
+    rows = []
+    for k in range(400):
+        h = None if k % 11 == 0 else f"h{k % 5}"
+        p = None if k % 13 == 0 else f"p{k % 3}"
+        good = 0.5 + apart * (1 if h in ("h1", "h2") else -1)
+        rows.append((k, h, p, float(np.clip(good + random.normal(0, 0.1), 0.001, 0.999))))
+    frame = spark.createDataFrame(rows, "doc_id long, host string, path string, evidence double")
+    got = {r.doc_id: (r.host_mean, r.path_mean, r.posterior) for r in sites.posteriors(frame).collect()}
+    want = plain_posteriors(rows)
+    assert got.keys() == want.keys()
+    for key in want:
+        assert got[key] == pytest.approx(want[key], rel=1e-9)
+
+
+def test_sparse_sites_shrink_to_the_mean(spark):
+    rows = [(k, f"h{k % 20}", "p", 0.9 if k % 20 < 10 else 0.1) for k in range(2000)]
+    rows += [(9000, "tiny", "p", 0.9), (9001, "tiny", "p", 0.5)]
+    frame = spark.createDataFrame(rows, "doc_id long, host string, path string, evidence double")
+    got = {r.doc_id: r for r in sites.posteriors(frame).collect()}
+    assert abs(got[9001].host_mean - 0.5) < abs(got[0].host_mean - 0.5)
+
+
+def test_edge_rows(spark):
+    rows = [(1, None, None, None), (2, "", "a", "x"), (2, "", "a", "x"), (None, "good text " * 9, "a", None),
+            (3, "#$% " * 99_999, "b", "x"), (4, "fine words here. " * 30, "b", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, site string, evidence string")
+    labels = spark.createDataFrame([(3, 0), (4, 1), (4, None), (77, 1)], "doc_id long, q int")
+    out = sites.classify(docs, labels, "doc_id", "text", F.col("site"), F.lit(None), "q").collect()
+    assert len(out) == len(rows) and all(0 <= r.posterior <= 1 for r in out)
+    score = {r.doc_id: r.evidence for r in out}
+    assert score[3] < 0.5 < score[4]
+    unlabelled = sites.classify(docs, labels.where("false"), "doc_id", "text", F.col("site"), F.lit(None), "q")
+    assert {r.evidence for r in unlabelled.collect()} == {0.5}
+    empty = docs.where("false")
+    assert sites.classify(empty, labels, "doc_id", "text", F.col("site"), F.lit(None), "q").count() == 0
