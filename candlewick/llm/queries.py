@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm import language, lines, mixing, packing, pieces, quality, sharding, simhash, sites
+from candlewick.llm import (
+    language, lines, mixing, packing, pieces, quality, sharding, simhash, sites, spots,
+)
 
 TOKENIZERS = "/opt/tokenizers"
 END_ID = 50256
@@ -164,3 +166,8 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), labels, "doc_id", "text", F.col("source"), F.col("lang"), "quality"
     )
     return found.withColumn("kept", F.col("posterior") >= 0.5)
+
+
+@query("op8_spotsigs")
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.edited_fingerprints(documents(spark, sf_dir))
