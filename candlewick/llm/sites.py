@@ -72,25 +72,28 @@ def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "label") -> np.ndarray | None:
-    """Weights from at most MAX_LABELS rows (text, label 0 or 1), or None if a label is missing."""
-    rows = labelled.select(
-        F.col(f"`{text}`").cast("binary").alias("text"), F.col(f"`{label}`").cast("int").alias("label")
-    ).where("label IN (0, 1)")
-    pick = F.pmod(F.xxhash64("text", "label"), F.lit(1 << 31))
-    n = rows.count()
-    if n > MAX_LABELS:
-        share = MAX_LABELS / n * (1 << 31)
-        rows = rows.where(pick < int(share))
+def train(docs: DataFrame, marks: DataFrame) -> np.ndarray | None:
+    """Weights from at most MAX_LABELS labelled texts, or None if there is only one kind.
+
+    ``docs`` has (k, text) and ``marks`` (k, label); labels other than 0 and 1 do not count. The
+    sample is drawn from the labels, so it is small enough to be sent to where the texts are.
+    """
+    sample = (
+        marks.where("k IS NOT NULL AND label IN (0, 1)")
+        .orderBy(F.xxhash64("k", "label"), "k", "label").limit(MAX_LABELS)
+    )
 
     def described(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"x": [features(t) for t in batch["text"]], "label": batch["label"]})
 
-    sample = rows.mapInPandas(described, "x array<double>, label int").orderBy("label", "x").toPandas()
-    if sample["label"].nunique() < 2:
+    joined = docs.join(F.broadcast(sample), "k").select(F.col("text").cast("binary").alias("text"), "label")
+    rows = joined.mapInPandas(described, "x array<double>, label int").toPandas()
+    if rows["label"].nunique() < 2:
         return None
-    return fit(np.array(sample["x"].tolist()), sample["label"].to_numpy(float))
+    x, y = np.array(rows["x"].tolist()), rows["label"].to_numpy(float)
+    order = np.lexsort((*x.T, y))  # sums of doubles depend on their order
+    return fit(x[order], y[order])
 
 
 def evidence(docs: DataFrame, weights: np.ndarray | None, text: str = "text") -> Column:
@@ -172,9 +175,9 @@ def classify(
 
     ``labels`` has the id column and ``label``.
     """
-    marks = labels.select(F.col(f"`{id_column}`").alias("k"), F.col(f"`{label}`").alias("label"))
-    labelled = docs.select(F.col(f"`{id_column}`").alias("k"), F.col(f"`{text}`").alias("text")).join(marks, "k")
-    weights = train(labelled)
+    marks = labels.select(F.col(f"`{id_column}`").alias("k"), F.col(f"`{label}`").cast("int").alias("label"))
+    texts = docs.select(F.col(f"`{id_column}`").alias("k"), F.col(f"`{text}`").alias("text"))
+    weights = train(texts, marks)
     scored = stored(
         docs.select(
             F.col(f"`{id_column}`").alias("doc_id"), host.cast("string").alias("host"),
