@@ -5,32 +5,51 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Volumes carry at most this many decimals.
+# Volumes are summed to this many decimals, and once more to as many below them.
 VOLUME_PLACES = 8
 
 
 def exact_sum(value: str) -> Column:
-    """Order-independent sum of a double column to eight decimals.
+    """Order-independent sum of a double column to sixteen decimals.
 
     A plain double sum depends on row order, and a decimal sum is about twice as slow because
-    its buffer is not a primitive. Whole units and 1e-8 fractions are each summed as a long,
-    which stays in the hash aggregate's mutable buffer; the two meet once per group.
+    its buffer is not a primitive. Whole units, 1e-8 fractions and 1e-16 fractions are each
+    summed as a long, which stays in the hash aggregate's mutable buffer; they meet once per
+    group. The last part is what eight decimals leave over, unless the double itself is not
+    that exact.
     """
-    return F.expr(joined_parts_sql(f"sum({whole_sql(value)})", f"sum({parts_sql(value)})"))
+    return F.expr(joined_parts_sql(*(
+        f"sum({part(value)})" for part in (whole_sql, parts_sql, rest_sql)
+    )))
 
 
 def whole_sql(value: str) -> str:
     return f"floor({value})"
 
 
+def _scaled(value: str) -> str:
+    return f"(({value} - floor({value})) * 1E{VOLUME_PLACES}D)"
+
+
 def parts_sql(value: str) -> str:
-    return f"CAST(round(({value} - floor({value})) * 1E{VOLUME_PLACES}D) AS BIGINT)"
+    return f"CAST(round({_scaled(value)}) AS BIGINT)"
+
+
+def rest_sql(value: str) -> str:
+    """1e-16 units beyond ``parts_sql``; zero within the spacing of doubles of this size."""
+    left = f"({_scaled(value)} - round({_scaled(value)}))"
+    noise = f"(abs({value}) + 1D) * {2.0**-51 * 10**VOLUME_PLACES!r}D"
+    return (
+        f"CASE WHEN abs({left}) <= {noise} AND abs({value}) >= 1E-{VOLUME_PLACES}D THEN 0L"
+        f" ELSE CAST(round({left} * 1E{VOLUME_PLACES}D) AS BIGINT) END"
+    )
 
 
-def joined_parts_sql(whole: str, parts: str) -> str:
+def joined_parts_sql(whole: str, parts: str, rest: str) -> str:
     step = f"0.{'1'.zfill(VOLUME_PLACES)}BD"
-    whole, parts = (f"CAST({part} AS DECIMAL(20, 0))" for part in (whole, parts))
-    return f"CAST({whole} + {parts} * {step} AS DOUBLE)"
+    fine = f"0.{'1'.zfill(2 * VOLUME_PLACES)}BD"
+    whole, parts, rest = (f"CAST({part} AS DECIMAL(20, 0))" for part in (whole, parts, rest))
+    return f"CAST({whole} + {parts} * {step} + {rest} * {fine} AS DOUBLE)"
 
 
 def to_fixed(value: Column, places: int) -> Column:
@@ -39,6 +58,7 @@ def to_fixed(value: Column, places: int) -> Column:
     ``round`` works on the shortest decimal form instead, which can sit on a half where the
     value itself does not. Scaling rounds too, but never across a half, so only a scaled value
     that lands on one needs its rounding error, which splitting the value recovers exactly.
+    A value so large that it has no such decimals stays as it is.
     """
     scale = F.lit(10.0**places)
     scaled = value * scale
@@ -48,7 +68,8 @@ def to_fixed(value: Column, places: int) -> Column:
     error = (high * scale - scaled) + (value - high) * scale
     over = scaled - below
     up = (over > 0.5) | ((over == 0.5) & (error >= 0))
-    return (below + F.when(up, 1).otherwise(0)) / scale
+    fine = value < 2.0**52 / 10.0**places
+    return F.when(fine, (below + F.when(up, 1).otherwise(0)) / scale).otherwise(value)
 
 
 def as_mark(flag: Column) -> Column:

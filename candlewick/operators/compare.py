@@ -128,7 +128,7 @@ def to_depth(
     return newest_by_depth(candles, depth).drop("check_count")
 
 
-EXPORT_KEYS = ["unit", "code", "tms"]
+EXPORT_KEYS = ["unit", "market", "code", "tms"]
 
 
 def export_flags(exported: DataFrame, rest: DataFrame, how: str = "inner") -> DataFrame:

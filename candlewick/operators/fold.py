@@ -16,12 +16,12 @@ class Profile:
     """How an exchange orders trades that share a timestamp, and whether it repeats them."""
 
     name: str
-    tie: str
+    ties: tuple[str, ...]
     repeats: bool
 
 
-SEQUENCE = Profile("sequence", tie="id", repeats=True)
-ARRIVAL = Profile("arrival", tie="arrival_seq", repeats=False)
+SEQUENCE = Profile("sequence", ties=("id",), repeats=True)
+ARRIVAL = Profile("arrival", ties=("arrival_seq", "arrival_pos"), repeats=False)
 PROFILES = {"upbit": SEQUENCE, "bithumb": ARRIVAL}
 
 # A stored candle that seeds a fold sorts before every trade of its first instant.
@@ -52,9 +52,27 @@ def first_of_each(trades: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def repeats_dropped(trades: DataFrame, distinct) -> DataFrame:
+    """``distinct`` of the trades that have an id; trades without one cannot be repeats."""
+    known = distinct(trades.where("id IS NOT NULL"))
+    return known.unionByName(trades.where("id IS NULL"))
+
+
+def trade_order(profile: Profile) -> Column:
+    """What orders trades: (timestamp, tie, pos). Trades without id tie by hash of their values."""
+    if profile.repeats:
+        tie, pos = F.col("id"), F.when(F.col("id").isNull(), F.hash("price", "amount")).otherwise(0)
+    else:
+        # Without an order of arrival open and close would depend on the order of rows.
+        missing = F.raise_error(F.lit("a trade has no order of arrival")).cast("long")
+        tie = F.when(F.col("arrival_seq").isNotNull(), F.col("arrival_seq")).otherwise(missing)
+        pos = F.coalesce("arrival_pos", F.lit(0))
+    return F.struct("timestamp", tie.alias("tie"), pos.alias("pos"))
+
+
 def as_states(trades: DataFrame, profile: Profile) -> DataFrame:
     """Each trade as a candle of its own, so trades and stored candles merge alike."""
-    price, at = F.col("price"), F.struct("timestamp", F.col(profile.tie).alias("tie"))
+    price, at = F.col("price"), trade_order(profile)
     passed = [c for c in ("exchange", "symbol", "timestamp", "bucket") if c in trades.columns]
     return trades.select(
         *passed,
@@ -65,7 +83,7 @@ def as_states(trades: DataFrame, profile: Profile) -> DataFrame:
 
 def seed_states(candles: DataFrame) -> DataFrame:
     """Stored candles as states that keep their open and yield their close to any trade."""
-    at = F.struct("timestamp", F.lit(SEED_TIE).alias("tie"))
+    at = F.struct("timestamp", F.lit(SEED_TIE).alias("tie"), F.lit(0).alias("pos"))
     return candles.select(
         "exchange", "symbol", "timestamp", "open", "high", "low", "close", "volume",
         at.alias("first_at"), at.alias("last_at"),
@@ -109,10 +127,11 @@ def fold_trades(
     """
     rows = priced(trades).select(
         "exchange", "symbol", bucket_start("timestamp", unit, timezone).alias("bucket"),
-        "timestamp", "price", "amount", profile.tie,
+        "timestamp", "price", "amount", *profile.ties,
     )
     if profile.repeats:
-        rows = first_of_each(rows, ["id", "bucket", "symbol", "exchange"])
+        keys = ["id", "bucket", "symbol", "exchange"]
+        rows = repeats_dropped(rows, lambda known: first_of_each(known, keys))
     extra = []
     if details:
         extra = [

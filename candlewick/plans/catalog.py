@@ -8,24 +8,28 @@ compared, the stored side has lost every trade of one amount.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions import bucket_ms, bucket_start, epoch_ms, from_epoch_ms, is_aligned
+from candlewick.functions import bucket_ms, bucket_start, epoch_ms, from_epoch_ms, is_aligned, ts_literal
 from candlewick.operators import compare, export, series
 from candlewick.operators.fold import ARRIVAL, SEQUENCE, first_of_each, fold_trades
 from candlewick.operators.fold import as_states, merge_states, seed_states
 from candlewick.operators.rollup import (
-    rollup, rollup_all, rollup_cascade, rollup_latest, rollup_many, rollup_range, since,
+    rollup, rollup_all, rollup_cascade, rollup_latest, rollup_many, rollup_range,
 )
-from candlewick.schemas import OHLCV
+from candlewick.plans.jobs import load_history, reconcile, stream_candles
+from candlewick.plans.jobs import rollup_all as fill_table
+from candlewick.plans.jobs import rollup_latest as refresh_table
 from candlewick.session import shared_folder, use_utc
 from candlewick.sources import history, trades as trade_source
+from candlewick.sources.reports import write_csv_summary
 from candlewick.sources.tables import CandleTable, ExportTable, append_trades
 from candlewick.streaming import candles as live
-from candlewick.streaming.closing import per_symbol_candles
+from candlewick.streaming.closing import closing_stream, current_candles
 from candlewick.units import CHECK_DEPTHS, DERIVED_UNITS, UNITS, lookback_start
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,11 +78,33 @@ def tape(spark: SparkSession, sf_dir: str, symbol: Column) -> DataFrame:
     return trade_source.trades_from_lineitem(lineitem, symbol)
 
 
+BATCHES = 4
+
+
+def landed(spark: SparkSession, rows: DataFrame, order: str, batches: int = BATCHES) -> str:
+    """A folder with the rows in files that stream one after the other, by ranges of ``order``."""
+    path = shared_folder(spark, "landed")
+    cuts = rows.select(F.percentile_approx(order, [k / batches for k in range(1, batches)], 10_000)).first()[0]
+    edges = [None, *(cuts or []), None]
+    for low, high in zip(edges, edges[1:]):
+        part = rows
+        if low is not None:
+            part = part.where(F.col(order) > low)
+        if high is not None:
+            part = part.where(F.col(order) <= high)
+        part.drop(order).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def trade_stream(spark: SparkSession, rows: DataFrame, order: Column | None = None) -> DataFrame:
+    """Trades as a stream of several micro-batches, by time unless ``order`` says otherwise."""
+    at = F.unix_micros(F.col("timestamp").cast("timestamp")) if order is None else order
+    path = landed(spark, rows.withColumn("landed_at", at), "landed_at")
+    return trade_source.stream_trades(spark, path, max_files=1)
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = events(spark, sf_dir).schema
-    # A stream takes a folder or a pattern, not the path of a single file.
-    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
-    return trade_source.trades_from_events(rows)
+    return trade_stream(spark, trades(spark, sf_dir))
 
 
 # ---- SQL building blocks --------------------------------------------------------------
@@ -162,10 +188,7 @@ query("rollup_history", with_trades(sql_units(["15m", "4h", "1d", "1w"])))(
 @query("rollup_latest_1h", with_trades(
     sql_candles("1h", f"timestamp >= TIMESTAMP '{lookback_start(NOW, '1h')}'")))
 def rollup_latest_1h(spark, sf_dir):
-    # The bound is a whole hour, so it holds for trades and candles alike; on the trades it
-    # reaches the scan.
-    recent = since(trades(spark, sf_dir), lookback_start(NOW, "1h"))
-    return rollup_latest(fold_trades(recent), "1h", NOW)
+    return rollup_latest(minutes(spark, sf_dir), "1h", NOW)
 
 
 @query("rollup_range_week", with_trades(f"""
@@ -183,14 +206,15 @@ def rollup_range_week(spark, sf_dir):
 @query("stored_cascade_latest", with_trades(" UNION ALL ".join(
     sql_candles(u, f"timestamp >= TIMESTAMP '{lookback_start(NOW, u)}'") for u in DERIVED_UNITS)))
 def stored_cascade_latest(spark, sf_dir):
-    """The incremental job on a stored table: here every base level starts out complete."""
-    from candlewick.plans.jobs import rollup_all as fill, rollup_latest as refresh
-
+    """The incremental job on a stored table whose newest trades arrive after it was filled."""
     table = CandleTable(spark, shared_folder(spark, "cascade"))
     table.create()
-    table.append(minutes(spark, sf_dir), version=1)
-    fill(table)
-    refresh(table, NOW)
+    cut = ts_literal(lookback_start(NOW, "3m"))
+    whole = trades(spark, sf_dir)
+    table.append(fold_trades(whole.where(F.col("timestamp") < cut)))
+    fill_table(table)
+    table.append(fold_trades(whole.where(F.col("timestamp") >= cut)))
+    refresh_table(table, NOW)
     oldest = min(lookback_start(NOW, u) for u in DERIVED_UNITS)
     stored = table.candles(units=DERIVED_UNITS, start=oldest)
     return export.latest_buckets(stored, NOW).drop("created_at")
@@ -228,6 +252,31 @@ def tape_weeks_hot(spark, sf_dir):
     return fold_trades(tape(spark, sf_dir, F.col("l_returnflag")), "1w")
 
 
+# Amounts of 1e-9 and of 1e13 keep their sums.
+@query("candles_extreme_volumes", with_trades(
+    sql_candles("1h", source="extreme").replace(
+        "sum(amount::DECIMAL(28, 8))::DOUBLE",
+        "sum(if(amount >= 1, amount, 0)::DECIMAL(38, 0))::DOUBLE"
+        " + sum(if(amount < 1, amount, 0)::DECIMAL(38, 16))::DOUBLE"), """extreme AS (
+      SELECT * REPLACE (symbol || if(id % 2 = 0, '/TINY', '/HUGE') AS symbol,
+                        amount * if(id % 2 = 0, 1e-9, 1e13) AS amount) FROM trades)"""))
+def candles_extreme_volumes(spark, sf_dir):
+    even = F.col("id") % 2 == 0
+    rows = trades(spark, sf_dir).withColumns({
+        "symbol": F.concat("symbol", F.when(even, "/TINY").otherwise("/HUGE")),
+        "amount": F.col("amount") * F.when(even, F.lit(1e-9)).otherwise(F.lit(1e13)),
+    })
+    return fold_trades(rows, "1h")
+
+
+# A third of the trades have no id and count one by one; the others are all sent twice.
+@query("candles_null_ids", with_trades(sql_candles("15m")))
+def candles_null_ids(spark, sf_dir):
+    rows = trades(spark, sf_dir)
+    marked = rows.withColumn("id", F.when(F.col("id") % 3 != 0, F.col("id")))
+    return fold_trades(marked.unionByName(marked.where("id IS NOT NULL")), "15m")
+
+
 # Half of a minute is stored, the rest arrives later: merging equals folding everything.
 @query("seeded_merge", with_trades(sql_candles("1m")))
 def seeded_merge(spark, sf_dir):
@@ -285,7 +334,7 @@ def upbit_parse(spark, sf_dir):
         F.col("event_id").alias("sequential_id"),
     )
     messages = events(spark, sf_dir).select(F.to_json(message).alias("value"))
-    return trade_source.trades_from_singles(messages).drop("arrival_seq")
+    return trade_source.trades_from_singles(messages).drop("arrival_seq", "arrival_pos")
 
 
 # Two records per message (the second a day on, its quantity with a thousands comma), and a
@@ -297,7 +346,7 @@ def upbit_parse(spark, sf_dir):
            value AS price, json_extract_string(props, '$.k')::DOUBLE + 1000 * pos AS amount,
            value * 2 AS cost,
            epoch_ms(date_trunc('milliseconds', ts)) + 86400000 * pos AS id,
-           event_id * 1000000 + pos AS arrival_seq
+           event_id AS arrival_seq, pos AS arrival_pos
     FROM events, (VALUES (0), (1)) AS positions(pos) WHERE event_type <> 'error'""")
 def bithumb_parse(spark, sf_dir):
     k = F.get_json_object("props", "$.k")
@@ -348,11 +397,11 @@ def trade_sink(spark, sf_dir):
 
 # ---- S3-S5, S9: history ---------------------------------------------------------------
 
-HISTORY_UNITS = ["15m", "1h", "1d", "1M"]
+HISTORY_UNITS = [*UNITS, "1M"]
 
 
 def array_rows(spark, sf_dir) -> DataFrame:
-    """Every trade as a positional candle row of four units, at its own time."""
+    """Every trade as a positional candle row of every served unit, at its own time."""
     price = F.col("price")
     row = F.array(epoch_ms("timestamp").cast("double"), price, price + 2, price - 1,
                   price + 1, F.col("amount"))
@@ -362,11 +411,11 @@ def array_rows(spark, sf_dir) -> DataFrame:
     )
 
 
-SQL_ARRAY_ROWS = """array_rows AS (
+SQL_ARRAY_ROWS = f"""array_rows AS (
   SELECT exchange, unit, date_trunc('milliseconds', timestamp) AS timestamp, symbol,
          price AS open, price + 2 AS high, price - 1 AS low, price + 1 AS close,
          amount AS volume
-  FROM trades, (VALUES ('15m'), ('1h'), ('1d'), ('1M')) AS served(unit))"""
+  FROM trades, (VALUES {", ".join(f"('{unit}')" for unit in HISTORY_UNITS)}) AS served(unit))"""
 
 query("history_arrays", with_trades(
     "SELECT * FROM array_rows WHERE unit <> '1M'", SQL_ARRAY_ROWS))(
@@ -377,13 +426,18 @@ query("history_arrays", with_trades(
 def sql_snapped(unit: str) -> str:
     return f"""SELECT * REPLACE ({sql_bucket(unit)} AS timestamp) FROM array_rows
       WHERE unit = '{unit}'
-        AND date_trunc('minute', timestamp) = {sql_bucket(unit)}"""
+        AND date_trunc('minute', timestamp) = {sql_bucket(unit)}
+      QUALIFY row_number() OVER (
+        PARTITION BY symbol, {sql_bucket(unit)} ORDER BY array_rows.timestamp DESC, open DESC) = 1"""
 
 
-query("history_snap", with_trades(
-    f"{sql_snapped('15m')} UNION ALL {sql_snapped('1h')}", SQL_ARRAY_ROWS))(
-    lambda spark, sf_dir: history.native_history(array_rows(spark, sf_dir))
-)
+# Loaded through the store, whose keys must be unique: the last of several twins counts.
+@query("history_snap", with_trades(
+    " UNION ALL ".join(sql_snapped(unit) for unit in UNITS if unit != "1d"), SQL_ARRAY_ROWS))
+def history_snap(spark, sf_dir):
+    table = CandleTable(spark, shared_folder(spark, "history"))
+    load_history(array_rows(spark, sf_dir), table, native_grid=True)
+    return table.candles().drop("created_at")
 
 
 # Page 1 holds the candles of a lossy store, page 2 the whole ones, in other places.
@@ -466,7 +520,30 @@ query("upsert_latest_wins", sql_upsert("15m"))(
 def upsert_compacted(spark, sf_dir):
     table = upserted(spark, sf_dir)
     table.compact()
-    return table.raw().drop("_v", "part", "p", "created_at")
+    return table.raw().drop("_v", "part", "w", "p", "created_at")
+
+
+# Four writers append a quarter of the candles each, in two versions, while the table is
+# compacted again and again.
+@query("upsert_parallel", with_trades(sql_candles("15m")))
+def upsert_parallel(spark, sf_dir):
+    table = CandleTable(spark, shared_folder(spark, "upsert"))
+    table.create()
+    whole = fold_trades(trades(spark, sf_dir), "15m")
+    lossy = fold_trades(kept_trades(spark, sf_dir), "15m")
+
+    def write(quarter: int) -> None:
+        mine = F.pmod(F.hash("symbol", "timestamp"), F.lit(4)) == quarter
+        for candles in (lossy, whole):
+            table.append(candles.where(mine))
+
+    with ThreadPoolExecutor(4) as writers:
+        running = [writers.submit(write, quarter) for quarter in range(4)]
+        while not all(task.done() for task in running):
+            table.compact()
+        for task in running:
+            task.result()
+    return table.candles(units=["15m"]).drop("created_at")
 
 
 # Compacted, then overwritten in part: delta rows replace their base rows.
@@ -490,18 +567,18 @@ query("latest_per_symbol", with_trades("""
 query("newest_n_per_symbol", with_trades("""
     SELECT * FROM units
     QUALIFY row_number() OVER (PARTITION BY unit, symbol ORDER BY timestamp DESC) <= 500""",
-    f"units AS ({sql_units(['1m', '15m', '1h'])})"))(
-    lambda spark, sf_dir: series.newest_n(
-        several_units(minutes(spark, sf_dir), ["1m", "15m", "1h"]), 500)
+    f"units AS ({sql_units(list(UNITS))})"))(
+    lambda spark, sf_dir: series.newest_n(several_units(minutes(spark, sf_dir), list(UNITS)), 500)
 )
-query("gaps", with_trades("""
+UNIT_MS = " ".join(f"WHEN '{u.name}' THEN {u.ms}" for u in UNITS.values())
+query("gaps", with_trades(f"""
     SELECT exchange, unit, symbol, previous, timestamp,
            epoch_ms(timestamp) - epoch_ms(previous) AS step_ms
     FROM (SELECT *, lag(timestamp) OVER (PARTITION BY unit, symbol ORDER BY timestamp) AS previous
           FROM units)
-    WHERE step_ms <> CASE unit WHEN '1m' THEN 60000 ELSE 3600000 END""",
-    f"units AS ({sql_units(['1m', '1h'])})"))(
-    lambda spark, sf_dir: series.gaps(several_units(minutes(spark, sf_dir), ["1m", "1h"]))
+    WHERE step_ms <> CASE unit {UNIT_MS} END""",
+    f"units AS ({sql_units(list(UNITS))})"))(
+    lambda spark, sf_dir: series.gaps(several_units(minutes(spark, sf_dir), list(UNITS)))
 )
 
 
@@ -517,15 +594,13 @@ def latest_of_trades(spark, sf_dir) -> DataFrame:
 query("closed_flag", with_trades("""
     SELECT *, timestamp < max(timestamp) OVER (PARTITION BY symbol) AS closed FROM minutes""",
     f"minutes AS ({sql_candles('1m')})"))(
-    lambda spark, sf_dir: series.with_closed(
-        minutes(spark, sf_dir), latest_of_trades(spark, sf_dir))
+    lambda spark, sf_dir: series.with_closed(minutes(spark, sf_dir))
 )
 query("drop_unclosed", with_trades("""
     SELECT * FROM minutes
     QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC) > 1""",
     f"minutes AS ({sql_candles('1m')})"))(
-    lambda spark, sf_dir: series.drop_unclosed(
-        minutes(spark, sf_dir), latest_of_trades(spark, sf_dir))
+    lambda spark, sf_dir: series.drop_unclosed(minutes(spark, sf_dir))
 )
 query("oldest_candle", f"SELECT min({sql_bucket('1m', 'ts')}) AS timestamp FROM events")(
     lambda spark, sf_dir: series.oldest_timestamp(minutes(spark, sf_dir))
@@ -546,7 +621,7 @@ query("candles_by_symbol", with_trades("""
 
 # ---- F13-F15, T8, K4, K7: export ------------------------------------------------------
 
-EXPORTED_UNITS = ["1m", "1h", "1d", "1w"]
+EXPORTED_UNITS = list(UNITS)
 
 for _exchange, _profile in (("upbit", SEQUENCE), ("bithumb", ARRIVAL)):
     query(f"export_{_exchange}", with_trades(sql_export("""(SELECT * FROM units
@@ -596,16 +671,17 @@ def retention_keep(spark, sf_dir):
     return table.read()
 
 
-query("retention_deleted", with_trades(
+@query("retention_deleted", with_trades(
     f"SELECT unit, count(*) AS deleted FROM exported WHERE {SQL_EXPIRED} GROUP BY unit",
-    SQL_EXPORTED_UNITS, SQL_EXPORTED))(
-    lambda spark, sf_dir: export.to_export(several_units(minutes(spark, sf_dir), EXPORTED_UNITS))
-    .where(export.is_expired(NOW)).groupBy("unit").agg(F.count(F.lit(1)).alias("deleted"))
-)
+    SQL_EXPORTED_UNITS, SQL_EXPORTED))
+def retention_deleted(spark, sf_dir):
+    deleted = stored_export(spark, sf_dir).delete_expired(NOW)
+    rows = [(unit, n) for unit, n in deleted.items() if n]
+    return spark.createDataFrame(rows, "unit string, deleted long")
 
 # ---- J1-J4, A8-A10, F19, L4: reconciliation -------------------------------------------
 
-CHECKED_UNITS = ["1m", "15m", "1h"]
+CHECKED_UNITS = list(UNITS)
 
 
 def stored_and_served(spark, sf_dir, units=None) -> tuple[DataFrame, DataFrame]:
@@ -633,7 +709,8 @@ def sql_sides(units: list[str], depths: dict[str, int] | None = None) -> list[st
         """ex AS (SELECT * FROM served QUALIFY row_number() OVER (
              PARTITION BY unit, symbol ORDER BY timestamp DESC) > 1)""",
         """compared AS (
-      SELECT exchange, unit, symbol, timestamp, db.open IS NOT NULL AS in_db,
+      SELECT exchange, unit, symbol, timestamp, db.close AS db_close,
+             ex.close AS exchange_close, db.open IS NOT NULL AS in_db,
              ex.open IS NOT NULL AS in_ex, db.open <> ex.open AS o, db.high <> ex.high AS h,
              db.low <> ex.low AS l, db.close <> ex.close AS c,
              printf('%.4f', abs(db.volume - ex.volume))::DOUBLE AS vd, vd >= 0.1 AS v,
@@ -643,10 +720,9 @@ def sql_sides(units: list[str], depths: dict[str, int] | None = None) -> list[st
 
 
 SQL_DIFFS = """SELECT exchange, unit, symbol, epoch_ms(timestamp) AS tms, timestamp AS date,
-  CASE WHEN in_db THEN db.close END AS db_close, ex.close AS exchange_close,
-  o AS open, h AS high, l AS low, c AS close, v AS volume, vd AS volume_delta
-  FROM compared LEFT JOIN db USING (exchange, unit, symbol, timestamp)
-  JOIN ex USING (exchange, unit, symbol, timestamp) WHERE is_diff"""
+  db_close, exchange_close, o AS open, h AS high, l AS low, c AS close, v AS volume,
+  vd AS volume_delta
+  FROM compared WHERE is_diff"""
 SQL_SUMMARY = """SELECT exchange, unit, symbol, count(*) FILTER (in_db) AS db_count,
   count(*) FILTER (in_ex) AS exchange_count, count(*) FILTER (is_diff) AS diff_count,
   count(*) FILTER (is_diff AND o) AS open_diff_count,
@@ -655,8 +731,15 @@ SQL_SUMMARY = """SELECT exchange, unit, symbol, count(*) FILTER (in_db) AS db_co
   count(*) FILTER (is_diff AND c) AS close_diff_count,
   count(*) FILTER (is_diff AND v) AS volume_diff_count,
   count(*) FILTER (is_diff AND NOT in_db) AS gap_count,
-  max(vd) FILTER (is_diff) AS max_volume_diff
+  0 AS created_at_diff_count, max(vd) FILTER (is_diff) AS max_volume_diff
   FROM compared GROUP BY exchange, unit, symbol HAVING diff_count > 0"""
+# Stored 1m candles were all written long after their minute; other units have no such time.
+SQL_STORED_SUMMARY = (
+    SQL_SUMMARY.replace("0 AS created_at_diff_count", """CASE unit WHEN '1m' THEN
+      count(*) FILTER (in_db) ELSE 0 END AS created_at_diff_count, CASE unit """ + " ".join(
+        f"WHEN '{u}' THEN {n}" for u, n in CHECK_DEPTHS["upbit"].items()) + " END AS check_count")
+    .replace("diff_count > 0", "diff_count > 0 OR created_at_diff_count > 0")
+)
 
 
 @query("reconcile_diff", with_trades(SQL_DIFFS, *sql_sides(CHECKED_UNITS)))
@@ -671,17 +754,36 @@ def reconcile_diff(spark, sf_dir):
 
 query("reconcile_summary", with_trades(SQL_SUMMARY, *sql_sides(CHECKED_UNITS)))(
     lambda spark, sf_dir: compare.reconcile_summary(*stored_and_closed(spark, sf_dir))
-    .drop("created_at_diff_count")
 )
 
 
 @query("reconcile_depths", with_trades(
-    SQL_SUMMARY, *sql_sides(list(CHECK_DEPTHS["upbit"]), CHECK_DEPTHS["upbit"])))
+    SQL_STORED_SUMMARY, *sql_sides(list(CHECK_DEPTHS["upbit"]), CHECK_DEPTHS["upbit"])))
 def reconcile_depths(spark, sf_dir):
-    sides = stored_and_served(spark, sf_dir, list(CHECK_DEPTHS["upbit"]))
-    stored, served = (compare.to_depth(side, CHECK_DEPTHS) for side in sides)
-    served = compare.closed_on_grid(served, ranked=True)
-    return compare.reconcile_summary(stored, served).drop("created_at_diff_count")
+    """The job over a table that the cascade filled."""
+    table = filled_table(spark, sf_dir)
+    served = several_units(minutes(spark, sf_dir), list(CHECK_DEPTHS["upbit"]))
+    return reconcile(table, served, CHECK_DEPTHS)
+
+
+def filled_table(spark, sf_dir) -> CandleTable:
+    table = CandleTable(spark, shared_folder(spark, "stored"))
+    table.append(fold_trades(kept_trades(spark, sf_dir)))
+    fill_table(table)
+    return table
+
+
+# The report of the job, written and read back.
+@query("report_diffs", with_trades(
+    "SELECT exchange, unit, replace(symbol, '/', '_') AS symbol, epoch_ms(timestamp) AS tms,"
+    " o AS open, c AS close, vd AS volume_delta FROM compared WHERE is_diff",
+    *sql_sides(list(CHECK_DEPTHS["upbit"]), CHECK_DEPTHS["upbit"])))
+def report_diffs(spark, sf_dir):
+    path = shared_folder(spark, "report")
+    served = several_units(minutes(spark, sf_dir), list(CHECK_DEPTHS["upbit"]))
+    reconcile(filled_table(spark, sf_dir), served, CHECK_DEPTHS, report_path=path)
+    schema = "tms long, open boolean, close boolean, volume_delta double, exchange string, unit string, symbol string"
+    return spark.read.schema(schema).json(f"{path}/diffs")
 
 
 @query("created_lag", with_trades(f"""
@@ -697,7 +799,25 @@ def created_lag(spark, sf_dir):
     return compare.with_created_lag(stamped).select("exchange", "symbol", "timestamp", "created_diff")
 
 
-CSV_UNITS = ["1m", "15m", "1d"]
+CSV_UNITS = list(UNITS)
+
+
+# Marks of the rows that differ, among those that both sides have.
+@query("export_marks", with_trades("""
+    SELECT unit, code, make_timestamp(tms * 1000) AS date, tms,
+           if(o, 'o', 'x') AS open, if(h, 'o', 'x') AS high, if(l, 'o', 'x') AS low,
+           if(c, 'o', 'x') AS close, if(v, 'o', 'x') AS volume,
+           o OR h OR l OR c AS is_price, v AS is_volume, if(v, vd, 0) AS volume_diff
+    FROM (SELECT unit, code, tms, d.op <> r.op AS o, d.hp <> r.hp AS h, d.lp <> r.lp AS l,
+                 d.cp <> r.cp AS c, printf('%.4f', d.tv) <> printf('%.4f', r.tv) AS v,
+                 abs(d.tv - r.tv) AS vd
+          FROM stored d JOIN rest r USING (unit, code, tms))
+    WHERE o OR h OR l OR c OR v""",
+    *sql_sides(CSV_UNITS), f"stored AS ({sql_export('db')})", f"rest AS ({sql_export('served')})"))
+def export_marks(spark, sf_dir):
+    stored, served = stored_and_served(spark, sf_dir, CSV_UNITS)
+    rest = history.rest_to_export(rest_rows(served, page=1))
+    return compare.export_diff_rows(compare.export_flags(export.to_export(stored), rest))
 
 
 @query("reconcile_csv", with_trades("""
@@ -725,6 +845,26 @@ def reconcile_csv(spark, sf_dir):
     return compare.export_summary(table.newest_closed("UPBIT", names, 1000), rest)
 
 
+# The CSV report, written and read back.
+@query("report_csv", with_trades(
+    "SELECT code, lower(unit) AS candle, count(*)::VARCHAR AS rows FROM newest GROUP BY code, unit",
+    *sql_sides(CSV_UNITS),
+    """newest AS (SELECT * FROM (SELECT *, row_number() OVER (
+         PARTITION BY unit, code ORDER BY tms DESC) AS rn FROM (""" + sql_export("db") +
+    ")) WHERE rn BETWEEN 2 AND 1001)"))
+def report_csv(spark, sf_dir):
+    stored, _ = stored_and_served(spark, sf_dir, CSV_UNITS)
+    table = ExportTable(spark, shared_folder(spark, "export"))
+    table.append(export.to_export(stored))
+    names = [UNITS[unit].export_name for unit in CSV_UNITS]
+    # Against candles whose prices are all one higher, every row differs.
+    rest = history.rest_to_export(rest_rows(stored.withColumn("open", F.col("open") + 1), page=1))
+    path = shared_folder(spark, "report")
+    write_csv_summary(compare.export_summary(table.newest_closed("UPBIT", names, 1000), rest), path)
+    report = spark.read.option("header", True).csv(path)
+    return report.select("code", "candle", F.col("diffCount").alias("rows"))
+
+
 # ---- T1-T7: streams -------------------------------------------------------------------
 
 
@@ -744,9 +884,21 @@ def sql_closed(unit: str) -> str:
         SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 MINUTE FROM events)"""
 
 
-query("stream_candles_1m", with_trades(sql_candles("1m")))(
-    lambda spark, sf_dir: drained(spark, live.candle_stream(event_stream(spark, sf_dir)))
-)
+# Several micro-batches; the last one also brings every trade of the first day once more, with
+# other ids and prices: far too late to change a candle.
+@query("stream_candles_1m", with_trades(sql_candles("1m")))
+def stream_candles_1m(spark, sf_dir):
+    whole = trades(spark, sf_dir)
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    first_day = whole.agg(F.min("timestamp")).first()[0].date()
+    late = whole.where(F.col("timestamp").cast("date") == F.lit(first_day)).select(
+        *[(F.col(c) + 1_000_000_000 if c in ("id", "price") else F.col(c)).alias(c) for c in whole.columns],
+        F.lit(2**62).alias("landed_at"),
+    )
+    path = landed(spark, whole.withColumn("landed_at", at).unionByName(late), "landed_at")
+    return drained(spark, live.candle_stream(trade_source.stream_trades(spark, path, max_files=1)))
+
+
 query("stream_closed_1m", with_trades(sql_closed("1m")))(
     lambda spark, sf_dir: drained(
         spark, live.candle_stream(event_stream(spark, sf_dir)), mode="append")
@@ -756,49 +908,95 @@ query("stream_chain_1d", with_trades(sql_closed("1d")))(
         spark, live.chained_candle_stream(event_stream(spark, sf_dir), ["1m", "1h", "1d"]),
         mode="append")
 )
-# Every trade is sent twice.
+# Every trade is sent twice, some of them in two batches.
 query("stream_dedup", with_trades(sql_candles("1m")))(
-    lambda spark, sf_dir: drained(spark, live.candle_stream(
-        event_stream(spark, sf_dir).unionByName(event_stream(spark, sf_dir))))
+    lambda spark, sf_dir: drained(spark, live.candle_stream(trade_stream(
+        spark, trades(spark, sf_dir).unionByName(trades(spark, sf_dir)))))
 )
 
 
-# The newest candle of each symbol was stored after the first half of its minute; a cold
-# start continues it with the trades of the second half.
-@query("stream_seeded", with_trades("""
-    SELECT * FROM minutes
-    QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC) = 1""",
-    f"minutes AS ({sql_candles('1m')})"))
-def stream_seeded(spark, sf_dir):
-    in_first_half = F.pmod(epoch_ms("timestamp"), F.lit(60_000)) < 30_000
-    newest = latest_of_trades(spark, sf_dir).drop("unit")
+def bithumb_messages(spark, sf_dir) -> DataFrame:
+    """Messages of two trades in one millisecond each, with their offset."""
+    def record(pos: int) -> Column:
+        return F.struct(
+            F.concat(F.upper("event_type"), F.lit("_KRW")).alias("symbol"),
+            F.lit("1").alias("buySellGb"), (F.col("value") + pos).cast("string").alias("contPrice"),
+            F.get_json_object("props", "$.k").alias("contQty"), F.lit("1").alias("contAmt"),
+            F.date_format(F.col("ts") + F.expr("INTERVAL 9 HOURS"), "yyyy-MM-dd H:mm:ss.SSSSSS").alias("contDtm"),
+        )
+
+    content = F.struct(F.array(record(0), record(1)).alias("list"))
+    message = F.struct(F.lit("transaction").alias("type"), content.alias("content"))
+    return events(spark, sf_dir).select(
+        F.col("event_id").alias("seq"), F.to_json(message).alias("value"), epoch_ms("ts").alias("landed_at")
+    )
 
-    def in_newest_minute(rows: DataFrame) -> DataFrame:
-        return rows.join(newest, ["exchange", "symbol"]).where(
-            bucket_start("timestamp", "1m") == F.col("latest")
-        ).drop("latest")
 
-    stored = CandleTable(spark, shared_folder(spark, "stored"))
-    stored.create()
-    stored.append(fold_trades(in_newest_minute(trades(spark, sf_dir).where(in_first_half))))
-    seed_path = shared_folder(spark, "seeds")
-    live.write_seeds(stored, "upbit", seed_path)
-    seeds = spark.readStream.schema(spark.read.parquet(seed_path).schema).parquet(seed_path)
-    rest = in_newest_minute(event_stream(spark, sf_dir).where(~in_first_half))
-    return drained(spark, live.candle_stream(rest, seeds=seeds))
+# From messages to candles: trades of one millisecond keep the order of their arrival.
+@query("stream_bithumb_1m", f"""
+    WITH trades AS (
+      SELECT 'bithumb' AS exchange, upper(event_type) || '/KRW' AS symbol,
+             date_trunc('milliseconds', ts) AS timestamp, value + pos AS price,
+             json_extract_string(props, '$.k')::DOUBLE AS amount, event_id * 2 + pos AS id
+      FROM events, (VALUES (0), (1)) AS positions(pos))
+    {sql_candles('1m', exchange='bithumb')}""")
+def stream_bithumb_1m(spark, sf_dir):
+    rows = spark.read.parquet(landed(spark, bithumb_messages(spark, sf_dir), "landed_at"))
+    path = shared_folder(spark, "messages")
+    rows.write.json(path)
+    messages = trade_source.stream_ordered_messages(spark, path)
+    found = trade_source.trades_from_batches(messages)
+    return drained(spark, live.candle_stream(found, profile=ARRIVAL))
+
+
+# The table holds every trade up to the middle of each symbol's newest minute; the stream brings
+# the rest in two runs, the second of which restarts from the checkpoint.
+@query("stream_seeded", with_trades(sql_candles("1m")))
+def stream_seeded(spark, sf_dir):
+    whole = trades(spark, sf_dir)
+    newest = latest_of_trades(spark, sf_dir).select("exchange", "symbol", "latest")
+    cut = F.col("latest") + F.expr("INTERVAL 30 SECONDS")
+    marked = whole.join(newest, ["exchange", "symbol"])
+    table = CandleTable(spark, shared_folder(spark, "stored"))
+    table.append(fold_trades(marked.where(F.col("timestamp") < cut).select(*whole.columns)))
+    rest = marked.where(F.col("timestamp") >= cut).select(*whole.columns)
+    path, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "progress")
+    for part in range(2):
+        mine = F.pmod(F.hash("symbol"), F.lit(2)) == part
+        rest.where(mine).coalesce(1).write.mode("append").parquet(path)
+        stream_candles(
+            spark, trade_source.stream_trades(spark, path), "upbit", table, checkpoint, every=None,
+            # Symbols of these tables end days apart.
+            lateness="40 days",
+        ).awaitTermination()
+    return table.candles(units=["1m"]).drop("created_at")
+
+
+SQL_SYMBOL_CLOSE = """
+    SELECT *, timestamp < max(timestamp) OVER (PARTITION BY symbol) AS closed FROM minutes"""
+
+
+def closed_by_symbol(spark, stream: DataFrame, profile=SEQUENCE) -> DataFrame:
+    path, checkpoint = shared_folder(spark, "closing"), shared_folder(spark, "progress")
+    closing_stream(stream, path, checkpoint, profile=profile, every=None).awaitTermination()
+    return current_candles(spark.read.parquet(f"{path}/revisions"))
 
 
-# Each symbol closes by its own newest bucket instead of the global watermark.
-@query("stream_symbol_close", with_trades("""
-    SELECT *, timestamp < max(timestamp) OVER (PARTITION BY symbol) AS closed FROM minutes""",
-    f"minutes AS ({sql_candles('1m')})"))
+# Each symbol closes by its own newest bucket; one symbol arrives six hours behind the others,
+# and every trade is sent twice.
+@query("stream_symbol_close", with_trades(SQL_SYMBOL_CLOSE, f"minutes AS ({sql_candles('1m')})"))
 def stream_symbol_close(spark, sf_dir):
-    path, checkpoint = shared_folder(spark, "closing"), shared_folder(spark, "progress")
-    live.append_stream(
-        per_symbol_candles(event_stream(spark, sf_dir)), path, checkpoint, every=None
-    ).awaitTermination()
-    emitted = spark.read.parquet(path)
-    final = emitted.groupBy("exchange", "unit", "timestamp", "symbol").agg(
-        *[F.max_by(c, "revision").alias(c) for c in (*OHLCV, "closed")]
-    )
-    return final
+    whole = trades(spark, sf_dir)
+    late = F.when(F.col("symbol") == "CLICK/KRW", F.lit(6 * 3_600_000)).otherwise(F.lit(0))
+    stream = trade_stream(spark, whole.unionByName(whole), epoch_ms("timestamp") + late)
+    return closed_by_symbol(spark, stream)
+
+
+# The same for trades that have no ids of their own: two in one millisecond are two.
+@query("stream_symbol_close_arrival", with_trades(
+    SQL_SYMBOL_CLOSE, f"""minutes AS (SELECT * REPLACE (volume * 2 AS volume) FROM (
+      {sql_candles('1m', exchange='bithumb')}))"""))
+def stream_symbol_close_arrival(spark, sf_dir):
+    whole = trades(spark, sf_dir, "bithumb").withColumn("id", epoch_ms("timestamp"))
+    twin = whole.withColumn("arrival_pos", F.lit(1))
+    return closed_by_symbol(spark, trade_stream(spark, whole.unionByName(twin)), ARRIVAL)

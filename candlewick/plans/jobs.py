@@ -23,7 +23,7 @@ from candlewick.session import use_utc
 from candlewick.sources.history import candles_from_arrays, native_history
 from candlewick.sources.reports import write_csv_summary, write_diff_report, write_summary_report
 from candlewick.sources.tables import CandleTable, ExportTable
-from candlewick.streaming.candles import candle_stream, upsert_stream, write_seeds
+from candlewick.streaming.candles import LATENESS, candle_stream, seed_stream, upsert_stream
 from candlewick.units import UNITS, cascade_levels, lookback_start
 
 
@@ -35,17 +35,17 @@ def stream_candles(
     checkpoint: str,
     seed_path: str | None = None,
     every: str | None = "3 seconds",
+    lateness: str = LATENESS,
 ) -> StreamingQuery:
     """Keeps the 1m candles of a trade stream upserted.
 
-    ``seed_path`` makes a cold start continue the stored open candles.
+    The first start continues the stored open candles, which it lands in ``seed_path`` (beside
+    the checkpoint by default); later starts read the same seeds and the checkpoint.
     """
     use_utc(spark)
-    seeds = None
-    if seed_path is not None:
-        write_seeds(table, exchange, seed_path)
-        seeds = spark.readStream.schema(spark.read.parquet(seed_path).schema).parquet(seed_path)
-    candles = candle_stream(trades, profile=PROFILES[exchange], seeds=seeds)
+    seed_path = seed_path or f"{checkpoint.rstrip('/')}-seeds"
+    seeds = seed_stream(table, exchange, seed_path, checkpoint)
+    candles = candle_stream(trades, profile=PROFILES[exchange], seeds=seeds, lateness=lateness)
     return upsert_stream(candles, table, checkpoint, every=every)
 
 
@@ -74,6 +74,7 @@ def rollup_latest(table: CandleTable, now: datetime, timezone: str = "UTC") -> N
         starts = {unit: lookback_start(now, unit, timezone) for unit in units}
         rows = table.candles(units=[base], start=min(starts.values()))
         table.append(rollup_many(rows, units, timezone, starts), rebalance=False)
+    table.compact_when_needed()
 
 
 def rollup_all(table: CandleTable, timezone: str = "UTC") -> None:

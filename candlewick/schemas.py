@@ -13,7 +13,9 @@ TRADE = T.StructType([
     T.StructField("amount", T.DoubleType()),
     T.StructField("cost", T.DoubleType()),
     T.StructField("id", T.LongType()),
+    # The order of arrival: that of the message, and the place in its list.
     T.StructField("arrival_seq", T.LongType()),
+    T.StructField("arrival_pos", T.IntegerType()),
 ])
 
 CANDLE = T.StructType([

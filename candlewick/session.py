@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -26,8 +27,13 @@ def build_session(app_name: str = "candlewick", **conf: str) -> SparkSession:
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Epoch conversions of zone-less timestamps read the session zone, so pin it."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+    """Epoch conversions of zone-less timestamps read the session zone, so it must be UTC.
+
+    Another zone is replaced, with a warning.
+    """
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone != "UTC":
+        warnings.warn(f"session time zone changed from {zone} to UTC", stacklevel=3)
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 

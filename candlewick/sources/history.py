@@ -38,12 +38,18 @@ def history_from_pages(pages: DataFrame, since: int = 0, limit: int = 2000) -> D
 def native_history(rows: DataFrame) -> DataFrame:
     """Served candles that lie on their grid, snapped to their bucket start.
 
-    1d is skipped: its served day follows another calendar and is derived instead.
+    Of several in one bucket the latest served counts. 1d is skipped: its served day follows
+    another calendar and is derived instead.
     """
     candles = candles_from_arrays(rows).where(F.col("unit") != "1d")
-    aligned = candles.where(is_aligned("timestamp"))
-    return aligned.withColumn(
-        "timestamp", unit_bucket_start("timestamp")
+    aligned = candles.where(is_aligned("timestamp")).withColumn(
+        "bucket", unit_bucket_start("timestamp")
+    )
+    # Equal times would make one max_by per column mix rows; a struct takes one row whole.
+    last = F.max(F.struct("timestamp", *OHLCV)).alias("last")
+    return aligned.groupBy("exchange", "unit", "bucket", "symbol").agg(last).select(
+        "exchange", "unit", F.col("bucket").alias("timestamp"), "symbol",
+        *[F.col(f"last.{c}").alias(c) for c in OHLCV],
     )
 
 

@@ -1,24 +1,13 @@
-"""Partitioned Parquet tables with latest-wins upserts.
-
-An upsert appends to the ``delta`` part with a write version ``_v``; of each key the highest
-version counts, and any delta row replaces its ``base`` row. Compaction folds the delta into
-the base, whose keys are unique. A reader therefore aggregates only the small delta; the base
-is scanned and filtered, not shuffled, while the delta's keys fit a broadcast.
-
-Partition columns include ``p``, the period a row's time falls in, and every time bound is
-repeated on ``p`` because Catalyst cannot derive it. One writer at a time per table, with
-versions that never fall behind a compaction.
-"""
+"""The candle, export and trade stores."""
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,142 +16,19 @@ from candlewick.functions.times import from_epoch_ms_sql, period_of, period_star
 from candlewick.operators.export import retention_cutoffs
 from candlewick.operators.series import latest_starts, newest_n
 from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT
+from candlewick.sources.upserts import BASE, UpsertTable
 from candlewick.units import UNITS, from_epoch
 
 
-BASE, DELTA = "base", "delta"
-
-
-def new_version() -> int:
-    return time.time_ns() // 1000
-
-
-@dataclass(frozen=True)
-class UpsertTable:
-    spark: SparkSession
-    path: str
-
-    schema: T.StructType = None
-    keys: tuple[str, ...] = ()
-    partitions: tuple[str, ...] = ()
-    sort: tuple[str, ...] = ()
-
-    @property
-    def values(self) -> list[str]:
-        return [name for name in self.schema.names if name not in self.keys]
-
-    @property
-    def stored_schema(self) -> T.StructType:
-        extra = [
-            T.StructField("_v", T.LongType()),
-            T.StructField("part", T.StringType()),
-            T.StructField("p", T.DateType()),
-        ]
-        return T.StructType([*self.schema.fields, *extra])
-
-    def period(self) -> Column:
-        raise NotImplementedError
-
-    def create(self) -> None:
-        """Makes the empty table; an existing one is left alone."""
-        path = self._hadoop_path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(path)
-
-    def append(
-        self, rows: DataFrame, version: int | None = None, rebalance: bool = True
-    ) -> None:
-        """Upserts rows, whose keys are unique among themselves.
-
-        Without ``rebalance`` the tasks that computed the rows write them, which saves a
-        shuffle when adaptive execution has already gathered few rows into few tasks.
-        """
-        present = set(rows.columns)
-        columns = [
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in self.schema.fields
-        ]
-        stamped = rows.select(
-            *columns,
-            F.lit(new_version() if version is None else version).cast("long").alias("_v"),
-            F.lit(DELTA).alias("part"),
-        )
-        self._write(stamped.withColumn("p", self.period()), "append", rebalance)
-
-    def _write(self, rows: DataFrame, mode: str, rebalance: bool = True) -> None:
-        # Rebalancing gathers each partition into few files, and splits a partition that is
-        # too large for one task; the sort makes row-group statistics selective.
-        gathered = rows.hint("rebalance", *self.partitions) if rebalance else rows
-        (
-            gathered.sortWithinPartitions(*self.partitions, *self.sort)
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.partitions)
-            .parquet(self.path)
-        )
-
-    def raw(self, folders: str | None = None) -> DataFrame:
-        """Every stored version of every row, in both parts.
-
-        ``folders`` is a pattern below the table: listing all partitions of a long history
-        would take longer than a job that reads its newest ones.
-        """
-        reader = self.spark.read.schema(self.stored_schema)
-        if folders is None:
-            return reader.parquet(self.path)
-        pattern = self._hadoop_path(f"{self.path}/{folders}")
-        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
-        paths = [status.getPath().toString() for status in found or []]
-        if not paths:
-            return self.spark.createDataFrame([], self.stored_schema)
-        return reader.option("basePath", self.path).parquet(*paths)
-
-    def read(self, *conditions: Column, folders: str | None = None) -> DataFrame:
-        """Current rows. Conditions may use keys and ``p`` only: values may be outdated."""
-        rows = self.raw(folders)
-        for condition in conditions:
-            rows = rows.where(condition)
-        return self._current(rows).select(*self.schema.names)
-
-    def _current(self, rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-        """Newest version per key; one max_by per column keeps the buffers primitive."""
-        delta = rows.where(F.col("part") == DELTA).groupBy(*self.keys, *extra).agg(
-            *[F.max_by(c, "_v").alias(c) for c in self.values], F.max("_v").alias("_v")
-        )
-        base = rows.where(F.col("part") == BASE).select(*delta.columns)
-        keys = list(self.keys)
-        return base.join(delta.select(*keys), keys, "left_anti").unionByName(delta)
-
-    def compact(self) -> None:
-        """Folds the delta into the base partitions it touches, then drops it.
-
-        A failure at any point leaves a table that reads the same: until the delta is dropped
-        its rows still replace the base rows, whether those were rewritten or not.
-        """
-        rows = self.raw()
-        periods = [c for c in self.partitions if c != "part"]
-        touched = rows.where(F.col("part") == DELTA).select(*periods).distinct()
-        merged = self._current(rows.join(touched, periods, "left_semi"), extra=["p"])
-        self._write(
-            merged.withColumn("part", F.lit(BASE)).select(*self.stored_schema.names), "overwrite"
-        )
-        self._drop_folder(f"part={DELTA}")
-
-    def _hadoop_path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _drop_folder(self, folder: str) -> None:
-        path = self._hadoop_path(f"{self.path}/{folder}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 @dataclass(frozen=True)
 class CandleTable(UpsertTable):
     """Candles of all exchanges and units, keyed (exchange, unit, timestamp, symbol)."""
 
     schema: T.StructType = CANDLE
     keys: tuple[str, ...] = tuple(CANDLE_KEYS)
-    partitions: tuple[str, ...] = ("part", "exchange", "unit", "p")
+    partitions: tuple[str, ...] = ("exchange", "unit", "p")
     sort: tuple[str, ...] = ("symbol", "timestamp")
+    first_values: tuple[str, ...] = ("created_at",)
 
     def period(self) -> Column:
         return period_start("timestamp")
@@ -170,8 +36,9 @@ class CandleTable(UpsertTable):
     def append(
         self, rows: DataFrame, version: int | None = None, rebalance: bool = True
     ) -> None:
-        """As the base, with ``created_at`` defaulting to the write time."""
-        now = F.current_timestamp().cast("timestamp_ntz")
+        """As the base. A 1m candle's ``created_at`` defaults to the time of its first write,
+        which later writes keep; candles of other units have none unless it is given."""
+        now = F.when(F.col("unit") == "1m", F.current_timestamp().cast("timestamp_ntz"))
         created = F.coalesce("created_at", now) if "created_at" in rows.columns else now
         super().append(rows.withColumn("created_at", created), version, rebalance)
 
@@ -193,9 +60,11 @@ class CandleTable(UpsertTable):
             conditions.append(F.col("unit").isin(*units))
         names = list(units or UNITS)
         folders = None
+        if units is not None or exchange is not None:
+            folders = f"exchange={exchange or '*'}/unit={{{','.join(names)}}}/p=*"
         if start is not None:
             first_year = min(period_of(start, name).year for name in names)
-            folders = (f"part=*/exchange={exchange or '*'}/unit={{{','.join(names)}}}"
+            folders = (f"exchange={exchange or '*'}/unit={{{','.join(names)}}}"
                        f"/p={{{','.join(years_from(first_year))}}}-*")
             conditions += [F.col("timestamp") >= ts_literal(start),
                            any_period(names, lambda name: F.col("p") >= F.lit(period_of(start, name)))]
@@ -208,7 +77,7 @@ class CandleTable(UpsertTable):
     def latest(self, exchange: str, unit: str) -> DataFrame:
         """Newest candle per symbol: series and time are scanned once, then only the
         partitions that hold a newest candle."""
-        rows = self.raw().where((F.col("exchange") == exchange) & (F.col("unit") == unit))
+        rows = self.raw(f"exchange={exchange}/unit={unit}/p=*")
         newest = latest_starts(rows).withColumnRenamed("latest", "timestamp")
         newest = newest.withColumn("p", period_start("timestamp", unit))
         keys = [*self.keys, "p"]
@@ -245,7 +114,7 @@ class ExportTable(UpsertTable):
 
     schema: T.StructType = EXPORT
     keys: tuple[str, ...] = ("unit", "market", "code", "tms")
-    partitions: tuple[str, ...] = ("part", "unit", "market", "p")
+    partitions: tuple[str, ...] = ("unit", "market", "p")
     sort: tuple[str, ...] = ("code", "tms")
 
     def period(self) -> Column:
@@ -264,46 +133,54 @@ class ExportTable(UpsertTable):
     def delete_expired(self, now: datetime) -> dict[str, int]:
         """Deletes rows older than their unit keeps and returns how many per unit.
 
-        Partitions wholly past the bound are dropped unread; only the one the bound falls in
-        is rewritten. Partition bounds are collected: their number grows with units, markets
-        and periods, not with rows.
+        Appends are folded first, so only base partitions hold expired rows. Partitions wholly
+        past the bound are dropped unread; only the one the bound falls in is rewritten.
+        Partition bounds are collected: their number grows with units, markets and periods, not
+        with rows. An expired row that arrives meanwhile goes the next time.
         """
+        self.compact()
         cutoffs = retention_cutoffs(now)
         bounds = " ".join(f"WHEN '{unit}' THEN {cutoff}L" for unit, cutoff in cutoffs.items())
         # Partitions that start after the bound hold nothing expired and are not scanned.
-        last_periods = [
-            (F.col("unit") == unit)
-            & (F.col("p") <= F.lit(period_of(from_epoch(cutoff), UNIT_OF_EXPORT[unit])))
+        last_periods = {
+            unit: period_of(from_epoch(cutoff), UNIT_OF_EXPORT[unit]).isoformat()
             for unit, cutoff in cutoffs.items()
-        ]
-        rows = (
-            self.raw().where(reduce(Column.__or__, last_periods))
-            .withColumn("cutoff", F.expr(f"CASE unit {bounds} END"))
-        )
-        old = rows.where(F.col("tms") < F.col("cutoff"))
-        deleted = {
-            row["unit"]: row["n"]
-            for row in old.select(*self.keys).distinct().groupBy("unit").agg(
-                F.count(F.lit(1)).alias("n")).collect()
         }
-        parts = (
-            rows.groupBy(*self.partitions)
-            .agg(F.min("tms").alias("low"), F.max("tms").alias("high"), F.first("cutoff").alias("cutoff"))
-            .where(F.col("low") < F.col("cutoff"))
-            .collect()
-        )
-        crossed = [row for row in parts if row["high"] >= row["cutoff"]]
+        paths = [
+            path for path in self._base_paths()
+            if self._values_of(path)["p"] <= last_periods.get(self._values_of(path)["unit"], "")
+        ]
+        rows = self._rows(paths).withColumn("cutoff", F.expr(f"CASE unit {bounds} END"))
+        old = F.col("tms") < F.col("cutoff")
+        parts = rows.groupBy(*self.partitions).agg(
+            F.count_if(old).alias("n"), F.count_if(~old).alias("kept")
+        ).where("n > 0").collect()
+        crossed = [row for row in parts if row["kept"]]
         if crossed:
-            here = reduce(Column.__or__, [
-                reduce(Column.__and__, [F.col(c) == F.lit(row[c]) for c in self.partitions])
-                for row in crossed
-            ])
-            kept = rows.where(here).where(F.col("tms") >= F.col("cutoff"))
-            self._write(kept.select(*self.stored_schema.names), "overwrite")
+            names = {self._folder_of(row) for row in crossed}
+            here = self._rows([path for path in paths if self._partition_of(path) in names])
+            kept = here.withColumn("cutoff", F.expr(f"CASE unit {bounds} END")).where(~old)
+            stored = [n for n in self.stored_schema.names if n not in ("part", "w")]
+            self._write(kept.select(*stored), f"part={BASE}/w={self._claim()}")
+        for row in parts:
+            if not row["kept"]:
+                # Older generations first: a newer one hides them until it goes itself.
+                folders = sorted(
+                    self._partition_folders(f"part={BASE}/w=*", self._folder_of(row)),
+                    key=self._generation_of,
+                )
+                for path in folders:
+                    self._drop(f"part={BASE}/w={self._generation_of(path)}/{self._folder_of(row)}")
+        deleted: dict[str, int] = dict.fromkeys(cutoffs, 0)
         for row in parts:
-            if row["high"] < row["cutoff"]:
-                self._drop_folder("/".join(f"{name}={row[name]}" for name in self.partitions))
-        return {unit: deleted.get(unit, 0) for unit in cutoffs}
+            deleted[row["unit"]] += row["n"]
+        return deleted
+
+    def _folder_of(self, row) -> str:
+        return "/".join(f"{name}={row[name]}" for name in self.partitions)
+
+    def _values_of(self, path: str) -> dict[str, str]:
+        return dict(part.split("=", 1) for part in self._partition_of(path).split("/"))
 
 
 def append_trades(trades: DataFrame, path: str) -> None:

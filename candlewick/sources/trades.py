@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from candlewick.functions import code_to_symbol, from_epoch_ms, quote_of
 from candlewick.schemas import BATCHED_MESSAGE, SINGLE_MESSAGE, TRADE, TRADE_FILE
 
-# Positions of records within one message take the low digits of the arrival order.
-MESSAGE_SLOTS = 1_000_000
-
 
 def trades_from_singles(messages: DataFrame, exchange: str = "upbit") -> DataFrame:
     """One trade per JSON message in column ``value``."""
@@ -27,7 +24,7 @@ def trades_from_singles(messages: DataFrame, exchange: str = "upbit") -> DataFra
         F.when(F.col("ask_bid") == "ASK", "sell").when(F.col("ask_bid") == "BID", "buy").alias("side"),
         price.alias("price"), amount.alias("amount"), (price * amount).alias("cost"),
         F.col("sequential_id").alias("id"),
-        F.lit(None).cast("long").alias("arrival_seq"),
+        F.lit(None).cast("long").alias("arrival_seq"), F.lit(None).cast("int").alias("arrival_pos"),
     )
 
 
@@ -48,14 +45,14 @@ def trades_from_batches(
     messages: DataFrame,
     exchange: str = "bithumb",
     buy_flag: str = "1",
-    seq: str | None = "seq",
+    seq: str = "seq",
 ) -> DataFrame:
     """All trades of the 'transaction' messages in column ``value``.
 
-    ``seq`` names the column that orders messages (an offset). With the position in the list
-    it gives the arrival order; a list that outgrows its slots fails instead of misordering.
+    ``seq`` names the column that orders messages (an offset); with the position in the list it
+    gives the arrival order.
     """
-    order = F.col(seq) if seq else F.lit(0).cast("long")
+    order = F.col(seq).cast("long")
     # A filter on the type would be pushed below and parse each message again, and so would
     # the non-empty filter that a plain explode implies; an outer explode parses once.
     parsed = messages.select(order.alias("seq"), F.from_json("value", BATCHED_MESSAGE).alias("m"))
@@ -65,10 +62,6 @@ def trades_from_batches(
     records = lists.select("seq", F.posexplode_outer("list").alias("pos", "r")).where(
         F.col("r").isNotNull()
     ).withColumn("at", local_trade_time("r.contDtm"))
-    fits = F.col("pos") < MESSAGE_SLOTS
-    arrival = F.when(fits, F.col("seq") * MESSAGE_SLOTS + F.col("pos")).otherwise(
-        F.raise_error(F.lit("message holds too many records"))
-    )
     return records.select(
         F.lit(exchange).alias("exchange"),
         code_to_symbol("bithumb", F.col("r.symbol")).alias("symbol"),
@@ -78,7 +71,7 @@ def trades_from_batches(
         number(F.coalesce("r.contQty", "r.units")).alias("amount"),
         number(F.col("r.contAmt")).alias("cost"),
         F.unix_millis(F.col("at").cast("timestamp")).alias("id"),
-        arrival.cast("long").alias("arrival_seq"),
+        F.col("seq").alias("arrival_seq"), F.col("pos").alias("arrival_pos"),
     )
 
 
@@ -91,7 +84,7 @@ def read_trade_files(spark: SparkSession, path: str, exchange: str = "upbit") ->
         at.alias("timestamp"), "side", "price", "amount",
         (F.col("price") * F.col("amount")).alias("cost"),
         F.col("sequential_id").cast("long").alias("id"),
-        F.lit(None).cast("long").alias("arrival_seq"),
+        F.lit(None).cast("long").alias("arrival_seq"), F.lit(None).cast("int").alias("arrival_pos"),
     )
 
 
@@ -108,7 +101,8 @@ def trades_from_events(events: DataFrame, exchange: str = "upbit") -> DataFrame:
         F.when(F.col("user_id") % 2 == 0, "buy").otherwise("sell").alias("side"),
         F.col("value").alias("price"), amount.alias("amount"),
         (F.col("value") * amount).alias("cost"),
-        F.col("event_id").alias("id"), F.col("event_id").alias("arrival_seq"),
+        F.col("event_id").alias("id"),
+        F.col("event_id").alias("arrival_seq"), F.lit(0).alias("arrival_pos"),
     )
 
 
@@ -120,7 +114,7 @@ def trades_from_lineitem(lineitem: DataFrame, symbol: Column, exchange: str = "u
         F.col("l_shipdate").alias("timestamp"), F.lit("buy").alias("side"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
         F.col("l_quantity").alias("amount"), F.col("l_extendedprice").alias("cost"),
-        line_id.alias("id"), line_id.alias("arrival_seq"),
+        line_id.alias("id"), line_id.alias("arrival_seq"), F.lit(0).alias("arrival_pos"),
     )
 
 
@@ -136,6 +130,19 @@ def stream_messages(spark: SparkSession, path: str, max_files: int | None = None
     return reader.text(path)
 
 
+def stream_ordered_messages(
+    spark: SparkSession, path: str, max_files: int | None = None
+) -> DataFrame:
+    """Landed broker records, one JSON object with ``seq`` and ``value`` per line, as a stream.
+
+    ``seq`` is the record's offset, which orders messages that share a millisecond.
+    """
+    reader = spark.readStream.schema("seq long, value string")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(path)
+
+
 def stream_trades(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Normalised trades landed as Parquet."""
     reader = spark.readStream.schema(TRADE)

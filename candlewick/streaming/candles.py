@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from candlewick.functions.times import tumbling
 from candlewick.operators.fold import (
@@ -17,14 +19,15 @@ from candlewick.operators.fold import (
     as_states,
     merged_ohlcv,
     priced,
+    repeats_dropped,
     seed_states,
 )
 from candlewick.operators.rollup import rolled_ohlcv
 from candlewick.schemas import CANDLE_COLUMNS
 from candlewick.sources.tables import CandleTable, stamped_trades
 
-# How long a candle stays open for late trades. Later ones are dropped and counted in
-# the progress events; they would otherwise overwrite the finished candle.
+# How long a candle stays open for late trades by default. Later ones are dropped and counted
+# (``LateTrades``); they would otherwise overwrite the finished candle.
 LATENESS = "1 minute"
 
 
@@ -35,7 +38,8 @@ def watermarked(rows: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 def distinct_trades(trades: DataFrame) -> DataFrame:
     """Drops re-sent trades; ids leave the state once the watermark passes them."""
-    return trades.dropDuplicatesWithinWatermark(["exchange", "symbol", "id"])
+    keys = ["exchange", "symbol", "id"]
+    return repeats_dropped(trades, lambda known: known.dropDuplicatesWithinWatermark(keys))
 
 
 def finished_columns(unit: str) -> list:
@@ -66,8 +70,8 @@ def candle_stream(
 ) -> DataFrame:
     """Streaming candles. Update mode emits open candles too, append mode closed ones only.
 
-    ``seeds`` is a stream of stored candles that a cold start continues (``write_seeds``); a
-    restart from its checkpoint needs none.
+    ``seeds`` is a stream of stored candles that a cold start continues (``seed_stream``). A
+    restart must name the same sources, so it passes the same unchanged stream again.
     """
     states = trade_stream_states(trades, profile, lateness)
     if seeds is not None:
@@ -102,6 +106,20 @@ def write_seeds(table: CandleTable, exchange: str, path: str, unit: str = "1m")
     table.latest(exchange, unit).select(*CANDLE_COLUMNS).write.mode("overwrite").parquet(path)
 
 
+def seed_stream(table: CandleTable, exchange: str, path: str, checkpoint: str) -> DataFrame:
+    """Stored candles for ``candle_stream``, landed once and before the stream's first start.
+
+    New files in ``path`` would count as new input, so a stream that has a checkpoint reads
+    what it was given at first.
+    """
+    spark = table.spark
+    started = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets")
+    if not started.getFileSystem(spark._jsc.hadoopConfiguration()).exists(started):
+        write_seeds(table, exchange, path)
+    schema = StructType([f for f in table.schema.fields if f.name in CANDLE_COLUMNS])
+    return spark.readStream.schema(schema).parquet(path)
+
+
 def upsert_stream(
     candles: DataFrame,
     table: CandleTable,
@@ -116,13 +134,18 @@ def upsert_stream(
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         candles.writeStream.outputMode(mode)
-        .foreachBatch(lambda batch, _: table.append(batch))
+        .foreachBatch(lambda batch, _: upsert_batch(batch, table))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
+def upsert_batch(batch: DataFrame, table: CandleTable) -> None:
+    table.append(batch)
+    table.compact_when_needed()
+
+
 def append_stream(
     rows: DataFrame, path: str, checkpoint: str, every: str | None = "3 seconds"
 ) -> StreamingQuery:
@@ -148,10 +171,25 @@ def trade_sink(trades: DataFrame, path: str, checkpoint: str, every: str | None
     )
 
 
-def late_trades_dropped(query: StreamingQuery) -> int:
-    """Rows the watermark has dropped so far in the retained progress events."""
-    return sum(
-        operator.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for operator in progress.stateOperators
-    )
+class LateTrades(StreamingQueryListener):
+    """Counts the rows that watermarks drop, per query, from every progress event.
+
+    Add it with ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        key = str(event.progress.id)
+        rows = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[key] = self.dropped.get(key, 0) + rows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -1,99 +1,92 @@
 """Candles that close by their own symbol's newest bucket.
 
-The default stream closes candles by the global watermark, so a busy symbol closes a quiet
-one. Here each symbol keeps one open candle and closes it when a later bucket of that symbol
-arrives. Trades are folded per task before the shuffle: a hot symbol sends a few partial
-candles per batch to its state, not its trades.
+The default stream closes candles by the global watermark, so a busy symbol closes a quiet one.
+Here a symbol's candle closes only when a later bucket of that symbol arrives, however far other
+symbols are ahead. What is kept between batches are the trades of each symbol's open bucket, in a
+folder per batch: a batch joins them with its own trades, drops repeats, and folds both in the
+JVM. A hot symbol's trades are spread by id and combined before the shuffle. A repeated batch
+reads the same state and writes the same folders again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
+
+from candlewick.functions import bucket_start
+from candlewick.operators.fold import SEQUENCE, Profile, fold_trades, priced
+from candlewick.schemas import CANDLE_KEYS, OHLCV, TRADE
+from candlewick.session import use_utc
 
-from candlewick.functions import bucket_ms
-from candlewick.functions.numbers import joined_parts_sql, parts_sql, whole_sql
-from candlewick.operators.fold import priced
-from candlewick.schemas import CANDLE_COLUMNS
-from candlewick.streaming.candles import LATENESS, distinct_trades, watermarked
+SERIES = ["exchange", "symbol"]
+OPEN = "open_bucket"
 
-GROUP = ["exchange", "symbol", "bucket"]
-FIRST, LAST = ["open_at", "open_id", "open"], ["close_at", "close_id", "close"]
-CANDLE_STATE = (
-    "bucket long, open_at long, open_id long, open double, close_at long, close_id long, "
-    "close double, high double, low double, whole long, parts long"
-)
-PARTIAL = f"exchange string, symbol string, {CANDLE_STATE}"
-STATE = f"{CANDLE_STATE}, revision long"
-OUTPUT = f"{PARTIAL}, closed boolean, revision long"
-STATE_FIELDS = [field.split()[0] for field in CANDLE_STATE.split(", ")]
 
+def close_batch(
+    batch: DataFrame, held: DataFrame | None, unit: str, profile: Profile
+) -> tuple[DataFrame, DataFrame]:
+    """The candles that a batch touches, with ``closed``, and the trades that stay open.
 
-def merged(partials: pd.DataFrame) -> pd.DataFrame:
-    """One partial candle per (exchange, symbol, bucket)."""
-    opens = partials.sort_values(FIRST[:2]).groupby(GROUP)[FIRST].first()
-    closes = partials.sort_values(LAST[:2]).groupby(GROUP)[LAST].last()
-    rest = partials.groupby(GROUP).agg(
-        {"high": "max", "low": "min", "whole": "sum", "parts": "sum"}
+    ``held`` has the open trades of the batch before. Trades of buckets that are closed already
+    change nothing.
+    """
+    trades = priced(batch).select(*TRADE.names)
+    if held is not None:
+        before = held.groupBy(*SERIES).agg(F.max(bucket_start("timestamp", unit)).alias(OPEN))
+        start = bucket_start("timestamp", unit)
+        fresh = trades.withColumn("bucket", start).join(before, SERIES, "left").where(
+            F.col(OPEN).isNull() | (F.col("bucket") >= F.col(OPEN))
+        )
+        trades = fresh.select(*TRADE.names).unionByName(held.select(*TRADE.names))
+    candles = fold_trades(trades, unit, profile)
+    newest = candles.groupBy(*SERIES).agg(F.max("timestamp").alias("newest"))
+    flagged = candles.join(newest, SERIES).withColumn("closed", F.col("timestamp") < F.col("newest"))
+    still_open = (
+        trades.withColumn("bucket", bucket_start("timestamp", unit)).join(newest, SERIES)
+        .where(F.col("bucket") == F.col("newest")).select(*TRADE.names)
     )
-    return opens.join(closes).join(rest).reset_index()
+    return flagged.drop("newest"), still_open
 
 
-def fold_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["exchange", "symbol", *STATE_FIELDS]
-    for batch in batches:
-        if len(batch):
-            yield merged(batch)[columns]
+def closing_stream(
+    trades: DataFrame,
+    path: str,
+    checkpoint: str,
+    unit: str = "1m",
+    profile: Profile = SEQUENCE,
+    every: str | None = "3 seconds",
+) -> StreamingQuery:
+    """Writes candle revisions to ``path/revisions``; ``current_candles`` reads them.
 
+    A revision is the number of its batch: each writes its open candles and those it closes.
+    """
+    spark = use_utc(trades.sparkSession)
 
-def close_candles(
-    key: tuple[str, str], batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Emits every candle the batch touched and keeps the newest as the open one."""
-    exchange, symbol = key
-    partials = pd.concat(list(batches))
-    revision = 0
-    if state.exists:
-        *held, revision = state.get
-        open_candle = pd.DataFrame([held], columns=STATE_FIELDS).assign(
-            exchange=exchange, symbol=symbol
+    def fold(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        held = None
+        if number > 0:
+            held = spark.read.schema(TRADE).parquet(f"{path}/open/batch={number - 1}")
+        candles, still_open = close_batch(batch, held, unit, profile)
+        candles.withColumn("revision", F.lit(number).cast("long")).write.mode("overwrite").parquet(
+            f"{path}/revisions/batch={number}"
         )
-        # Buckets before the open one are closed for good.
-        partials = partials[partials["bucket"] >= open_candle["bucket"].iloc[0]]
-        partials = pd.concat([open_candle, partials])
-    candles = merged(partials)
-    newest = candles["bucket"].max()
-    revision += 1
-    last = candles[candles["bucket"] == newest].iloc[0]
-    state.update((*(last[field].item() for field in STATE_FIELDS), revision))
-    yield candles.assign(closed=candles["bucket"] < newest, revision=revision)[
-        ["exchange", "symbol", *STATE_FIELDS, "closed", "revision"]
-    ]
+        still_open.write.mode("overwrite").parquet(f"{path}/open/batch={number}")
+        batch.unpersist()
+        # A batch that is repeated needs the state before it, an older one is of no use.
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/open/batch={number - 2}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
-
-def per_symbol_candles(trades: DataFrame, unit: str = "1m", lateness: str = LATENESS) -> DataFrame:
-    """Append-mode stream of candle revisions; the highest ``revision`` of a key is current."""
-    rows = distinct_trades(watermarked(priced(trades), lateness))
-    at = F.unix_micros("timestamp")
-    singles = rows.select(
-        "exchange", "symbol",
-        bucket_ms("timestamp", unit).alias("bucket"),
-        at.alias("open_at"), F.col("id").alias("open_id"), F.col("price").alias("open"),
-        at.alias("close_at"), F.col("id").alias("close_id"), F.col("price").alias("close"),
-        F.col("price").alias("high"), F.col("price").alias("low"),
-        F.expr(whole_sql("amount")).alias("whole"), F.expr(parts_sql("amount")).alias("parts"),
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        trades.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+        .trigger(**trigger).start()
     )
-    revisions = (
-        singles.mapInPandas(fold_batches, PARTIAL)
-        .groupBy("exchange", "symbol")
-        .applyInPandasWithState(close_candles, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def current_candles(revisions: DataFrame) -> DataFrame:
+    """The latest revision of each candle, with ``closed``."""
+    return revisions.groupBy(*CANDLE_KEYS).agg(
+        *[F.max_by(c, "revision").alias(c) for c in (*OHLCV, "closed")]
     )
-    return revisions.withColumns({
-        "unit": F.lit(unit),
-        "timestamp": F.timestamp_millis("bucket").cast("timestamp_ntz"),
-        "volume": F.expr(joined_parts_sql("whole", "parts")),
-    }).select(*CANDLE_COLUMNS, "closed", "revision")

@@ -38,7 +38,7 @@ def make_trades(spark):
     def build(rows, exchange="upbit"):
         full = [
             (exchange, symbol, datetime.fromisoformat(at), "buy", float(price), float(amount),
-             float(price * amount), id_, id_)
+             float(price * amount), id_, id_, 0)
             for at, symbol, price, amount, id_ in rows
         ]
         return spark.createDataFrame(full, TRADE)

@@ -47,17 +47,59 @@ def random_rows(seed, n=300):
 
 
 TIE = [
-    ("2024-01-15 07:04:50.283000", "AQT/KRW", 2285.0, 34.10201308, 17053022902830001),
-    ("2024-01-15 07:04:50.283000", "AQT/KRW", 2280.0, 255.90086733, 17053022902830000),
+    ("2031-07-09 21:14:06.125", "TEA/KRW", 318.0, 7.25, 902),
+    ("2031-07-09 21:14:06.125", "TEA/KRW", 305.5, 0.00000003, 901),
+    ("2031-07-09 21:14:06.125", "TEA/KRW", 311.0, 40.5, 903),
 ]
 
 
-@pytest.mark.parametrize("rows", [TIE, TIE[::-1]])
+@pytest.mark.parametrize("rows", [TIE, TIE[::-1], TIE[1:] + TIE[:1]])
 def test_equal_timestamps_follow_ids(make_trades, rows):
     candle = fold_trades(make_trades(rows)).first()
-    assert candle["timestamp"] == datetime(2024, 1, 15, 7, 4)
-    assert (candle["open"], candle["high"], candle["low"], candle["close"]) == (2280, 2285, 2280, 2285)
-    assert candle["volume"] == 290.00288041
+    assert candle["timestamp"] == datetime(2031, 7, 9, 21, 14)
+    assert (candle["open"], candle["high"], candle["low"], candle["close"]) == (305.5, 318, 305.5, 311)
+    assert candle["volume"] == 47.75000003
+
+
+def test_one_busy_minute(make_trades):
+    """Ninety trades of one minute, with ties out of the order of their ids."""
+    rng = random.Random(2031)
+    rows = []
+    for n in range(90):
+        at = datetime(2031, 7, 9, 21, 14) + timedelta(milliseconds=rng.randrange(0, 60_000, 750))
+        rows.append((at.isoformat(), "TEA/KRW", 300 + rng.randint(-40, 40) / 8,
+                     rng.randint(1, 10**8) / 1e8, 1000 + n))
+    rows.sort(key=lambda r: r[0])
+    first, last = min(rows, key=lambda r: (r[0], r[4])), max(rows, key=lambda r: (r[0], r[4]))
+    candle = fold_trades(make_trades(rows), details=True).first()
+    assert (candle["open"], candle["close"]) == (first[2], last[2])
+    assert (candle["high"], candle["low"]) == (max(r[2] for r in rows), min(r[2] for r in rows))
+    assert candle["volume"] == sum(round(r[3] * 1e8) for r in rows) / 1e8
+    assert candle["first_trade"] == datetime.fromisoformat(first[0])
+    assert (candle["last_trade"], candle["last_tie"]) == (datetime.fromisoformat(last[0]), last[4])
+
+
+def test_tiny_and_huge_amounts(make_trades):
+    rows = [("2031-07-09 21:14:06", "DUST/KRW", 1, 4e-9, n) for n in range(1000)]
+    rows += [("2031-07-09 21:14:06", "SHIB/KRW", 1, 1e15, n) for n in range(30)]
+    got = {k[0]: v[4] for k, v in as_dict(fold_trades(make_trades(rows))).items()}
+    assert got == {"DUST/KRW": 4e-6, "SHIB/KRW": 3e16}
+
+
+def test_trades_without_id_all_count(make_trades):
+    rows = [("2031-07-09 21:14:06", "TEA/KRW", p, 1, None) for p in (2, 3, 3)]
+    rows += [("2031-07-09 21:14:07", "TEA/KRW", 4, 1, 7)] * 2
+    trades = make_trades(rows)
+    assert as_dict(fold_trades(trades)) == as_dict(fold_trades(trades.repartition(3)))
+    candle = fold_trades(trades).first()
+    assert (candle["volume"], candle["close"], candle["low"]) == (4, 4, 2)
+
+
+def test_arrival_needs_an_order(make_trades):
+    trades = make_trades([("2031-07-09 21:14:06", "TEA/KRW", 2, 1, 1)])
+    blind = trades.withColumn("arrival_seq", F.lit(None).cast("long"))
+    with pytest.raises(Exception, match="order of arrival"):
+        fold_trades(blind, profile=ARRIVAL).collect()
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -77,17 +119,17 @@ def test_arrival_profile_keeps_repeats(make_trades):
 
 def test_details(make_trades):
     rows = [
-        ("2024-01-15 08:03:04.301", "BTC/KRW", 10, 1, 5), ("2024-01-15 08:03:58.671", "BTC/KRW", 12, 1, 9),
-        ("2024-01-15 08:03:58.671", "BTC/KRW", 11, 1, 8),
+        ("2031-07-09 21:14:02.250", "TEA/KRW", 10, 1, 5), ("2031-07-09 21:14:41.500", "TEA/KRW", 12, 1, 9),
+        ("2031-07-09 21:14:41.500", "TEA/KRW", 11, 1, 8),
     ]
     candle = fold_trades(make_trades(rows), details=True).first()
-    assert candle["first_trade"] == datetime(2024, 1, 15, 8, 3, 4, 301000)
-    assert candle["last_trade"] == datetime(2024, 1, 15, 8, 3, 58, 671000)
+    assert candle["first_trade"] == datetime(2031, 7, 9, 21, 14, 2, 250000)
+    assert candle["last_trade"] == datetime(2031, 7, 9, 21, 14, 41, 500000)
     assert (candle["last_tie"], candle["close"]) == (9, 12)
 
 
 def test_malformed_numbers_do_not_move_candles(make_trades):
-    rows = [("2024-01-15 08:03:04", "BTC/KRW", 10, 1, 1), ("2024-01-15 08:03:05", "BTC/KRW", float("nan"), 1, 2)]
+    rows = [("2031-07-09 21:14:04", "BTC/KRW", 10, 1, 1), ("2031-07-09 21:14:05", "BTC/KRW", float("nan"), 1, 2)]
     trades = make_trades(rows)
     bad = trades.limit(1).withColumns({"price": F.lit(None).cast("double"), "id": F.lit(3).cast("long")})
     candle = fold_trades(trades.unionByName(bad)).first()
@@ -106,7 +148,9 @@ def test_stored_partial_plus_rest_equals_whole(make_trades, seed):
 def test_one_hot_minute(spark, make_trades):
     """All rows in one candle and all ids repeated: nothing is lost or counted twice."""
     base = make_trades([("2024-01-15 00:00:00", "BTC/KRW", 1, 1, 0)]).drop("id", "price")
-    hot = spark.range(20_000).crossJoin(base).withColumn("price", F.col("id").cast("double"))
+    hot = spark.range(20_000).select("id", F.col("id").cast("double").alias("price"), *[
+        F.lit(v).cast(base.schema[c].dataType).alias(c) for c, v in base.first().asDict().items()
+    ])
     candle = fold_trades(hot.unionByName(hot)).collect()
     assert len(candle) == 1
     assert (candle[0]["open"], candle[0]["close"], candle[0]["volume"]) == (0, 19_999, 20_000)

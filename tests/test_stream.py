@@ -1,3 +1,4 @@
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,7 +9,7 @@ from candlewick.plans import jobs
 from candlewick.sources.tables import CandleTable
 from candlewick.sources.trades import stream_messages, stream_trades, trades_from_singles
 from candlewick.streaming import candles as live
-from candlewick.streaming.closing import per_symbol_candles
+from candlewick.streaming.closing import closing_stream, current_candles
 from test_fold import as_dict, random_rows
 
 
@@ -77,16 +78,22 @@ def test_closed_candles_and_late_trades(spark, landing, tmp_path):
         [(minute(9), "A/KRW", 30, 1, 5)],
     )
     out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    late = live.LateTrades()
+    spark.streams.addListener(late)
     query = live.append_stream(
         live.candle_stream(stream_trades(spark, folder, max_files=1)), out, progress, every=None)
     drain(query)
+    deadline = time.time() + 30
+    while not late.dropped.get(str(query.id)) and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(late)
     closed = as_dict(spark.read.parquet(out))
     # The late trade does not reopen minute 0, and the newest candle is still open.
     assert closed == {
         ("A/KRW", datetime(2024, 1, 15)): (10, 10, 10, 10, 1),
         ("A/KRW", datetime(2024, 1, 15, 0, 5)): (20, 21, 20, 21, 2),
     }
-    assert live.late_trades_dropped(query) >= 1
+    assert late.dropped[str(query.id)] >= 1
 
 
 def test_repeats_across_batches(spark, landing, make_trades, tmp_path):
@@ -109,16 +116,24 @@ def test_arrival_profile(spark, landing, make_trades, tmp_path):
     assert as_dict(table.candles()) == {("A/KRW", datetime(2024, 1, 15)): (6, 7, 5, 7, 3)}
 
 
-def test_cold_start_continues_stored_candle(spark, landing, make_trades, tmp_path):
+def test_cold_start_continues_stored_candle_and_restarts(spark, landing, make_trades, tmp_path):
     before = [(minute(0), "A/KRW", 1, 1, 1), (minute(3, 5), "A/KRW", 50, 2, 2), (minute(3, 9), "B/KRW", 7, 1, 3)]
     after = [(minute(3, 20), "A/KRW", 40, 3, 4), (minute(4), "B/KRW", 8, 1, 5)]
+    more = [(minute(3, 30), "A/KRW", 45, 1, 6)]
     table = table_at(spark, tmp_path / "candles")
     table.append(fold_trades(make_trades(before)))
-    query = jobs.stream_candles(
-        spark, stream_trades(spark, landing(after)), "upbit", table, str(tmp_path / "progress"),
-        seed_path=str(tmp_path / "seeds"), every=None)
-    drain(query)
+
+    def run(folder):
+        query = jobs.stream_candles(
+            spark, stream_trades(spark, folder), "upbit", table, str(tmp_path / "progress"),
+            every=None, lateness="5 minutes")
+        drain(query)
+
+    run(landing(after))
     assert as_dict(table.candles()) == as_dict(fold_trades(make_trades(before + after)))
+    run(landing(more))
+    run(landing())
+    assert as_dict(table.candles()) == as_dict(fold_trades(make_trades(before + after + more)))
 
 
 def test_chain_closes_hours(spark, landing, make_trades, tmp_path):
@@ -139,11 +154,7 @@ def test_each_symbol_closes_by_itself(spark, landing, make_trades, tmp_path):
         [(minute(0, 55), "FAST/KRW", 9, 0.1, 6), (minute(0, 56), "SLOW/KRW", 7, 0.3, 7),
          (minute(0, 56), "SLOW/KRW", 7, 0.3, 7)],
     )
-    out = str(tmp_path / "out")
-    stream = per_symbol_candles(stream_trades(spark, folder, max_files=1), lateness="1 hour")
-    drain(live.append_stream(stream, out, str(tmp_path / "progress"), every=None))
-    final = spark.read.parquet(out).groupBy("exchange", "unit", "timestamp", "symbol").agg(
-        *[F.max_by(c, "revision").alias(c) for c in ("open", "high", "low", "close", "volume", "closed")])
+    final = closed_by_symbol(spark, folder, tmp_path)
     start = datetime(2024, 1, 15)
     assert as_dict(final) == {
         ("FAST/KRW", start): (1, 3, 1, 3, 0.2), ("FAST/KRW", minute_at(1)): (2, 2, 2, 2, 0.1),
@@ -153,6 +164,30 @@ def test_each_symbol_closes_by_itself(spark, landing, make_trades, tmp_path):
     assert closed == {("FAST/KRW", start)}
 
 
+def closed_by_symbol(spark, folder, tmp_path, **options):
+    path = str(tmp_path / "out")
+    drain(closing_stream(
+        stream_trades(spark, folder, max_files=1), path, str(tmp_path / "progress"), every=None, **options))
+    return current_candles(spark.read.parquet(f"{path}/revisions"))
+
+
+def test_a_symbol_hours_behind_loses_nothing(spark, landing, make_trades, tmp_path):
+    slow = [(minute(0, s), "SLOW/KRW", s + 1, 1, s) for s in range(4)]
+    folder = landing(*[
+        [row, (minute(90 * n), "FAST/KRW", 1, 1, 100 + n), slow[0]] for n, row in enumerate(slow)
+    ])
+    final = as_dict(closed_by_symbol(spark, folder, tmp_path))
+    assert final["SLOW/KRW", datetime(2024, 1, 15)] == (1, 4, 1, 4, 4)
+
+
+def test_trades_of_one_millisecond_without_ids_all_count(spark, landing, tmp_path):
+    rows = [(minute(0, 1), "A/KRW", 5, 1, 7), (minute(0, 1), "A/KRW", 6, 1, 7)]
+    folder = landing(rows, [(minute(0, 2), "A/KRW", 4, 1, 8)])
+    final = as_dict(closed_by_symbol(spark, folder, tmp_path, profile=ARRIVAL))
+    (candle,) = final.values()
+    assert candle[4] == 3 and candle[3] == 4
+
+
 def minute_at(n):
     return datetime(2024, 1, 15, 0, n)
 

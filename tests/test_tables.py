@@ -1,4 +1,6 @@
+import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 from fnmatch import fnmatch
 
@@ -8,9 +10,8 @@ from pyspark.sql import functions as F
 from candlewick.operators.export import retention_cutoffs, to_export
 from candlewick.plans import jobs
 from candlewick.operators.rollup import rollup_all
-from candlewick.sources.tables import (
-    BASE, DELTA, CandleTable, ExportTable, append_trades, years_from,
-)
+from candlewick.sources.tables import CandleTable, ExportTable, append_trades, years_from
+from candlewick.sources.upserts import BASE, DELTA
 from candlewick.units import DERIVED_UNITS, UNITS, lookback_start
 
 NOW = datetime(2024, 2, 1, 0, 7, 30)
@@ -62,19 +63,86 @@ def test_version_order_beats_write_order(table, make_candles):
     assert [r[3] for r in contents(table.candles())] == [9, 9, 9, 4, 4]
 
 
-def test_crash_before_the_delta_is_dropped(table, make_candles, monkeypatch):
+def test_crash_before_the_delta_is_marked_folded(table, make_candles, monkeypatch):
     table.append(make_candles(minute_rows(10, 1)), version=1)
     table.compact()
     table.append(make_candles(minute_rows(4, 2)), version=2)
     before = contents(table.candles())
-    monkeypatch.setattr(CandleTable, "_drop_folder", lambda self, folder: None)
-    table.compact()
+
+    def crash(self, name, text):
+        raise RuntimeError("crash")
+
+    monkeypatch.setattr(CandleTable, "_put", crash)
+    with pytest.raises(RuntimeError):
+        table.compact()
     assert contents(table.candles()) == before
     monkeypatch.undo()
     table.compact()
     assert contents(table.candles()) == before
 
 
+def test_a_half_finished_delete_returns_no_old_rows(table, make_candles):
+    table.append(make_candles(minute_rows(5, 1)), version=1)
+    table.append(make_candles(minute_rows(5, 2)), version=2)
+    table.compact()
+    # The newer append is gone and its mark too, the older one is still there and unmarked.
+    newer, = [n for n in os.listdir(f"{table.path}/part=delta") if n.startswith("w=2-")]
+    table._drop_write(f"part=delta/{newer}")
+    for name in os.listdir(f"{table.path}/_folded"):
+        os.remove(f"{table.path}/_folded/{name}")
+    assert [r[3] for r in contents(table.candles())] == [2] * 5
+
+
+def test_rows_appended_during_a_compaction_stay(table, make_candles, monkeypatch):
+    table.append(make_candles(minute_rows(5, 1)), version=1)
+    write = CandleTable._write
+
+    def meanwhile(self, rows, folder, rebalance=True):
+        write(self, rows, folder, rebalance)
+        if folder.startswith("part=base"):
+            monkeypatch.undo()
+            table.append(make_candles(minute_rows(8, 2)), version=2)
+
+    monkeypatch.setattr(CandleTable, "_write", meanwhile)
+    table.compact()
+    assert [r[3] for r in contents(table.candles())] == [2] * 8
+    table.compact()
+    table.compact()
+    assert [r[3] for r in contents(table.candles())] == [2] * 8
+
+
+def test_an_unfinished_append_does_not_count(table, make_candles):
+    table.append(make_candles(minute_rows(5, 1)), version=1)
+    table.append(make_candles(minute_rows(5, 2)), version=2)
+    newer, = [n for n in os.listdir(f"{table.path}/part=delta") if n.startswith("w=2-")]
+    os.remove(f"{table.path}/part=delta/{newer}/_SUCCESS")
+    assert [r[3] for r in contents(table.candles())] == [1] * 5
+
+
+def test_parallel_writers_and_compactions(table, make_candles):
+    starts = [datetime(2024, 1, 1) + timedelta(days=9 * k) for k in range(3)]
+
+    def work(start):
+        for value in range(1, 5):
+            table.append(make_candles(minute_rows(3, value, start)))
+            if value % 2 == 0:
+                table.compact()
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(work, starts))
+    assert [r[3] for r in contents(table.candles())] == [4] * 9
+    table.compact()
+    assert [r[3] for r in contents(table.candles())] == [4] * 9
+
+
+def test_jobs_compact_when_there_are_many_appends(table, make_candles):
+    for value in range(4):
+        table.append(make_candles(minute_rows(2, value)))
+        table.compact_when_needed(2)
+    assert table.raw().where(F.col("part") == DELTA).count() < 8
+    assert [r[3] for r in contents(table.candles())] == [3, 3]
+
+
 def test_time_bounds_prune_partitions(table, make_candles):
     table.append(make_candles(minute_rows(30, 1, step=24 * 60)), version=1)
     table.compact()
@@ -102,11 +170,27 @@ def test_bound_past_the_data_reads_empty(table, make_candles):
     assert table.candles(start=datetime(2020, 1, 1)).count() == 3
 
 
-def test_created_at_defaults_to_write_time(table, make_candles):
+def test_created_at_is_the_first_write_of_a_minute(table, make_candles):
     table.append(make_candles(minute_rows(1, 1)))
-    assert table.candles().first()["created_at"].year >= 2024
+    first = table.candles().first()["created_at"]
+    assert first.year >= 2024
+    table.append(make_candles(minute_rows(1, 2)))
+    assert table.candles().first()["created_at"] == first
+    table.compact()
+    table.append(make_candles(minute_rows(1, 3)))
+    assert (table.candles().first()["created_at"], table.candles().first()["close"]) == (first, 3)
+    jobs.rollup_all(table)
+    assert {r["created_at"] for r in table.candles(units=DERIVED_UNITS).collect()} == {None}
     table.append(make_candles(minute_rows(1, 1), created_at="2024-01-29 00:01:00"))
-    assert table.candles().first()["created_at"] == datetime(2024, 1, 29, 0, 1)
+    assert table.candles(units=["1m"]).first()["created_at"] == datetime(2024, 1, 29, 0, 1)
+
+
+def test_reconciling_what_the_cascade_stored_finds_nothing(table, make_candles):
+    rows = make_candles(minute_rows(90, 1), created_at="2024-01-29 00:00:30").where("minute(timestamp) < 1")
+    table.append(rows)
+    jobs.rollup_all(table)
+    served = table.candles().drop("created_at")
+    assert jobs.reconcile(table, served, 100).where("unit <> '1m'").count() == 0
 
 
 def test_latest_per_symbol(table, make_candles):

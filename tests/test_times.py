@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,46 +7,53 @@ from candlewick.functions import bucket_ms, bucket_start, is_aligned, period_sta
 from candlewick.functions.times import period_of
 from candlewick.units import UNITS, cascade_levels, floor_time, lookback_start
 
-# Instant and the units it starts; every other unit must say no.
-ALIGNED = {
-    "2024-01-19T03:58:28.089": "1m",
-    "2024-01-19T05:03:28.089": "1m 3m",
-    "2024-01-19T05:05:28.089": "1m 5m",
-    "2024-01-19T05:40:28.089": "1m 5m 10m",
-    "2024-01-19T05:45:28.089": "1m 3m 5m 15m",
-    "2024-01-19T05:30:28.089": "1m 3m 5m 10m 15m 30m",
-    "2024-01-19T05:00:00.089": "1m 3m 5m 10m 15m 30m 1h",
-    "2024-01-19T04:00:00.089": "1m 3m 5m 10m 15m 30m 1h 4h",
-    "2024-01-19T00:00:00.089": "1m 3m 5m 10m 15m 30m 1h 4h 1d",
-    "2024-01-15T00:00:00.089": "1m 3m 5m 10m 15m 30m 1h 4h 1d 1w",
-}
+MONDAY = datetime(1970, 1, 5)
+
+
+def instants_around_edges():
+    """Starts of buckets of every unit in a leap-year spring, moments beside them, and others."""
+    base, found = datetime(2032, 2, 26, 21, 7, 13, 500_000), set()
+    for spec in UNITS.values():
+        step = timedelta(milliseconds=spec.ms)
+        edge = MONDAY + (base - MONDAY) // step * step
+        for n in range(3):
+            for beside in (-1, 0, 59_999, 60_000):
+                found.add(edge + n * step + timedelta(milliseconds=beside))
+    return sorted(found | {base + timedelta(minutes=37 * n) for n in range(40)})
+
+
+def starts(moment, unit):
+    """Counts minutes from a Monday, one by one rule for all units."""
+    minutes = (moment - MONDAY) // timedelta(minutes=1)
+    return minutes % (UNITS[unit].ms // 60_000) == 0
 
 
 @pytest.fixture(scope="module")
 def instants(spark):
-    rows = [(datetime.fromisoformat(text),) for text in ALIGNED]
+    rows = [(moment,) for moment in instants_around_edges()]
     return spark.createDataFrame(rows, "ts timestamp_ntz")
 
 
 def test_alignment(instants):
     flagged = instants.select("ts", *[is_aligned("ts", u).alias(u) for u in UNITS]).collect()
     for row in flagged:
-        expected = ALIGNED[row["ts"].isoformat(timespec="milliseconds")].split()
-        assert [u for u in UNITS if row[u]] == expected
+        assert [u for u in UNITS if row[u]] == [u for u in UNITS if starts(row["ts"], u)]
+    assert all(any(row[u] for row in flagged) for u in UNITS)
 
 
 def test_alignment_by_unit_column(instants):
     units = F.explode(F.array(*map(F.lit, UNITS))).alias("unit")
     rows = instants.select("ts", units).where(is_aligned("ts")).collect()
-    assert len(rows) == sum(len(v.split()) for v in ALIGNED.values())
+    assert len(rows) == sum(starts(m, u) for m in instants_around_edges() for u in UNITS)
 
 
-@pytest.mark.parametrize("tms, start", [
-    (1705069859999, 1705069800000), (1705069860000, 1705069860000),
-])
-def test_minute_bucket(spark, tms, start):
-    row = spark.range(1).select(F.timestamp_millis(F.lit(tms)).cast("timestamp_ntz").alias("ts"))
-    assert row.select(bucket_ms("ts", "1m").alias("b")).first()["b"] == start
+@pytest.mark.parametrize("beside, start", [(-1, -60_000), (0, 0), (1, 0), (59_999, 0)])
+def test_minute_bucket(spark, beside, start):
+    edge = 1_961_000_040_000
+    assert edge % 60_000 == 0
+    row = spark.range(1).select(
+        F.timestamp_millis(F.lit(edge + beside)).cast("timestamp_ntz").alias("ts"))
+    assert row.select(bucket_ms("ts", "1m").alias("b")).first()["b"] == edge + start
 
 
 @pytest.mark.parametrize("zone", ["UTC", "KST"])
@@ -59,12 +66,12 @@ def test_buckets_agree_with_driver_side(instants, unit, zone):
 
 
 def test_calendar_starts():
-    moment = datetime(2024, 1, 19, 16, 30)
-    assert floor_time(moment, "1w") == datetime(2024, 1, 15)
-    assert floor_time(moment, "1d", "KST") == datetime(2024, 1, 19, 15)
-    assert floor_time(moment, "1w", "KST") == datetime(2024, 1, 14, 15)
-    assert floor_time(moment, "4h", "KST") == datetime(2024, 1, 19, 15)
-    assert lookback_start(moment, "1h") == datetime(2024, 1, 19, 15)
+    moment = datetime(2032, 3, 3, 16, 30)  # a Wednesday
+    assert floor_time(moment, "1w") == datetime(2032, 3, 1)
+    assert floor_time(moment, "1d", "KST") == datetime(2032, 3, 3, 15)
+    assert floor_time(moment, "1w", "KST") == datetime(2032, 2, 29, 15)
+    assert floor_time(moment, "4h", "KST") == datetime(2032, 3, 3, 15)
+    assert lookback_start(moment, "1h") == datetime(2032, 3, 3, 15)
     with pytest.raises(ValueError):
         floor_time(moment, "1d", "CET")
 
@@ -82,7 +89,7 @@ def test_session_zone_does_not_move_buckets(spark, instants):
 def test_periods(instants, unit):
     for row in instants.select("ts", period_start("ts", unit).alias("p")).collect():
         assert row["p"] == period_of(row["ts"], unit)
-    assert period_of(datetime(2024, 1, 21), "1m") == date(2024, 1, 15)
+    assert period_of(datetime(2032, 3, 7), "1m") == date(2032, 3, 1)
 
 
 def test_cascade_levels():
