@@ -72,7 +72,10 @@ def closed_on_grid(exchange: DataFrame, ranked: bool = False) -> DataFrame:
 
 def reconcile_diffs(stored: DataFrame, served: DataFrame) -> DataFrame:
     """Closed exchange candles that are missing from the store or differ from it."""
-    flagged = with_flags(paired(stored, served, "left"))
+    return diff_rows(with_flags(paired(stored, served, "left")))
+
+
+def diff_rows(flagged: DataFrame) -> DataFrame:
     return flagged.where("is_diff").select(
         "exchange", "unit", "symbol",
         epoch_ms("timestamp").alias("tms"), F.col("timestamp").alias("date"),
@@ -92,10 +95,15 @@ def reconcile_summary(
     A full outer join sees both sides once, so stored counts need no second pass.
     ``depth`` adds the depth that was compared as ``check_count``.
     """
-    flagged = with_flags(paired(stored, served, "full_outer"))
+    return summary_rows(with_flags(paired(stored, served, "full_outer")), depth)
+
+
+def summary_rows(
+    flagged: DataFrame, depth: int | dict[str, dict[str, int]] | None = None
+) -> DataFrame:
     db, ex = F.col("db_candle"), F.col("exchange_candle")
     diff, late = F.col("is_diff"), F.lit(False)
-    if "created_at" in stored.columns:
+    if "created_at" in flagged.schema["db_candle"].dataType.names:
         late = created_lag(db["created_at"], db["timestamp"])
 
     def flagged_count(name: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import bucket_start, exact_sum
 from candlewick.schemas import CANDLE_COLUMNS
+from candlewick.units import HOUR_MS, UNITS
 
 
 @dataclass(frozen=True)
@@ -117,6 +118,7 @@ def fold_trades(
     profile: Profile = SEQUENCE,
     timezone: str = "UTC",
     details: bool = False,
+    spread_ids: bool | None = None,
 ) -> DataFrame:
     """OHLCV candles per (exchange, symbol, bucket).
 
@@ -124,13 +126,22 @@ def fold_trades(
     Repeats are dropped per candle, as ids are only unique within their series. The bucket
     leads the group keys because the aggregate sorts on them and a long prefix compares
     without touching the symbol strings.
+
+    Up to an hour trades are shuffled once, by candle, which serves repeats and candles alike.
+    ``spread_ids`` shuffles them by id first, so that not even one candle's trades must fit one
+    task; it is the default for longer units, where a hot symbol fills few candles.
     """
+    if spread_ids is None:
+        spread_ids = UNITS[unit].ms > HOUR_MS
     rows = priced(trades).select(
         "exchange", "symbol", bucket_start("timestamp", unit, timezone).alias("bucket"),
         "timestamp", "price", "amount", *profile.ties,
     )
     if profile.repeats:
         keys = ["id", "bucket", "symbol", "exchange"]
+        if not spread_ids:
+            rows = rows.repartition("bucket", "symbol", "exchange")
+            keys = [*keys[1:], "id"]
         rows = repeats_dropped(rows, lambda known: first_of_each(known, keys))
     extra = []
     if details:

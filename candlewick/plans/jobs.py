@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.operators.compare import (
     closed_on_grid,
+    diff_rows,
     export_summary,
-    reconcile_diffs,
-    reconcile_summary,
+    paired,
+    summary_rows,
     to_depth,
+    with_flags,
 )
 from candlewick.operators.export import latest_buckets, to_export
 from candlewick.operators.fold import PROFILES, fold_trades
 from candlewick.operators.rollup import rollup_all as roll_all_units
 from candlewick.operators.rollup import rollup_many
-from candlewick.operators.series import gaps, newest_n
-from candlewick.session import use_utc
+from candlewick.operators.series import depth_of, gaps, newest_n
+from candlewick.schemas import SERIES
+from candlewick.session import shared_folder, use_utc
 from candlewick.sources.history import candles_from_arrays, native_history
 from candlewick.sources.reports import write_csv_summary, write_diff_report, write_summary_report
 from candlewick.sources.tables import CandleTable, ExportTable
@@ -119,17 +124,53 @@ def reconcile(
     depth: int | dict[str, dict[str, int]],
     report_path: str | None = None,
 ) -> DataFrame:
-    """Compares the newest stored candles with the exchange's own; returns the summary."""
-    use_utc(table.spark)
-    stored = to_depth(table.candles(), depth)
-    theirs = closed_on_grid(to_depth(exchange_candles, depth), ranked=True)
-    summary = reconcile_summary(stored, theirs, depth)
+    """Compares the newest stored candles with the exchange's own; returns the summary.
+
+    Pairs of candles are written once, and report and summary are read from them.
+    """
+    spark = use_utc(table.spark)
+    served = to_depth(exchange_candles, depth)
+    stored = stored_to_depth(table, served, depth)
+    folder = shared_folder(spark, "pairs")
+    pairs = with_flags(paired(stored, closed_on_grid(served, ranked=True), "full_outer"))
+    pairs.write.parquet(folder)
+    pairs = spark.read.schema(pairs.schema).parquet(folder)
+    summary = summary_rows(pairs, depth)
     if report_path is not None:
-        write_diff_report(reconcile_diffs(stored, theirs), f"{report_path}/diffs")
+        write_diff_report(diff_rows(pairs), f"{report_path}/diffs")
         write_summary_report(summary, f"{report_path}/summary")
     return summary
 
 
+def stored_to_depth(
+    table: CandleTable, served: DataFrame, depth: int | dict[str, dict[str, int]]
+) -> DataFrame:
+    """Newest stored candles of the served units, from the partitions that can hold them.
+
+    A unit is read back to its oldest served candle, and whole only if some series has too few
+    rows there. One small row per unit is collected.
+    """
+    starts = {
+        row["unit"]: row["start"]
+        for row in served.groupBy("unit").agg(F.min("timestamp").alias("start")).collect()
+    }
+    # The unit of a depth that is served no candle at all is compared too.
+    units = starts.keys() if isinstance(depth, int) else {u for by in depth.values() for u in by}
+    parts = []
+    for unit in sorted(units | starts.keys()):
+        recent = None
+        if unit in starts:
+            recent = to_depth(table.candles(units=[unit], start=starts[unit]), depth)
+            everything = table.candles(units=[unit]).select(*SERIES).distinct()
+            counted = everything.join(
+                recent.groupBy(*SERIES).agg(F.count("*").alias("n")), SERIES, "left"
+            ).withColumn("wanted", depth_of(depth))
+            if not counted.where("wanted IS NOT NULL AND coalesce(n, 0) < wanted").isEmpty():
+                recent = None
+        parts.append(to_depth(table.candles(units=[unit]), depth) if recent is None else recent)
+    return reduce(DataFrame.unionByName, parts) if parts else to_depth(table.candles(), depth)
+
+
 def reconcile_export(
     export: ExportTable,
     rest: DataFrame,

@@ -161,7 +161,8 @@ class ExportTable(UpsertTable):
             here = self._rows([path for path in paths if self._partition_of(path) in names])
             kept = here.withColumn("cutoff", F.expr(f"CASE unit {bounds} END")).where(~old)
             stored = [n for n in self.stored_schema.names if n not in ("part", "w")]
-            self._write(kept.select(*stored), f"part={BASE}/w={self._claim()}")
+            with self._claim() as generation:
+                self._write(kept.select(*stored), f"part={BASE}/w={generation}")
         for row in parts:
             if not row["kept"]:
                 # Older generations first: a newer one hides them until it goes itself.

@@ -11,7 +11,9 @@ late changes nothing. Of each base partition the newest generation counts.
 
 A compaction claims the next generation, folds the deltas it sees into the base partitions they
 touch, and then lists them as folded. A delta that arrives meanwhile is not in its list and stays.
-Two compactions may run at once: the later generation has seen all that the earlier one folded.
+While a claim is held other compactions leave the table alone; a claim that a crash left behind
+expires. Should two run at once all the same, the later generation has seen all that the earlier
+one folded.
 Folders that are no longer needed are deleted by the next compaction, so readers that still use
 them have until then.
 
@@ -23,14 +25,18 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BASE, DELTA = "base", "delta"
+# A claim older than this was left by a crash.
+CLAIM_SECONDS = 3600
 # Jobs compact a table once it has more appends than this.
 COMPACT_AFTER = 64
 
@@ -155,9 +161,11 @@ class UpsertTable:
         A failure at any point leaves a table that reads the same.
         """
         deltas = self._deltas()
-        if not deltas:
-            return
-        generation = self._claim()
+        if deltas and not self._claimed():
+            with self._claim() as generation:
+                self._fold(deltas, generation)
+
+    def _fold(self, deltas: set[str], generation: int) -> None:
         paths = self._delta_paths(deltas, "/".join(f"{c}=*" for c in self.partitions))
         touched = {self._partition_of(path) for path in paths}
         base = [path for path in self._base_paths() if self._partition_of(path) in touched]
@@ -171,14 +179,22 @@ class UpsertTable:
         if len(self._deltas()) > appends:
             self.compact()
 
-    def _claim(self) -> int:
-        """The next generation, taken by creating a file that must not exist."""
+    def _claimed(self) -> bool:
+        oldest = (time.time() - CLAIM_SECONDS) * 1000
+        return any(s.getModificationTime() >= oldest for s in self._glob("_claims/*"))
+
+    @contextmanager
+    def _claim(self) -> Iterator[int]:
+        """The next generation, held by creating a file that must not exist."""
         taken = [int(self._name(s)) for s in self._glob("_claims/*")]
         taken += [int(self._name(s).removeprefix("w=")) for s in self._glob(f"part={BASE}/w=*")]
         generation = max(taken, default=0) + 1
-        while not self._fs.createNewFile(self._at(f"_claims/{generation}")):
+        while not self._create(f"_claims/{generation}"):
             generation += 1
-        return generation
+        try:
+            yield generation
+        finally:
+            self._fs.delete(self._at(f"_claims/{generation}"), False)
 
     def _clean(self, generation: int) -> None:
         """Deletes what an earlier generation made needless, oldest first."""
@@ -187,9 +203,6 @@ class UpsertTable:
                 for name in self._get(status).split("\n"):
                     self._drop_write(f"part={DELTA}/w={name}")
                 self._fs.delete(status.getPath(), False)
-        for status in self._glob("_claims/*"):
-            if int(self._name(status)) < generation:
-                self._fs.delete(status.getPath(), False)
         done = self._generations()
         by_partition: dict[str, list[int]] = {}
         for path in self._partition_folders(f"part={BASE}/w=*"):
@@ -265,6 +278,16 @@ class UpsertTable:
         """The last part of a path, or one so many levels above."""
         return status.getPath().toString().rsplit("/", above + 1)[1]
 
+    def _create(self, name: str) -> bool:
+        """Makes an empty file; false if there is one already."""
+        try:
+            self._fs.create(self._at(name), False).close()
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            return False
+        return True
+
     def _put(self, name: str, text: str) -> None:
         out = self._fs.create(self._at(name), True)
         out.write(text.encode())

@@ -39,7 +39,7 @@ def close_batch(
             F.col(OPEN).isNull() | (F.col("bucket") >= F.col(OPEN))
         )
         trades = fresh.select(*TRADE.names).unionByName(held.select(*TRADE.names))
-    candles = fold_trades(trades, unit, profile)
+    candles = fold_trades(trades, unit, profile, spread_ids=True)
     newest = candles.groupBy(*SERIES).agg(F.max("timestamp").alias("newest"))
     flagged = candles.join(newest, SERIES).withColumn("closed", F.col("timestamp") < F.col("newest"))
     still_open = (

@@ -118,7 +118,7 @@ def test_export_summary(spark, make_candles, tmp_path):
     theirs[2][7] = 1.00004                 # equal to four places
     theirs[5][6] = 9                       # newest: still open, not compared
     del theirs[4]                          # not served: skipped
-    rest = to_export(make_candles([tuple(r) for r in theirs])).drop("market")
+    rest = to_export(make_candles([tuple(r) for r in theirs]))
     summary = jobs.reconcile_export(export, rest, report_path=str(tmp_path / "csv"))
     a, b = summary.orderBy("code").collect()
     assert (a["code"], a["candle"], a["diff_count"], a["diff_percent"]) == ("KRW-A", "min15", 3, 0.3)
