@@ -36,6 +36,12 @@ def free_name(frame: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def without(names: list[str], *dropped: str | None) -> list[str]:
+    """The names but for those that a new column of the same name, in any case, replaces."""
+    gone = {name.lower() for name in dropped if name is not None}
+    return [name for name in names if name.lower() not in gone]
+
+
 def word_runs(data: bytes) -> Iterator[list[bytes]]:
     """The words of a text in order, some at a time, so that a huge text needs little memory."""
     start, total = 0, len(data)

@@ -5,7 +5,8 @@ once with every dictionary; the language whose dictionary gives the fewest bytes
 whose two best sizes lie close together is marked as rejected.
 
 The dictionaries are fitted on a bounded sample: for each language at most TEXTS_PER_LANGUAGE
-labelled texts, chosen by hash, and CHARS_PER_TEXT characters of each. Every text is encoded
+labelled texts, chosen by hash, and CHARS_PER_TEXT characters of each; and of the languages the
+MAX_LANGUAGES with the most labelled texts. Every text is encoded
 whole, in chunks, so that a long text still leans on the dictionary rather than on itself.
 
 Rows: a null text, or one without a letter, is ``und`` with score 0 and rejected. Texts or labels
@@ -48,9 +49,8 @@ def train(labelled: DataFrame, text: str = "text", language: str = "lang") -> di
     ).where("language IS NOT NULL AND text IS NOT NULL AND text <> ''").withColumn(
         "pick", F.pmod(F.xxhash64("text"), F.lit(1 << 31))
     )
-    sizes = rows.groupBy("language").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = rows.groupBy("language").agg(F.count("*").alias("n"))
+    sizes = counts.orderBy(F.desc("n"), "language").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return {}
     # Thin the table before ranking, so that no language is sorted whole.

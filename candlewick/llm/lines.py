@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import SPACES, free_name, stored
+from candlewick.llm.common import SPACES, free_name, stored, without
 
 MIN_SITES = 10
 SKETCH_LG = 11
@@ -74,7 +74,7 @@ def remove_boilerplate(
     hits = _lines(rows, F.col("id"), mark.alias("mark")).join(shared, "key").where(
         ~F.col("id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull()
     ).groupBy("id", "mark").agg(F.collect_set("key").alias("gone"))
-    key, names = free_name(docs, "_mark"), docs.columns
+    key, names = free_name(docs, "_mark"), without(docs.columns, removed)
     body = F.col(f"`{text}`")
     marked = docs.withColumn(key, F.xxhash64(body.cast("binary")))
     joined = marked.alias("d").join(

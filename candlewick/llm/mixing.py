@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from candlewick.llm.common import SPACES, free_name, stored
+from candlewick.llm.common import SPACES, free_name, stored, without
 
 BLOCKS = 256
 MAX_SOURCES = 10_000
@@ -177,7 +177,7 @@ def _last_pass(small: DataFrame, blocks: DataFrame, per_source: DataFrame) -> Da
 
 
 def _repeat(rows: DataFrame, extra: str, taken: DataFrame, detail: str | None) -> DataFrame:
-    own = [F.col(f"d.`{name}`") for name in rows.columns if name != extra]
+    own = [F.col(f"d.`{name}`") for name in without(rows.columns, extra, detail)]
     field = {name: F.col(f"d.`{extra}`.{name}") for name in ("n_tokens", "block", "key", "source")}
     joined = rows.alias("d").join(
         F.broadcast(taken.alias("t")),
@@ -189,9 +189,10 @@ def _repeat(rows: DataFrame, extra: str, taken: DataFrame, detail: str | None) -
     out = joined.where(times > 0)
     if detail is None:
         return out.select(*own, epochs.alias(extra)).drop(extra)
-    rank = _hash(field["source"], F.col("e") - 1, field["block"])
-    each = out.select("d.*", F.col("t.weight").alias("w"), epochs.alias("e")).alias("d")
+    epoch, weight = free_name(rows, "_epoch"), free_name(rows, "_weight")
+    rank = _hash(field["source"], F.col(f"`{epoch}`") - 1, field["block"])
+    each = out.select("d.*", F.col("t.weight").alias(weight), epochs.alias(epoch)).alias("d")
     return each.select(*own, F.struct(
-        F.col("e").alias("epoch"), rank.alias("rank"), F.col("w").alias("weight"),
+        F.col(f"`{epoch}`").alias("epoch"), rank.alias("rank"), F.col(f"`{weight}`").alias("weight"),
         field["n_tokens"].alias("n_tokens"),
     ).alias(detail))

@@ -191,6 +191,22 @@ def pack_documents(
     return source.mapInArrow(packed, SCHEMA)
 
 
+def matrix(rows: list, column: str = "ids", row_tokens: int = ROW_TOKENS) -> np.ndarray:
+    """Collected packed rows as one matrix of ids or positions."""
+    width = len(rows[0][column]) // row_tokens if rows else 2
+    data = b"".join(bytes(row[column]) for row in rows)
+    return np.frombuffer(data, f"<u{width}").reshape(-1, row_tokens)
+
+
+def write_packed(packed: DataFrame, folder: str) -> None:
+    """Packed rows as Parquet files whose binary columns are rows of the matrices.
+
+    Spark's own writer commits them, so a lost executor leaves neither gaps nor doubles, and the
+    folder can be in any store that Spark reaches.
+    """
+    packed.write.parquet(folder)
+
+
 def unpack_row(row, row_tokens: int = ROW_TOKENS) -> Iterator[tuple[int | None, int, np.ndarray]]:
     """The segments (doc_id, offset, ids) of one packed row."""
     ids = np.frombuffer(row.ids, f"<u{len(row.ids) // row_tokens}")

@@ -16,7 +16,7 @@ that merging gives, from left to right, with the same sharing.
 Rows: a null text has null ids and null decodes to null; an empty text has no ids. Characters
 outside the vocabulary become byte pieces, or the unknown id if the model has none. A text that
 holds the mark U+2581 itself decodes with a blank in its place. Repeated rows get equal ids.
-Other columns pass through. Long texts are cut like short ones; the word table of a worker
+Other columns pass through; one named like a new column is replaced. Long texts are cut like short ones; the word table of a worker
 stops growing at CACHE_WORDS words, which changes no result.
 """
 
@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2
 
+from candlewick.llm.common import without
+
 MARK, BLANK = "▁", " "
 CACHE_WORDS = 300_000
 CACHE_PAIRS = 300_000
@@ -277,6 +279,7 @@ def encode_documents(
     """The rows with ``ids``, an array of int, and with the text that they stand for if ``decoded``
     names a column for it. The model file is read on the driver."""
     model = _shared(docs, model_path)
+    docs = docs.select(*(f"`{name}`" for name in without(docs.columns, ids, decoded)))
     place = docs.columns.index(text)
     schema = StructType([*docs.schema.fields, StructField(ids, ArrayType(IntegerType()))])
     if decoded is not None:

@@ -16,7 +16,7 @@ Rows: a null text counts as an empty one, which has no spots; two texts without
 Equal texts have equal fingerprints. Words are runs of letters and digits, in lower case. In
 ``with_next``, rows of one id follow each other by text hash and null ids come last, so repeated
 rows are each other's next document; a single row is its own. Other columns are not read; no
-rows give no rows.
+rows give no rows. Of more than RUN common words in a row the next counts as a content word.
 """
 
 from __future__ import annotations
@@ -61,7 +61,10 @@ def _pattern(words: list[str]) -> str:
     return f"(?:{'|'.join(branches)})" + ("?+" if "" in words else "")
 
 
-GROUP = f"(?:{_pattern(ANCHORS)} )*+[^ ]+"
+# A content word with the anchors before it. The matcher recurses for each anchor, so a run is
+# taken in parts: of more than RUN anchors in a row the next one counts as a content word.
+RUN = 31
+GROUP = f"(?:{_pattern(ANCHORS)} ){{0,{RUN}}}+[^ ]+"
 
 
 def with_spots(frame: DataFrame, text: str, name: str, *keep: str) -> DataFrame:

@@ -84,3 +84,15 @@ def test_every_token_comes_back(spark):
 
 def test_no_rows(spark):
     assert check(spark, [], 64, 100) == []
+
+
+def test_written_rows_are_the_rows_of_a_matrix(spark, tmp_path):
+    docs = [(k, "some words " * (k % 40), "x") for k in range(50)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, ids string")
+    folder = str(tmp_path / "packed")
+    packing.write_packed(packing.pack_documents(frame, RANKS, END, row_tokens=32), folder)
+    rows = spark.read.parquet(folder).orderBy("pack_id").collect()
+    ids, positions = (packing.matrix(rows, name, 32) for name in ("ids", "positions"))
+    assert ids.shape == positions.shape == (len(rows), 32)
+    assert ((positions == 0).sum(axis=1) >= [len(r.doc_ids) for r in rows]).all()
+    assert packing.matrix([]).shape == (0, packing.ROW_TOKENS)

@@ -12,7 +12,12 @@ from candlewick.llm import quality
 from .test_lines import plain as plain_lines
 from .test_simhash import plain_components, plain_fingerprint
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, n int"
+# Columns beyond those of the table, named like ones that operators use inside.
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, key string, n int, "
+    "ids string, e int, w string, `_mix` int, d string, h string, component long, fingerprint int"
+)
+EXTRA = ("i", 2, "w", 3, "d", "h", 4, 5)
 
 
 def table():
@@ -26,12 +31,13 @@ def table():
     docs += [docs[5], docs[5], (900, None, None, None, None, None, None), (901, "", "en", "s1", 0, "x", 1),
              (902, "$$$ ### " * 40, "en", "s2", 1, "x", 1), (None, docs[7][1], "en", None, 1, "x", 1),
              (None, " ".join(f"q{j}" for j in range(50)), "en", None, 1, "x", 1)]
-    return docs
+    return [(*doc, *EXTRA) for doc in docs]
 
 
 def run_stage(spark, k, docs):
     frame = spark.createDataFrame(docs, SCHEMA)
     out = corpus_pipeline.STAGES[k][1](spark, frame, "")
+    assert k < 4 or len(out.columns) == len(frame.columns) + 2
     if k < 4:
         assert out.columns == frame.columns
     return [tuple(r) for r in out.collect()]
@@ -64,7 +70,7 @@ def test_stages_one_after_the_other(spark):
     coded = run_stage(spark, 4, mixed)
     library = sentencepiece.SentencePieceProcessor(model_file=corpus_pipeline.MODEL)
     assert len(coded) == len(mixed)
-    assert all(d[7] == library.encode(d[1]) and d[8] == len(d[7]) and d[9] for d in coded)
+    assert all(d[-3] == library.encode(d[1]) and d[-2] == len(d[-3]) and d[-1] for d in coded)
 
 
 def test_an_empty_table(spark, tmp_path):

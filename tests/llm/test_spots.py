@@ -53,7 +53,7 @@ WORDS = ["the", "of", "and", "a", "der", "la", "für", "más", "house", "cat", "
          "x1", "(dog)", "then", "42", "漢字", "🙂"]
 
 
-@pytest.mark.parametrize("rows", [1, 7, 5000])
+@pytest.mark.parametrize("rows", [1, 7, 60])
 def test_edited_texts_follow_descending_ids(spark, monkeypatch, rows):
     monkeypatch.setattr(spots, "ROWS_PER_BUCKET", 20)
     pick = random.Random(rows)
@@ -65,6 +65,13 @@ def test_edited_texts_follow_descending_ids(spark, monkeypatch, rows):
     check(spark, docs)
 
 
+def test_long_runs_of_anchors(spark):
+    texts = ["the " * 100_000 + "cat dog", "x" * 1_000_000, "of the cat " * 50_000, "the of"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in spots.edited_fingerprints(frame).collect()}
+    assert len(out) == 4 and all(r.n_spots >= 1 for r in out.values())
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     docs = [(1, "the old tree of a house", "x", 1)] * 3 + [(None, "the old tree of a house", "x", 1), (None, None, "x", 1)]
     frame = spark.createDataFrame(docs, "doc_id long, text string, spots string, bucket int")
