@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions import bucket_ms, bucket_start, epoch_ms, from_epoch_ms, is_aligned, ts_literal
+from candlewick.functions.symbols import join_ids
 from candlewick.operators import compare, export, series
 from candlewick.operators.fold import ARRIVAL, SEQUENCE, first_of_each, fold_trades
 from candlewick.operators.fold import as_states, merge_states, seed_states
@@ -375,6 +376,40 @@ def bithumb_parse(spark, sf_dir):
     return trade_source.trades_from_batches(messages)
 
 
+# Landed files of JSON arrays, a thousand trades each.
+@query("trade_files", """
+    SELECT 'upbit' AS exchange, upper(event_type) || '/KRW' AS symbol,
+           date_trunc('milliseconds', ts) AS timestamp, value AS price,
+           json_extract_string(props, '$.k')::DOUBLE AS amount, event_id AS id FROM events""")
+def trade_files(spark, sf_dir):
+    row = F.struct(
+        "symbol", "side", "price", "amount", F.col("id").cast("string").alias("sequential_id"),
+        F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+    )
+    arrays = trades(spark, sf_dir).groupBy(F.floor(F.col("id") / 1000).alias("file")).agg(
+        F.to_json(F.collect_list(row)).alias("value")
+    )
+    path = shared_folder(spark, "files")
+    arrays.repartition("file").write.partitionBy("file").text(path)
+    found = trade_source.read_trade_files(spark, f"{path}/*/*")
+    return found.select("exchange", "symbol", "timestamp", "price", "amount", "id")
+
+
+# Names and codes of a market from its two parts, for both exchanges.
+@query("market_ids", """
+    SELECT DISTINCT b || '/' || q AS upbit_symbol, q || '-' || b AS upbit_code,
+           b || '/' || q AS bithumb_symbol, b || '_' || q AS bithumb_code
+    FROM (SELECT upper(event_type) AS b, if(event_type = 'signup', 'BTC', 'KRW') AS q FROM events)""")
+def market_ids(spark, sf_dir):
+    base = F.upper("event_type")
+    quote = F.when(F.col("event_type") == "signup", "BTC").otherwise("KRW")
+    named = [
+        column.alias(f"{exchange}_{kind}") for exchange in ("upbit", "bithumb")
+        for kind, column in zip(("symbol", "code"), join_ids(exchange, base, quote))
+    ]
+    return events(spark, sf_dir).select(*named).distinct()
+
+
 @query("krw_filter", """
     SELECT event_id AS id, upper(event_type) || '/' ||
            CASE event_type WHEN 'signup' THEN 'BTC' ELSE 'KRW' END AS symbol
