@@ -16,6 +16,22 @@ SPACES_IN_BYTES = re.compile(SPACES.encode())
 WORD_RUN_BYTES = 1 << 18
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARKS_DEFAULT, SMALL = "67108864b", "4194304b"
+
+
+def small_batches(frame: DataFrame) -> DataFrame:
+    """The same frame, after lowering what a session sends to Python at a time to 4 MB.
+
+    Texts are long, and a batch is held by Spark, by Arrow and by Python at once. A size that the
+    user has set stays.
+    """
+    conf = frame.sparkSession.conf
+    if conf.get(ARROW_BYTES) == SPARKS_DEFAULT:
+        conf.set(ARROW_BYTES, SMALL)
+    return frame
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame written to the shared folder and read back, which cuts its lineage."""
     folder = shared_folder(frame.sparkSession, purpose)

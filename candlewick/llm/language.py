@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from candlewick.llm.common import small_batches
+
 UNDETERMINED = "und"
 TEXTS_PER_LANGUAGE = 256
 CHARS_PER_TEXT = 256
@@ -123,4 +125,4 @@ def identify(
 ) -> DataFrame:
     """The rows with a struct ``prediction``, learned from the rows where ``learn_from`` is true."""
     dictionaries = train(docs.where(learn_from), text, language)
-    return docs.withColumn(prediction, classify(docs, dictionaries, text))
+    return small_batches(docs).withColumn(prediction, classify(docs, dictionaries, text))

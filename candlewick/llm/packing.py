@@ -32,6 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.llm.common import small_batches
+
 ROW_TOKENS = 2048
 WINDOW_TOKENS = 1 << 22
 EMIT_ROWS = 512
@@ -187,7 +189,7 @@ def pack_documents(
                         yield out
         yield from window.batches(next_id)
 
-    source = docs.select(F.col(f"`{id_column}`").cast("long"), F.col(f"`{text}`").cast("string"))
+    source = small_batches(docs).select(F.col(f"`{id_column}`").cast("long"), F.col(f"`{text}`").cast("string"))
     return source.mapInArrow(packed, SCHEMA)
 
 

@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from sentencepiece import sentencepiece_model_pb2
 
-from candlewick.llm.common import without
+from candlewick.llm.common import small_batches, without
 
 MARK, BLANK = "▁", " "
-CACHE_WORDS = 300_000
-CACHE_PAIRS = 300_000
-SLICE_BYTES = 1 << 20
+CACHE_WORDS = 200_000
+CACHE_PAIRS = 150_000
+SLICE_BYTES = 1 << 19
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
 UNKNOWN_PENALTY = 10.0
@@ -156,9 +156,9 @@ class PieceModel:
         return fits
 
     @cached_property
-    def reachable(self) -> set[str]:
-        """The pieces that merging their own text gives."""
-        return {piece for piece in self.ids if self.merged(piece) == [piece]}
+    def reachable(self) -> dict[str, str]:
+        """The pieces that merging their own text gives, each to the one string that stands for it."""
+        return {piece: piece for piece in self.ids if self.merged(piece) == [piece]}
 
     # ---- the forward pass over sorted words
 
@@ -189,8 +189,8 @@ class PieceModel:
                 start -= 1
             best = word[end - 1]
             for begin in range(start, end - 1):
-                piece = word[begin:end]
-                if piece in reachable:
+                piece = reachable.get(word[begin:end])
+                if piece is not None:
                     before = path[begin][0]
                     if not before or (
                         fits[before, piece] if (before, piece) in fits else self.follows(before, piece)
@@ -298,7 +298,7 @@ def encode_documents(
                     ))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.mapInArrow(coded, schema)
+    return small_batches(docs).mapInArrow(coded, schema)
 
 
 def _slices(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
@@ -329,7 +329,7 @@ def decode_documents(
         for batch in batches:
             yield pd.Series([None if x is None else pieces.decode(x) for x in batch], dtype=object)
 
-    return rows.withColumn(text, decoded(F.col(f"`{ids}`")))
+    return small_batches(rows).withColumn(text, decoded(F.col(f"`{ids}`")))
 
 
 def _shared(frame: DataFrame, model_path: str):

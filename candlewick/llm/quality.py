@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from candlewick.llm.common import free_name, word_runs
+from candlewick.llm.common import free_name, small_batches, word_runs
 
 WINDOW_WORDS = 8
 SYMBOLS = b"#*$%&|<>"
@@ -144,7 +144,7 @@ def _over(sql: str, struct: str) -> str:
 def with_ledger(docs: DataFrame, text: str = "text", ledger: str = "ledger") -> DataFrame:
     """The rows with a struct ``ledger``: every measurement and ``failed``, the rule bits."""
     raw = free_name(docs, "_measures")
-    measured = docs.withColumn(raw, _measures(F.col(f"`{text}`").cast("binary")))
+    measured = small_batches(docs).withColumn(raw, _measures(F.col(f"`{text}`").cast("binary")))
     fields = [F.col(f"`{raw}`.{name}").alias(name) for name in MEASURES]
     entry = F.struct(*fields, failure_bits(raw).alias("failed"))
     return measured.withColumn(ledger, entry).drop(raw)

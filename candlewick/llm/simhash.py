@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from candlewick.llm.common import free_name, only, stored, word_runs
+from candlewick.llm.common import free_name, only, small_batches, stored, word_runs
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -75,7 +75,7 @@ def with_fingerprints(
             values = np.array([fingerprint_bytes(data, shingle) for data in batch], np.uint64)
             yield pd.Series(values.view(np.int64))
 
-    return docs.withColumn(name, fingerprints(F.col(f"`{text}`").cast("binary")))
+    return small_batches(docs).withColumn(name, fingerprints(F.col(f"`{text}`").cast("binary")))
 
 
 # ---- Gray order --------------------------------------------------------------------------

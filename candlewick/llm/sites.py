@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import stored
+from candlewick.llm.common import small_batches, stored
 from candlewick.llm.quality import MEASURES, measure_text
 
 MAX_LABELS = 20_000
@@ -179,7 +179,7 @@ def classify(
     texts = docs.select(F.col(f"`{id_column}`").alias("k"), F.col(f"`{text}`").alias("text"))
     weights = train(texts, marks)
     scored = stored(
-        docs.select(
+        small_batches(docs).select(
             F.col(f"`{id_column}`").alias("doc_id"), host.cast("string").alias("host"),
             path.cast("string").alias("path"), evidence(docs, weights, text).alias("evidence"),
         ),
