@@ -2,7 +2,6 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from candlewick.operators.fold import ARRIVAL, fold_trades
 from candlewick.plans import jobs
