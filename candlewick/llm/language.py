@@ -5,7 +5,7 @@ once with every dictionary; the language whose dictionary gives the fewest bytes
 whose two best sizes lie close together is marked as rejected.
 
 The dictionaries are fitted on a bounded sample: for each language at most TEXTS_PER_LANGUAGE
-labelled texts, chosen by hash, and CHARS_PER_TEXT characters of each; and of the languages the
+different labelled texts, chosen by hash whatever the number of their copies, and CHARS_PER_TEXT characters of each; and of the languages the
 MAX_LANGUAGES with the most labelled texts. Every text is encoded
 whole, in chunks, so that a long text still leans on the dictionary rather than on itself.
 
@@ -51,13 +51,16 @@ def train(labelled: DataFrame, text: str = "text", language: str = "lang") -> di
     ).where("language IS NOT NULL AND text IS NOT NULL AND text <> ''").withColumn(
         "pick", F.pmod(F.xxhash64("text"), F.lit(1 << 31))
     )
-    counts = rows.groupBy("language").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("language").agg(
+        F.count("*").alias("n"), F.approx_count_distinct("pick").alias("different")
+    )
     sizes = counts.orderBy(F.desc("n"), "language").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return {}
-    # Thin the table before ranking, so that no language is sorted whole.
+    # Thin the table before ranking, so that no language is sorted whole. Copies share one pick, so
+    # the share comes from the different texts; four times as many as needed outweigh its error.
     share = F.create_map(*(x for r in sizes for x in (
-        F.lit(r["language"]), F.lit(min(1.0, 4.0 * TEXTS_PER_LANGUAGE / r["n"])),
+        F.lit(r["language"]), F.lit(min(1.0, 4.0 * TEXTS_PER_LANGUAGE / r["different"])),
     )))
     thin = rows.where(F.col("pick") < share[F.col("language")] * F.lit(float(1 << 31)))
     start = F.col("pick") % F.greatest(F.length("text") - CHARS_PER_TEXT + 1, F.lit(1)) + 1

@@ -57,6 +57,19 @@ def test_sample_is_bounded(spark, monkeypatch):
     assert language.train(frame.orderBy(F.desc("doc_id"))) == found
 
 
+def test_copies_leave_the_sample_whole(spark):
+    few = [(f"{k} text of the first language {k * k}", "a") for k in range(50)]
+    many = [(f"{k} text of the second language {k * k}", "b") for k in range(2001)]
+    kinds = spark.createDataFrame([*few, *many], "text string, lang string")
+    copied = kinds.where("lang = 'a' OR text = '7 text of the second language 49'")
+    copies = copied.crossJoin(spark.range(4000)).drop("id")
+    hot = copied.where("lang = 'b'").crossJoin(spark.range(200_000)).drop("id")
+    found = language.train(kinds.unionByName(copies).unionByName(hot))
+    assert len(found["a"].splitlines()) == 50
+    assert len(found["b"].splitlines()) == language.TEXTS_PER_LANGUAGE
+    assert found["b"] == language.train(kinds)["b"]
+
+
 @pytest.mark.parametrize("text", ["x" * 500_000, "der die das " * 40_000])
 def test_long_texts(text):
     model = Classifier({"de": b"der die das und " * 50, "en": b"the and of this " * 50})
