@@ -7,8 +7,9 @@ two texts is the Jaccard ratio of their sets. A text without any spot is one spo
 
 ``similar_pairs`` finds all pairs above a likeness. Sets are partitioned by length into classes as
 wide as the likeness allows, so a set meets only its own and the next class; there it meets sets
-that share one of its rarest spots, and a pair is dropped as soon as lengths and positions show
-that the overlap cannot suffice. Only then are sets compared.
+that share one of its first spots, common spots being last, and a pair is dropped as soon as lengths
+and positions show that the overlap cannot suffice. Only then are sets compared. ``with_links``
+gives each document its class of equal sets and the number of classes linked to it.
 
 Only DataFrame functions are used.
 
@@ -47,6 +48,10 @@ LIKENESS = 0.8
 ROWS_PER_BUCKET = 2000
 MAX_BUCKETS = 1 << 17
 RANGES = 64
+# One set in SAMPLED tells which COMMON spots are common; they go last in every set, for speed alone.
+SAMPLED = 16
+COMMON = 1000
+PART = 1000
 
 
 def _pattern(words: list[str]) -> str:
@@ -103,7 +108,7 @@ def fingerprint(spots: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The Jaccard ratio of two sets; where the lengths alone decide, the sets are not compared."""
+    """The Jaccard ratio of two sets; two empty sets are alike."""
     shared = F.size(F.array_intersect(a, b))
     either = F.size(a) + F.size(b)
     return (
@@ -182,7 +187,8 @@ def with_next(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
 def edited_fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document's fingerprint beside that of an edited text and of the next document.
 
-    The edited text has its last half replaced by the beginning of the next document.
+    The edited text has its last half replaced by the beginning of the next document. Each
+    document also has its class of equal sets and the number of other classes like it.
     """
     rows = with_next(docs, id_column, text)
     size = F.length("text")
@@ -198,12 +204,13 @@ def edited_fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str =
     both = with_spots(
         hashed, "edited", "edited_spots", "doc_id", "n_chars", "edited_sha256", "spots", "near_next"
     )
-    return both.select(
+    compared = both.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("spots")).alias("fingerprint"),
         fingerprint(F.col("edited_spots")).alias("edited_fingerprint"),
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"), "near_next",
-        F.size("spots").alias("n_spots"),
+        F.size("spots").alias("n_spots"), "spots",
     )
+    return with_links(compared)
 
 
 # ---- near-duplicates ---------------------------------------------------------------------
@@ -212,37 +219,45 @@ def edited_fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str =
 def similar_pairs(sets: DataFrame, least: float = LIKENESS) -> DataFrame:
     """(a, b, likeness) for all pairs of different sets at least so alike; a < b.
 
-    ``sets`` has distinct keys in ``key`` and distinct ``spots``, none empty; equal sets are one
-    row, so copies are not expanded into pairs.
+    ``sets`` has distinct keys in ``key`` and distinct sorted ``spots``, none empty; equal sets are
+    one row, so copies are not expanded into pairs. It is read several times, so it should be stored.
     """
     width = -math.log(least)
-    sized = stored(sets.select(
+    sized = sets.select(
         "key", "spots", F.size("spots").alias("n"),
         F.floor(F.log(F.size("spots").cast("double")) / width).cast("int").alias("class"),
-    ), "spot-sets")
-    each = sized.select("key", "n", "class", F.explode("spots").alias("spot"))
-    counts = each.groupBy("spot").agg(F.count("*").alias("df"))
-    ranked = F.array_sort(F.collect_list(F.struct("df", "spot")))
-    # The rarest spots of a set: a likely partner shares one of them.
+    )
+    # Any one order of all spots finds the same pairs; with the common spots last it meets few others.
+    common = (
+        sized.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLED)) == 0).select(F.explode("spots").alias("spot"))
+        .groupBy("spot").agg(F.count("*").alias("df")).where(F.col("df") > 1)
+        .orderBy(F.desc("df"), "spot").limit(COMMON).agg(F.collect_list("spot").alias("common"))
+    )
+    by_rarity = F.concat(F.array_except("spots", "common"), F.array_intersect("spots", "common"))
+    # The first spots of a set: a likely partner shares one of them.
+    each = sized.crossJoin(F.broadcast(common)).select("key", "n", "class", F.posexplode(F.slice(
+        by_rarity, F.lit(1), (F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1).cast("int"),
+    )).alias("place", "spot"))
+    counts = each.groupBy("spot").agg(F.count("*").alias("df")).where(F.col("df") > 1)
+    # Holders of a common (class, spot) are cut into parts, and each part meets each part on its own.
     posts = stored(
-        each.join(counts, "spot").groupBy("key", "n", "class").agg(ranked.alias("by_rarity"))
-        .select("key", "n", "class", F.posexplode(F.slice(
-            "by_rarity", F.lit(1),
-            (F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1).cast("int"),
-        )).alias("place", "post"))
-        .select("key", "n", "class", "place", "post.spot"),
+        each.join(counts, "spot").withColumn("parts", F.ceil(F.col("df") / PART).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("df"),
         "spot-posts",
     )
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
     longer = posts.select(
-        *(F.col(c).alias(f"{c}_2") for c in ("key", "n", "place")), "class", "spot"
+        *(F.col(c).alias(f"{c}_2") for c in ("key", "n", "place")), "class", "spot",
+        F.col("part").alias("part_2"), F.explode(every).alias("part"),
     )
     shorter = posts.select(
-        "key", "n", "place", "spot", F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class")
-    )
+        "key", "n", "place", "spot", "part", "parts",
+        F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class"),
+    ).select("key", "n", "place", "spot", "part", "class", F.explode(every).alias("part_2"))
     ordered = (F.col("n") < F.col("n_2")) | ((F.col("n") == F.col("n_2")) & (F.col("key") < F.col("key_2")))
     needed = F.lit(least / (1 + least)) * (F.col("n") + F.col("n_2")) - 1e-9
     possible = F.least(F.col("n") - F.col("place"), F.col("n_2") - F.col("place_2"))
-    pairs = shorter.join(longer, ["class", "spot"]).where(
+    pairs = shorter.join(longer, ["class", "spot", "part", "part_2"]).where(
         ordered & (F.col("n") >= F.lit(least) * F.col("n_2") - 1e-9) & (possible >= needed)
     ).select("key", "key_2").distinct()
     one = sized.select("key", F.col("spots").alias("spots_1"))
@@ -251,3 +266,29 @@ def similar_pairs(sets: DataFrame, least: float = LIKENESS) -> DataFrame:
         F.least("key", "key_2").alias("a"), F.greatest("key", "key_2").alias("b"),
         likeness(F.col("spots_1"), F.col("spots_2")).alias("likeness"),
     ).where(F.col("likeness") >= least - 1e-12)
+
+
+def with_links(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """The rows, which have doc_id, fingerprint and spots, with ``class_id`` and ``n_links``.
+
+    Documents of equal sets are one class, named by its smallest doc_id; where ids repeat, the
+    fingerprint tells classes apart. ``n_links`` is the number of other classes at least so alike,
+    over the whole table. Spots are dropped.
+    """
+    held = stored(rows, "spot-documents")
+    sets = stored(
+        held.groupBy("fingerprint").agg(
+            F.min("doc_id").alias("class_id"), F.first("spots").alias("spots")
+        ).withColumn("key", F.monotonically_increasing_id()),
+        "spot-sets",
+    )
+    pairs = similar_pairs(sets.where(F.size("spots") > 0).select("key", "spots"), least)
+    links = pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(
+        F.count("*").alias("n")
+    )
+    classes = sets.drop("spots").join(links, "key", "left").select(
+        "fingerprint", "class_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links")
+    )
+    return held.drop("spots").join(classes, "fingerprint").select(
+        *(f"`{c}`" for c in rows.columns if c != "spots"), "class_id", "n_links"
+    )

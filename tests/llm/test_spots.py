@@ -100,6 +100,27 @@ def test_pairs_are_those_of_brute_force(spark):
         assert got == pytest.approx(want)
 
 
+def test_documents_have_their_class_and_all_links(spark, monkeypatch):
+    monkeypatch.setattr(spots, "PART", 3)
+    pick = random.Random(9)
+    words = [f"w{k}" for k in range(500)]
+    bases = [[x for _ in range(60) for x in ("the", *pick.choices(words, k=2))] for _ in range(3)]
+    texts = [None, "", "12"]
+    for k in range(40):
+        base = list(bases[k % 3])
+        base[3 * pick.randrange(58) + 1] = f"n{k}"  # a near copy, not next to its likes
+        texts += [" ".join(base)] * (1 + k % 2)
+    docs = [(10 * k, t) for k, t in enumerate(texts)] + [(None, texts[-1]), (30, texts[3])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in spots.edited_fingerprints(frame).collect()}
+    sets = {i: frozenset(plain_spots(t)) for i, t in docs}
+    for i, one in sets.items():
+        others = {x for x in sets.values() if x != one and x and one and ratio(one, x) >= 0.8}
+        assert got[i].n_links == len(others)
+        assert got[i].class_id == min(j for j, x in sets.items() if j is not None and x == one)
+    assert max(r.n_links for r in got.values()) >= 12
+
+
 def test_the_given_tables_have_every_document(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     out = spots.edited_fingerprints(docs)
