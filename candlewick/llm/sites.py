@@ -77,9 +77,10 @@ def train(docs: DataFrame, marks: DataFrame) -> np.ndarray | None:
 
     ``docs`` has (k, text) and ``marks`` (k, label); labels other than 0 and 1 do not count. The
     sample is drawn from the labels, so it is small enough to be sent to where the texts are.
+    Equal marks count once, and of the texts of one k the one with the least hash does.
     """
     sample = (
-        marks.where("k IS NOT NULL AND label IN (0, 1)")
+        marks.where("k IS NOT NULL AND label IN (0, 1)").distinct()
         .orderBy(F.xxhash64("k", "label"), "k", "label").limit(MAX_LABELS)
     )
 
@@ -87,7 +88,11 @@ def train(docs: DataFrame, marks: DataFrame) -> np.ndarray | None:
         for batch in batches:
             yield pd.DataFrame({"x": [features(t) for t in batch["text"]], "label": batch["label"]})
 
-    joined = docs.join(F.broadcast(sample), "k").select(F.col("text").cast("binary").alias("text"), "label")
+    # Where an id repeats, partial aggregation leaves one text per task before the shuffle.
+    mark = F.struct(F.xxhash64("text").alias("h"), F.crc32(F.col("text").cast("binary")).alias("c"))
+    held = docs.join(F.broadcast(sample.select("k").distinct()), "k").select("k", "text", mark.alias("mark"))
+    one = held.groupBy("k").agg(F.min_by("text", "mark").alias("text"))
+    joined = one.join(F.broadcast(sample), "k").select(F.col("text").cast("binary").alias("text"), "label")
     rows = joined.mapInPandas(described, "x array<double>, label int").toPandas()
     if rows["label"].nunique() < 2:
         return None

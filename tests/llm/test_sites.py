@@ -97,3 +97,16 @@ def test_edge_rows(spark):
     assert {r.evidence for r in unlabelled.collect()} == {0.5}
     empty = docs.where("false")
     assert sites.classify(empty, labels, "doc_id", "text", F.col("site"), F.lit(None), "q").count() == 0
+
+
+def test_repeated_ids_keep_the_sample_bounded(spark, monkeypatch):
+    monkeypatch.setattr(sites, "MAX_LABELS", 10)
+    seen = []
+    monkeypatch.setattr(sites, "fit", lambda x, y: seen.append((x.tolist(), y.tolist())) or np.zeros(1))
+    texts = spark.range(3000).select(
+        (F.col("id") % 2).alias("k"), F.concat(F.lit("text no "), F.col("id").cast("string")).alias("text")
+    )
+    marks = spark.createDataFrame([(0, 0), (1, 1)] * 20, "k long, label int")
+    sites.train(texts, marks)
+    sites.train(texts.repartition(7), marks.distinct())
+    assert sorted(seen[0][1]) == [0, 1] and seen[0] == seen[1]
