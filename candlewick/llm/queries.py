@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (
-    language, lines, mixing, packing, pieces, quality, sharding, simhash, sites, spots,
+    language, lines, mixing, packing, periods, pieces, quality, sharding, simhash, sites, spots,
 )
 
 TOKENIZERS = "/opt/tokenizers"
@@ -171,3 +171,48 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_spotsigs")
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.edited_fingerprints(documents(spark, sf_dir))
+
+
+def looped_words(docs: DataFrame) -> DataFrame:
+    """doc_id and text; a tenth of the texts, chosen by id, repeat some of their words to the end.
+
+    Of n words those from ``a`` on are the ``p`` words that start there, again and again.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    found = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    n = F.size("words")
+    at = found.withColumn("n", n).withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    size = F.col("n") - F.col("a")
+    cycle = at.withColumn("p", (1 + F.floor(size / (3 + F.col("g") % 8))).cast("int"))
+    rounds = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(size / F.col("p")).cast("int"))
+    looped = F.concat(
+        F.slice("words", F.lit(1), F.col("a")), F.slice(F.flatten(rounds), F.lit(1), size)
+    )
+    text = F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(looped, " "))
+    return cycle.select("doc_id", text.alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.with_runs(looped_words(documents(spark, sf_dir)))
+    # Runs come by start and period, so of equal exponents the first one stays.
+    most = F.aggregate(
+        F.slice("runs", F.lit(2), F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)),
+        lambda best, run: F.when(
+            run["length"] * best["period"] > best["length"] * run["period"], run
+        ).otherwise(best),
+    )
+    lines = F.transform("runs", lambda run: F.concat(
+        F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")
+    ))
+    digests = found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), most.alias("top"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    return digests.select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
