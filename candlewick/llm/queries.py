@@ -27,6 +27,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# The unsigned crc32 of a decimal doc_id, bit by bit.
+SQL_CRC32 = """xor(list_reduce(
+  list_transform(range(1, len(doc_id::VARCHAR) + 1), lambda k: ascii(substr(doc_id::VARCHAR, k, 1))::BIGINT),
+  lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+  4294967295::BIGINT), 4294967295)"""
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -193,7 +200,47 @@ def looped_words(docs: DataFrame) -> DataFrame:
     return cycle.select("doc_id", text.alias("text"))
 
 
-@query("op13_periodic_runs")
+SQL_RUNS = rf"""
+WITH d AS (
+  SELECT doc_id, {SQL_CRC32} AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sized AS (
+  SELECT doc_id, len(w) AS n, h // 10 AS g,
+         CASE WHEN h % 10 = 0 AND n > 0 THEN h // 10 % n END AS a FROM d),
+original AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
+placed AS (
+  SELECT doc_id, n, i, CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END AS j
+  FROM original JOIN sized USING (doc_id)),
+words AS (
+  SELECT p.doc_id, p.n, p.i, o.word FROM placed p JOIN original o ON o.doc_id = p.doc_id AND o.i = p.j),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x
+  JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs)
+  GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY ALL),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id),
+top AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (
+    PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words w
+  WHERE NOT EXISTS (
+    SELECT 1 FROM runs r WHERE r.doc_id = w.doc_id
+    AND w.i BETWEEN r.start + r.period AND r.start + r.length - 1)
+  GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+       1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM sized LEFT JOIN listed USING (doc_id) LEFT JOIN top USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op13_periodic_runs", SQL_RUNS)
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periods.with_runs(looped_words(documents(spark, sf_dir)))
     # Runs come by start and period, so of equal exponents the first one stays.
