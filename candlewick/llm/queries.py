@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import (
-    language, lines, mixing, packing, periods, pieces, quality, sharding, simhash, sites, spots,
+    language, lines, merkle, mixing, packing, periods, pieces, quality, sharding, simhash, sites,
+    spots,
 )
 
 TOKENIZERS = "/opt/tokenizers"
@@ -263,3 +264,86 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("top.length") / F.col("top.period")).cast("long").alias("exponent_milli"),
         "runs_sha256", "collapsed_sha256",
     )
+
+
+# Levels of a tree that the SQL can count: 16 ** 5 leaves.
+SQL_LEVELS = 5
+
+
+def sql_encoded(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def sql_leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(sql_encoded, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+def sql_tree(name: str, leaves: str) -> str:
+    """The levels of all trees; ``leaves`` has t (tree), i (place), n (leaves of the tree), h."""
+    levels = [f"{name}0 AS ({leaves})"]
+    for k in range(SQL_LEVELS):
+        levels.append(f"""{name}{k + 1} AS (
+      SELECT t, i // 16 AS i, (n + 15) // 16 AS n,
+             CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE min(h) END AS h
+      FROM {name}{k} GROUP BY t, i // 16, n)""")
+    return ", ".join(levels)
+
+
+def sql_climb(name: str, start: str) -> str:
+    """(doc_id, t, i, h, proof) of ``start`` folded to the last node, proofs growing on the way."""
+    steps, before = [], start
+    for k in range(SQL_LEVELS):
+        steps.append(f"""{name}_up{k} AS (
+      SELECT b.doc_id, b.t, b.i // 16 AS i,
+             CASE WHEN any_value(x.n) > 1 THEN sha256(
+               coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i < b.i), '') || b.h
+               || coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i > b.i), '')) ELSE b.h END AS h,
+             b.proof || coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i <> b.i), '') AS proof
+      FROM {before} b JOIN {name}{k} x ON x.t IS NOT DISTINCT FROM b.t AND x.i // 16 = b.i // 16
+      GROUP BY b.doc_id, b.t, b.i, b.h, b.proof)""")
+        before = f"{name}_up{k}"
+    return ", ".join(steps)
+
+
+SQL_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL_MANIFEST = f"""
+WITH d AS (
+  SELECT doc_id, source AS t, {sql_leaf('text')} AS leaf, {sql_leaf(SQL_LOWER)} AS lower_leaf,
+         {SQL_CRC32} % 5 = 0 AS tampered FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id) - 1 AS i,
+         count(*) OVER (PARTITION BY t) AS n FROM d),
+{sql_tree('a', 'SELECT t, i, n, leaf AS h FROM placed')},
+subroots AS (
+  SELECT t AS source, h, row_number() OVER (ORDER BY t NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM a{SQL_LEVELS}),
+{sql_tree('r', 'SELECT 0 AS t, i, n, h FROM subroots')},
+begun AS (
+  SELECT doc_id, t, i, CASE WHEN tampered THEN lower_leaf ELSE leaf END AS h, '' AS proof FROM placed),
+{sql_climb('a', 'begun')},
+crossed AS (
+  SELECT b.doc_id, 0 AS t, s.i, b.h, b.proof
+  FROM a_up{SQL_LEVELS - 1} b JOIN subroots s ON s.source IS NOT DISTINCT FROM b.t),
+{sql_climb('r', 'crossed')}
+SELECT doc_id, p.leaf, s.h AS subroot, r{SQL_LEVELS}.h AS root, sha256(u.proof) AS proof_sha256,
+       u.h AS folded_root, u.h = r{SQL_LEVELS}.h AS verified
+FROM placed p JOIN r_up{SQL_LEVELS - 1} u USING (doc_id)
+JOIN subroots s ON s.source IS NOT DISTINCT FROM p.t CROSS JOIN r{SQL_LEVELS}"""
+
+
+@query("op11_merkle_manifest", SQL_MANIFEST)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    fields = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", capitals, capitals.lower())
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    leaves = documents(spark, sf_dir).select(
+        F.col("source").alias("tree"), F.col("doc_id").alias("key"),
+        merkle.leaf_digest(*fields, F.col("text")).alias("digest"),
+        F.when(tampered, merkle.leaf_digest(*fields, lowered)).alias("changed"),
+    )
+    return merkle.manifest(leaves).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.concat_ws("", "proof").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
