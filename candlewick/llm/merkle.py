@@ -107,19 +107,21 @@ def copied(digest: str, path: Path) -> list[str]:
 # ---- places ------------------------------------------------------------------------------
 
 
-def numbered(rows: DataFrame, *order: str) -> DataFrame:
-    """The rows with ``position`` in their ``tree`` and ``total``, the number of its rows.
+def in_ranges(rows: DataFrame, *order: str) -> DataFrame:
+    """The rows with ``_at``: their range, shifted left by 33 bits, and their place in it.
 
-    Rows are sorted into ranges, so a hot tree fills many of them, and written once: what a range
-    holds must not change between its count and its use.
+    A hot tree, and a hot key, fill many ranges. The rows are written once: what a range holds must
+    not change between its count and its use.
     """
     salted = rows.withColumn("_row", F.monotonically_increasing_id())
     by = ["tree", *order, "_row"]
-    ordered = stored(
-        salted.repartitionByRange(*by).sortWithinPartitions(*by).drop("_row")
-        .withColumn("_at", F.monotonically_increasing_id()),
-        "merkle-ordered",
-    )
+    ranged = salted.repartitionByRange(*by).sortWithinPartitions(*by).drop("_row")
+    return stored(ranged.withColumn("_at", F.monotonically_increasing_id()), "merkle-ordered")
+
+
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """The rows with ``position`` in their ``tree`` and ``total``, the number of its rows."""
+    ordered = in_ranges(rows, *order)
     part = F.shiftright("_at", 33)
     spans = ordered.groupBy("tree", part.alias("_part")).agg(
         F.min("_at").alias("_first"), F.count("*").alias("_n")
