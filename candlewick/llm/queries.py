@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.llm import (
     language, lines, merkle, mixing, packing, periods, pieces, quality, sharding, simhash, sites,
-    spots,
+    spots, toxicity,
 )
 
 TOKENIZERS = "/opt/tokenizers"
@@ -347,3 +347,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws("", "proof").cast("binary"), 256).alias("proof_sha256"),
         "folded_root", "verified",
     )
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    fold = F.crc32(F.col("k").cast("string")) % 4
+    found = toxicity.classify(docs, labels, fold != 2)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
