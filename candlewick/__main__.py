@@ -20,6 +20,8 @@ from candlewick.sources.trades import (
     trades_from_batches,
     trades_from_singles,
 )
+from candlewick.streaming.candles import LateTrades
+from candlewick.streaming.late import landed_trades, late_trades
 from candlewick.units import CHECK_DEPTHS
 
 
@@ -38,10 +40,27 @@ def stream(a) -> None:
         trades = trades_from_singles(stream_messages(a.spark, a.source), a.exchange)
     else:
         trades = trades_from_batches(stream_ordered_messages(a.spark, a.source), a.exchange)
+    every = None if a.once else "3 seconds"
+    if a.landing:
+        queries = jobs.stream_candles_and_late(
+            a.spark, trades, a.exchange, a.candles, a.landing, a.checkpoint, every, a.lateness
+        )
+        for query in queries:
+            query.awaitTermination()
+        print("late trades:", late_trades(a.spark, a.landing).count())
+        return
+    counts = LateTrades()
+    a.spark.streams.addListener(counts)
     jobs.stream_candles(
-        a.spark, trades, a.exchange, a.candles, a.checkpoint,
-        every=None if a.once else "3 seconds", lateness=a.lateness,
+        a.spark, trades, a.exchange, a.candles, a.checkpoint, every=every, lateness=a.lateness,
     ).awaitTermination()
+    print("late trades:", sum(counts.dropped.values()))
+
+
+def repair(a) -> None:
+    """Late trades of the landing, from the trades that it holds."""
+    late = late_trades(a.spark, a.landing, a.after)
+    jobs.repair(a.candles, late, landed_trades(a.spark, a.landing), a.exchange)
 
 
 def reconcile(a) -> None:
@@ -58,7 +77,6 @@ def reconcile_export(a) -> None:
 
 JOBS = {
     "create": both(lambda table: table.create()),
-    "compact": both(lambda table: table.compact()),
     "load-trades": lambda a: jobs.load_trades(
         read_trade_files(a.spark, a.source, a.exchange), a.exchange, a.candles),
     "load-history": load_history,
@@ -67,6 +85,8 @@ JOBS = {
     "rollup-history": lambda a: jobs.rollup_history(
         a.candles, a.exchange, frozenset(a.native.split(",")), a.timezone),
     "stream": stream,
+    "repair": repair,
+    "refresh-export": lambda a: print(jobs.refresh_export(a.candles, a.export, a.now)),
     "export-history": lambda a: jobs.export_history(a.candles, a.export, a.limit),
     "export-latest": lambda a: jobs.export_latest(a.candles, a.export, a.now),
     "retention": lambda a: print(jobs.apply_retention(a.export, a.now)),
@@ -79,6 +99,7 @@ NEEDS = {
     "rollup-latest": ["candles"], "rollup-all": ["candles"],
     "rollup-history": ["candles", "exchange", "native"],
     "stream": ["candles", "source", "exchange", "checkpoint"],
+    "repair": ["candles", "exchange", "landing"], "refresh-export": ["candles", "export"],
     "export-history": ["candles", "export"], "export-latest": ["candles", "export"],
     "retention": ["export"], "reconcile": ["candles", "source", "exchange", "report"],
     "reconcile-export": ["export", "source", "exchange", "report"],
@@ -96,6 +117,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--native", help="units that the exchange serves, with commas")
     parser.add_argument("--native-grid", action="store_true", help="only candles on their grid")
     parser.add_argument("--checkpoint", help="progress of the stream")
+    parser.add_argument("--landing", help="folder where the stream lands trades, late ones apart")
+    parser.add_argument("--after", type=int, default=-1, help="last landed batch that is repaired already")
     parser.add_argument("--lateness", default="1 minute", help="how long the stream waits for trades")
     parser.add_argument("--once", action="store_true", help="drain what has landed and stop")
     parser.add_argument("--report", help="output path of find-gaps and of the comparisons")

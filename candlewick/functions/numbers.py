@@ -7,24 +7,31 @@ from pyspark.sql import functions as F
 
 # Volumes are summed to this many decimals, and once more to as many below them.
 VOLUME_PLACES = 8
+HIGH = 2**31
+# Larger values are no longs.
+MOST_VALUE = 9.2e18
 
 
 def exact_sum(value: str) -> Column:
     """Order-independent sum of a double column to sixteen decimals.
 
     A plain double sum depends on row order, and a decimal sum is about twice as slow because
-    its buffer is not a primitive. Whole units, 1e-8 fractions and 1e-16 fractions are each
-    summed as a long, which stays in the hash aggregate's mutable buffer; they meet once per
-    group. The last part is what eight decimals leave over, unless the double itself is not
-    that exact.
+    its buffer is not a primitive. Multiples of 2 ** 31, whole units below, 1e-8 fractions and
+    1e-16 fractions are each summed as a long, which stays in the hash aggregate's mutable buffer
+    and does not overflow; they meet once per group. The last part is what eight decimals leave
+    over, unless the double itself is not that exact. Values must be below ``MOST_VALUE``.
     """
     return F.expr(joined_parts_sql(*(
-        f"sum({part(value)})" for part in (whole_sql, parts_sql, rest_sql)
+        f"sum({part(value)})" for part in (high_sql, low_sql, parts_sql, rest_sql)
     )))
 
 
-def whole_sql(value: str) -> str:
-    return f"floor({value})"
+def high_sql(value: str) -> str:
+    return f"floor({value} / {HIGH}D)"
+
+
+def low_sql(value: str) -> str:
+    return f"(floor({value}) - floor({value} / {HIGH}D) * {HIGH}L)"
 
 
 def _scaled(value: str) -> str:
@@ -45,10 +52,11 @@ def rest_sql(value: str) -> str:
     )
 
 
-def joined_parts_sql(whole: str, parts: str, rest: str) -> str:
+def joined_parts_sql(high: str, low: str, parts: str, rest: str) -> str:
     step = f"0.{'1'.zfill(VOLUME_PLACES)}BD"
     fine = f"0.{'1'.zfill(2 * VOLUME_PLACES)}BD"
-    whole, parts, rest = (f"CAST({part} AS DECIMAL(20, 0))" for part in (whole, parts, rest))
+    high, low, parts, rest = (f"CAST({part} AS DECIMAL(20, 0))" for part in (high, low, parts, rest))
+    whole = f"CAST({high} * {HIGH}BD + {low} AS DECIMAL(21, 0))"
     return f"CAST({whole} + {parts} * {step} + {rest} * {fine} AS DOUBLE)"
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions import bucket_start, exact_sum
+from candlewick.functions.numbers import MOST_VALUE
 from candlewick.schemas import CANDLE_COLUMNS
 from candlewick.units import HOUR_MS, UNITS
 
@@ -30,10 +31,10 @@ SEED_TIE = -(2**63)
 
 
 def priced(trades: DataFrame) -> DataFrame:
-    """Trades that can move a candle; malformed numbers stay in the trade store only."""
+    """Trades that can move a candle; malformed and absurd numbers stay in the trade store only."""
+    # NaN is greater than any number.
     return trades.where(
-        "timestamp IS NOT NULL AND price IS NOT NULL AND amount IS NOT NULL"
-        " AND NOT isnan(price) AND NOT isnan(amount)"
+        f"timestamp IS NOT NULL AND abs(price) < {MOST_VALUE}D AND abs(amount) < {MOST_VALUE}D"
     )
 
 

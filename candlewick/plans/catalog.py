@@ -22,7 +22,7 @@ from candlewick.operators.fold import as_states, merge_states, seed_states
 from candlewick.operators.rollup import (
     rollup, rollup_all, rollup_cascade, rollup_latest, rollup_many, rollup_range,
 )
-from candlewick.plans.jobs import load_history, reconcile, stream_candles
+from candlewick.plans.jobs import load_history, reconcile, repair, stream_candles, stream_candles_and_late
 from candlewick.plans.jobs import rollup_all as fill_table
 from candlewick.plans.jobs import rollup_latest as refresh_table
 from candlewick.session import shared_folder, use_utc
@@ -31,6 +31,7 @@ from candlewick.sources.reports import write_csv_summary
 from candlewick.sources.tables import CandleTable, ExportTable, append_trades
 from candlewick.streaming import candles as live
 from candlewick.streaming.closing import closing_stream, current_candles
+from candlewick.streaming.late import landed_trades
 from candlewick.units import CHECK_DEPTHS, DERIVED_UNITS, UNITS, lookback_start
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,9 +213,9 @@ def stored_cascade_latest(spark, sf_dir):
     table.create()
     cut = ts_literal(lookback_start(NOW, "3m"))
     whole = trades(spark, sf_dir)
-    table.append(fold_trades(whole.where(F.col("timestamp") < cut)))
+    table.upsert(fold_trades(whole.where(F.col("timestamp") < cut)))
     fill_table(table)
-    table.append(fold_trades(whole.where(F.col("timestamp") >= cut)))
+    table.upsert(fold_trades(whole.where(F.col("timestamp") >= cut)))
     refresh_table(table, NOW)
     oldest = min(lookback_start(NOW, u) for u in DERIVED_UNITS)
     stored = table.candles(units=DERIVED_UNITS, start=oldest)
@@ -270,6 +271,24 @@ def candles_extreme_volumes(spark, sf_dir):
     return fold_trades(rows, "1h")
 
 
+# Trades of no number, of infinitely much and of more than any market has move no candle; the largest
+# amounts that count (all whole here) are summed without overflow.
+@query("candles_absurd_numbers", with_trades(
+    sql_candles("1d", "id % 9 NOT IN (1, 2, 3, 4)", source="odd").replace(
+        "sum(amount::DECIMAL(28, 8))::DOUBLE", "sum(amount::HUGEINT)::DOUBLE"),
+    "odd AS (SELECT * REPLACE (if(id % 9 = 5, 8e18, amount) AS amount) FROM trades)"))
+def candles_absurd_numbers(spark, sf_dir):
+    def odd(column: str, values: dict[int, str]) -> Column:
+        cases = " ".join(f"WHEN {rest} THEN {value}" for rest, value in values.items())
+        return F.expr(f"CASE id % 9 {cases} ELSE {column} END")
+
+    rows = trades(spark, sf_dir).withColumns({
+        "price": odd("price", {1: "double('Infinity')", 2: "double('NaN')"}),
+        "amount": odd("amount", {3: "double('Infinity')", 4: "1e19D", 5: "8e18D"}),
+    })
+    return fold_trades(rows, "1d")
+
+
 # A third of the trades have no id and count one by one; the others are all sent twice.
 @query("candles_null_ids", with_trades(sql_candles("15m")))
 def candles_null_ids(spark, sf_dir):
@@ -540,9 +559,9 @@ def upserted(spark, sf_dir) -> CandleTable:
     """Three writes of the same keys, not in version order."""
     table = CandleTable(spark, shared_folder(spark, "upsert"))
     whole = trades(spark, sf_dir)
-    table.append(fold_trades(kept_trades(spark, sf_dir), "15m"), version=1)
-    table.append(fold_trades(whole.where(F.col("price") < 100), "15m"), version=3)
-    table.append(fold_trades(whole, "15m"), version=2)
+    table.upsert(fold_trades(kept_trades(spark, sf_dir), "15m"), version=1)
+    table.upsert(fold_trades(whole.where(F.col("price") < 100), "15m"), version=3)
+    table.upsert(fold_trades(whole, "15m"), version=2)
     return table
 
 
@@ -551,15 +570,13 @@ query("upsert_latest_wins", sql_upsert("15m"))(
 )
 
 
+# What lies in the files: every key once.
 @query("upsert_compacted", sql_upsert("15m"))
 def upsert_compacted(spark, sf_dir):
-    table = upserted(spark, sf_dir)
-    table.compact()
-    return table.raw().drop("_v", "part", "w", "p", "created_at")
+    return upserted(spark, sf_dir).raw().drop("_w", "_v", "p", "created_at")
 
 
-# Four writers append a quarter of the candles each, in two versions, while the table is
-# compacted again and again.
+# Four threads write a quarter of the candles each, in two versions, to the same partitions.
 @query("upsert_parallel", with_trades(sql_candles("15m")))
 def upsert_parallel(spark, sf_dir):
     table = CandleTable(spark, shared_folder(spark, "upsert"))
@@ -570,26 +587,21 @@ def upsert_parallel(spark, sf_dir):
     def write(quarter: int) -> None:
         mine = F.pmod(F.hash("symbol", "timestamp"), F.lit(4)) == quarter
         for candles in (lossy, whole):
-            table.append(candles.where(mine))
+            table.upsert(candles.where(mine))
 
     with ThreadPoolExecutor(4) as writers:
-        running = [writers.submit(write, quarter) for quarter in range(4)]
-        while not all(task.done() for task in running):
-            table.compact()
-        for task in running:
-            task.result()
+        list(writers.map(write, range(4)))
     return table.candles(units=["15m"]).drop("created_at")
 
 
-# Compacted, then overwritten in part: delta rows replace their base rows.
+# Written whole, then overwritten in part.
 @query("upsert_over_base", sql_upsert("15m"))
 def upsert_over_base(spark, sf_dir):
     table = CandleTable(spark, shared_folder(spark, "upsert"))
     whole = trades(spark, sf_dir)
-    table.append(fold_trades(kept_trades(spark, sf_dir), "15m"), version=1)
-    table.append(fold_trades(whole, "15m"), version=2)
-    table.compact()
-    table.append(fold_trades(whole.where(F.col("price") < 100), "15m"), version=3)
+    table.upsert(fold_trades(kept_trades(spark, sf_dir), "15m"), version=1)
+    table.upsert(fold_trades(whole, "15m"), version=2)
+    table.upsert(fold_trades(whole.where(F.col("price") < 100), "15m"), version=3)
     return table.candles(units=["15m"]).drop("created_at")
 
 
@@ -689,7 +701,7 @@ def stored_export(spark, sf_dir) -> ExportTable:
     """An export store written twice: a lossy history, then the whole candles over it."""
     table = ExportTable(spark, shared_folder(spark, "export"))
     for version, source in enumerate((kept_trades(spark, sf_dir), trades(spark, sf_dir))):
-        table.append(export.to_export(several_units(fold_trades(source), EXPORTED_UNITS)), version)
+        table.upsert(export.to_export(several_units(fold_trades(source), EXPORTED_UNITS)), version)
     return table
 
 
@@ -803,7 +815,7 @@ def reconcile_depths(spark, sf_dir):
 
 def filled_table(spark, sf_dir) -> CandleTable:
     table = CandleTable(spark, shared_folder(spark, "stored"))
-    table.append(fold_trades(kept_trades(spark, sf_dir)))
+    table.upsert(fold_trades(kept_trades(spark, sf_dir)))
     fill_table(table)
     return table
 
@@ -874,7 +886,7 @@ def export_marks(spark, sf_dir):
 def reconcile_csv(spark, sf_dir):
     stored, served = stored_and_served(spark, sf_dir, CSV_UNITS)
     table = ExportTable(spark, shared_folder(spark, "export"))
-    table.append(export.to_export(stored))
+    table.upsert(export.to_export(stored))
     names = [UNITS[unit].export_name for unit in CSV_UNITS]
     rest = history.rest_to_export(rest_rows(served, page=1))
     return compare.export_summary(table.newest_closed("UPBIT", names, 1000), rest)
@@ -890,7 +902,7 @@ def reconcile_csv(spark, sf_dir):
 def report_csv(spark, sf_dir):
     stored, _ = stored_and_served(spark, sf_dir, CSV_UNITS)
     table = ExportTable(spark, shared_folder(spark, "export"))
-    table.append(export.to_export(stored))
+    table.upsert(export.to_export(stored))
     names = [UNITS[unit].export_name for unit in CSV_UNITS]
     # Against candles whose prices are all one higher, every row differs.
     rest = history.rest_to_export(rest_rows(stored.withColumn("open", F.col("open") + 1), page=1))
@@ -923,6 +935,11 @@ def sql_closed(unit: str) -> str:
 # other ids and prices: far too late to change a candle.
 @query("stream_candles_1m", with_trades(sql_candles("1m")))
 def stream_candles_1m(spark, sf_dir):
+    return drained(spark, live.candle_stream(with_late(spark, sf_dir)))
+
+
+def with_late(spark, sf_dir) -> DataFrame:
+    """Trades as a stream whose last batch also brings the first day's once more."""
     whole = trades(spark, sf_dir)
     at = F.unix_micros(F.col("timestamp").cast("timestamp"))
     first_day = whole.agg(F.min("timestamp")).first()[0].date()
@@ -931,7 +948,48 @@ def stream_candles_1m(spark, sf_dir):
         F.lit(2**62).alias("landed_at"),
     )
     path = landed(spark, whole.withColumn("landed_at", at).unionByName(late), "landed_at")
-    return drained(spark, live.candle_stream(trade_source.stream_trades(spark, path, max_files=1)))
+    return trade_source.stream_trades(spark, path, max_files=1)
+
+
+# Every trade is in a candle or among the late ones: what the watermark would drop is kept.
+@query("stream_late_rows", """
+    SELECT event_id AS id, false AS late FROM events UNION ALL
+    SELECT event_id + 1000000000, true FROM events WHERE ts::DATE = (SELECT min(ts)::DATE FROM events)""")
+def stream_late_rows(spark, sf_dir):
+    landing, progress = shared_folder(spark, "landing"), shared_folder(spark, "progress")
+    table = CandleTable(spark, shared_folder(spark, "stream"))
+    stream_candles_and_late(
+        spark, with_late(spark, sf_dir), "upbit", table, landing, progress, every=None
+    )[1].awaitTermination()
+    return landed_trades(spark, landing).select("id", "late")
+
+
+# The candles of the same stream: the late trades have changed none.
+@query("stream_in_time_1m", with_trades(sql_candles("1m")))
+def stream_in_time_1m(spark, sf_dir):
+    landing, progress = shared_folder(spark, "landing"), shared_folder(spark, "progress")
+    table = CandleTable(spark, shared_folder(spark, "stream"))
+    stream_candles_and_late(
+        spark, with_late(spark, sf_dir), "upbit", table, landing, progress, every=None
+    )[1].awaitTermination()
+    return table.read().drop("created_at")
+
+
+# Every seventh trade of all but the last week arrives after the cascade; only the candles that it
+# belongs to are computed again, and all units equal a full fold.
+@query("late_repair", with_trades(sql_units(list(UNITS))))
+def late_repair(spark, sf_dir):
+    whole = trades(spark, sf_dir)
+    last = whole.agg(F.max("timestamp") - F.expr("INTERVAL 7 DAYS")).first()[0]
+    is_late = (F.col("id") % 7 == 0) & (F.col("timestamp") < F.lit(last))
+    store = shared_folder(spark, "trades")
+    append_trades(whole.where(~is_late), store)
+    table = CandleTable(spark, shared_folder(spark, "repaired"))
+    table.upsert(fold_trades(spark.read.parquet(store)))
+    fill_table(table)
+    append_trades(whole.where(is_late), store)
+    repair(table, whole.where(is_late), spark.read.parquet(store), "upbit")
+    return table.read().drop("created_at")
 
 
 query("stream_closed_1m", with_trades(sql_closed("1m")))(
@@ -993,7 +1051,7 @@ def stream_seeded(spark, sf_dir):
     cut = F.col("latest") + F.expr("INTERVAL 30 SECONDS")
     marked = whole.join(newest, ["exchange", "symbol"])
     table = CandleTable(spark, shared_folder(spark, "stored"))
-    table.append(fold_trades(marked.where(F.col("timestamp") < cut).select(*whole.columns)))
+    table.upsert(fold_trades(marked.where(F.col("timestamp") < cut).select(*whole.columns)))
     rest = marked.where(F.col("timestamp") >= cut).select(*whole.columns)
     path, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "progress")
     for part in range(2):

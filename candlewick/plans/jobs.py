@@ -5,10 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from candlewick.functions import bucket_start, period_start, ts_literal
+from candlewick.functions.times import epoch_ms_sql, floored_sql, from_epoch_ms_sql
 from candlewick.operators.compare import (
     closed_on_grid,
     diff_rows,
@@ -19,17 +21,18 @@ from candlewick.operators.compare import (
     with_flags,
 )
 from candlewick.operators.export import latest_buckets, to_export
-from candlewick.operators.fold import PROFILES, fold_trades
+from candlewick.operators.fold import PROFILES, fold_trades, priced
 from candlewick.operators.rollup import rollup_all as roll_all_units
 from candlewick.operators.rollup import rollup_many
-from candlewick.operators.series import depth_of, gaps, newest_n
-from candlewick.schemas import SERIES
+from candlewick.operators.series import gaps, newest_n
+from candlewick.schemas import CANDLE_COLUMNS
 from candlewick.session import shared_folder, use_utc
 from candlewick.sources.history import candles_from_arrays, native_history
 from candlewick.sources.reports import write_csv_summary, write_diff_report, write_summary_report
 from candlewick.sources.tables import CandleTable, ExportTable
 from candlewick.streaming.candles import LATENESS, candle_stream, seed_stream, upsert_stream
-from candlewick.units import UNITS, cascade_levels, lookback_start
+from candlewick.streaming.late import create_landing, in_time, landing_stream
+from candlewick.units import UNITS, cascade_levels, covering_unit, lookback_start
 
 
 def stream_candles(
@@ -54,10 +57,79 @@ def stream_candles(
     return upsert_stream(candles, table, checkpoint, every=every)
 
 
+def stream_candles_and_late(
+    spark: SparkSession,
+    trades: DataFrame,
+    exchange: str,
+    table: CandleTable,
+    landing: str,
+    checkpoint: str,
+    every: str | None = "3 seconds",
+    lateness: str = LATENESS,
+) -> list[StreamingQuery]:
+    """As ``stream_candles``, with all trades landed first and the late ones kept for ``repair``."""
+    use_utc(spark)
+    checkpoint = checkpoint.rstrip("/")
+    create_landing(spark, landing)
+    first = landing_stream(trades, landing, f"{checkpoint}-landing", lateness, every)
+    if every is None:
+        first.awaitTermination()
+    second = stream_candles(
+        spark, in_time(spark, landing), exchange, table, checkpoint, every=every, lateness=lateness
+    )
+    return [first, second]
+
+
+def repair(
+    table: CandleTable, late: DataFrame, trades: DataFrame, exchange: str, timezone: str = "UTC"
+) -> None:
+    """Recomputes the candles that late trades belong to, however old, and no others.
+
+    ``trades`` holds all trades, late ones too; a column ``day`` prunes them. The minutes of the late
+    trades are folded again; then each level up, the buckets that hold one of these minutes are rolled
+    up again from the stored candles of the level below. What is collected are days and periods.
+    """
+    use_utc(table.spark)
+    series = ["exchange", "symbol"]
+    minutes = priced(late).select(*series, bucket_start("timestamp", "1m").alias("minute")).distinct().persist()
+    if "day" in trades.columns:
+        days = minutes.select(F.col("minute").cast("date").alias("day")).distinct()
+        trades = trades.where(F.col("day").isin([row["day"] for row in days.collect()]))
+    again = trades.withColumn("minute", bucket_start("timestamp", "1m")).join(
+        minutes, [*series, "minute"], "left_semi"
+    )
+    table.upsert(fold_trades(again, profile=PROFILES[exchange]))
+    for base, units in cascade_levels():
+        wide = covering_unit(units)
+        held = bucket_start("minute", wide, timezone)
+        buckets = minutes.select(*series, held.alias("wide")).distinct().persist()
+        last = F.col("wide") + F.expr(f"INTERVAL {UNITS[wide].ms // 1000 - 1} SECONDS")
+        ends = buckets.select(F.explode(F.array("wide", last)).alias("at"))
+        periods = [row["p"] for row in ends.select(period_start("at", base).alias("p")).distinct().collect()]
+        rows = table.candles(units=[base], periods=periods)
+        rolled = rollup_many(
+            rows.withColumn("wide", bucket_start("timestamp", wide, timezone)).join(
+                buckets, [*series, "wide"], "left_semi"
+            ), units, timezone,
+        )
+        starts = F.explode(F.array(*(
+            F.struct(F.lit(unit).alias("unit"), from_epoch_ms_of("minute", unit, timezone).alias("timestamp"))
+            for unit in units
+        )))
+        changed = minutes.select(*series, starts.alias("c")).select(*series, "c.unit", "c.timestamp").distinct()
+        table.upsert(rolled.join(changed, [*series, "unit", "timestamp"], "left_semi"))
+        buckets.unpersist()
+    minutes.unpersist()
+
+
+def from_epoch_ms_of(at: str, unit: str, timezone: str) -> Column:
+    return F.expr(from_epoch_ms_sql(floored_sql(epoch_ms_sql(at), unit, timezone)))
+
+
 def load_trades(trades: DataFrame, exchange: str, table: CandleTable) -> None:
     """Folds a batch of landed trades into 1m candles."""
     use_utc(table.spark)
-    table.append(fold_trades(trades, profile=PROFILES[exchange]))
+    table.upsert(fold_trades(trades, profile=PROFILES[exchange]))
 
 
 def load_history(rows: DataFrame, table: CandleTable, native_grid: bool = False) -> None:
@@ -66,26 +138,37 @@ def load_history(rows: DataFrame, table: CandleTable, native_grid: bool = False)
     ``native_grid`` keeps only candles on their grid and leaves out served days.
     """
     use_utc(table.spark)
-    table.append(native_history(rows) if native_grid else candles_from_arrays(rows))
+    table.upsert(native_history(rows) if native_grid else candles_from_arrays(rows))
 
 
 def rollup_latest(table: CandleTable, now: datetime, timezone: str = "UTC") -> None:
     """Recomputes the previous and current bucket of every derived unit, all exchanges at once.
 
-    Four passes, one per base unit, each reading only the stored base buckets it needs.
+    Each base unit is read from the store back to the oldest bucket that needs it; what this run has
+    derived itself replaces the stored rows, so all units are written at once.
     """
     use_utc(table.spark)
+    fresh: dict[str, DataFrame] = {}
+    levels = []
     for base, units in cascade_levels():
         starts = {unit: lookback_start(now, unit, timezone) for unit in units}
-        rows = table.candles(units=[base], start=min(starts.values()))
-        table.append(rollup_many(rows, units, timezone, starts), rebalance=False)
-    table.compact_when_needed()
+        rows = table.candles(units=[base], start=min(starts.values())).select(*CANDLE_COLUMNS)
+        if base in fresh:
+            rows = rows.where(F.col("timestamp") < ts_literal(lookback_start(now, base, timezone)))
+            rows = rows.unionByName(fresh[base])
+        # The next levels and the write read a level again: a few rows for each series.
+        level = rollup_many(rows, units, timezone, starts).persist()
+        fresh |= {unit: level.where(F.col("unit") == unit) for unit in units}
+        levels.append(level)
+    table.upsert(reduce(DataFrame.unionByName, levels))
+    for level in levels:
+        level.unpersist()
 
 
 def rollup_all(table: CandleTable, timezone: str = "UTC") -> None:
     """Derives every unit of the whole 1m table in one pass."""
     use_utc(table.spark)
-    table.append(roll_all_units(table.candles(units=["1m"]), timezone))
+    table.upsert(roll_all_units(table.candles(units=["1m"]), timezone))
 
 
 def rollup_history(
@@ -97,20 +180,20 @@ def rollup_history(
         missing = [unit for unit in units if unit == "1d" or unit not in native_units]
         if missing:
             rows = table.candles(exchange=exchange, units=[base])
-            table.append(rollup_many(rows, missing, timezone))
+            table.upsert(rollup_many(rows, missing, timezone))
 
 
 def export_history(table: CandleTable, export: ExportTable, limit: int = 2000) -> None:
     """Exports the newest ``limit`` candles of every series."""
     use_utc(table.spark)
-    export.append(to_export(newest_n(table.candles(), limit)))
+    export.upsert(to_export(newest_n(table.candles(), limit)))
 
 
 def export_latest(table: CandleTable, export: ExportTable, now: datetime) -> None:
     """Exports the previous and current bucket of every series."""
     use_utc(table.spark)
     oldest = min(lookback_start(now, unit) for unit in UNITS)
-    export.append(to_export(latest_buckets(table.candles(start=oldest), now)))
+    export.upsert(to_export(latest_buckets(table.candles(start=oldest), now)))
 
 
 def apply_retention(export: ExportTable, now: datetime) -> dict[str, int]:
@@ -118,6 +201,12 @@ def apply_retention(export: ExportTable, now: datetime) -> dict[str, int]:
     return export.delete_expired(now)
 
 
+def refresh_export(table: CandleTable, export: ExportTable, now: datetime) -> dict[str, int]:
+    """Exports the newest buckets, then deletes what has expired: one writer for both."""
+    export_latest(table, export, now)
+    return apply_retention(export, now)
+
+
 def reconcile(
     table: CandleTable,
     exchange_candles: DataFrame,
@@ -145,30 +234,9 @@ def reconcile(
 def stored_to_depth(
     table: CandleTable, served: DataFrame, depth: int | dict[str, dict[str, int]]
 ) -> DataFrame:
-    """Newest stored candles of the served units, from the partitions that can hold them.
-
-    A unit is read back to its oldest served candle, and whole only if some series has too few
-    rows there. One small row per unit is collected.
-    """
-    starts = {
-        row["unit"]: row["start"]
-        for row in served.groupBy("unit").agg(F.min("timestamp").alias("start")).collect()
-    }
-    # The unit of a depth that is served no candle at all is compared too.
-    units = starts.keys() if isinstance(depth, int) else {u for by in depth.values() for u in by}
-    parts = []
-    for unit in sorted(units | starts.keys()):
-        recent = None
-        if unit in starts:
-            recent = to_depth(table.candles(units=[unit], start=starts[unit]), depth)
-            everything = table.candles(units=[unit]).select(*SERIES).distinct()
-            counted = everything.join(
-                recent.groupBy(*SERIES).agg(F.count("*").alias("n")), SERIES, "left"
-            ).withColumn("wanted", depth_of(depth))
-            if not counted.where("wanted IS NOT NULL AND coalesce(n, 0) < wanted").isEmpty():
-                recent = None
-        parts.append(to_depth(table.candles(units=[unit]), depth) if recent is None else recent)
-    return reduce(DataFrame.unionByName, parts) if parts else to_depth(table.candles(), depth)
+    """Newest stored candles, read newest periods first from the newest served candle on."""
+    newest = served.agg(F.max("timestamp")).first()[0]
+    return to_depth(table.newest(depth, newest), depth)
 
 
 def reconcile_export(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,10 +14,14 @@ from pyspark.sql import types as T
 from candlewick.functions import period_start, ts_literal
 from candlewick.functions.times import from_epoch_ms_sql, period_of, period_start_sql
 from candlewick.operators.export import retention_cutoffs
-from candlewick.operators.series import latest_starts, newest_n
-from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT
-from candlewick.sources.upserts import BASE, UpsertTable
-from candlewick.units import UNITS, from_epoch
+from candlewick.operators.series import depth_of, newest_n
+from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT, SERIES
+from candlewick.sources.upserts import UpsertTable
+from candlewick.units import EPOCH, UNITS, from_epoch, to_utc_naive
+
+# Readers of the newest rows look this many times further back at each step.
+WIDEN = 4
+PERIOD_SPANS = {"WEEK": timedelta(days=7), "MONTH": timedelta(days=31), "YEAR": timedelta(days=366)}
 
 
 @dataclass(frozen=True)
@@ -27,20 +31,19 @@ class CandleTable(UpsertTable):
     schema: T.StructType = CANDLE
     keys: tuple[str, ...] = tuple(CANDLE_KEYS)
     partitions: tuple[str, ...] = ("exchange", "unit", "p")
+    series: tuple[str, ...] = ("unit", "exchange", "symbol")
     sort: tuple[str, ...] = ("symbol", "timestamp")
     first_values: tuple[str, ...] = ("created_at",)
 
     def period(self) -> Column:
         return period_start("timestamp")
 
-    def append(
-        self, rows: DataFrame, version: int | None = None, rebalance: bool = True
-    ) -> None:
+    def upsert(self, rows: DataFrame, version: int | None = None, writer: str = "") -> None:
         """As the base. A 1m candle's ``created_at`` defaults to the time of its first write,
         which later writes keep; candles of other units have none unless it is given."""
         now = F.when(F.col("unit") == "1m", F.current_timestamp().cast("timestamp_ntz"))
         created = F.coalesce("created_at", now) if "created_at" in rows.columns else now
-        super().append(rows.withColumn("created_at", created), version, rebalance)
+        super().upsert(rows.withColumn("created_at", created), version, writer)
 
     def candles(
         self,
@@ -49,8 +52,10 @@ class CandleTable(UpsertTable):
         start: datetime | None = None,
         end: datetime | None = None,
         symbol: str | None = None,
+        periods: Sequence[date] | None = None,
     ) -> DataFrame:
-        """Current candles with ``start <= timestamp < end``, pruned to their partitions."""
+        """Current candles with ``start <= timestamp < end``, pruned to their partitions; of some
+        ``periods`` only, if these are given."""
         conditions = []
         if exchange is not None:
             conditions.append(F.col("exchange") == exchange)
@@ -58,6 +63,8 @@ class CandleTable(UpsertTable):
             conditions.append(F.col("symbol") == symbol)
         if units is not None:
             conditions.append(F.col("unit").isin(*units))
+        if periods is not None:
+            conditions.append(F.col("p").isin(list(periods)))
         names = list(units or UNITS)
         folders = None
         if units is not None or exchange is not None:
@@ -73,15 +80,48 @@ class CandleTable(UpsertTable):
                            any_period(names, lambda name: F.col("p") <= F.lit(period_of(end, name)))]
         return self.read(*conditions, folders=folders)
 
+    def newest(self, depth: int | dict[str, dict[str, int]], now: datetime | None = None) -> DataFrame:
+        """At least the newest candles of every series to ``depth`` (rows, or rows by exchange and
+        unit), from the partitions that can hold them.
+
+        Periods are read newest first, WIDEN times as many at each step, until every series has
+        enough rows or is read from its oldest period on. ``now`` is where reading starts; candles
+        after it are read as well. Only the units that still lack rows are collected.
+        """
+        now = to_utc_naive(now or datetime.now(UTC))
+        known = self.known_series().withColumn("wanted", depth_of(depth)).where("wanted > 0").persist()
+        try:
+            most = {row["unit"]: row["n"] for row in known.groupBy("unit").agg(F.max("wanted").alias("n")).collect()}
+            starts = {
+                unit: now - max(PERIOD_SPANS[UNITS[unit].period], timedelta(milliseconds=UNITS[unit].ms) * rows)
+                for unit, rows in most.items()
+            }
+            lacking = set(starts)
+            while lacking:
+                read = self.since({unit: starts[unit] for unit in lacking})
+                counted = read.groupBy(*SERIES).agg(F.count("*").alias("n"))
+                reached = F.create_map(*(
+                    x for unit in lacking for x in (F.lit(unit), F.lit(period_of(starts[unit], unit)))
+                ))[F.col("unit")]
+                short = known.where(F.col("unit").isin(*lacking)).join(counted, SERIES, "left").where(
+                    (F.coalesce("n", F.lit(0)) < F.col("wanted")) & (F.col("oldest") < reached)
+                )
+                lacking = {row["unit"] for row in short.select("unit").distinct().collect()}
+                for unit in lacking:
+                    starts[unit] = max(EPOCH, now - (now - starts[unit]) * WIDEN)
+        finally:
+            known.unpersist()
+        return self.since(starts)
+
+    def since(self, starts: dict[str, datetime]) -> DataFrame:
+        """Candles of each unit from its own start on."""
+        parts = [self.candles(units=[unit], start=start) for unit, start in sorted(starts.items())]
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], self.schema)
 
-    def latest(self, exchange: str, unit: str) -> DataFrame:
-        """Newest candle per symbol: series and time are scanned once, then only the
-        partitions that hold a newest candle."""
-        rows = self.raw(f"exchange={exchange}/unit={unit}/p=*")
-        newest = latest_starts(rows).withColumnRenamed("latest", "timestamp")
-        newest = newest.withColumn("p", period_start("timestamp", unit))
-        keys = [*self.keys, "p"]
-        return self._current(rows.join(newest, keys, "left_semi")).select(*self.schema.names)
+    def latest(self, exchange: str, unit: str, now: datetime | None = None) -> DataFrame:
+        """Newest candle per symbol, without a scan of the history."""
+        rows = self.newest({exchange: {unit: 1}}, now)
+        return newest_n(rows.where(F.col("exchange") == exchange), 1)
 
 
 def years_from(year: int) -> list[str]:
@@ -115,6 +155,7 @@ class ExportTable(UpsertTable):
     schema: T.StructType = EXPORT
     keys: tuple[str, ...] = ("unit", "market", "code", "tms")
     partitions: tuple[str, ...] = ("unit", "market", "p")
+    series: tuple[str, ...] = ("unit", "market", "code")
     sort: tuple[str, ...] = ("code", "tms")
 
     def period(self) -> Column:
@@ -133,55 +174,40 @@ class ExportTable(UpsertTable):
     def delete_expired(self, now: datetime) -> dict[str, int]:
         """Deletes rows older than their unit keeps and returns how many per unit.
 
-        Appends are folded first, so only base partitions hold expired rows. Partitions wholly
-        past the bound are dropped unread; only the one the bound falls in is rewritten.
-        Partition bounds are collected: their number grows with units, markets and periods, not
-        with rows. An expired row that arrives meanwhile goes the next time.
+        Of the partitions that start before the bound, the one it falls in is rewritten without its
+        old rows and the others are overwritten with none. Partition counts are collected: their
+        number grows with units, markets and periods, not with rows.
         """
-        self.compact()
         cutoffs = retention_cutoffs(now)
+        deleted: dict[str, int] = dict.fromkeys(cutoffs, 0)
         bounds = " ".join(f"WHEN '{unit}' THEN {cutoff}L" for unit, cutoff in cutoffs.items())
-        # Partitions that start after the bound hold nothing expired and are not scanned.
-        last_periods = {
-            unit: period_of(from_epoch(cutoff), UNIT_OF_EXPORT[unit]).isoformat()
+        old = F.col("tms") < F.expr(f"CASE unit {bounds} END")
+        reached = reduce(Column.__or__, [
+            (F.col("unit") == unit)
+            & (F.col("p") <= F.lit(period_of(from_epoch(cutoff), UNIT_OF_EXPORT[unit])))
             for unit, cutoff in cutoffs.items()
-        }
-        paths = [
-            path for path in self._base_paths()
-            if self._values_of(path)["p"] <= last_periods.get(self._values_of(path)["unit"], "")
-        ]
-        rows = self._rows(paths).withColumn("cutoff", F.expr(f"CASE unit {bounds} END"))
-        old = F.col("tms") < F.col("cutoff")
-        parts = rows.groupBy(*self.partitions).agg(
-            F.count_if(old).alias("n"), F.count_if(~old).alias("kept")
-        ).where("n > 0").collect()
-        crossed = [row for row in parts if row["kept"]]
-        if crossed:
-            names = {self._folder_of(row) for row in crossed}
-            here = self._rows([path for path in paths if self._partition_of(path) in names])
-            kept = here.withColumn("cutoff", F.expr(f"CASE unit {bounds} END")).where(~old)
-            stored = [n for n in self.stored_schema.names if n not in ("part", "w")]
-            with self._claim() as generation:
-                self._write(kept.select(*stored), f"part={BASE}/w={generation}")
-        for row in parts:
-            if not row["kept"]:
-                # Older generations first: a newer one hides them until it goes itself.
-                folders = sorted(
-                    self._partition_folders(f"part={BASE}/w=*", self._folder_of(row)),
-                    key=self._generation_of,
-                )
-                for path in folders:
-                    self._drop(f"part={BASE}/w={self._generation_of(path)}/{self._folder_of(row)}")
-        deleted: dict[str, int] = dict.fromkeys(cutoffs, 0)
+        ])
+        with self.writing:
+            parts = self.raw().where(reached).groupBy(*self.partitions).agg(
+                F.count_if(old).alias("n"), F.count_if(~old).alias("kept")
+            ).where("n > 0").collect()
+            crossed = [row for row in parts if row["kept"]]
+            if crossed:
+                self._replace(self._spread(self._touched(crossed).where(~old)))
+            for row in parts:
+                if not row["kept"]:
+                    self._empty(row)
         for row in parts:
             deleted[row["unit"]] += row["n"]
         return deleted
 
-    def _folder_of(self, row) -> str:
-        return "/".join(f"{name}={row[name]}" for name in self.partitions)
-
-    def _values_of(self, path: str) -> dict[str, str]:
-        return dict(part.split("=", 1) for part in self._partition_of(path).split("/"))
+    def _empty(self, partition) -> None:
+        """Overwrites one partition with no rows, which dynamic overwriting leaves alone."""
+        folder = "/".join(f"{name}={partition[name]}" for name in self.partitions)
+        inside = [f for f in self.stored_schema.fields if f.name not in self.partitions]
+        self.spark.createDataFrame([], T.StructType(inside)).write.mode("overwrite").parquet(
+            f"{self.path}/{folder}"
+        )
 
 
 def append_trades(trades: DataFrame, path: str) -> None:

@@ -1,49 +1,42 @@
-"""Partitioned Parquet tables with latest-wins upserts by several writers.
+"""Partitioned Parquet tables with upserts.
 
-Every write has a folder of its own below the table, so writers never share one:
+A table is one folder of Parquet partitions in which every key is there once. An upsert reads the
+partitions that its rows fall in, merges, and overwrites just these (dynamic partition overwrite);
+nothing else is read or written, and readers need no merge.
 
-* ``part=delta/w=<version>-<id>/…``: the rows of one append,
-* ``part=base/w=<generation>/…``: the partitions that one compaction rewrote.
+Which row of a key counts does not depend on clocks. A write without a version replaces what is
+stored. A write with ``writer`` and ``version`` also replaces what is stored, unless that came from
+the same writer with a higher version: a stream that repeats an old batch after a crash, or a load
+that is run again out of order, changes nothing that its later writes have set.
 
-A folder counts once Spark has put ``_SUCCESS`` into it, which is one step. Of each key the row
-with the highest version ``_v`` counts, wherever it lies, so a delta that is deleted half-way or
-late changes nothing. Of each base partition the newest generation counts.
-
-A compaction claims the next generation, folds the deltas it sees into the base partitions they
-touch, and then lists them as folded. A delta that arrives meanwhile is not in its list and stays.
-While a claim is held other compactions leave the table alone; a claim that a crash left behind
-expires. Should two run at once all the same, the later generation has seen all that the earlier
-one folded.
-Folders that are no longer needed are deleted by the next compaction, so readers that still use
-them have until then.
+One driver writes a table at a time; its threads take turns. A write that fails leaves the stored
+partitions as they were until Spark commits it. A reader that overlaps a commit may miss a file
+that has just been replaced and has to be run again.
 
 Partition columns include ``p``, the period a row's time falls in, and every time bound is
-repeated on ``p`` because Catalyst cannot derive it.
+repeated on ``p`` because Catalyst cannot derive it. Beside the table, ``<path>-series`` has a row per
+series with its oldest period, so that readers of the newest rows know when to stop.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import re
+from collections import defaultdict
 from dataclasses import dataclass
+from threading import RLock
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BASE, DELTA = "base", "delta"
-# A claim older than this was left by a crash.
-CLAIM_SECONDS = 3600
-# Jobs compact a table once it has more appends than this.
-COMPACT_AFTER = 64
-
+# Rows of a partition are spread by series over this many tasks and files at most.
+SPREAD = 16
+# Up to this many touched partitions are named in the path that is listed.
+NAMED_PARTITIONS = 500
+STORED, INCOMING, NEWER = 0, 1, 2
 
-def new_version() -> int:
-    """Nanoseconds with random low bits: unique, and in the order of the writers' clocks."""
-    return (time.time_ns() >> 14 << 14) | (uuid.uuid4().int & 0x3FFF)
+_LOCKS: defaultdict[str, RLock] = defaultdict(RLock)
 
 
 @dataclass(frozen=True)
@@ -54,6 +47,7 @@ class UpsertTable:
     schema: T.StructType = None
     keys: tuple[str, ...] = ()
     partitions: tuple[str, ...] = ()
+    series: tuple[str, ...] = ()
     sort: tuple[str, ...] = ()
     # Of these columns a key keeps the least value it ever had.
     first_values: tuple[str, ...] = ()
@@ -65,244 +59,139 @@ class UpsertTable:
     @property
     def stored_schema(self) -> T.StructType:
         extra = [
+            T.StructField("_w", T.StringType()),
             T.StructField("_v", T.LongType()),
-            T.StructField("part", T.StringType()),
-            T.StructField("w", T.StringType()),
             T.StructField("p", T.DateType()),
         ]
         return T.StructType([*self.schema.fields, *extra])
 
+    @property
+    def writing(self) -> RLock:
+        """Held by the thread that writes the table."""
+        return _LOCKS[self.path.rstrip("/")]
+
     def period(self) -> Column:
         raise NotImplementedError
 
     def create(self) -> None:
         """Makes the empty table; an existing one is left alone."""
-        self._fs.mkdirs(self._at())
+        self.spark.createDataFrame([], self.stored_schema).write.mode("ignore").partitionBy(
+            *self.partitions
+        ).parquet(self.path)
 
     # ---- writing
 
-    def append(
-        self, rows: DataFrame, version: int | None = None, rebalance: bool = True
-    ) -> None:
-        """Upserts rows, whose keys are unique among themselves. Any number may run at once.
-
-        Without ``rebalance`` the tasks that computed the rows write them, which saves a
-        shuffle when adaptive execution has already gathered few rows into few tasks.
-        """
-        version = new_version() if version is None else version
+    def upsert(self, rows: DataFrame, version: int | None = None, writer: str = "") -> None:
+        """Inserts or replaces rows, whose keys are unique among themselves."""
         present = set(rows.columns)
         columns = [
             (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in self.schema.fields
         ]
-        stamped = rows.select(*columns, F.lit(version).cast("long").alias("_v"))
-        folder = f"part={DELTA}/w={version}-{uuid.uuid4().hex}"
-        self._write(stamped.withColumn("p", self.period()), folder, rebalance)
-
-    def _write(self, rows: DataFrame, folder: str, rebalance: bool = True) -> None:
-        # Rebalancing gathers each partition into few files, and splits a partition that is
-        # too large for one task; the sort makes row-group statistics selective.
-        gathered = rows.hint("rebalance", *self.partitions) if rebalance else rows
+        owner = F.lit(None if version is None else writer).cast("string")
+        incoming = rows.select(
+            *columns, owner.alias("_w"), F.lit(version).cast("long").alias("_v")
+        ).withColumn("p", self.period()).persist()
+        try:
+            with self.writing:
+                touched = incoming.select(*self.partitions).distinct().collect()
+                if touched:
+                    self._replace(self._merged(self._touched(touched), incoming, version, writer))
+                    self._note_series(incoming)
+        finally:
+            incoming.unpersist()
+
+    def _merged(self, stored: DataFrame, incoming: DataFrame, version: int | None, writer: str) -> DataFrame:
+        """One row per key. Rows are shuffled once, by partition and series."""
+        rank = F.lit(STORED)
+        if version is not None:
+            newer = F.col("_w").eqNullSafe(F.lit(writer)) & (F.col("_v") > version)
+            rank = F.when(newer, NEWER).otherwise(STORED)
+        both = stored.withColumn("_rank", rank).unionByName(incoming.withColumn("_rank", F.lit(INCOMING)))
+        keys = list(dict.fromkeys([*self.partitions, *self.keys]))
+        values = [name for name in self.stored_schema.names if name not in keys]
+        return self._spread(both).groupBy(*keys, "_b").agg(*[
+            F.min(c).alias(c) if c in self.first_values else F.max_by(c, "_rank").alias(c) for c in values
+        ])
+
+    def _spread(self, rows: DataFrame) -> DataFrame:
+        spread = rows.withColumn("_b", F.pmod(F.hash(*self.series), F.lit(SPREAD)))
+        return spread.repartition(*self.partitions, "_b")
+
+    def _replace(self, rows: DataFrame) -> None:
+        """Overwrites the partitions that the rows fall in. Sorted rows make statistics selective."""
         (
-            gathered.sortWithinPartitions(*self.partitions, *self.sort)
-            .write.partitionBy(*self.partitions).parquet(f"{self.path}/{folder}")
+            rows.drop("_b").select(*self.stored_schema.names)
+            .sortWithinPartitions(*self.partitions, *self.sort)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*self.partitions).parquet(self.path)
         )
 
     # ---- reading
 
     def raw(self, folders: str | None = None) -> DataFrame:
-        """Every row that may count: current base partitions and all appends not yet folded.
-
-        ``folders`` is a pattern of partition folders: listing all partitions of a long history
-        would take longer than a job that reads its newest ones.
-        """
-        deltas = self._deltas()
-        return self._rows([*self._base_paths(folders), *self._delta_paths(deltas, folders)])
+        """Every stored row. ``folders`` is a pattern of partition folders: listing all partitions of
+        a long history would take longer than a job that reads its newest ones."""
+        return self._parquet(self.path, self.stored_schema, folders)
 
-    def _rows(self, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.stored_schema)
-        reader = self.spark.read.schema(self.stored_schema).option("basePath", self._root)
-        return reader.parquet(*paths)
+    def _parquet(self, path: str, schema: T.StructType, folders: str | None = None) -> DataFrame:
+        """The rows of a folder, none if there is no such folder yet."""
+        reader = self.spark.read.schema(schema).option("basePath", path)
+        try:
+            return reader.parquet(f"{path}/{folders}" if folders else path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def _touched(self, partitions: list) -> DataFrame:
+        """The stored rows of these partitions, whose number grows with periods, not with rows."""
+        folders, values = None, [[str(row[name]) for row in partitions] for name in self.partitions]
+        if len(partitions) <= NAMED_PARTITIONS and all(re.fullmatch(r"[\w.-]+", v) for vs in values for v in vs):
+            folders = "/".join(
+                f"{name}={{{','.join(sorted(set(found)))}}}"
+                for name, found in zip(self.partitions, values, strict=True)
+            )
+        wanted = {"/".join(row) for row in zip(*values, strict=True)}
+        place = F.concat_ws("/", *(F.col(name).cast("string") for name in self.partitions))
+        return self.raw(folders).where(place.isin(*wanted))
 
     def read(self, *conditions: Column, folders: str | None = None) -> DataFrame:
-        """Current rows. Conditions may use keys and ``p`` only: values may be outdated."""
         rows = self.raw(folders)
         for condition in conditions:
             rows = rows.where(condition)
-        return self._current(rows).select(*self.schema.names)
-
-    def _current(self, rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-        """One row per key. Base keys are unique, so only keys that a delta has too are
-        aggregated; the rest of the base is filtered, not shuffled, while the delta's keys fit a
-        broadcast. One max_by per column keeps the buffers primitive; versions are unique."""
-        keys = list(self.keys)
-        base = rows.where(F.col("part") == BASE)
-        delta = rows.where(F.col("part") == DELTA)
-        changed = delta.select(*keys).distinct()
-        wanted = [*keys, *extra, *self.values, "_v"]
-        newest = (
-            base.join(changed, keys, "left_semi").select(*wanted)
-            .unionByName(delta.select(*wanted)).groupBy(*keys, *extra).agg(
-                *[
-                    F.min(c).alias(c) if c in self.first_values else F.max_by(c, "_v").alias(c)
-                    for c in self.values
-                ],
-                F.max("_v").alias("_v"),
-            )
-        )
-        return base.join(changed, keys, "left_anti").select(*wanted).unionByName(newest)
-
-    # ---- compaction
-
-    def compact(self) -> None:
-        """Folds the appends that are there into the base partitions they touch.
-
-        A failure at any point leaves a table that reads the same.
-        """
-        deltas = self._deltas()
-        if deltas and not self._claimed():
-            with self._claim() as generation:
-                self._fold(deltas, generation)
-
-    def _fold(self, deltas: set[str], generation: int) -> None:
-        paths = self._delta_paths(deltas, "/".join(f"{c}=*" for c in self.partitions))
-        touched = {self._partition_of(path) for path in paths}
-        base = [path for path in self._base_paths() if self._partition_of(path) in touched]
-        merged = self._current(self._rows([*base, *paths]), extra=["p"])
-        names = [n for n in self.stored_schema.names if n not in ("part", "w")]
-        self._write(merged.select(*names), f"part={BASE}/w={generation}")
-        self._put(f"_folded/{generation}", "\n".join(sorted(deltas)))
-        self._clean(generation)
-
-    def compact_when_needed(self, appends: int = COMPACT_AFTER) -> None:
-        if len(self._deltas()) > appends:
-            self.compact()
-
-    def _claimed(self) -> bool:
-        oldest = (time.time() - CLAIM_SECONDS) * 1000
-        return any(s.getModificationTime() >= oldest for s in self._glob("_claims/*"))
-
-    @contextmanager
-    def _claim(self) -> Iterator[int]:
-        """The next generation, held by creating a file that must not exist."""
-        taken = [int(self._name(s)) for s in self._glob("_claims/*")]
-        taken += [int(self._name(s).removeprefix("w=")) for s in self._glob(f"part={BASE}/w=*")]
-        generation = max(taken, default=0) + 1
-        while not self._create(f"_claims/{generation}"):
-            generation += 1
-        try:
-            yield generation
-        finally:
-            self._fs.delete(self._at(f"_claims/{generation}"), False)
-
-    def _clean(self, generation: int) -> None:
-        """Deletes what an earlier generation made needless, oldest first."""
-        for status in self._glob("_folded/*"):
-            if int(self._name(status)) < generation:
-                for name in self._get(status).split("\n"):
-                    self._drop_write(f"part={DELTA}/w={name}")
-                self._fs.delete(status.getPath(), False)
-        done = self._generations()
-        by_partition: dict[str, list[int]] = {}
-        for path in self._partition_folders(f"part={BASE}/w=*"):
-            by_partition.setdefault(self._partition_of(path), []).append(self._generation_of(path))
-        for partition, generations in by_partition.items():
-            committed = sorted(g for g in generations if g in done)
-            for old in committed[:-2]:
-                self._drop(f"part={BASE}/w={old}/{partition}")
-
-    # ---- folders
-
-    def _generations(self) -> set[int]:
-        found = self._glob(f"part={BASE}/w=*/_SUCCESS")
-        return {int(self._name(s, 1).removeprefix("w=")) for s in found}
-
-    def _deltas(self) -> set[str]:
-        """The appends that are complete and not folded into the base."""
-        folded: set[str] = set()
-        for status in self._glob("_folded/*"):
-            folded.update(self._get(status).split("\n"))
-        found = self._glob(f"part={DELTA}/w=*/_SUCCESS")
-        return {self._name(s, 1).removeprefix("w=") for s in found} - folded
-
-    def _delta_paths(self, deltas: set[str], folders: str | None = None) -> list[str]:
-        if folders is None:
-            return [f"{self._root}/part={DELTA}/w={name}" for name in sorted(deltas)]
-        found = self._glob(f"part={DELTA}/w=*/{folders}")
-        depth = len(self.partitions)
-        return [
-            s.getPath().toString() for s in found if self._name(s, depth).removeprefix("w=") in deltas
-        ]
-
-    def _base_paths(self, folders: str | None = None) -> list[str]:
-        """The folder of the newest generation of each base partition."""
-        done = self._generations()
-        newest: dict[str, int] = {}
-        for path in self._partition_folders(f"part={BASE}/w=*", folders):
-            generation = self._generation_of(path)
-            if generation in done:
-                partition = self._partition_of(path)
-                newest[partition] = max(generation, newest.get(partition, 0))
-        return [f"{self._root}/part={BASE}/w={g}/{partition}" for partition, g in newest.items()]
-
-    def _partition_folders(self, below: str, folders: str | None = None) -> list[str]:
-        pattern = folders or "/".join(f"{c}=*" for c in self.partitions)
-        return [s.getPath().toString() for s in self._glob(f"{below}/{pattern}")]
-
-    def _partition_of(self, path: str) -> str:
-        return "/".join(path.rsplit("/", len(self.partitions))[1:])
+        return rows.select(*self.schema.names)
 
-    def _generation_of(self, path: str) -> int:
-        return int(path.rsplit("/", len(self.partitions) + 1)[1].removeprefix("w="))
-
-    # ---- file system
-
-    @property
-    def _fs(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    # ---- series
 
     @property
-    def _root(self) -> str:
-        return self._fs.makeQualified(self.spark._jvm.org.apache.hadoop.fs.Path(self.path)).toString()
-
-    def _at(self, name: str = ""):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
+    def series_path(self) -> str:
+        return f"{self.path.rstrip('/')}-series"
 
-    def _glob(self, pattern: str) -> list:
-        return list(self._fs.globStatus(self._at(pattern)) or [])
+    def known_series(self) -> DataFrame:
+        """The series that the table has or had, each with its ``oldest`` period."""
+        return self._parquet(self.series_path, self._series_schema)
 
-    @staticmethod
-    def _name(status, above: int = 0) -> str:
-        """The last part of a path, or one so many levels above."""
-        return status.getPath().toString().rsplit("/", above + 1)[1]
-
-    def _create(self, name: str) -> bool:
-        """Makes an empty file; false if there is one already."""
-        try:
-            self._fs.create(self._at(name), False).close()
-        except Py4JJavaError as error:
-            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
-                raise
-            return False
-        return True
-
-    def _put(self, name: str, text: str) -> None:
-        out = self._fs.create(self._at(name), True)
-        out.write(text.encode())
-        out.close()
-
-    def _get(self, status) -> str:
-        stream = self._fs.open(status.getPath())
-        data = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        stream.close()
-        return data
-
-    def _drop_write(self, folder: str) -> None:
-        """Deletes a whole write; without its mark it no longer counts, however far this gets."""
-        self._fs.delete(self._at(f"{folder}/_SUCCESS"), False)
-        self._drop(folder)
-
-    def _drop(self, folder: str) -> None:
-        self._fs.delete(self._at(folder), True)
+    @property
+    def _series_schema(self) -> T.StructType:
+        return T.StructType([*(self.schema[c] for c in self.series), T.StructField("oldest", T.DateType())])
+
+    def _note_series(self, incoming: DataFrame) -> None:
+        """Adds new series and older beginnings, which most writes have none of."""
+        known = self.known_series()
+        found = incoming.groupBy(*self.series).agg(F.min("p").alias("found"))
+        news = found.join(known, list(self.series), "left").where(
+            F.col("oldest").isNull() | (F.col("found") < F.col("oldest"))
+        )
+        added = [tuple(row[name] for name in (*self.series, "found")) for row in news.collect()]
+        if not added:
+            return
+        # A series is a key of the table: one small row for each, however long its history.
+        fresh = self.spark.createDataFrame(added, self._series_schema)
+        units = {row[0] for row in added}
+        kept = known.where(F.col(self.series[0]).isin(*units)).unionByName(fresh)
+        (
+            kept.groupBy(*self.series).agg(F.min("oldest").alias("oldest")).coalesce(1)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.series[0]).parquet(self.series_path)
+        )

@@ -127,25 +127,21 @@ def upsert_stream(
     mode: str = "update",
     every: str | None = "3 seconds",
 ) -> StreamingQuery:
-    """Upserts every emitted candle. A replayed batch repeats its upserts, which is harmless.
+    """Upserts every emitted candle, in the versions of the stream's batches.
 
-    ``every=None`` drains what is there and stops.
+    A batch that is repeated after a crash repeats its upserts; one that is older than what this
+    stream has written to a candle changes nothing. ``every=None`` drains what is there and stops.
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
         candles.writeStream.outputMode(mode)
-        .foreachBatch(lambda batch, _: upsert_batch(batch, table))
+        .foreachBatch(lambda batch, number: table.upsert(batch, version=number, writer=checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
-def upsert_batch(batch: DataFrame, table: CandleTable) -> None:
-    table.append(batch)
-    table.compact_when_needed()
-
-
 def append_stream(
     rows: DataFrame, path: str, checkpoint: str, every: str | None = "3 seconds"
 ) -> StreamingQuery:

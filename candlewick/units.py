@@ -105,3 +105,10 @@ def cascade_levels(bases: dict[str, str] | None = None) -> list[tuple[str, list[
         ready |= level.keys()
         waiting = {name: base for name, base in waiting.items() if name not in level}
     return levels
+
+
+def covering_unit(units: list[str]) -> str:
+    """The shortest unit whose buckets hold whole buckets of all these units."""
+    return next(
+        name for name, unit in UNITS.items() if all(unit.ms % UNITS[u].ms == 0 for u in units)
+    )

@@ -10,12 +10,11 @@ def test_jobs_from_the_command_line(spark, make_candles, tmp_path, capsys):
     candles, export, report = (str(tmp_path / name) for name in ("candles", "export", "gaps"))
     main(["create", "--candles", candles, "--export", export])
     table = CandleTable(spark, candles)
-    table.append(make_candles([
+    table.upsert(make_candles([
         ("1m", f"2024-01-29 00:0{m}:00", "A/KRW", 1, 1, 1, 1, 1) for m in (0, 1, 4)
     ]))
     now = ["--now", "2024-01-29T00:05:00"]
     main(["rollup-latest", "--candles", candles, *now])
-    main(["compact", "--candles", candles])
     assert table.candles(units=["5m"]).first()["volume"] == 3
     main(["export-latest", "--candles", candles, "--export", export, *now])
     main(["export-history", "--candles", candles, "--export", export])

@@ -95,7 +95,7 @@ def test_created_lag(make_candles):
 def test_reconcile_job_reports(spark, sides, tmp_path):
     stored, served = sides
     table = CandleTable(spark, str(tmp_path / "candles"))
-    table.append(stored)
+    table.upsert(stored)
     summary = jobs.reconcile(table, served, {"upbit": {"1h": 3}}, str(tmp_path / "report"))
     # Newest three per side: hours 1, 3, 4 stored; 3 (twice, one misaligned) and 4 served.
     rows = summary.collect()

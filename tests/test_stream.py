@@ -120,7 +120,7 @@ def test_cold_start_continues_stored_candle_and_restarts(spark, landing, make_tr
     after = [(minute(3, 20), "A/KRW", 40, 3, 4), (minute(4), "B/KRW", 8, 1, 5)]
     more = [(minute(3, 30), "A/KRW", 45, 1, 6)]
     table = table_at(spark, tmp_path / "candles")
-    table.append(fold_trades(make_trades(before)))
+    table.upsert(fold_trades(make_trades(before)))
 
     def run(folder):
         query = jobs.stream_candles(
