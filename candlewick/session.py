@@ -41,9 +41,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach, for one intermediate table.
 
-    It lies below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
+    It lies below ``spark.checkpoint.dir``. Where that is unset, a local session uses its warehouse;
+    on a cluster, where executors would each write their own copy, it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -111,7 +111,7 @@ def test_export_summary(spark, make_candles, tmp_path):
     rows = [("15m", f"2024-01-15 0{h}:00:00", "A/KRW", 1, 2, 1, 2, 1.0) for h in range(6)]
     rows += [("15m", f"2024-01-15 0{h}:00:00", "B/KRW", 1, 2, 1, 2, 1.0) for h in range(2)]
     export = ExportTable(spark, str(tmp_path / "export"))
-    export.append(to_export(make_candles(rows)))
+    export.upsert(to_export(make_candles(rows)))
     theirs = [list(row) for row in rows]
     theirs[0][4] = 3                       # high
     theirs[1][7] = theirs[3][7] = 1.5      # volume, the same difference twice
