@@ -5,14 +5,15 @@ once with every dictionary; the language whose dictionary gives the fewest bytes
 whose two best sizes lie close together is marked as rejected.
 
 The dictionaries are fitted on a bounded sample: for each language at most TEXTS_PER_LANGUAGE
-different labelled texts, chosen by hash whatever the number of their copies, and CHARS_PER_TEXT characters of each; and of the languages the
-MAX_LANGUAGES with the most labelled texts. Every text is encoded
-whole, in chunks, so that a long text still leans on the dictionary rather than on itself.
+different labelled texts, chosen by hash whatever the number of their copies, and CHARS_PER_TEXT
+characters of each. There is a dictionary for each language label, so these are expected to be
+languages, of which there are thousands at most. Every text is encoded whole, in chunks, so that a
+long text still leans on the dictionary rather than on itself.
 
 Rows: a null text, or one without a letter, is ``und`` with score 0 and rejected. Texts or labels
 that are null are not learned from; if nothing can be learned, every text is ``und``. Equal texts
-get equal predictions, and ties go to the first language in alphabetical order. Other columns
-pass through.
+get equal predictions, and ties go to the first language in alphabetical order. ``prediction``
+replaces a column of that name; others pass through. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from candlewick.llm.common import small_batches
 UNDETERMINED = "und"
 TEXTS_PER_LANGUAGE = 256
 CHARS_PER_TEXT = 256
-MAX_LANGUAGES = 1000
 CHUNK_BYTES = 512
 LEVEL = 6
 MIN_MARGIN = 0.02
@@ -51,18 +51,12 @@ def train(labelled: DataFrame, text: str = "text", language: str = "lang") -> di
     ).where("language IS NOT NULL AND text IS NOT NULL AND text <> ''").withColumn(
         "pick", F.pmod(F.xxhash64("text"), F.lit(1 << 31))
     )
-    counts = rows.groupBy("language").agg(
-        F.count("*").alias("n"), F.approx_count_distinct("pick").alias("different")
-    )
-    sizes = counts.orderBy(F.desc("n"), "language").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return {}
     # Thin the table before ranking, so that no language is sorted whole. Copies share one pick, so
     # the share comes from the different texts; four times as many as needed outweigh its error.
-    share = F.create_map(*(x for r in sizes for x in (
-        F.lit(r["language"]), F.lit(min(1.0, 4.0 * TEXTS_PER_LANGUAGE / r["different"])),
-    )))
-    thin = rows.where(F.col("pick") < share[F.col("language")] * F.lit(float(1 << 31)))
+    shares = rows.groupBy("language").agg(
+        F.least(F.lit(1.0), 4.0 * TEXTS_PER_LANGUAGE / F.approx_count_distinct("pick")).alias("share")
+    )
+    thin = rows.join(shares, "language").where(F.col("pick") < F.col("share") * F.lit(float(1 << 31)))
     start = F.col("pick") % F.greatest(F.length("text") - CHARS_PER_TEXT + 1, F.lit(1)) + 1
     place = F.row_number().over(Window.partitionBy("language").orderBy("pick", "text"))
     sample = (

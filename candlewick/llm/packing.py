@@ -1,7 +1,7 @@
 """Token ids packed into rows of fixed length by best-fit decreasing.
 
-A text becomes its token ids and an end id. A longer one is cut into full rows and a rest, so no
-token is lost. The rests of a window of documents are sorted by length, longest first; each
+A text becomes its token ids and an end id. One with more ids than a row is cut into full rows and a
+rest, so no token is lost. The rests of a window of documents are sorted by length, longest first; each
 enters the row with the least room that still holds it, which a segment tree over the possible
 amounts of room finds. Full rows need no search.
 
@@ -16,14 +16,16 @@ same way. A row of the result holds
 * ``cu_seqlens``: the cumulative segment lengths, starting with 0,
 * ``doc_ids``, ``offsets``: the document of each segment and the place of its first token.
 
-Rows: a null or empty text is one end id, so every row of the table is found again. Repeated rows
-and null ids are packed like any other; other columns are not read; no rows give no rows.
+Rows: a null or empty text is one end id, so every row of the table is found again. Very long texts,
+and very long runs of white space in them, are encoded whole, like any other. Repeated rows and null
+ids are packed like any other; other columns are not read; no rows give no rows.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,10 @@ WORD_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
+# What the pattern takes for white space.
+WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LONG_WHITE = 10_000
+
 SCHEMA = (
     "pack_id long, ids binary, positions binary, cu_seqlens array<int>, doc_ids array<long>, "
     "offsets array<int>"
@@ -59,6 +65,26 @@ def tokenizer(ranks: dict[bytes, int]) -> tiktoken.Encoding:
     )
 
 
+def encoder(ranks: dict[bytes, int], long_white: int = LONG_WHITE) -> Callable[[str], list[int]]:
+    """A text's ids. The pattern's matcher gives up on very long white space, so that is cut off first,
+    where the pattern cuts it: before it, and before its last character unless the text ends there."""
+    coder = tokenizer(ranks)
+    long_run = re.compile(f"{WHITE}{{{long_white},}}")
+
+    def encode(text: str) -> list[int]:
+        if len(text) < long_white:
+            return coder.encode_ordinary(text)
+        ids, start = [], 0
+        for run in long_run.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += coder.encode_ordinary(text[start:run.start()])
+            ids += coder._encode_single_piece(text[run.start():end])
+            start = end
+        return ids + coder.encode_ordinary(text[start:])
+
+    return encode
+
+
 class RoomTree:
     """Open rows by the room they have left: a segment tree over the amounts of room."""
 
@@ -174,7 +200,7 @@ def pack_documents(
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = read_ranks(shared.value)
-        encode = tokenizer(ranks).encode_ordinary
+        encode = encoder(ranks)
         kind = "<u2" if max(max(ranks.values()), end_id, row_tokens) < 1 << 16 else "<u4"
         window = Window(row_tokens, end_id, kind)
         next_id = TaskContext.get().partitionId() << 40

@@ -5,19 +5,22 @@ it. The set of a text's spots leaves out menus and the like, which have few comm
 changes little when a text is edited a little. The fingerprint is a hash of the set; likeness of
 two texts is the Jaccard ratio of their sets. A text without any spot is one spot of all its words.
 
-``similar_pairs`` finds all pairs above a likeness. Sets are partitioned by length into classes as
-wide as the likeness allows, so a set meets only its own and the next class; there it meets sets
-that share one of its first spots, common spots being last, and a pair is dropped as soon as lengths
-and positions show that the overlap cannot suffice. Only then are sets compared. ``with_links``
-gives each document its class of equal sets and the number of classes linked to it.
+``similar_pairs`` finds all pairs above a likeness, ``linked`` all sets like some of them, the queries.
+Sets are partitioned by length into classes as wide as the likeness allows, so a set meets only its
+own and the neighbouring classes; there it meets sets that share one of its first spots, common
+spots being last, and a pair is dropped as soon as lengths and positions show that the overlap
+cannot suffice. Only then are sets compared. ``with_links`` gives each document its class of equal
+sets and, to the classes of the queries, the number of classes linked to them. Equal sets are one
+entry, so copies are never paired.
 
 Only DataFrame functions are used.
 
 Rows: a null text counts as an empty one, which has no spots; two texts without spots are alike.
 Equal texts have equal fingerprints. Words are runs of letters and digits, in lower case. In
 ``with_next``, rows of one id follow each other by text hash and null ids come last, so repeated
-rows are each other's next document; a single row is its own. Other columns are not read; no
-rows give no rows. Of more than RUN common words in a row the next counts as a content word.
+rows are each other's next document; a single row is its own. A null id is no query. Texts are read
+whole, however long, and however many common words follow each other. Other columns are not read;
+no rows give no rows.
 """
 
 from __future__ import annotations
@@ -52,6 +55,9 @@ RANGES = 64
 SAMPLED = 16
 COMMON = 1000
 PART = 1000
+# Holders of one spot are spread over this many tasks; each query spot is sent to all of them.
+PARTS = 8
+QUERY_EVERY = 50
 
 
 def _pattern(words: list[str]) -> str:
@@ -66,19 +72,21 @@ def _pattern(words: list[str]) -> str:
     return f"(?:{'|'.join(branches)})" + ("?+" if "" in words else "")
 
 
-# A content word with the anchors before it. The matcher recurses for each anchor, so a run is
-# taken in parts: of more than RUN anchors in a row the next one counts as a content word.
-RUN = 31
-GROUP = f"(?:{_pattern(ANCHORS)} ){{0,{RUN}}}+[^ ]+"
+# The blank after an anchor becomes a mark that ties it to the next word.
+TIE = "\x02"
+ANCHOR = f"(?<![^ ])({_pattern(ANCHORS)}) "
 
 
 def with_spots(frame: DataFrame, text: str, name: str, *keep: str) -> DataFrame:
     """The columns ``keep`` and the text's distinct spots, sorted, as an array of long."""
     words = F.trim(F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " "))
     normal = frame.select(*keep, words.alias("_words"))
-    # Each group is a content word with the anchors before it.
-    groups = normal.select(*keep, "_words", F.transform(
-        F.regexp_extract_all("_words", F.lit(GROUP), F.lit(0)), lambda g: F.split(g, " ")
+    # Each group is a content word with the anchors before it. What follows the last blank is empty
+    # or anchors without a content word.
+    tied = F.split(F.regexp_replace(F.concat("_words", F.lit(" ")), ANCHOR, f"$1{TIE}"), " ")
+    parts = normal.select(*keep, "_words", tied.alias("_tied"))
+    groups = parts.select(*keep, "_words", F.transform(
+        F.slice("_tied", F.lit(1), F.size("_tied") - 1), lambda g: F.split(g, TIE)
     ).alias("_groups"))
     size = F.size("_groups") - CHAIN + 1
 
@@ -216,27 +224,40 @@ def edited_fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str =
 # ---- near-duplicates ---------------------------------------------------------------------
 
 
-def similar_pairs(sets: DataFrame, least: float = LIKENESS) -> DataFrame:
-    """(a, b, likeness) for all pairs of different sets at least so alike; a < b.
+def length_class(least: float) -> Column:
+    """Sets so alike are of the same class or of neighbouring ones."""
+    return F.floor(F.log(F.size("spots").cast("double")) / -math.log(least)).cast("int")
 
-    ``sets`` has distinct keys in ``key`` and distinct sorted ``spots``, none empty; equal sets are
-    one row, so copies are not expanded into pairs. It is read several times, so it should be stored.
+
+def rarest_first(sized: DataFrame) -> tuple[Column, DataFrame]:
+    """A set's spots with the common ones last, and the table of one row that it needs.
+
+    Any one order of all spots finds the same pairs; with the common spots last it meets few others.
     """
-    width = -math.log(least)
-    sized = sets.select(
-        "key", "spots", F.size("spots").alias("n"),
-        F.floor(F.log(F.size("spots").cast("double")) / width).cast("int").alias("class"),
-    )
-    # Any one order of all spots finds the same pairs; with the common spots last it meets few others.
     common = (
         sized.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLED)) == 0).select(F.explode("spots").alias("spot"))
         .groupBy("spot").agg(F.count("*").alias("df")).where(F.col("df") > 1)
         .orderBy(F.desc("df"), "spot").limit(COMMON).agg(F.collect_list("spot").alias("common"))
     )
-    by_rarity = F.concat(F.array_except("spots", "common"), F.array_intersect("spots", "common"))
+    return F.concat(F.array_except("spots", "common"), F.array_intersect("spots", "common")), common
+
+
+def first_spots(least: float) -> Column:
+    """So many of its first spots hold one that a set so alike has among its own first ones."""
+    return (F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1).cast("int")
+
+
+def similar_pairs(sets: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """(a, b, likeness) for all pairs of different sets at least so alike; a < b.
+
+    ``sets`` has distinct keys in ``key`` and distinct sorted ``spots``, none empty; equal sets are
+    one row, so copies are not expanded into pairs. It is read several times, so it should be stored.
+    """
+    sized = sets.select("key", "spots", F.size("spots").alias("n"), length_class(least).alias("class"))
+    by_rarity, common = rarest_first(sized)
     # The first spots of a set: a likely partner shares one of them.
     each = sized.crossJoin(F.broadcast(common)).select("key", "n", "class", F.posexplode(F.slice(
-        by_rarity, F.lit(1), (F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1).cast("int"),
+        by_rarity, F.lit(1), first_spots(least)
     )).alias("place", "spot"))
     counts = each.groupBy("spot").agg(F.count("*").alias("df")).where(F.col("df") > 1)
     # Holders of a common (class, spot) are cut into parts, and each part meets each part on its own.
@@ -268,27 +289,74 @@ def similar_pairs(sets: DataFrame, least: float = LIKENESS) -> DataFrame:
     ).where(F.col("likeness") >= least - 1e-12)
 
 
-def with_links(rows: DataFrame, least: float = LIKENESS) -> DataFrame:
+def linked(held: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """(query, key, likeness) for the sets that are queries and all other sets at least so alike.
+
+    ``held`` has ``key``, equal for equal sets only, ``spots``, none empty, and ``is_query``; rows may
+    repeat. It is read several times, so it should be stored. Only the first spots of each set
+    are shuffled, and whole sets where a pair is left to be compared.
+    """
+    sized = held.select(
+        "key", "spots", "is_query", F.size("spots").alias("n"), length_class(least).alias("class")
+    )
+    by_rarity, common = rarest_first(sized)
+    firsts = sized.crossJoin(F.broadcast(common)).select(
+        "key", "n", "class", "is_query", F.slice(by_rarity, F.lit(1), first_spots(least)).alias("firsts")
+    )
+    entries = stored(
+        firsts.groupBy("key").agg(
+            F.first("n").alias("n"), F.first("class").alias("class"), F.first("firsts").alias("firsts"),
+            F.max("is_query").alias("is_query"),
+        ), "spot-firsts",
+    )
+    every = F.sequence(F.lit(0), F.lit(PARTS - 1))
+    near = F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)
+    asked = entries.where("is_query").select(
+        F.col("key").alias("query"), F.col("n").alias("n_q"), F.explode(near).alias("class"), "firsts"
+    ).select("query", "n_q", "class", F.posexplode("firsts").alias("place_q", "spot")).select(
+        "query", "n_q", "class", "place_q", "spot", F.explode(every).alias("part")
+    )
+    posts = entries.select(
+        "key", "n", "class", F.pmod(F.xxhash64("key"), F.lit(PARTS)).cast("int").alias("part"),
+        F.posexplode("firsts").alias("place", "spot"),
+    )
+    needed = F.lit(least / (1 + least)) * (F.col("n") + F.col("n_q")) - 1e-9
+    possible = F.least(F.col("n") - F.col("place"), F.col("n_q") - F.col("place_q"))
+    alike = F.least("n", "n_q") >= F.lit(least) * F.greatest("n", "n_q") - 1e-9
+    pairs = stored(
+        posts.join(asked, ["class", "spot", "part"])
+        .where((F.col("key") != F.col("query")) & alike & (possible >= needed))
+        .select("query", "key").distinct(), "spot-pairs",
+    )
+    wanted = pairs.select(F.explode(F.array("query", "key")).alias("key")).distinct()
+    whole = held.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("spots").alias("spots"))
+    one = whole.select("key", F.col("spots").alias("spots_1"))
+    two = whole.select(F.col("key").alias("query"), F.col("spots").alias("spots_2"))
+    return pairs.join(one, "key").join(two, "query").select(
+        "query", "key", likeness(F.col("spots_1"), F.col("spots_2")).alias("likeness")
+    ).where(F.col("likeness") >= least - 1e-12)
+
+
+def with_links(rows: DataFrame, least: float = LIKENESS, every: int = QUERY_EVERY) -> DataFrame:
     """The rows, which have doc_id, fingerprint and spots, with ``class_id`` and ``n_links``.
 
     Documents of equal sets are one class, named by its smallest doc_id; where ids repeat, the
     fingerprint tells classes apart. ``n_links`` is the number of other classes at least so alike,
-    over the whole table. Spots are dropped.
+    over the whole table, for the classes of documents whose id ``every`` divides; null for others.
+    Spots are dropped.
     """
-    held = stored(rows, "spot-documents")
-    sets = stored(
-        held.groupBy("fingerprint").agg(
-            F.min("doc_id").alias("class_id"), F.first("spots").alias("spots")
-        ).withColumn("key", F.monotonically_increasing_id()),
-        "spot-sets",
-    )
-    pairs = similar_pairs(sets.where(F.size("spots") > 0).select("key", "spots"), least)
-    links = pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(
-        F.count("*").alias("n")
+    is_query = F.coalesce(F.pmod("doc_id", F.lit(every)) == 0, F.lit(False))
+    held = stored(
+        rows.withColumn("key", F.unhex("fingerprint")).withColumn("is_query", is_query), "spot-documents"
     )
-    classes = sets.drop("spots").join(links, "key", "left").select(
-        "fingerprint", "class_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links")
+    pairs = linked(held.where(F.size("spots") > 0).select("key", "spots", "is_query"), least)
+    links = pairs.groupBy("query").agg(F.count("*").alias("n"))
+    classes = held.groupBy("key").agg(
+        F.min("doc_id").alias("class_id"), F.max("is_query").alias("asked")
+    ).join(links, F.col("key") == F.col("query"), "left").select(
+        F.col("key").alias("k"), "class_id",
+        F.when(F.col("asked"), F.coalesce("n", F.lit(0))).cast("long").alias("n_links"),
     )
-    return held.drop("spots").join(classes, "fingerprint").select(
+    return held.drop("spots").join(classes, F.col("key") == F.col("k")).select(
         *(f"`{c}`" for c in rows.columns if c != "spots"), "class_id", "n_links"
     )

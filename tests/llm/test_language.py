@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
+
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from candlewick.llm import language
@@ -21,6 +24,41 @@ def test_held_out_accuracy(spark):
     assert found.where("score < 0 OR score > 1 OR lang_pred = 'und'").count() == 0
 
 
+def plain_judge(dictionaries, text):
+    """Every chunk compressed anew with every dictionary."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", 0.0, True
+    data = text.lower().encode()
+    sizes = []
+    for name, content in dictionaries.items():
+        total = 0
+        for k in range(0, len(data), 512):
+            raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            packer = zstandard.ZstdCompressor(
+                level=6, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False
+            )
+            total += len(packer.compress(data[k:k + 512]))
+        sizes.append((total, name))
+    (best, name), (second, _) = sorted(sizes)[:2]
+    margin = (second - best) / second
+    return name, margin / (margin + 0.02), margin < 0.02
+
+
+def test_predictions_are_those_of_plain_compression(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    dictionaries = language.train(docs.where(learned))
+    assert len(dictionaries) == 4
+    for r in QUERIES["op5_language_id"](spark, "/root/testdata/sf0.001").join(docs, "doc_id").collect():
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert (r.lang_pred, r.score, r.rejected) == pytest.approx(plain_judge(dictionaries, r.text))
+
+
+def test_every_language_is_learned(spark):
+    rows = [(f"words{k} of{k} their{k} own{k} " * 8, f"l{k}") for k in range(1500)]
+    assert len(language.train(spark.createDataFrame(rows, "text string, lang string"))) == 1500
+
+
 ROWS = [(1, "the cat and the dog and the house " * 9, "en"), (2, "der Hund und die Katze " * 9, "de"),
         (3, None, "en"), (4, "", "de"), (5, "12 34 ½ .", "en"), (6, "the dog and the house", None),
         (6, "the dog and the house", None), (None, "und die Katze der", None)]
@@ -32,6 +70,8 @@ def test_edge_rows(spark):
     )
     out = language.identify(frame, F.lit(True))
     assert out.columns == [*frame.columns, "prediction"]
+    again = language.identify(out, F.lit(True))
+    assert again.columns == out.columns and sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
     got = {(r.doc_id, r.text): r.prediction for r in out.collect()}
     assert got[1, ROWS[0][1]].language == "en" and got[2, ROWS[1][1]].language == "de"
     assert got[6, "the dog and the house"].language == "en" and got[None, "und die Katze der"].language == "de"

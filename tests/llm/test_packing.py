@@ -82,6 +82,38 @@ def test_every_token_comes_back(spark):
     assert len(rows) <= 12
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_long_white_space_is_cut_where_the_pattern_cuts_it(seed):
+    with open(RANKS, "rb") as file:
+        ranks = read_ranks(file.read())
+    pick, whole = random.Random(seed), tokenizer(ranks)
+    white = " \n\t\r\x0b\x0c\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000"
+    for _ in range(300):
+        parts = []
+        for _ in range(pick.randint(1, 9)):
+            kinds = pick.choice([" ", "\n", " \n", white])
+            parts.append("".join(pick.choices(kinds, k=pick.randint(0, 60))))
+            parts.append(pick.choice(["word", "x", "12", "'s", "!?", "\x1f", "é", "", "\u200b", "🙂"]))
+        text = "".join(parts)
+        assert packing.encoder(ranks, 7)(text) == whole.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("white", [" ", "\n", "\t", " \n\t\u3000"])
+def test_a_million_blanks(spark, white):
+    with open(RANKS, "rb") as file:
+        encode = packing.encoder(read_ranks(file.read()))
+    run = white * (1_000_000 // len(white))
+    docs = [(1, run), (2, f"start{run}end of it{run}"), (3, f" {run}x"), (4, "after")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    parts: dict = {}
+    for row in packing.pack_documents(frame, RANKS, END).collect():
+        for doc_id, offset, ids in unpack_row(row):
+            parts.setdefault(doc_id, []).append((offset, ids))
+    for doc_id, text in docs:
+        got = np.concatenate([ids for _, ids in sorted(parts[doc_id], key=lambda x: x[0])])
+        assert got.tolist() == [*encode(text), END]
+
+
 def test_no_rows(spark):
     assert check(spark, [], 64, 100) == []
 
