@@ -55,8 +55,9 @@ RANGES = 64
 SAMPLED = 16
 COMMON = 1000
 PART = 1000
-# Holders of one spot are spread over this many tasks; each query spot is sent to all of them.
-PARTS = 8
+# Up to so many sets to compare are marked in every task by a hash of 8 bytes each, so that only they
+# are shuffled; more are joined by a shuffle of all sets.
+MARKED = 4_000_000
 QUERY_EVERY = 50
 
 
@@ -208,17 +209,19 @@ def edited_fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str =
         "doc_id", size.cast("long").alias("n_chars"), edited.alias("edited"), "spots",
         likeness(F.col("spots"), F.col("next.spots")).alias("near_next"),
     )
-    hashed = own.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
+    # Digests are kept as bytes, half as long, until the end.
+    hashed = own.withColumn("edited_sha256", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
     both = with_spots(
         hashed, "edited", "edited_spots", "doc_id", "n_chars", "edited_sha256", "spots", "near_next"
     )
     compared = both.select(
         "doc_id", "n_chars", "edited_sha256", fingerprint(F.col("spots")).alias("fingerprint"),
-        fingerprint(F.col("edited_spots")).alias("edited_fingerprint"),
+        F.unhex(fingerprint(F.col("edited_spots"))).alias("edited_fingerprint"),
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"), "near_next",
         F.size("spots").alias("n_spots"), "spots",
     )
-    return with_links(compared)
+    digests = ("edited_sha256", "edited_fingerprint")
+    return with_links(compared).withColumns({name: F.lower(F.hex(name)) for name in digests})
 
 
 # ---- near-duplicates ---------------------------------------------------------------------
@@ -307,33 +310,41 @@ def linked(held: DataFrame, least: float = LIKENESS) -> DataFrame:
         firsts.groupBy("key").agg(
             F.first("n").alias("n"), F.first("class").alias("class"), F.first("firsts").alias("firsts"),
             F.max("is_query").alias("is_query"),
-        ), "spot-firsts",
+        ).withColumn("id", F.monotonically_increasing_id()), "spot-firsts",
     )
-    every = F.sequence(F.lit(0), F.lit(PARTS - 1))
+    # What meets is a hash of class and spot: another hash would only be one more pair to compare.
+    meets = F.xxhash64("class", "spot").alias("meets")
+    at = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("place")).alias("at")
+    posts = entries.select("id", "n", "class", F.posexplode("firsts").alias("place", "spot")).select("id", at, meets)
     near = F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)
     asked = entries.where("is_query").select(
-        F.col("key").alias("query"), F.col("n").alias("n_q"), F.explode(near).alias("class"), "firsts"
-    ).select("query", "n_q", "class", F.posexplode("firsts").alias("place_q", "spot")).select(
-        "query", "n_q", "class", "place_q", "spot", F.explode(every).alias("part")
+        "id", "n", F.explode(near).alias("class"), "firsts"
+    ).select("id", "n", "class", F.posexplode("firsts").alias("place", "spot")).select(
+        F.col("id").alias("query"), at.alias("at_q"), meets
     )
-    posts = entries.select(
-        "key", "n", "class", F.pmod(F.xxhash64("key"), F.lit(PARTS)).cast("int").alias("part"),
-        F.posexplode("firsts").alias("place", "spot"),
-    )
-    needed = F.lit(least / (1 + least)) * (F.col("n") + F.col("n_q")) - 1e-9
-    possible = F.least(F.col("n") - F.col("place"), F.col("n_q") - F.col("place_q"))
-    alike = F.least("n", "n_q") >= F.lit(least) * F.greatest("n", "n_q") - 1e-9
+    n, n_q = (F.shiftright(F.col(c), 32) for c in ("at", "at_q"))
+    left, left_q = (F.shiftright(F.col(c), 32) - F.col(c).bitwiseAND(0xFFFFFFFF) for c in ("at", "at_q"))
+    alike = F.least(n, n_q) >= F.lit(least) * F.greatest(n, n_q) - 1e-9
+    possible = F.least(left, left_q) >= F.lit(least / (1 + least)) * (n + n_q) - 1e-9
     pairs = stored(
-        posts.join(asked, ["class", "spot", "part"])
-        .where((F.col("key") != F.col("query")) & alike & (possible >= needed))
-        .select("query", "key").distinct(), "spot-pairs",
+        posts.join(asked, "meets").where((F.col("id") != F.col("query")) & alike & possible)
+        .select("query", "id").distinct(), "spot-pairs",
+    )
+    wanted = stored(
+        pairs.select(F.explode(F.array("query", "id")).alias("id")).distinct()
+        .join(entries.select("id", "key"), "id"), "spot-wanted",
     )
-    wanted = pairs.select(F.explode(F.array("query", "key")).alias("key")).distinct()
-    whole = held.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("spots").alias("spots"))
-    one = whole.select("key", F.col("spots").alias("spots_1"))
-    two = whole.select(F.col("key").alias("query"), F.col("spots").alias("spots_2"))
-    return pairs.join(one, "key").join(two, "query").select(
-        "query", "key", likeness(F.col("spots_1"), F.col("spots_2")).alias("likeness")
+    marks = wanted.select(F.xxhash64("key").alias("mark"))
+    if wanted.count() <= MARKED:
+        marks = F.broadcast(marks)
+    whole = stored(
+        held.select("key", "spots").join(marks, F.xxhash64("key") == F.col("mark"), "left_semi")
+        .groupBy("key").agg(F.first("spots").alias("spots")).join(wanted, "key"), "spot-whole",
+    )
+    one = whole.select("id", "key", F.col("spots").alias("spots_1"))
+    two = whole.select(F.col("id").alias("query"), F.col("key").alias("key_q"), F.col("spots").alias("spots_2"))
+    return pairs.join(one, "id").join(two, "query").select(
+        F.col("key_q").alias("query"), "key", likeness(F.col("spots_1"), F.col("spots_2")).alias("likeness")
     ).where(F.col("likeness") >= least - 1e-12)
 
 
@@ -346,9 +357,8 @@ def with_links(rows: DataFrame, least: float = LIKENESS, every: int = QUERY_EVER
     Spots are dropped.
     """
     is_query = F.coalesce(F.pmod("doc_id", F.lit(every)) == 0, F.lit(False))
-    held = stored(
-        rows.withColumn("key", F.unhex("fingerprint")).withColumn("is_query", is_query), "spot-documents"
-    )
+    keyed = rows.withColumn("key", F.unhex("fingerprint")).withColumn("is_query", is_query)
+    held = stored(keyed.drop("fingerprint"), "spot-documents")
     pairs = linked(held.where(F.size("spots") > 0).select("key", "spots", "is_query"), least)
     links = pairs.groupBy("query").agg(F.count("*").alias("n"))
     classes = held.groupBy("key").agg(
@@ -357,6 +367,7 @@ def with_links(rows: DataFrame, least: float = LIKENESS, every: int = QUERY_EVER
         F.col("key").alias("k"), "class_id",
         F.when(F.col("asked"), F.coalesce("n", F.lit(0))).cast("long").alias("n_links"),
     )
-    return held.drop("spots").join(classes, F.col("key") == F.col("k")).select(
+    named = held.drop("spots").withColumn("fingerprint", F.lower(F.hex("key")))
+    return named.join(classes, F.col("key") == F.col("k")).select(
         *(f"`{c}`" for c in rows.columns if c != "spots"), "class_id", "n_links"
     )
