@@ -3,7 +3,8 @@
 1. Quality rules: documents that fail a rule of the strict policy go.
 2. Line dedup: lines that ten sources or more share stay in one document only.
 3. SimHash near-dedup: of each group of near copies the document with the smallest id stays.
-4. Mixing: sources are repeated towards equal weights, none more than four times and none cut.
+4. Mixing: sources are repeated until their weights have 0.95 of the entropy of equal ones, or one is
+   read four times; the least repeated one is read once, so none is cut.
 5. SentencePiece: texts become piece ids and are decoded again.
 
 Rows: stage 1 rejects null and empty texts. Stage 3 leaves one row of repeated rows, and a row
