@@ -28,11 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from candlewick.llm.common import small_batches
+from candlewick.llm.common import small_batches, stored
 
 UNDETERMINED = "und"
 TEXTS_PER_LANGUAGE = 256
 CHARS_PER_TEXT = 256
+# The shares of so many labels are sent to every task; more are joined by a shuffle.
+SENT_LANGUAGES = 100_000
 CHUNK_BYTES = 512
 LEVEL = 6
 MIN_MARGIN = 0.02
@@ -53,9 +55,11 @@ def train(labelled: DataFrame, text: str = "text", language: str = "lang") -> di
     )
     # Thin the table before ranking, so that no language is sorted whole. Copies share one pick, so
     # the share comes from the different texts; four times as many as needed outweigh its error.
-    shares = rows.groupBy("language").agg(
+    shares = stored(rows.groupBy("language").agg(
         F.least(F.lit(1.0), 4.0 * TEXTS_PER_LANGUAGE / F.approx_count_distinct("pick")).alias("share")
-    )
+    ), "language-shares")
+    if shares.count() <= SENT_LANGUAGES:
+        shares = F.broadcast(shares)
     thin = rows.join(shares, "language").where(F.col("pick") < F.col("share") * F.lit(float(1 << 31)))
     start = F.col("pick") % F.greatest(F.length("text") - CHARS_PER_TEXT + 1, F.lit(1)) + 1
     place = F.row_number().over(Window.partitionBy("language").orderBy("pick", "text"))
