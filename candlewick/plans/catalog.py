@@ -30,7 +30,7 @@ from candlewick.sources import history, trades as trade_source
 from candlewick.sources.reports import write_csv_summary
 from candlewick.sources.tables import CandleTable, ExportTable, append_trades
 from candlewick.streaming import candles as live
-from candlewick.streaming.closing import closing_stream, current_candles
+from candlewick.streaming.closing import closing_stream, current_candles, late_trades
 from candlewick.streaming.late import landed_trades
 from candlewick.units import CHECK_DEPTHS, DERIVED_UNITS, UNITS, lookback_start
 
@@ -1093,3 +1093,30 @@ def stream_symbol_close_arrival(spark, sf_dir):
     whole = trades(spark, sf_dir, "bithumb").withColumn("id", epoch_ms("timestamp"))
     twin = whole.withColumn("arrival_pos", F.lit(1))
     return closed_by_symbol(spark, trade_stream(spark, whole.unionByName(twin)), ARRIVAL)
+
+
+# Every tenth trade comes in a second batch. Those of minutes that their symbol has closed by then are kept
+# as late trades, and with the trades in candles they add up to all trades.
+@query("stream_symbol_late", with_trades("""
+    SELECT exchange, symbol, timestamp, price, amount, id, 'late' AS fate FROM placed WHERE late
+    UNION ALL
+    SELECT exchange, symbol, timestamp, NULL, volume, NULL, 'candle' FROM (
+      SELECT exchange, symbol, minute AS timestamp, sum(amount) AS volume FROM placed
+      WHERE NOT late GROUP BY ALL)""", """
+    minutes AS (SELECT *, date_trunc('minute', timestamp) AS minute FROM trades),
+    opened AS (SELECT symbol, max(minute) AS opened FROM minutes WHERE id % 10 <> 0 GROUP BY symbol),
+    placed AS (
+      SELECT minutes.*, id % 10 = 0 AND coalesce(minute < opened, false) AS late
+      FROM minutes LEFT JOIN opened USING (symbol))"""))
+def stream_symbol_late(spark, sf_dir):
+    whole = trades(spark, sf_dir)
+    path = landed(spark, whole.withColumn("second", (F.col("id") % 10 == 0).cast("int")), "second", 2)
+    out, checkpoint = shared_folder(spark, "closing"), shared_folder(spark, "progress")
+    stream = trade_source.stream_trades(spark, path, max_files=1)
+    closing_stream(stream, out, checkpoint, every=None).awaitTermination()
+    late = late_trades(spark, out).select(
+        "exchange", "symbol", "timestamp", "price", "amount", "id", F.lit("late").alias("fate"))
+    candles = current_candles(spark.read.parquet(f"{out}/revisions")).select(
+        "exchange", "symbol", "timestamp", F.lit(None).cast("double").alias("price"),
+        F.col("volume").alias("amount"), F.lit(None).cast("long").alias("id"), F.lit("candle").alias("fate"))
+    return late.unionByName(candles)

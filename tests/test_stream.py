@@ -8,7 +8,7 @@ from candlewick.plans import jobs
 from candlewick.sources.tables import CandleTable
 from candlewick.sources.trades import stream_messages, stream_trades, trades_from_singles
 from candlewick.streaming import candles as live
-from candlewick.streaming.closing import closing_stream, current_candles
+from candlewick.streaming.closing import closing_stream, current_candles, late_trades
 from test_fold import as_dict, random_rows
 
 
@@ -161,6 +161,8 @@ def test_each_symbol_closes_by_itself(spark, landing, make_trades, tmp_path):
     }
     closed = {(r["symbol"], r["timestamp"]) for r in final.where("closed").collect()}
     assert closed == {("FAST/KRW", start)}
+    late = late_trades(spark, str(tmp_path / "out")).collect()
+    assert [(r["symbol"], r["price"], r["id"], r["batch"]) for r in late] == [("FAST/KRW", 9, 6, 2)]
 
 
 def closed_by_symbol(spark, folder, tmp_path, **options):
