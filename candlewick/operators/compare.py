@@ -99,8 +99,9 @@ def reconcile_summary(
 
 
 def summary_rows(
-    flagged: DataFrame, depth: int | dict[str, dict[str, int]] | None = None
+    flagged: DataFrame, depth: int | dict[str, dict[str, int]] | None = None, equal: DataFrame | None = None
 ) -> DataFrame:
+    """``equal`` has counts of candles that are equal on both sides and not among the pairs."""
     db, ex = F.col("db_candle"), F.col("exchange_candle")
     diff, late = F.col("is_diff"), F.lit(False)
     if "created_at" in flagged.schema["db_candle"].dataType.names:
@@ -121,7 +122,15 @@ def summary_rows(
         F.count_if(F.col("is_gap")).alias("gap_count"),
         F.count_if(late).alias("created_at_diff_count"),
         F.max(F.when(diff, F.col("volume_delta"))).alias("max_volume_diff"),
-    ).where((F.col("diff_count") > 0) | (F.col("created_at_diff_count") > 0))
+    )
+    if equal is not None:
+        counts = [c for c in summary.columns if c not in (*SERIES, "max_volume_diff")]
+        summary = summary.unionByName(equal.select(*SERIES, *[
+            F.col(c) if c in equal.columns else F.lit(0).alias(c) for c in counts
+        ]), allowMissingColumns=True).groupBy(*SERIES).agg(
+            *[F.sum(c).alias(c) for c in counts], F.max("max_volume_diff").alias("max_volume_diff")
+        )
+    summary = summary.where((F.col("diff_count") > 0) | (F.col("created_at_diff_count") > 0))
     if depth is None:
         return summary
     return summary.withColumn("check_count", depth_of(depth))

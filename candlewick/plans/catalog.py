@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from candlewick.functions import bucket_ms, bucket_start, epoch_ms, from_epoch_ms, is_aligned, ts_literal
 from candlewick.functions.symbols import join_ids
-from candlewick.operators import compare, export, series
+from candlewick.operators import compare, digest, export, series
 from candlewick.operators.fold import ARRIVAL, SEQUENCE, first_of_each, fold_trades
 from candlewick.operators.fold import as_states, merge_states, seed_states
 from candlewick.operators.rollup import (
     rollup, rollup_all, rollup_cascade, rollup_latest, rollup_many, rollup_range,
 )
-from candlewick.plans.jobs import load_history, reconcile, repair, stream_candles, stream_candles_and_late
+from candlewick.plans.jobs import load_history, reconcile, repair, stream_candles, stream_candles_and_late, written
 from candlewick.plans.jobs import rollup_all as fill_table
 from candlewick.plans.jobs import rollup_latest as refresh_table
 from candlewick.session import shared_folder, use_utc
@@ -804,6 +804,28 @@ query("reconcile_summary", with_trades(SQL_SUMMARY, *sql_sides(CHECKED_UNITS)))(
 )
 
 
+# The same rows from digests: whole sides are aggregated, candles of differing blocks alone are joined.
+@query("reconcile_by_digest", with_trades(SQL_SUMMARY, *sql_sides(CHECKED_UNITS)))
+def reconcile_by_digest(spark, sf_dir):
+    stored, served = (written(side, "side") for side in stored_and_closed(spark, sf_dir))
+    blocks = written(digest.compared_blocks(stored, served), "blocks")
+    return digest.summary_by_digest(digest.flagged_pairs(stored, served, blocks), blocks)
+
+
+@query("reconcile_blocks", with_trades("""
+    SELECT exchange, unit, symbol, CASE WHEN unit LIKE '%m' THEN date_trunc('day', timestamp)
+             WHEN unit LIKE '%h' THEN date_trunc('month', timestamp)
+             ELSE date_trunc('year', timestamp) END AS block,
+           count(db.open) AS db_count, count(ex.open) AS exchange_count, bool_or(db.open IS NULL OR ex.open IS NULL
+             OR db.open <> ex.open OR db.high <> ex.high OR db.low <> ex.low OR db.close <> ex.close
+             OR db.volume <> ex.volume) AS differs
+    FROM ex FULL OUTER JOIN db USING (exchange, unit, symbol, timestamp) GROUP BY ALL""",
+    *sql_sides(CHECKED_UNITS)[:3]))
+def reconcile_blocks(spark, sf_dir):
+    blocks = digest.compared_blocks(*stored_and_closed(spark, sf_dir)).drop("created_at_diff_count")
+    return blocks.withColumn("block", F.col("block").cast("timestamp_ntz"))
+
+
 @query("reconcile_depths", with_trades(
     SQL_STORED_SUMMARY, *sql_sides(list(CHECK_DEPTHS["upbit"]), CHECK_DEPTHS["upbit"])))
 def reconcile_depths(spark, sf_dir):

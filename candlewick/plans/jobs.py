@@ -15,11 +15,9 @@ from candlewick.operators.compare import (
     closed_on_grid,
     diff_rows,
     export_summary,
-    paired,
-    summary_rows,
     to_depth,
-    with_flags,
 )
+from candlewick.operators.digest import compared_blocks, flagged_pairs, summary_by_digest
 from candlewick.operators.export import latest_buckets, to_export
 from candlewick.operators.fold import PROFILES, fold_trades, priced
 from candlewick.operators.rollup import rollup_all as roll_all_units
@@ -215,22 +213,31 @@ def reconcile(
 ) -> DataFrame:
     """Compares the newest stored candles with the exchange's own; returns the summary.
 
-    Pairs of candles are written once, and report and summary are read from them.
+    Both sides are written once. Their digests name the blocks that differ, and only pairs of these
+    are joined and written, for report and summary.
     """
-    spark = use_utc(table.spark)
+    use_utc(table.spark)
     served = to_depth(exchange_candles, depth)
     stored = stored_to_depth(table, served, depth)
-    folder = shared_folder(spark, "pairs")
-    pairs = with_flags(paired(stored, closed_on_grid(served, ranked=True), "full_outer"))
-    pairs.write.parquet(folder)
-    pairs = spark.read.schema(pairs.schema).parquet(folder)
-    summary = summary_rows(pairs, depth)
+    kept = [*CANDLE_COLUMNS, "created_at"]
+    stored = written(stored.select(*kept), "stored")
+    served = written(closed_on_grid(served, ranked=True).select(*CANDLE_COLUMNS), "served")
+    blocks = written(compared_blocks(stored, served), "blocks")
+    pairs = written(flagged_pairs(stored, served, blocks), "pairs")
+    summary = summary_by_digest(pairs, blocks, depth)
     if report_path is not None:
         write_diff_report(diff_rows(pairs), f"{report_path}/diffs")
         write_summary_report(summary, f"{report_path}/summary")
     return summary
 
 
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written to an intermediate table and read from it."""
+    folder = shared_folder(rows.sparkSession, purpose)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def stored_to_depth(
     table: CandleTable, served: DataFrame, depth: int | dict[str, dict[str, int]]
 ) -> DataFrame:
