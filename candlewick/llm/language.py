@@ -124,6 +124,9 @@ def identify(
     docs: DataFrame, learn_from: Column, text: str = "text", language: str = "lang",
     prediction: str = "prediction",
 ) -> DataFrame:
-    """The rows with a struct ``prediction``, learned from the rows where ``learn_from`` is true."""
+    """The rows with a struct ``prediction``, learned from the rows where ``learn_from`` is true.
+
+    A column that has this name is replaced.
+    """
     dictionaries = train(docs.where(learn_from), text, language)
     return small_batches(docs).withColumn(prediction, classify(docs, dictionaries, text))

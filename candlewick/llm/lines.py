@@ -10,7 +10,9 @@ Only DataFrame functions are used. Lines are told apart by a 64-bit and a 32-bit
 
 Rows: lines of white space only are never removed; a null text stays null and a text can become
 empty. Rows without a site count for no site but lose boilerplate like others. Where no holder of
-a line has an id, all keep it. Rows with one id count as one document. Other columns pass through.
+a line has an id, all keep it. Rows with one id count as one document. Very long texts and lines are
+read whole; shuffled are hashes of lines, so their length does not matter. Other columns pass
+through, but one named like ``removed`` is replaced by it; a table without rows gives none.
 """
 
 from __future__ import annotations

@@ -5,7 +5,8 @@ bits say which rules failed. Policies are masks over those bits, so a new policy
 reads the ledger and never the texts.
 
 Rows: a null or empty text measures zero everywhere and fails the word count. Repeated rows get
-equal entries. Other columns of the table pass through; a table without rows gives none.
+equal entries. Very long texts are measured whole. Other columns of the table pass through, but one named
+like the ledger is replaced by it; a table without rows gives none.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ task and not the driver sees them all:
 
 Rows: a null text counts eight bytes, has checksum 0 and is a group of its own, apart from the
 empty text. Repeated rows are rows like others and get their own slots. Ties in size are placed
-in the order of the texts' hashes. Other columns are not read; no rows give no rows.
+in the order of the texts' hashes. Very long texts are read whole where they lie; only their digest,
+size and checksum are shuffled. Other columns are not read; no rows give no rows.
 """
 
 from __future__ import annotations

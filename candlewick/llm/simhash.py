@@ -11,7 +11,9 @@ same local component leave a block, so a large group never yields all its pairs.
 
 Rows: a null or empty text, or one of white space only, has fingerprint zero and links like any
 other. A row without doc_id takes part; the component is named by the smallest doc_id that is
-not null. Repeated rows and ties in doc_id give equal rows. Other columns are not read.
+not null. Repeated rows and ties in doc_id give equal rows. Very long texts are read whole, a run of
+words at a time, so that hashes of a run and 64 counts are all that is held beside the text. Other columns are
+not read; a table without rows gives none.
 """
 
 from __future__ import annotations

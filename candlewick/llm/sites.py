@@ -13,7 +13,7 @@ document. Sums per host and path are partial sums before the shuffle, so a hot h
 
 Rows: a null or empty text has the features of an empty one. Null hosts and paths are groups like
 others. Repeated rows are documents like others. Without labels of both kinds every document has
-evidence one half. Other columns are not read; no rows give no rows.
+evidence one half. Very long texts are measured whole. Other columns are not read; no rows give no rows.
 """
 
 from __future__ import annotations

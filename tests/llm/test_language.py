@@ -86,6 +86,12 @@ def test_nothing_to_learn(spark):
     assert language.identify(frame.where("false"), F.lit(True)).count() == 0
 
 
+def test_a_clashing_name_is_replaced(spark):
+    frame = spark.createDataFrame([(1, "abc", 7)], "doc_id long, text string, prediction int").selectExpr("*", "'x' AS lang")
+    out = language.identify(frame, F.lit(True))
+    assert out.columns == frame.columns and out.first().prediction.language == "x"
+
+
 def test_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(language, "TEXTS_PER_LANGUAGE", 5)
     monkeypatch.setattr(language, "CHARS_PER_TEXT", 10)

@@ -54,5 +54,15 @@ def test_many_sites_are_estimated_and_near_ones_counted(spark):
     assert run(spark, docs, 100) == plain(docs, 100)
 
 
+def test_very_long_lines_and_a_clashing_name(spark):
+    long = "long words " * 100_000
+    docs = [(k, f"{long}\nown {k}", f"s{k}", "m") for k in range(4)]
+    assert run(spark, docs) == plain(docs, 4)
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, mark string")
+    out = lines.remove_boilerplate(frame, min_sites=4, removed="mark")
+    assert out.columns == frame.columns
+    assert sorted(r.mark for r in out.collect()) == [0, 1, 1, 1]
+
+
 def test_no_rows(spark):
     assert run(spark, []) == []

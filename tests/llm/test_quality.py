@@ -57,6 +57,14 @@ def test_ledger_keeps_other_columns_and_rows(spark):
     assert {r.text for r in kept.collect()} == {LONG}
 
 
+def test_a_very_long_text_is_measured_whole(spark):
+    text = "\n".join(f"long line {k % 9000} of many words" for k in range(40_000))
+    frame = spark.createDataFrame([(1, text, 5)], "doc_id long, text string, ledger int")
+    (row,) = quality.with_ledger(frame).collect()
+    assert row.ledger.n_words == 240_000 and row.ledger.n_dup_lines == 31_000
+    assert row.ledger.n_lines == 40_000 and row.ledger.n_repeat_words == 240_000
+
+
 def test_ablation_counts_what_only_one_rule_rejects(spark):
     bits = spark.createDataFrame([(0,), (1,), (1,), (3,), (2,), (4,)], "failed long")
     rows = {r["rule"]: r for r in quality.ablations(bits, quality.BASE).collect()}

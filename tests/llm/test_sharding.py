@@ -82,7 +82,7 @@ def test_documents(spark):
 
 
 def test_edge_rows(spark):
-    docs = [(1, None, 1), (2, "", 1), (3, "a", 1), (3, "a", 1), (None, "b", 1), (4, "x" * 90_000, 1)]
+    docs = [(1, None, 1), (2, "", 1), (3, "a", 1), (3, "a", 1), (None, "b", 1), (4, "x" * 3_000_000, 1)]
     docs += [(10 + k, "same", 1) for k in range(300)]
     frame = spark.createDataFrame(docs, "doc_id long, text string, size int")
     rows = sharding.shard_documents(frame, 4).collect()

@@ -96,6 +96,12 @@ def test_documents_against_brute_force(spark, monkeypatch):
     assert len(set(group)) < len(set(prints))
 
 
+def test_very_long_texts_link(spark):
+    long = " ".join(f"w{i * i % 9973}" for i in range(200_000))
+    docs = [(5, long, "x", 1), (3, long + " end", "x", 1), (4, "short", "x", 1)]
+    assert [r[2] for r in rows(spark, docs)] == [3, 4, 3]
+
+
 def test_one_band_value_over_many_blocks(spark, monkeypatch):
     """Fingerprints that all share a band: its links cross blocks and none is lost."""
     monkeypatch.setattr(simhash, "BLOCK_ROWS", 8)
