@@ -1122,7 +1122,7 @@ def stream_symbol_close_arrival(spark, sf_dir):
 @query("stream_symbol_late", with_trades("""
     SELECT exchange, symbol, timestamp, price, amount, id, 'late' AS fate FROM placed WHERE late
     UNION ALL
-    SELECT exchange, symbol, timestamp, NULL, volume, NULL, 'candle' FROM (
+    SELECT exchange, symbol, timestamp, NULL, volume, -1, 'candle' FROM (
       SELECT exchange, symbol, minute AS timestamp, sum(amount) AS volume FROM placed
       WHERE NOT late GROUP BY ALL)""", """
     minutes AS (SELECT *, date_trunc('minute', timestamp) AS minute FROM trades),
@@ -1140,5 +1140,5 @@ def stream_symbol_late(spark, sf_dir):
         "exchange", "symbol", "timestamp", "price", "amount", "id", F.lit("late").alias("fate"))
     candles = current_candles(spark.read.parquet(f"{out}/revisions")).select(
         "exchange", "symbol", "timestamp", F.lit(None).cast("double").alias("price"),
-        F.col("volume").alias("amount"), F.lit(None).cast("long").alias("id"), F.lit("candle").alias("fate"))
+        F.col("volume").alias("amount"), F.lit(-1).cast("long").alias("id"), F.lit("candle").alias("fate"))
     return late.unionByName(candles)
