@@ -106,6 +106,46 @@ def rollup_all(candles: DataFrame, timezone: str = "UTC") -> DataFrame:
     return rollup_many(candles, DERIVED_UNITS, timezone)
 
 
+# What each step of the nested rollup reads, and what it adds.
+NESTED_STEPS = [
+    ("1m", ["3m", "5m"]),
+    ("5m", ["10m", "15m", "30m", "1h"]),
+    ("1h", ["4h", "1d", "1w"]),
+]
+
+
+def rollup_nested(candles: DataFrame, timezone: str = "UTC") -> DataFrame:
+    """Every derived unit in one shuffle, each from a shorter unit.
+
+    1m candles are shuffled once, by series and week. Buckets of all units lie within a week, so each
+    step groups inside its partition. A row is copied for the units of one step only, which handles less
+    than half the rows that ``rollup_many`` does; and of 1m candles in no order, which combine little before a
+    shuffle, each is sent once, not once per unit. A partition key holds a week of one series at most.
+    """
+    ms = epoch_ms_sql("timestamp")
+    within = ["week", "symbol", "exchange"]
+    rows = candles.select(
+        "exchange", "symbol", "timestamp", "open", "high", "low", "close", "volume", F.lit("1m").alias("unit"),
+        F.expr(floored_sql(ms, "1w", timezone)).alias("week"),
+    ).repartition(*within)
+    for base, units in NESTED_STEPS:
+        kept = "" if base == "1m" else f"named_struct('unit', unit, 'bucket', {ms})"
+        added = ", ".join(
+            f"named_struct('unit', '{unit}', 'bucket', {floored_sql(ms, unit, timezone)})" for unit in units
+        )
+        targets = f"array({kept + ', ' if kept else ''}{added})"
+        if kept:
+            targets = f"IF(unit = '{base}', {targets}, array({kept}))"
+        rows = (
+            rows.select(*within, "timestamp", "open", "high", "low", "close", "volume",
+                        F.expr(f"inline({targets})").alias("to", "bucket"))
+            .groupBy(*within, "to", "bucket")
+            .agg(*rolled_ohlcv())
+            .withColumns({"unit": F.col("to"), "timestamp": from_epoch_ms("bucket")})
+        )
+    return rows.select(*CANDLE_COLUMNS)
+
+
 def rollup_cascade(
     candles: DataFrame,
     timezone: str = "UTC",

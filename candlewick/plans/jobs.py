@@ -20,8 +20,7 @@ from candlewick.operators.compare import (
 from candlewick.operators.digest import compared_blocks, flagged_pairs, summary_by_digest
 from candlewick.operators.export import latest_buckets, to_export
 from candlewick.operators.fold import PROFILES, fold_trades, priced
-from candlewick.operators.rollup import rollup_all as roll_all_units
-from candlewick.operators.rollup import rollup_many
+from candlewick.operators.rollup import rollup_many, rollup_nested
 from candlewick.operators.series import gaps, newest_n
 from candlewick.schemas import CANDLE_COLUMNS
 from candlewick.session import shared_folder, use_utc
@@ -30,7 +29,7 @@ from candlewick.sources.reports import write_csv_summary, write_diff_report, wri
 from candlewick.sources.tables import CandleTable, ExportTable
 from candlewick.streaming.candles import LATENESS, candle_stream, seed_stream, upsert_stream
 from candlewick.streaming.late import create_landing, in_time, landing_stream
-from candlewick.units import UNITS, cascade_levels, covering_unit, lookback_start
+from candlewick.units import UNITS, cascade_levels, covering_unit, from_epoch, lookback_start
 
 
 def stream_candles(
@@ -164,9 +163,9 @@ def rollup_latest(table: CandleTable, now: datetime, timezone: str = "UTC") -> N
 
 
 def rollup_all(table: CandleTable, timezone: str = "UTC") -> None:
-    """Derives every unit of the whole 1m table in one pass."""
+    """Derives every unit of the whole 1m table in one shuffle."""
     use_utc(table.spark)
-    table.upsert(roll_all_units(table.candles(units=["1m"]), timezone))
+    table.upsert(rollup_nested(table.candles(units=["1m"]), timezone))
 
 
 def rollup_history(
@@ -181,10 +180,12 @@ def rollup_history(
             table.upsert(rollup_many(rows, missing, timezone))
 
 
-def export_history(table: CandleTable, export: ExportTable, limit: int = 2000) -> None:
-    """Exports the newest ``limit`` candles of every series."""
+def export_history(
+    table: CandleTable, export: ExportTable, limit: int = 2000, now: datetime | None = None
+) -> None:
+    """Exports the newest ``limit`` candles of every series, read newest periods first."""
     use_utc(table.spark)
-    export.upsert(to_export(newest_n(table.candles(), limit)))
+    export.upsert(to_export(newest_n(table.newest(limit, now), limit)))
 
 
 def export_latest(table: CandleTable, export: ExportTable, now: datetime) -> None:
@@ -254,9 +255,14 @@ def reconcile_export(
     check_count: int = 1000,
     report_path: str | None = None,
 ) -> DataFrame:
-    """Compares the newest closed rows of the export store with REST candles."""
+    """Compares the newest closed rows of the export store with REST candles.
+
+    The store is read newest periods first, from the newest REST candle on.
+    """
     use_utc(export.spark)
-    summary = export_summary(export.newest_closed(market, units, check_count), rest, check_count)
+    newest = rest.agg(F.max("tms")).first()[0]
+    now = None if newest is None else from_epoch(newest)
+    summary = export_summary(export.newest_closed(market, units, check_count, now), rest, check_count)
     if report_path is not None:
         write_csv_summary(summary, report_path)
     return summary

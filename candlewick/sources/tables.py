@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import UTC, date, datetime, timedelta
+from datetime import UTC, date, datetime, time, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,10 +17,12 @@ from candlewick.operators.export import retention_cutoffs
 from candlewick.operators.series import depth_of, newest_n
 from candlewick.schemas import CANDLE, CANDLE_KEYS, EXPORT, SERIES
 from candlewick.sources.upserts import UpsertTable
-from candlewick.units import EPOCH, UNITS, from_epoch, to_utc_naive
+from candlewick.units import EPOCH, UNITS, from_epoch, to_epoch_ms, to_utc_naive
 
 # Readers of the newest rows look this many times further back at each step.
 WIDEN = 4
+# Readers go back no further.
+OLDEST = datetime(1001, 1, 1)
 PERIOD_SPANS = {"WEEK": timedelta(days=7), "MONTH": timedelta(days=31), "YEAR": timedelta(days=366)}
 
 
@@ -88,30 +90,8 @@ class CandleTable(UpsertTable):
         enough rows or is read from its oldest period on. ``now`` is where reading starts; candles
         after it are read as well. Only the units that still lack rows are collected.
         """
-        now = to_utc_naive(now or datetime.now(UTC))
-        known = self.known_series().withColumn("wanted", depth_of(depth)).where("wanted > 0").persist()
-        try:
-            most = {row["unit"]: row["n"] for row in known.groupBy("unit").agg(F.max("wanted").alias("n")).collect()}
-            starts = {
-                unit: now - max(PERIOD_SPANS[UNITS[unit].period], timedelta(milliseconds=UNITS[unit].ms) * rows)
-                for unit, rows in most.items()
-            }
-            lacking = set(starts)
-            while lacking:
-                read = self.since({unit: starts[unit] for unit in lacking})
-                counted = read.groupBy(*SERIES).agg(F.count("*").alias("n"))
-                reached = F.create_map(*(
-                    x for unit in lacking for x in (F.lit(unit), F.lit(period_of(starts[unit], unit)))
-                ))[F.col("unit")]
-                short = known.where(F.col("unit").isin(*lacking)).join(counted, SERIES, "left").where(
-                    (F.coalesce("n", F.lit(0)) < F.col("wanted")) & (F.col("oldest") < reached)
-                )
-                lacking = {row["unit"] for row in short.select("unit").distinct().collect()}
-                for unit in lacking:
-                    starts[unit] = max(EPOCH, now - (now - starts[unit]) * WIDEN)
-        finally:
-            known.unpersist()
-        return self.since(starts)
+        known = self.known_series().withColumn("wanted", depth_of(depth)).where("wanted > 0")
+        return self.since(newest_starts(known, self.since, SERIES, now))
 
     def since(self, starts: dict[str, datetime]) -> DataFrame:
         """Candles of each unit from its own start on."""
@@ -124,6 +104,49 @@ class CandleTable(UpsertTable):
         return newest_n(rows.where(F.col("exchange") == exchange), 1)
 
 
+def newest_starts(
+    known: DataFrame, since: Callable[[dict[str, datetime]], DataFrame], series: Sequence[str],
+    now: datetime | None, units: dict[str, str] | None = None,
+) -> dict[str, datetime]:
+    """For each unit, from when on ``since`` has the rows ``wanted`` of every ``known`` series.
+
+    Reading starts at the beginning of a period, so that a series' oldest period is read whole.
+    ``units`` says which catalogue unit a unit's name in the table stands for.
+    """
+    now = to_utc_naive(now or datetime.now(UTC))
+    units = units or {name: name for name in UNITS}
+    known = known.persist()
+    try:
+        most = {row["unit"]: row["n"] for row in known.groupBy("unit").agg(F.max("wanted").alias("n")).collect()}
+        reach, starts = {}, {}
+        for unit, rows in most.items():
+            spec = UNITS[units[unit]]
+            wide = min(spec.ms * rows, max(to_epoch_ms(now), 0))
+            reach[unit] = now - max(PERIOD_SPANS[spec.period], timedelta(milliseconds=wide))
+        lacking = set(reach)
+        while lacking:
+            starts |= {unit: period_begin(reach[unit], units[unit]) for unit in lacking}
+            counted = since({unit: starts[unit] for unit in lacking}).groupBy(*series).agg(F.count("*").alias("n"))
+            first = F.create_map(*(
+                x for unit in lacking for x in (F.lit(unit), F.lit(starts[unit].date()))
+            ))[F.col("unit")]
+            short = known.where(F.col("unit").isin(*lacking)).join(counted, list(series), "left").where(
+                (F.coalesce("n", F.lit(0)) < F.col("wanted")) & (F.col("oldest") < first)
+            )
+            found = {row["unit"] for row in short.select("unit").distinct().collect()}
+            lacking = {unit for unit in found if reach[unit] > OLDEST}
+            for unit in lacking:
+                further = EPOCH if now <= EPOCH else max(EPOCH, now - (now - reach[unit]) * WIDEN)
+                reach[unit] = further if further < reach[unit] else OLDEST
+    finally:
+        known.unpersist()
+    return starts
+
+
+def period_begin(moment: datetime, unit: str) -> datetime:
+    return datetime.combine(period_of(moment, unit), time())
+
+
 def years_from(year: int) -> list[str]:
     """Path patterns that match the four-digit years from ``year`` on."""
     digits = f"{year:04}"
@@ -166,10 +189,32 @@ class ExportTable(UpsertTable):
         )
         return F.expr(f"CASE unit {branches} END")
 
-    def newest_closed(self, market: str, units: Sequence[str], n: int) -> DataFrame:
-        """Newest ``n`` rows per code and unit, without the newest of all: it is still open."""
-        rows = self.read(F.col("market") == market, F.col("unit").isin(*units))
-        return newest_n(rows, n + 1, skip=1, series=["unit", "market", "code"], time="tms")
+    def newest_closed(
+        self, market: str, units: Sequence[str], n: int, now: datetime | None = None
+    ) -> DataFrame:
+        """Newest ``n`` rows per code and unit, without the newest of all: it is still open.
+
+        Periods are read newest first, from ``now`` on, as by ``CandleTable.newest``.
+        """
+        known = self.known_series().where(
+            (F.col("market") == market) & F.col("unit").isin(*units)
+        ).withColumn("wanted", F.lit(n + 1))
+        starts = newest_starts(
+            known, lambda found: self.since(market, found), self.series, now, UNIT_OF_EXPORT
+        )
+        return newest_n(self.since(market, starts), n + 1, skip=1, series=self.series, time="tms")
+
+    def since(self, market: str, starts: dict[str, datetime]) -> DataFrame:
+        """Rows of a market and of each unit from its own start on."""
+        parts = []
+        for unit, start in sorted(starts.items()):
+            first = period_of(start, UNIT_OF_EXPORT[unit])
+            parts.append(self.read(
+                F.col("market") == market, F.col("unit") == unit,
+                F.col("p") >= F.lit(first), F.col("tms") >= to_epoch_ms(start),
+                folders=f"unit={unit}/market={market}/p={{{','.join(years_from(first.year))}}}-*",
+            ))
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], self.schema)
 
     def delete_expired(self, now: datetime) -> dict[str, int]:
         """Deletes rows older than their unit keeps and returns how many per unit.

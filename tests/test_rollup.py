@@ -4,7 +4,7 @@ import pytest
 
 from candlewick.operators.fold import fold_trades
 from candlewick.operators.rollup import (
-    rollup, rollup_all, rollup_cascade, rollup_latest, rollup_many, rollup_range,
+    rollup, rollup_all, rollup_cascade, rollup_latest, rollup_many, rollup_nested, rollup_range,
 )
 from candlewick.units import DERIVED_UNITS, lookback_start
 from test_fold import random_rows
@@ -29,6 +29,7 @@ def rows_of(candles):
 def test_cascade_equals_direct(minutes, timezone):
     direct = rows_of(rollup_all(minutes, timezone))
     assert rows_of(rollup_cascade(minutes, timezone)) == direct
+    assert rows_of(rollup_nested(minutes, timezone)) == direct
     single = [row for unit in DERIVED_UNITS for row in rows_of(rollup(minutes, unit, timezone))]
     assert sorted(single) == direct
 
@@ -60,3 +61,11 @@ def test_native_units_are_not_derived(minutes):
     served = minutes.unionByName(rollup_many(minutes, sorted(native)))
     derived = rollup_cascade(served, bases={"15m": "5m"}, native=native)
     assert rows_of(derived) == rows_of(rollup_many(minutes, ["15m", "4h", "1d", "1w"]))
+
+
+def test_nested_rollup_shuffles_once(spark, minutes, tmp_path):
+    minutes.write.parquet(str(tmp_path / "minutes"))
+    stored = spark.read.parquet(str(tmp_path / "minutes"))
+    plan = rollup_nested(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rollup_nested(stored.limit(0)).count() == 0

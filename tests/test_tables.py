@@ -202,6 +202,38 @@ def test_the_newest_rows_do_not_need_the_history(table, make_candles, weeks):
     assert "OLD/KRW" in {r["symbol"] for r in table.newest(1, NOW).collect()}
 
 
+def test_short_series_are_read_whole(table, make_candles):
+    rows = [("1h", f"{year}-{month:02}-01T00:00:00", "A/KRW", 1, 1, 1, 1, 1)
+            for year in (2018, 2023) for month in range(1, 13)]
+    table.upsert(make_candles(rows))
+    for now in (NOW, NOW + timedelta(days=200), NOW + timedelta(days=400)):
+        assert table.newest(1000, now).count() == len(rows)
+
+
+def test_candles_before_the_epoch_are_found(table, make_candles):
+    table.upsert(make_candles([(unit, "1931-01-05T00:00:00", "OLD/KRW", 1, 1, 1, 1, 1) for unit in ("1m", "1w")]))
+    assert table.newest(10**9, NOW).count() == 2
+
+
+@pytest.mark.parametrize("weeks", [8, 60])
+def test_the_newest_exports_do_not_need_the_history(spark, make_candles, tmp_path, weeks):
+    rows = [
+        ("1m", (datetime(2024, 1, 29) - timedelta(weeks=w, minutes=m)).isoformat(), "BTC/KRW", w, w, w, w, 1)
+        for w in range(weeks) for m in range(30)
+    ]
+    export = ExportTable(spark, str(tmp_path / "export"))
+    assert export.newest_closed("UPBIT", ["Min"], 3, NOW).count() == 0
+    export.upsert(to_export(make_candles(rows)))
+    newest = export.newest_closed("UPBIT", ["Min", "Day"], 40, NOW)
+    assert len(newest.inputFiles()) <= 5
+    whole = sorted((r["tms"] for r in export.read().collect()), reverse=True)
+    assert sorted((r["tms"] for r in newest.collect()), reverse=True) == whole[1:41]
+    # Of another market nothing, of a clock behind the data the same rows.
+    assert export.newest_closed("BITHUMB", ["Min"], 40, NOW).count() == 0
+    early = export.newest_closed("UPBIT", ["Min"], 40, NOW - timedelta(weeks=3))
+    assert sorted((r["tms"] for r in early.collect()), reverse=True) == whole[1:41]
+
+
 def test_incremental_cascade_equals_full(table, make_candles):
     rng = random.Random(5)
     rows = [
