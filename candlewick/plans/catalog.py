@@ -20,9 +20,10 @@ from candlewick.operators import compare, digest, export, series
 from candlewick.operators.fold import ARRIVAL, SEQUENCE, first_of_each, fold_trades
 from candlewick.operators.fold import as_states, merge_states, seed_states
 from candlewick.operators.rollup import (
-    rollup, rollup_all, rollup_cascade, rollup_latest, rollup_many, rollup_range,
+    rollup, rollup_all, rollup_cascade, rollup_latest, rollup_many, rollup_nested, rollup_range,
 )
-from candlewick.plans.jobs import load_history, reconcile, repair, stream_candles, stream_candles_and_late, written
+from candlewick.plans.jobs import load_history, reconcile, reconcile_export, repair, written
+from candlewick.plans.jobs import stream_candles, stream_candles_and_late
 from candlewick.plans.jobs import rollup_all as fill_table
 from candlewick.plans.jobs import rollup_latest as refresh_table
 from candlewick.session import shared_folder, use_utc
@@ -81,10 +82,12 @@ def tape(spark: SparkSession, sf_dir: str, symbol: Column) -> DataFrame:
 
 
 BATCHES = 4
+# Each batch is written and read by as many tasks.
+FILES = 8
 
 
 def landed(spark: SparkSession, rows: DataFrame, order: str, batches: int = BATCHES) -> str:
-    """A folder with the rows in files that stream one after the other, by ranges of ``order``."""
+    """A folder with the rows by ranges of ``order``, FILES files each, that stream one range after the other."""
     path = shared_folder(spark, "landed")
     cuts = rows.select(F.percentile_approx(order, [k / batches for k in range(1, batches)], 10_000)).first()[0]
     edges = [None, *(cuts or []), None]
@@ -94,7 +97,7 @@ def landed(spark: SparkSession, rows: DataFrame, order: str, batches: int = BATC
             part = part.where(F.col(order) > low)
         if high is not None:
             part = part.where(F.col(order) <= high)
-        part.drop(order).coalesce(1).write.mode("append").parquet(path)
+        part.drop(order).repartition(FILES).write.mode("append").parquet(path)
     return path
 
 
@@ -102,7 +105,7 @@ def trade_stream(spark: SparkSession, rows: DataFrame, order: Column | None = No
     """Trades as a stream of several micro-batches, by time unless ``order`` says otherwise."""
     at = F.unix_micros(F.col("timestamp").cast("timestamp")) if order is None else order
     path = landed(spark, rows.withColumn("landed_at", at), "landed_at")
-    return trade_source.stream_trades(spark, path, max_files=1)
+    return trade_source.stream_trades(spark, path, max_files=FILES)
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,6 +181,9 @@ query("rollup_all_units", with_trades(sql_units(DERIVED_UNITS)))(
 query("rollup_cascade", with_trades(sql_units(DERIVED_UNITS)))(
     lambda spark, sf_dir: rollup_cascade(minutes(spark, sf_dir))
 )
+query("rollup_nested", with_trades(sql_units(DERIVED_UNITS)))(
+    lambda spark, sf_dir: rollup_nested(minutes(spark, sf_dir))
+)
 # Units the source serves itself stay out, days are derived all the same, 15m builds on 5m.
 query("rollup_history", with_trades(sql_units(["15m", "4h", "1d", "1w"])))(
     lambda spark, sf_dir: rollup_cascade(
@@ -855,6 +861,64 @@ def report_diffs(spark, sf_dir):
     return spark.read.schema(schema).json(f"{path}/diffs")
 
 
+SQL_BOTH = [
+    f"{side}.{name} AS {long}_{name}" for side, long in (("db", "db"), ("ex", "exchange"))
+    for name in ("open", "high", "low", "close", "volume")
+]
+
+
+# Every difference of the report with both candles; a candle that only the exchange has has no flags.
+@query("report_candles", with_trades(f"""
+    SELECT exchange, unit, replace(symbol, '/', '_') AS symbol, epoch_ms(timestamp) AS tms,
+           timestamp AS date, {', '.join(SQL_BOTH)}, db.open <> ex.open AS open, db.high <> ex.high AS high,
+           db.low <> ex.low AS low, db.close <> ex.close AS close,
+           printf('%.4f', abs(db.volume - ex.volume))::DOUBLE >= 0.1 AS volume
+    FROM ex LEFT JOIN db USING (exchange, unit, symbol, timestamp)
+    WHERE db.open IS NULL OR db.open <> ex.open OR db.high <> ex.high OR db.low <> ex.low
+      OR db.close <> ex.close OR printf('%.4f', abs(db.volume - ex.volume))::DOUBLE >= 0.1""",
+    *sql_sides(list(CHECK_DEPTHS["upbit"]), CHECK_DEPTHS["upbit"])[:3]))
+def report_candles(spark, sf_dir):
+    path = shared_folder(spark, "report")
+    served = several_units(minutes(spark, sf_dir), list(CHECK_DEPTHS["upbit"]))
+    reconcile(filled_table(spark, sf_dir), served, CHECK_DEPTHS, report_path=path)
+    names = ("open", "high", "low", "close", "volume")
+    candle = "struct<" + ", ".join(f"{name}: double" for name in names) + ">"
+    schema = ("exchange string, unit string, symbol string, tms long, date timestamp_ntz, "
+              f"db_candle {candle}, exchange_candle {candle}, "
+              + ", ".join(f"{name} boolean" for name in names))
+    report = spark.read.schema(schema).json(f"{path}/diffs")
+    return report.select(
+        "exchange", "unit", "symbol", "tms", "date", *names,
+        *[F.col(f"{side}_candle.{name}").alias(f"{side}_{name}") for side in ("db", "exchange") for name in names],
+    )
+
+
+# The summary file of the report.
+@query("report_summary", with_trades(
+    SQL_STORED_SUMMARY, *sql_sides(list(CHECK_DEPTHS["upbit"]), CHECK_DEPTHS["upbit"])))
+def report_summary(spark, sf_dir):
+    path = shared_folder(spark, "report")
+    served = several_units(minutes(spark, sf_dir), list(CHECK_DEPTHS["upbit"]))
+    summary = reconcile(filled_table(spark, sf_dir), served, CHECK_DEPTHS, report_path=path)
+    return spark.read.schema(summary.schema).json(f"{path}/summary")
+
+
+# A minute keeps the time of its first write, whatever is written later.
+@query("created_of_minutes", with_trades(f"""
+    SELECT timestamp, symbol, open, high, low, close, volume, last_trade + INTERVAL {CREATED_DELAY_S} SECOND AS created_at
+    FROM ({sql_candles('1m')}) JOIN (
+      SELECT symbol, {sql_bucket('1m')} AS timestamp, max(timestamp) AS last_trade FROM trades GROUP BY ALL
+    ) USING (symbol, timestamp) WHERE symbol = 'CLICK/KRW'"""))
+def created_of_minutes(spark, sf_dir):
+    table = CandleTable(spark, shared_folder(spark, "created"))
+    candles = fold_trades(trades(spark, sf_dir), details=True)
+    first = F.col("last_trade") + F.expr(f"INTERVAL {CREATED_DELAY_S} SECONDS")
+    table.upsert(candles.withColumn("open", F.lit(0.0)).withColumn("created_at", first))
+    table.upsert(candles.withColumn("created_at", first + F.expr("INTERVAL 1 HOUR")))
+    rows = table.candles(exchange="upbit", units=["1m"], symbol="CLICK/KRW")
+    return rows.select("timestamp", "symbol", "open", "high", "low", "close", "volume", "created_at")
+
+
 @query("created_lag", with_trades(f"""
     SELECT exchange, symbol, start AS timestamp,
            abs(epoch_ms(start) - epoch_ms(last_trade + INTERVAL {CREATED_DELAY_S} SECOND)) > 61000
@@ -911,7 +975,7 @@ def reconcile_csv(spark, sf_dir):
     table.upsert(export.to_export(stored))
     names = [UNITS[unit].export_name for unit in CSV_UNITS]
     rest = history.rest_to_export(rest_rows(served, page=1))
-    return compare.export_summary(table.newest_closed("UPBIT", names, 1000), rest)
+    return reconcile_export(table, rest, "UPBIT", names, 1000)
 
 
 # The CSV report, written and read back.
@@ -934,6 +998,27 @@ def report_csv(spark, sf_dir):
     return report.select("code", "candle", F.col("diffCount").alias("rows"))
 
 
+# All columns of the report, as the job writes them.
+SQL_CSV_TEXT = """SELECT code, candle, diff_count::VARCHAR AS diffCount,
+  printf('%.2f', diff_percent) AS diffPercent, price_diff_count::VARCHAR AS priceDiffCount,
+  volume_diff_count::VARCHAR AS volumeDiffCount, printf('%.2f', max_volume_diff) AS maxVolumeDiff,
+  strftime(max_volume_diff_date, '%Y-%m-%dT%H:%M:%S.%gZ') AS maxVolumeDiffDate
+  FROM (SELECT * FROM summary)"""
+
+
+@query("report_csv_columns", "SELECT * FROM (" + SQL_CSV_TEXT.replace(
+    "(SELECT * FROM summary)", f"({ORACLE_SQL['reconcile_csv']})") + ")")
+def report_csv_columns(spark, sf_dir):
+    stored, served = stored_and_served(spark, sf_dir, CSV_UNITS)
+    table = ExportTable(spark, shared_folder(spark, "export"))
+    table.upsert(export.to_export(stored))
+    names = [UNITS[unit].export_name for unit in CSV_UNITS]
+    rest = history.rest_to_export(rest_rows(served, page=1))
+    path = shared_folder(spark, "report")
+    reconcile_export(table, rest, "UPBIT", names, 1000, report_path=path)
+    return spark.read.option("header", True).csv(path)
+
+
 # ---- T1-T7: streams -------------------------------------------------------------------
 
 
@@ -970,7 +1055,7 @@ def with_late(spark, sf_dir) -> DataFrame:
         F.lit(2**62).alias("landed_at"),
     )
     path = landed(spark, whole.withColumn("landed_at", at).unionByName(late), "landed_at")
-    return trade_source.stream_trades(spark, path, max_files=1)
+    return trade_source.stream_trades(spark, path, max_files=FILES)
 
 
 # Every trade is in a candle or among the late ones: what the watermark would drop is kept.
@@ -1078,7 +1163,7 @@ def stream_seeded(spark, sf_dir):
     path, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "progress")
     for part in range(2):
         mine = F.pmod(F.hash("symbol"), F.lit(2)) == part
-        rest.where(mine).coalesce(1).write.mode("append").parquet(path)
+        rest.where(mine).write.mode("append").parquet(path)
         stream_candles(
             spark, trade_source.stream_trades(spark, path), "upbit", table, checkpoint, every=None,
             # Symbols of these tables end days apart.
@@ -1134,7 +1219,7 @@ def stream_symbol_late(spark, sf_dir):
     whole = trades(spark, sf_dir)
     path = landed(spark, whole.withColumn("second", (F.col("id") % 10 == 0).cast("int")), "second", 2)
     out, checkpoint = shared_folder(spark, "closing"), shared_folder(spark, "progress")
-    stream = trade_source.stream_trades(spark, path, max_files=1)
+    stream = trade_source.stream_trades(spark, path, max_files=FILES)
     closing_stream(stream, out, checkpoint, every=None).awaitTermination()
     late = late_trades(spark, out).select(
         "exchange", "symbol", "timestamp", "price", "amount", "id", F.lit("late").alias("fate"))
