@@ -10,6 +10,8 @@ VOLUME_PLACES = 8
 HIGH = 2**31
 # Larger values are no longs.
 MOST_VALUE = 9.2e18
+# From so many multiples of HIGH (5.9e20) on, decimals do not hold a sum with all of its places.
+MOST_HIGHS = 2**38
 
 
 def exact_sum(value: str) -> Column:
@@ -53,11 +55,20 @@ def rest_sql(value: str) -> str:
 
 
 def joined_parts_sql(high: str, low: str, parts: str, rest: str) -> str:
+    """The parts as one double.
+
+    Where not all places fit a decimal, doubles are whole and so is the middle between any two:
+    what lies below one unit counts as a half if there is any, which rounds the same way.
+    """
     step = f"0.{'1'.zfill(VOLUME_PLACES)}BD"
     fine = f"0.{'1'.zfill(2 * VOLUME_PLACES)}BD"
+    fits = f"abs({high}) < {MOST_HIGHS}L"
     high, low, parts, rest = (f"CAST({part} AS DECIMAL(20, 0))" for part in (high, low, parts, rest))
-    whole = f"CAST({high} * {HIGH}BD + {low} AS DECIMAL(21, 0))"
-    return f"CAST({whole} + {parts} * {step} + {rest} * {fine} AS DOUBLE)"
+    whole = f"({high} * {HIGH}BD + {low})"
+    below = f"({parts} * {step} + {rest} * {fine})"
+    all_places = f"CAST({whole} AS DECIMAL(21, 0)) + {parts} * {step} + {rest} * {fine}"
+    halves = f"{whole} + floor({below}) + IF({below} > floor({below}), 0.5BD, 0.0BD)"
+    return f"CASE WHEN {fits} THEN CAST({all_places} AS DOUBLE) ELSE CAST({halves} AS DOUBLE) END"
 
 
 def to_fixed(value: Column, places: int) -> Column:

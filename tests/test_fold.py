@@ -1,5 +1,6 @@
 import random
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from candlewick.operators.fold import (
     ARRIVAL, SEQUENCE, as_states, fold_trades, merge_states, seed_states,
 )
-from candlewick.functions import epoch_ms
+from candlewick.functions import epoch_ms, exact_sum
 
 
 def brute_force(rows, unit_s=60, dedup=True):
@@ -86,6 +87,23 @@ def test_tiny_and_huge_amounts(make_trades):
     assert got == {"DUST/KRW": 4e-6, "SHIB/KRW": 3e16}
 
 
+def test_candles_of_many_largest_amounts(make_trades):
+    rows = [("2031-07-09 21:14:06", "SHIB/KRW", 1, 8e18, n) for n in range(300)]
+    rows += [("2031-07-09 21:14:06", "DEBT/KRW", 1, -9e18, n) for n in range(300)]
+    got = {k[0]: v[4] for k, v in as_dict(fold_trades(make_trades(rows), "1d")).items()}
+    assert got == {"SHIB/KRW": 2.4e21, "DEBT/KRW": -2.7e21}
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+@pytest.mark.parametrize("left", [0.0, 1e-12, 0.25, -1e-12, -0.25])
+def test_small_amounts_round_the_largest_sums(spark, sign, left):
+    """The whole units lie in the middle of two doubles, so what is left over decides."""
+    values = [2.0**62] * 256 + [2.0**17, left]
+    rows = spark.createDataFrame([(sign * v,) for v in values], "v double")
+    exact = sum(Fraction(v) for v in values)
+    assert rows.agg(exact_sum("v").alias("s")).first()["s"] == sign * float(exact)
+
+
 def test_trades_without_id_all_count(make_trades):
     rows = [("2031-07-09 21:14:06", "TEA/KRW", p, 1, None) for p in (2, 3, 3)]
     rows += [("2031-07-09 21:14:07", "TEA/KRW", 4, 1, 7)] * 2

@@ -41,6 +41,21 @@ def test_query_equals_sql(spark, duck, name):
     pd.testing.assert_frame_equal(ours, theirs, check_dtype=False, check_exact=True)
 
 
+def test_absurd_numbers_of_a_busy_day(spark, tmp_path):
+    """A candle with so many of the largest amounts that its volume passes 1e21."""
+    name, path = "candles_absurd_numbers", f"{tmp_path}/events.parquet"
+    spark.range(4000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2031-07-09 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "1L AS user_id",
+        "if(id < 3000, 'tea', 'oat') AS event_type", "300.0D + id % 40 AS value", "'{\"k\": 7}' AS props",
+    ).write.parquet(path)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/*.parquet'")
+    ours = comparable(contract.queries()[name](spark, str(tmp_path)).toPandas())
+    assert sorted(ours["volume"] > 1e21) == [False, True]
+    theirs = comparable(duck.execute(contract.oracle_sql()[name]).df())
+    pd.testing.assert_frame_equal(ours, theirs, check_dtype=False, check_exact=True)
+
+
 def test_entry(spark):
     daily = contract.entry(spark)
     assert daily.count() == 150
